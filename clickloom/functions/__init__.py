@@ -2,7 +2,6 @@ from clickloom.functions.rules import reject_reason
 from clickloom.functions.times import (
     crossed_minutes,
     crossed_seconds,
-    epoch_micros,
     epoch_minute,
     epoch_second,
     ingest_date,
@@ -13,7 +12,6 @@ from clickloom.functions.variants import event_timestamp, int_field, text_field
 __all__ = [
     "crossed_minutes",
     "crossed_seconds",
-    "epoch_micros",
     "epoch_minute",
     "epoch_second",
     "event_timestamp",

@@ -2,8 +2,10 @@
 
 Spark's ``timestampdiff`` counts elapsed units. The session rules count *crossed boundaries*:
 10:00:59.9 to 10:01:00.1 is one minute and one second. Both ends are therefore mapped to the number
-of their minute (or second) before subtracting. All of it runs on ``timestamp_ntz`` and does not
-depend on the session time zone.
+of their minute (or second) before subtracting.
+
+The session time zone is UTC (``clickloom.configure`` sets it), so a zone-less value and the instant
+it is cast to are the same number.
 """
 
 from __future__ import annotations
@@ -13,34 +15,19 @@ from pyspark.sql import functions as F
 
 from clickloom.schemas import LAKE_TIME_ZONE
 
-_MICROS_PER_SECOND = 1_000_000
-_MICROS_PER_MINUTE = 60 * _MICROS_PER_SECOND
 _FIRST_SECOND = -62_135_596_800  # 0001-01-01 00:00:00
 _LAST_SECOND = 253_402_300_799  # 9999-12-31 23:59:59
 
 
-def _epoch() -> Column:
-    return F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-
-
-def epoch_micros(ts: Column) -> Column:
-    """Microseconds since 1970-01-01 of a zone-less timestamp."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), ts)
-
-
-def _unit_number(ts: Column, unit_micros: int) -> Column:
-    micros = epoch_micros(ts)
-    return ((micros - F.pmod(micros, F.lit(unit_micros))) / F.lit(unit_micros)).cast("bigint")
+def epoch_second(ts: Column) -> Column:
+    """Number of the second ``ts`` lies in, counted from 1970-01-01."""
+    return F.unix_seconds(ts.cast("timestamp"))
 
 
 def epoch_minute(ts: Column) -> Column:
-    """Number of the calendar minute ``ts`` lies in."""
-    return _unit_number(ts, _MICROS_PER_MINUTE)
-
-
-def epoch_second(ts: Column) -> Column:
-    """Number of the second ``ts`` lies in."""
-    return _unit_number(ts, _MICROS_PER_SECOND)
+    """Number of the calendar minute ``ts`` lies in, counted from 1970-01-01."""
+    second = epoch_second(ts)
+    return ((second - F.pmod(second, F.lit(60))) / 60).cast("bigint")
 
 
 def crossed_minutes(start: Column, end: Column) -> Column:
@@ -56,7 +43,7 @@ def crossed_seconds(start: Column, end: Column) -> Column:
 def instant_of_epoch(seconds: Column) -> Column:
     """Zone-less UTC timestamp of a number of seconds since 1970-01-01, null outside years 1 to 9999."""
     in_calendar = seconds.between(_FIRST_SECOND, _LAST_SECOND)
-    return F.timestamp_add("SECOND", F.when(in_calendar, seconds), _epoch())
+    return F.timestamp_add("SECOND", F.when(in_calendar, seconds), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
 
 
 def ingest_date(loaded_at: Column, zone: str = LAKE_TIME_ZONE) -> Column:

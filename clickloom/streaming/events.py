@@ -66,7 +66,7 @@ def live_sessions(
             F.sum(_one_if(F.col("event_type") == ADD_TO_CART)).alias("total_items_added_to_cart"),
             F.max("utm_source").alias("session_utm_source"),
         )
-        .select("user_id", F.col("w.start").cast("timestamp_ntz").alias("first_minute"), "*")
+        .withColumn("first_minute", F.col("w.start").cast("timestamp_ntz"))
         .drop("w")
     )
 

@@ -34,7 +34,7 @@ from clickloom.schemas import EVENT_TYPES, PAGE_VIEW, PLAIN_TEXT_FIELDS
 from clickloom.sources.dimensions import load_dimension, read_csv
 from clickloom.sources.messages import DEAD_LETTER, EVENT, parse_messages, read_text, stream_text
 from clickloom.sources.raw import read_lake, read_raw, stream_lake
-from clickloom.sources.tables import fresh_path, materialize, write_table
+from clickloom.sources.tables import fresh_path, materialize, read_table, write_table
 from clickloom.streaming import events as live
 from clickloom.streaming.landing import autoload, batch_metrics, land_messages, start
 from clickloom.testbed import recipe
@@ -60,6 +60,21 @@ def query(name: str) -> Callable[[Query], Query]:
 # --- relations the queries share -----------------------------------------------------------------
 
 
+_RAW_TABLES: dict[tuple[str, str], str] = {}
+
+
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table, written once per application and input folder."""
+    place = (spark.sparkContext.applicationId, sf_dir)
+    if place not in _RAW_TABLES:
+        path = fresh_path(spark, "raw")
+        # The given events are one small file; messages arrive in many.
+        spread = recipe.raw_events(spark, sf_dir, files=spark.sparkContext.defaultParallelism)
+        write_table(spread, path)
+        _RAW_TABLES[place] = path
+    return read_table(spark, _RAW_TABLES[place])
+
+
 def product_dim(spark: SparkSession, sf_dir: str) -> Dimension:
     return measure(recipe.products(spark, sf_dir), "product_id", columns=[])
 
@@ -74,7 +89,7 @@ def version_dim(spark: SparkSession, sf_dir: str) -> Dimension:
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.parse_events(recipe.raw_events(spark, sf_dir), recipe.MIN_EVENT_TS)
+    return staging.parse_events(raw_table(spark, sf_dir), recipe.MIN_EVENT_TS)
 
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +134,7 @@ def run_normalize_event_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("filter_cutoff")
 def run_filter_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events from the middle of the period on."""
-    late = staging.parse_events(recipe.raw_events(spark, sf_dir), recipe.PRICE_CHANGE)
+    late = staging.parse_events(raw_table(spark, sf_dir), recipe.PRICE_CHANGE)
     return late.select("event_id", "event_at_ts", "loaded_at")
 
 
@@ -174,7 +189,7 @@ def run_price_asof_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scd2_snapshot")
 def run_scd2_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product history after a first load and a second one with raised prices."""
+    """Product history after two loads: changed, unchanged, new and no longer listed products."""
     return _history(spark, sf_dir)
 
 
@@ -193,11 +208,11 @@ def run_scd2_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = scd2.first_snapshot(
-        recipe.products(spark, sf_dir), PRODUCT_KEY, F.lit(recipe.FIRST_LOAD).cast("timestamp_ntz")
+        recipe.first_catalogue(spark, sf_dir), PRODUCT_KEY, F.lit(recipe.FIRST_LOAD).cast("timestamp_ntz")
     )
     return scd2.apply_snapshot(
         first,
-        recipe.raised_products(spark, sf_dir),
+        recipe.second_catalogue(spark, sf_dir),
         PRODUCT_KEY,
         PRODUCT_CHECK,
         F.lit(recipe.PRICE_CHANGE).cast("timestamp_ntz"),
@@ -345,7 +360,7 @@ def run_dq_not_null_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dq_accepted_values")
 def run_dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Types as sent, before they are lower-cased."""
-    sent = recipe.raw_events(spark, sf_dir).select(
+    sent = raw_table(spark, sf_dir).select(
         text_field(F.col("raw_data"), "event_type").alias("event_type")
     )
     return quality.unaccepted(sent, "event_type", EVENT_TYPES)
@@ -513,9 +528,8 @@ def run_raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "raw-stream")
-    raw = recipe.raw_events(spark, sf_dir)
-    raw.write.parquet(path)
+    raw = raw_table(spark, sf_dir)
+    path = _RAW_TABLES[spark.sparkContext.applicationId, sf_dir]
     return live.stream_events(spark.readStream.schema(raw.schema).parquet(path), recipe.MIN_EVENT_TS)
 
 
@@ -565,7 +579,7 @@ def run_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _refreshed(spark: SparkSession, sf_dir: str) -> str:
     """Two published runs: one at the first prices, one after the raise."""
     warehouse = fresh_path(spark, "warehouse")
-    raw = recipe.raw_events(spark, sf_dir)
+    raw = raw_table(spark, sf_dir)
     users = recipe.users(spark, sf_dir)
     for run_id, loaded_at, load in [
         ("1", recipe.FIRST_LOAD, recipe.products),

@@ -53,14 +53,18 @@ _EPOCH = "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
 _TIMESTAMP_JSON = f"""if(event_id % 10 < 7, concat('"', {_ISO_TEXT}, '"'), cast({_EPOCH} as string))"""
 
 
-def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_table(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if files:
+        events = events.repartitionByRange(files, "event_id")
     return events.withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumn(
         "clean_type", F.expr(_CLEAN_TYPE)
     )
 
 
-def messages(spark: SparkSession, sf_dir: str, malformed: bool = False) -> DataFrame:
+def messages(
+    spark: SparkSession, sf_dir: str, malformed: bool = False, files: int | None = None
+) -> DataFrame:
     """(event number, ts, value): one JSON text per event, null fields left out.
 
     With ``malformed``, every 50th event sends a cut-off text first.
@@ -69,7 +73,7 @@ def messages(spark: SparkSession, sf_dir: str, malformed: bool = False) -> DataF
     stamped = F.concat(
         F.lit('{"event_timestamp":'), F.expr(_TIMESTAMP_JSON), F.lit(","), F.expr("substring(fields, 2)")
     )
-    texts = events_table(spark, sf_dir).withColumn("fields", fields).withColumn("value", stamped)
+    texts = events_table(spark, sf_dir, files).withColumn("fields", fields).withColumn("value", stamped)
     if malformed:
         cut_off = F.concat(F.lit('{"event_id":"'), F.col("event_id").cast("string"))
         both = F.when(F.col("event_id") % 50 == 3, F.array(cut_off, "value")).otherwise(F.array("value"))
@@ -77,9 +81,9 @@ def messages(spark: SparkSession, sf_dir: str, malformed: bool = False) -> DataF
     return texts.select("event_id", "ts", "value")
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_events(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
     """Raw table: messages as variants, loaded one second apart in event order."""
-    return messages(spark, sf_dir).select(
+    return messages(spark, sf_dir, files=files).select(
         F.try_parse_json(F.col("value")).alias("raw_data"),
         F.lit("messages").alias("metadata_filename"),
         F.col("event_id").alias("metadata_file_row_number"),
@@ -119,6 +123,35 @@ def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def _extra_products(rows: DataFrame, prefix: str, key: str, name: str) -> DataFrame:
+    return rows.select(
+        F.concat(F.lit(prefix), F.col(key).cast("string")).alias("product_id"),
+        F.col(name).alias("product_name"),
+        F.lit("EXTRA").alias("category"),
+        F.col(key).cast("decimal(10,2)").alias("price"),
+    )
+
+
+def first_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products, and one product per supplier that the second catalogue no longer lists."""
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    return products(spark, sf_dir).unionByName(_extra_products(suppliers, "old-", "s_suppkey", "s_name"))
+
+
+def second_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with every third price raised and every seventh category blanked, and new products."""
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    number = F.substring_index("product_id", "-", -1).cast("bigint")
+    raised = (F.col("price") * F.lit("1.1").cast("decimal(2,1)")).cast("decimal(10,2)")
+    changed = products(spark, sf_dir).select(
+        "product_id",
+        "product_name",
+        F.when(number % 7 != 0, F.col("category")).alias("category"),
+        F.when(number % 3 == 0, raised).otherwise(F.col("price")).alias("price"),
+    )
+    return changed.unionByName(_extra_products(nations, "new-", "n_nationkey", "n_name"))
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with the name of their nation as country, and the guest."""
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
