@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.times import instant_of_epoch
 
+_WHOLE_NUMBER = "^-?[0-9]+$"
+
 
 def text_field(raw: Column, key: str) -> Column:
     return F.try_variant_get(raw, f"$.{key}", "string")
@@ -20,9 +22,13 @@ def int_field(raw: Column, key: str) -> Column:
     return F.try_variant_get(raw, f"$.{key}", "int")
 
 
-def event_timestamp(raw: Column, key: str = "event_timestamp") -> Column:
-    """ISO-8601 text (a zone offset is dropped) or whole epoch seconds; null for anything else."""
-    path = f"$.{key}"
-    as_text = F.try_variant_get(raw, path, "timestamp_ntz")
-    as_seconds = F.try_variant_get(raw, path, "bigint")
-    return F.coalesce(as_text, instant_of_epoch(as_seconds))
+def event_timestamp(text: Column) -> Column:
+    """Event time of a text: whole epoch seconds or ISO-8601 (a zone offset is dropped), else null.
+
+    The field holds numbers and strings, so it is read as text. Only digits are tried as a number: a
+    failed cast of every ISO text would cost an exception per row.
+    """
+    seconds = text.try_cast("bigint")
+    return F.when(text.rlike(_WHOLE_NUMBER), instant_of_epoch(seconds)).otherwise(
+        text.try_cast("timestamp_ntz")
+    )

@@ -55,12 +55,16 @@ def published_run(spark: SparkSession, warehouse: str) -> str | None:
 
 
 def read_published(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
+    """A table of the last published run; ``quarantine`` and ``sessionized`` are views."""
     run_id = published_run(spark, warehouse)
     if run_id is None:
         raise LookupError(f"nothing has been published in {warehouse}")
     folder = f"{warehouse}/run={run_id}"
     if table == "quarantine":
         return quarantined_events(read_validated(spark, f"{folder}/validated"))
+    if table == "sessionized":
+        gap = int(read_table(spark, f"{folder}/settings").first()["gap_minutes"])
+        return sessionize(read_table(spark, f"{folder}/events"), gap)
     return read_table(spark, f"{folder}/{table}")
 
 
@@ -142,7 +146,8 @@ def refresh(
     """Run all steps in order, stop at the first failure, and return the published fact table.
 
     Every table is written once and read by the later steps, which scan only the columns they need.
-    The raw messages are read once, and the quarantine is a partition of the validated records.
+    The raw messages are read once, and the quarantine is a partition of the validated records. The
+    session-event relation is a view: it is checked here on its own columns and computed when read.
     """
     previous = published_run(spark, config.warehouse)
 
@@ -166,13 +171,15 @@ def refresh(
     events = write_table(
         price_asof(valid_events(validated), prices, config.closed_validity), config.table("events")
     )
-    sessionized = write_table(sessionize(events, config.gap_minutes), config.table("sessionized"))
     facts = write_table(
         fact_sessions(events, user_dim, config.gap_minutes, unique_events=not config.closed_validity),
         config.table("fact_sessions"),
     )
 
+    sessionized = sessionize(events, config.gap_minutes)
     checks = write_table(table_checks(events, sessionized, facts, user_dim), config.table("checks"))
     quality.require_passed(checks)
+    settings = spark.range(1).select(F.lit(config.gap_minutes).alias("gap_minutes"))
+    write_table(settings, config.table("settings"))
     publish(spark, config)
     return facts

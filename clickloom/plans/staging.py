@@ -15,11 +15,12 @@ def parse_events(raw: DataFrame, min_event_ts: str | None = DEFAULT_MIN_EVENT_TS
     """Type the message fields and keep events with an id from ``min_event_ts`` on (None: all).
 
     A message without a timestamp is dropped. One with a timestamp nobody can read stays, with a null
-    ``event_at_ts`` and ``timestamp_unreadable``, for the quarantine.
+    ``event_at_ts``, for the quarantine.
     """
     raw_data = F.col("raw_data")
     text = {name: text_field(raw_data, name) for name in PLAIN_TEXT_FIELDS}
-    event_at = event_timestamp(raw_data)
+    sent_at = text_field(raw_data, "event_timestamp")
+    event_at = event_timestamp(sent_at)
     typed = raw.select(
         text["event_id"].alias("event_id"),
         F.coalesce(text_field(raw_data, "user_id"), F.lit(GUEST_USER)).alias("user_id"),
@@ -35,14 +36,13 @@ def parse_events(raw: DataFrame, min_event_ts: str | None = DEFAULT_MIN_EVENT_TS
         "metadata_filename",
         "metadata_file_row_number",
         "loaded_at",
-        (event_at.isNull() & text_field(raw_data, "event_timestamp").isNotNull()).alias(
-            "timestamp_unreadable"
-        ),
+        sent_at.alias("__sent_at"),
     )
-    in_range = F.col("event_at_ts").isNotNull()
+    has_time = F.col("__sent_at").isNotNull()
     if min_event_ts is not None:
         in_range = F.col("event_at_ts") >= F.lit(min_event_ts).cast("timestamp_ntz")
-    return typed.where(F.col("event_id").isNotNull() & (in_range | F.col("timestamp_unreadable")))
+        has_time = F.coalesce(in_range, has_time)
+    return typed.where(F.col("event_id").isNotNull() & has_time).drop("__sent_at")
 
 
 def validate_events(events: DataFrame, products: Dimension, users: Dimension) -> DataFrame:
@@ -59,12 +59,12 @@ def validate_events(events: DataFrame, products: Dimension, users: Dimension) ->
         F.col("product_unknown"),
         F.col("user_id"),
         F.col("user_unknown"),
-        F.col("timestamp_unreadable"),
+        F.col("event_at_ts").isNull(),
     )
     return (
         flagged.withColumn("reject_reason", reason)
         .withColumn("is_valid_record", F.col("reject_reason").isNull())
-        .drop("product_unknown", "user_unknown", "timestamp_unreadable")
+        .drop("product_unknown", "user_unknown")
     )
 
 

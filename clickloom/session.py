@@ -18,8 +18,18 @@ RUNTIME_CONF = {
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",
     "spark.sql.variant.pushVariantIntoScan": "true",
+    # Streaming sessions: merge the minutes of a busy user before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+# A shuffle partition of this size sorts in memory on an ordinary executor.
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for a job over ``input_bytes``; adaptive execution merges what is too many."""
+    return max(8, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""

@@ -116,13 +116,13 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("parse_events")
 def run_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed fields of every message."""
-    return parsed(spark, sf_dir).drop("metadata_filename", "timestamp_unreadable")
+    return parsed(spark, sf_dir).drop("metadata_filename")
 
 
 @query("parse_timestamps")
 def run_parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times from ISO text and from epoch seconds."""
-    return parsed(spark, sf_dir).select("metadata_file_row_number", "event_at_ts", "timestamp_unreadable")
+    return parsed(spark, sf_dir).select("metadata_file_row_number", "event_at_ts")
 
 
 @query("normalize_event_type")

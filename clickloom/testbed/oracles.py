@@ -265,8 +265,7 @@ where last_minute + interval 30 minute <= (select max(m) from minutes) - interva
 
 ORACLES: dict[str, str] = {
     "parse_events": f"{_PARSED} select * from parsed",
-    "parse_timestamps": f"""{_PARSED} select metadata_file_row_number, event_at_ts,
-        false as timestamp_unreadable from parsed""",
+    "parse_timestamps": f"{_PARSED} select metadata_file_row_number, event_at_ts from parsed",
     "normalize_event_type": f"{_PARSED} select event_type, count(*) as events from parsed group by event_type",
     "filter_cutoff": f"""{_PARSED} select event_id, event_at_ts, loaded_at from parsed
         where event_at_ts >= timestamp '2024-01-16 00:00:00'""",
