@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="clickloom-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate tables, reachable from every executor.
 
@@ -20,9 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{_CHECKPOINT_DIR} is not set: name a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
+    return _local_dir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
