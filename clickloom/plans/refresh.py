@@ -20,7 +20,13 @@ from clickloom.operators.scd2 import apply_snapshot, first_snapshot
 from clickloom.operators.sessions import sessionize
 from clickloom.plans.marts import fact_sessions
 from clickloom.plans.staging import parse_events, quarantined_events, valid_events, validate_events
-from clickloom.schemas import DEFAULT_MIN_EVENT_TS, EVENT_TYPES, PAGE_VIEW, SESSION_GAP_MINUTES
+from clickloom.schemas import (
+    DEFAULT_MIN_EVENT_TS,
+    EVENT_TYPES,
+    PAGE_VIEW,
+    SESSION_GAP_MINUTES,
+    VALIDATED_SCHEMA,
+)
 from clickloom.sources.tables import read_table, write_table
 
 # The key and the compared attributes of the product history.
@@ -70,8 +76,7 @@ def read_published(spark: SparkSession, warehouse: str, table: str) -> DataFrame
 
 def read_validated(spark: SparkSession, path: str) -> DataFrame:
     """Validated records, partitioned by their flag: the quarantine is one of the two partitions."""
-    flag = F.col("is_valid_record").cast("boolean")
-    return read_table(spark, path).withColumn("is_valid_record", flag)
+    return read_table(spark, path, VALIDATED_SCHEMA)
 
 
 def publish(spark: SparkSession, config: RefreshConfig) -> None:
@@ -162,12 +167,11 @@ def refresh(
     prices = measure(versions, PRODUCT_KEY, columns=["price", "valid_from", "valid_to"])
 
     parsed = parse_events(raw, config.min_event_ts)
-    write_table(
+    validated = write_table(
         validate_events(parsed, product_keys, user_dim),
         config.table("validated"),
         partition_by="is_valid_record",
     )
-    validated = read_validated(spark, config.table("validated"))
     events = write_table(
         price_asof(valid_events(validated), prices, config.closed_validity), config.table("events")
     )

@@ -35,7 +35,7 @@ def parse_events(raw: DataFrame, min_event_ts: str | None = DEFAULT_MIN_EVENT_TS
         ],
         "metadata_filename",
         "metadata_file_row_number",
-        "loaded_at",
+        F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"),
         sent_at.alias("__sent_at"),
     )
     has_time = F.col("__sent_at").isNotNull()

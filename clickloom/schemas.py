@@ -22,6 +22,31 @@ RAW_SCHEMA = T.StructType(
         T.StructField("metadata_filename", T.StringType()),
         T.StructField("metadata_file_row_number", T.LongType()),
         T.StructField("loaded_at", T.TimestampType()),
+        T.StructField("ingest_date", T.DateType()),
+    ]
+)
+
+VALIDATED_SCHEMA = T.StructType(
+    [
+        *[T.StructField(n, T.StringType()) for n in ("event_id", "user_id", "product_id", "order_id", "event_type")],
+        T.StructField("event_at_ts", T.TimestampNTZType()),
+        T.StructField("quantity", T.IntegerType()),
+        *[
+            T.StructField(n, T.StringType())
+            for n in (
+                "platform",
+                "ip_address",
+                "user_agent",
+                "utm_source",
+                "utm_medium",
+                "utm_campaign",
+                "metadata_filename",
+            )
+        ],
+        T.StructField("metadata_file_row_number", T.LongType()),
+        T.StructField("loaded_at", T.TimestampNTZType()),
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("is_valid_record", T.BooleanType()),
     ]
 )
 

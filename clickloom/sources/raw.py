@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.schemas import RAW_SCHEMA
 from clickloom.sources.messages import EVENT
 
 LAKE_SCHEMA = T.StructType(
@@ -44,5 +45,5 @@ def stream_lake(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 def read_raw(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
     """Scan the raw table. ``since`` (a date) prunes the load-date partitions."""
-    raw = spark.read.parquet(path)
+    raw = spark.read.schema(RAW_SCHEMA).parquet(path)
     return raw if since is None else raw.where(F.col("ingest_date") >= F.lit(since).cast("date"))

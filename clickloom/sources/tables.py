@@ -7,6 +7,7 @@ import uuid
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -40,11 +41,13 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return read_table(df.sparkSession, path)
+    return read_table(df.sparkSession, path, df.schema)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Scan a table. With the schema given, an empty partitioned table reads as no rows."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
