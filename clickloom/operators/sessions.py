@@ -11,6 +11,8 @@ over a user then sees one narrow row per active minute, at most 525,600 a year,
 there were. Row-level results come from a join back on (user, minute), which spreads a hot user over
 as many partitions as there are minutes.
 
+After staging neither the user nor the time of an event is null.
+
 Both inputs of that join read ``events``; hand in a written table (see ``sources.tables``) rather
 than a long lazy plan.
 """
@@ -31,45 +33,37 @@ from clickloom.schemas import (
 )
 
 
-def _user_by_minute(user: str):
-    return Window.partitionBy(user).orderBy("minute")
-
-
-def _starts_session(user: str, gap_minutes: int) -> Column:
-    idle = F.col("minute") - F.lag("minute").over(_user_by_minute(user))
-    return F.when(idle <= gap_minutes, 0).otherwise(1)
+def _by_minute():
+    return Window.partitionBy("user_id").orderBy("minute")
 
 
-def number_sessions(minutes: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, user: str = "user_id") -> DataFrame:
+def number_sessions(minutes: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
     """Add ``session_index`` (1, 2, ... per user) to rows unique by (user, minute)."""
-    so_far = _user_by_minute(user).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    idle = F.col("minute") - F.lag("minute").over(_by_minute())
+    so_far = _by_minute().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        minutes.withColumn("__starts", _starts_session(user, gap_minutes))
+        minutes.withColumn("__starts", F.when(idle <= gap_minutes, 0).otherwise(1))
         .withColumn("session_index", F.sum("__starts").over(so_far))
         .drop("__starts")
     )
 
 
-def session_minutes(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, user: str = "user_id") -> DataFrame:
+def session_minutes(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
     """(user, minute, session_index) for every minute in which a user was active."""
-    minutes = events.select(user, epoch_minute(F.col("event_at_ts")).alias("minute")).distinct()
-    return number_sessions(minutes, gap_minutes, user)
+    minutes = events.select("user_id", epoch_minute(F.col("event_at_ts")).alias("minute")).distinct()
+    return number_sessions(minutes, gap_minutes)
 
 
-def session_id(user: str = "user_id") -> Column:
-    return F.concat(
-        F.coalesce(F.col(user), F.lit(GUEST_USER)), F.lit("-"), F.col("session_index").cast("string")
-    )
+def session_id() -> Column:
+    user = F.coalesce(F.col("user_id"), F.lit(GUEST_USER))
+    return F.concat(user, F.lit("-"), F.col("session_index").cast("string"))
 
 
-def with_session_index(
-    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, user: str = "user_id"
-) -> DataFrame:
+def with_session_index(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
     """Add ``session_index`` to every event."""
-    assigned = session_minutes(events, gap_minutes, user)
     return (
         events.withColumn("minute", epoch_minute(F.col("event_at_ts")))
-        .join(assigned, [user, "minute"], "left")
+        .join(session_minutes(events, gap_minutes), ["user_id", "minute"], "left")
         .drop("minute")
     )
 
@@ -98,7 +92,7 @@ def event_gaps(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> Dat
 
     minutes = events.groupBy("user_id", "minute").agg(F.max("event_at_ts").alias("last_ts"))
     minutes = minutes.select(
-        "user_id", "minute", F.lag("last_ts").over(_user_by_minute("user_id")).alias("before_minute")
+        "user_id", "minute", F.lag("last_ts").over(_by_minute()).alias("before_minute")
     )
     instants = instants.join(minutes, ["user_id", "minute"], "left").select(
         "user_id",

@@ -27,12 +27,15 @@ from clickloom.schemas import (
     SESSION_GAP_MINUTES,
     VALIDATED_SCHEMA,
 )
+from clickloom.session import shuffle_partitions
 from clickloom.sources.tables import read_table, write_table
 
 # The key and the compared attributes of the product history.
 PRODUCT_KEY = "product_id"
 PRODUCT_CHECK = ["category", "product_name", "price"]
 
+_SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 @dataclass(frozen=True)
 class RefreshConfig:
@@ -43,6 +46,8 @@ class RefreshConfig:
     min_event_ts: str | None = DEFAULT_MIN_EVENT_TS
     gap_minutes: int = SESSION_GAP_MINUTES
     closed_validity: bool = False
+    # Size of the raw table; gives the shuffles as many partitions as they need.
+    raw_bytes: int | None = None
 
     def table(self, name: str) -> str:
         return f"{self.warehouse}/run={self.run_id}/{name}"
@@ -74,6 +79,24 @@ def read_published(spark: SparkSession, warehouse: str, table: str) -> DataFrame
     return read_table(spark, f"{folder}/{table}")
 
 
+PUBLISHED = [
+    "products",
+    "users",
+    "product_versions",
+    "events",
+    "quarantine",
+    "sessionized",
+    "fact_sessions",
+    "checks",
+]
+
+
+def register_views(spark: SparkSession, warehouse: str) -> None:
+    """Make the published tables available to SQL by name."""
+    for table in PUBLISHED:
+        read_published(spark, warehouse, table).createOrReplaceTempView(table)
+
+
 def read_validated(spark: SparkSession, path: str) -> DataFrame:
     """Validated records, partitioned by their flag: the quarantine is one of the two partitions."""
     return read_table(spark, path, VALIDATED_SCHEMA)
@@ -154,6 +177,20 @@ def refresh(
     The raw messages are read once, and the quarantine is a partition of the validated records. The
     session-event relation is a view: it is checked here on its own columns and computed when read.
     """
+    partitions = spark.conf.get(_SHUFFLE_PARTITIONS)
+    if config.raw_bytes is not None:
+        spark.conf.set(_SHUFFLE_PARTITIONS, str(shuffle_partitions(config.raw_bytes)))
+    try:
+        facts = _build(spark, config, raw, products, users)
+    finally:
+        spark.conf.set(_SHUFFLE_PARTITIONS, partitions)
+    publish(spark, config)
+    return facts
+
+
+def _build(
+    spark: SparkSession, config: RefreshConfig, raw: DataFrame, products: DataFrame, users: DataFrame
+) -> DataFrame:
     previous = published_run(spark, config.warehouse)
 
     products = write_table(products, config.table("products"))
@@ -185,5 +222,4 @@ def refresh(
     quality.require_passed(checks)
     settings = spark.range(1).select(F.lit(config.gap_minutes).alias("gap_minutes"))
     write_table(settings, config.table("settings"))
-    publish(spark, config)
     return facts

@@ -35,8 +35,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/clickloom/{name}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Replace a table and return it as read back."""
+def write_table(
+    df: DataFrame, path: str, partition_by: str | None = None, rebalance: bool = False
+) -> DataFrame:
+    """Replace a table and return it as read back.
+
+    ``rebalance`` is for a partition column with many values: rows of a value are brought together,
+    large values being split into several files, so that not every task writes a file per value.
+    """
+    if rebalance and partition_by:
+        df = df.hint("rebalance", partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)

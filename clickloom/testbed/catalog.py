@@ -60,32 +60,62 @@ def query(name: str) -> Callable[[Query], Query]:
 # --- relations the queries share -----------------------------------------------------------------
 
 
-_RAW_TABLES: dict[tuple[str, str], str] = {}
+_TABLES: dict[tuple[str, str, str], str] = {}
+_DIMENSIONS: dict[tuple[str, str, str], Dimension] = {}
+
+
+def _place(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
+    return spark.sparkContext.applicationId, sf_dir, name
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> str:
+    """Path of a derived input table, written once per application and input folder."""
+    place = _place(spark, sf_dir, name)
+    if place not in _TABLES:
+        path = fresh_path(spark, name)
+        write_table(build(), path)
+        _TABLES[place] = path
+    return _TABLES[place]
+
+
+def raw_path(spark: SparkSession, sf_dir: str) -> str:
+    """The raw table. The given events are one small file; messages arrive in many."""
+    files = spark.sparkContext.defaultParallelism
+    return _stored(spark, sf_dir, "raw", lambda: recipe.raw_events(spark, sf_dir, files=files))
 
 
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table, written once per application and input folder."""
-    place = (spark.sparkContext.applicationId, sf_dir)
-    if place not in _RAW_TABLES:
-        path = fresh_path(spark, "raw")
-        # The given events are one small file; messages arrive in many.
-        spread = recipe.raw_events(spark, sf_dir, files=spark.sparkContext.defaultParallelism)
-        write_table(spread, path)
-        _RAW_TABLES[place] = path
-    return read_table(spark, _RAW_TABLES[place])
+    return read_table(spark, raw_path(spark, sf_dir))
+
+
+def _dimension(
+    spark: SparkSession, sf_dir: str, name: str, build: Query, key: str, columns: list[str]
+) -> Dimension:
+    """A dimension table, measured when it is loaded."""
+    place = _place(spark, sf_dir, name)
+    if place not in _DIMENSIONS:
+        path = _stored(spark, sf_dir, name, lambda: build(spark, sf_dir))
+        _DIMENSIONS[place] = measure(read_table(spark, path), key, columns)
+    return _DIMENSIONS[place]
 
 
 def product_dim(spark: SparkSession, sf_dir: str) -> Dimension:
-    return measure(recipe.products(spark, sf_dir), "product_id", columns=[])
+    return _dimension(spark, sf_dir, "products", recipe.products, "product_id", [])
 
 
 def user_dim(spark: SparkSession, sf_dir: str) -> Dimension:
-    return measure(recipe.users(spark, sf_dir), "user_id", columns=["country"])
+    return _dimension(spark, sf_dir, "users", recipe.users, "user_id", ["country"])
 
 
 def version_dim(spark: SparkSession, sf_dir: str) -> Dimension:
-    versions = recipe.product_versions(spark, sf_dir)
-    return measure(versions, "product_id", columns=["price", "valid_from", "valid_to"])
+    return _dimension(
+        spark,
+        sf_dir,
+        "product_versions",
+        recipe.product_versions,
+        "product_id",
+        ["price", "valid_from", "valid_to"],
+    )
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -488,7 +518,7 @@ def run_ingest_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = recipe.messages(spark, sf_dir).select(
         "event_id", ingest_date(F.col("ts").cast("timestamp")).alias("ingest_date")
     )
-    table = write_table(loaded, fresh_path(spark, "by-date"), partition_by="ingest_date")
+    table = write_table(loaded, fresh_path(spark, "by-date"), partition_by="ingest_date", rebalance=True)
     return table.groupBy("ingest_date").agg(F.count("event_id").alias("events"))
 
 
@@ -528,9 +558,9 @@ def run_raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_table(spark, sf_dir)
-    path = _RAW_TABLES[spark.sparkContext.applicationId, sf_dir]
-    return live.stream_events(spark.readStream.schema(raw.schema).parquet(path), recipe.MIN_EVENT_TS)
+    path = raw_path(spark, sf_dir)
+    schema = read_table(spark, path).schema
+    return live.stream_events(spark.readStream.schema(schema).parquet(path), recipe.MIN_EVENT_TS)
 
 
 def _run(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:

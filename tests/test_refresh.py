@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators.quality import QualityError
-from clickloom.plans.refresh import RefreshConfig, published_run, read_published, refresh
+from clickloom.plans.refresh import RefreshConfig, published_run, read_published, refresh, register_views
 from clickloom.schemas import PRODUCT_SCHEMA, USER_SCHEMA
 
 
@@ -105,3 +105,15 @@ def test_nothing_to_do(spark, job, make_raw):
     job.run("1", raw=make_raw(event("1", 0)).where(F.lit(False)))
     assert job.read("fact_sessions").count() == 0
     assert job.read("quarantine").count() == 0
+
+
+def test_published_tables_in_sql(spark, job):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    job.run("1", raw_bytes=3_000_000_000)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    register_views(spark, job.warehouse)
+    row = spark.sql(
+        "select user_country, sum(total_session_revenue) as revenue from fact_sessions group by user_country"
+    ).first()
+    assert (row["user_country"], str(row["revenue"])) == ("FR", "20.00")
+    assert spark.table("quarantine").count() == 1
