@@ -42,8 +42,8 @@ def crossed_seconds(start: Column, end: Column) -> Column:
 
 def instant_of_epoch(seconds: Column) -> Column:
     """Zone-less UTC timestamp of a number of seconds since 1970-01-01, null outside years 1 to 9999."""
-    in_calendar = seconds.between(_FIRST_SECOND, _LAST_SECOND)
-    return F.timestamp_add("SECOND", F.when(in_calendar, seconds), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+    in_calendar = F.when(seconds.between(_FIRST_SECOND, _LAST_SECOND), seconds)
+    return F.timestamp_add("SECOND", in_calendar, F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 def ingest_date(loaded_at: Column, zone: str = LAKE_TIME_ZONE) -> Column:

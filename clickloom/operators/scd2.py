@@ -26,8 +26,8 @@ def _opened(attributes: dict[str, Column], key: Column, at: Column) -> Column:
 
 def first_snapshot(load: DataFrame, key: str, at: Column) -> DataFrame:
     """Open one version per key of the first load."""
-    attributes = {name: F.col(name) for name in load.columns}
-    return load.where(F.col(key).isNotNull()).select(_opened(attributes, F.col(key), at).alias("v")).select("v.*")
+    version = _opened({name: F.col(name) for name in load.columns}, F.col(key), at)
+    return load.where(F.col(key).isNotNull()).select(version.alias("v")).select("v.*")
 
 
 def apply_snapshot(
@@ -37,8 +37,10 @@ def apply_snapshot(
 
     New keys open a version. A key with a change in ``check`` (null-safe) closes its open version and
     opens another. Unchanged keys stay as they are, and so do keys missing from the load. Applying
-    the same load again changes nothing. Rows without a key are not versioned. Closed versions are passed through without a shuffle; open
-    ones meet the load in one full outer join, which each row leaves as up to two versions.
+    the same load again changes nothing. Rows without a key are not versioned.
+
+    Closed versions are passed through without a shuffle; open ones meet the load in one full outer
+    join, which each row leaves as up to two versions.
     """
     history = history.select(*load.columns, "version_id", "updated_at", "valid_from", "valid_to")
     closed = history.where(F.col("valid_to").isNotNull())

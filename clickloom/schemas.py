@@ -28,7 +28,10 @@ RAW_SCHEMA = T.StructType(
 
 VALIDATED_SCHEMA = T.StructType(
     [
-        *[T.StructField(n, T.StringType()) for n in ("event_id", "user_id", "product_id", "order_id", "event_type")],
+        *[
+            T.StructField(n, T.StringType())
+            for n in ("event_id", "user_id", "product_id", "order_id", "event_type")
+        ],
         T.StructField("event_at_ts", T.TimestampNTZType()),
         T.StructField("quantity", T.IntegerType()),
         *[

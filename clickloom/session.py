@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",
     "spark.sql.variant.pushVariantIntoScan": "true",
+    # The last of several equal keys in a message counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Streaming sessions: merge the minutes of a busy user before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

@@ -30,7 +30,7 @@ from clickloom.plans.refresh import (
     refresh,
     table_checks,
 )
-from clickloom.schemas import EVENT_TYPES, PAGE_VIEW, PLAIN_TEXT_FIELDS
+from clickloom.schemas import EVENT_TYPES, PAGE_VIEW, PLAIN_TEXT_FIELDS, VALIDATED_SCHEMA
 from clickloom.sources.dimensions import load_dimension, read_csv
 from clickloom.sources.messages import DEAD_LETTER, EVENT, parse_messages, read_text, stream_text
 from clickloom.sources.raw import read_lake, read_raw, stream_lake
@@ -597,8 +597,8 @@ def run_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         fresh_path(spark, "routed-offsets"),
         continuous=False,
     ).awaitTermination()
-    routed = spark.read.parquet(path)
-    return routed.groupBy(F.col("is_valid_record").cast("boolean").alias("is_valid_record"), "reject_reason").agg(
+    routed = read_table(spark, path, VALIDATED_SCHEMA)
+    return routed.groupBy("is_valid_record", "reject_reason").agg(
         F.count(F.lit(1)).alias("events"), F.min("event_id").alias("first_event_id")
     )
 
