@@ -59,19 +59,24 @@ def session_id() -> Column:
     return F.concat(user, F.lit("-"), F.col("session_index").cast("string"))
 
 
-def with_session_index(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
-    """Add ``session_index`` to every event."""
+def with_session_index(
+    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, minutes: DataFrame | None = None
+) -> DataFrame:
+    """Add ``session_index`` to every event; ``minutes`` are its session minutes where already known."""
+    minutes = session_minutes(events, gap_minutes) if minutes is None else minutes
     return (
         events.withColumn("minute", epoch_minute(F.col("event_at_ts")))
-        .join(session_minutes(events, gap_minutes), ["user_id", "minute"], "left")
+        .join(minutes, ["user_id", "minute"], "left")
         .drop("minute")
     )
 
 
-def sessionize(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
+def sessionize(
+    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, minutes: DataFrame | None = None
+) -> DataFrame:
     """One row per event with its ``session_id``."""
     return (
-        with_session_index(events, gap_minutes)
+        with_session_index(events, gap_minutes, minutes)
         .withColumn("session_id", session_id())
         .select(*SESSION_EVENT_COLUMNS)
     )
@@ -166,19 +171,22 @@ def session_metrics(
     )
 
 
-def products_viewed(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
+def products_viewed(
+    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, minutes: DataFrame | None = None
+) -> DataFrame:
     """(user, session_index, distinct_products_viewed) for sessions with a product view.
 
     Views are made distinct per minute, then per session, then counted: every step combines before
     its shuffle and none gathers the products of one session in a single group.
     """
+    minutes = session_minutes(events, gap_minutes) if minutes is None else minutes
     views = (
         events.where((F.col("event_type") == PRODUCT_VIEW) & F.col("product_id").isNotNull())
         .select("user_id", epoch_minute(F.col("event_at_ts")).alias("minute"), "product_id")
         .distinct()
     )
     return (
-        views.join(session_minutes(events, gap_minutes), ["user_id", "minute"])
+        views.join(minutes, ["user_id", "minute"])
         .select("user_id", "session_index", "product_id")
         .distinct()
         .groupBy("user_id", "session_index")

@@ -21,10 +21,11 @@ def fact_sessions(
     users: Dimension,
     gap_minutes: int = SESSION_GAP_MINUTES,
     unique_events: bool = True,
+    minutes: DataFrame | None = None,
 ) -> DataFrame:
     """One row per session. ``events`` are valid, priced events, best read from a written table."""
     metrics = session_metrics(events, gap_minutes, unique_events)
-    viewed = products_viewed(events, gap_minutes)
+    viewed = products_viewed(events, gap_minutes, minutes)
     sessions = metrics.join(viewed, ["user_id", "session_index"], "left").withColumn(
         "distinct_products_viewed", F.coalesce("distinct_products_viewed", F.lit(0).cast("bigint"))
     )

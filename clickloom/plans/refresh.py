@@ -17,7 +17,7 @@ from clickloom.operators import quality
 from clickloom.operators.asof import price_asof
 from clickloom.operators.lookup import Dimension, measure
 from clickloom.operators.scd2 import apply_snapshot, first_snapshot
-from clickloom.operators.sessions import sessionize
+from clickloom.operators.sessions import session_minutes, sessionize
 from clickloom.plans.marts import fact_sessions
 from clickloom.plans.staging import parse_events, quarantined_events, valid_events, validate_events
 from clickloom.schemas import (
@@ -74,8 +74,8 @@ def read_published(spark: SparkSession, warehouse: str, table: str) -> DataFrame
     if table == "quarantine":
         return quarantined_events(read_validated(spark, f"{folder}/validated"))
     if table == "sessionized":
-        gap = int(read_table(spark, f"{folder}/settings").first()["gap_minutes"])
-        return sessionize(read_table(spark, f"{folder}/events"), gap)
+        minutes = read_table(spark, f"{folder}/session_minutes")
+        return sessionize(read_table(spark, f"{folder}/events"), minutes=minutes)
     return read_table(spark, f"{folder}/{table}")
 
 
@@ -212,14 +212,13 @@ def _build(
     events = write_table(
         price_asof(valid_events(validated), prices, config.closed_validity), config.table("events")
     )
+    minutes = write_table(session_minutes(events, config.gap_minutes), config.table("session_minutes"))
     facts = write_table(
-        fact_sessions(events, user_dim, config.gap_minutes, unique_events=not config.closed_validity),
+        fact_sessions(events, user_dim, config.gap_minutes, not config.closed_validity, minutes),
         config.table("fact_sessions"),
     )
 
-    sessionized = sessionize(events, config.gap_minutes)
+    sessionized = sessionize(events, minutes=minutes)
     checks = write_table(table_checks(events, sessionized, facts, user_dim), config.table("checks"))
     quality.require_passed(checks)
-    settings = spark.range(1).select(F.lit(config.gap_minutes).alias("gap_minutes"))
-    write_table(settings, config.table("settings"))
     return facts
