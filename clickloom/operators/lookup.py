@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.sources.tables import materialize
+
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # In-memory cost of one row of the broadcast hash table on top of its text.
 _ROW_OVERHEAD_BYTES = 64
@@ -41,8 +44,19 @@ class Dimension:
         return F.broadcast(df) if self.fits_broadcast else df
 
     def keys(self) -> DataFrame:
-        """Distinct keys without the null key."""
-        return self.df.select(self.key).where(F.col(self.key).isNotNull()).distinct()
+        """Keys without the null key, as often as they occur."""
+        return self.df.select(self.key).where(F.col(self.key).isNotNull())
+
+    @cached_property
+    def distinct_keys(self) -> DataFrame:
+        """Distinct keys without the null key.
+
+        Too many to broadcast, they are written to a table first. Adaptive execution splits the hot
+        partitions of a join only if both sides come straight from a shuffle, which an aggregate
+        on the join key would stand in the way of.
+        """
+        distinct = self.keys().distinct()
+        return distinct if self.fits_broadcast else materialize(distinct, f"{self.key}-keys")
 
 
 def _row_bytes(schema: T.StructType) -> Column:
@@ -111,7 +125,7 @@ def with_unknown_flag(
     With a null among the dimension keys the test is never true (null where the key is not found).
     The caller decides about null keys; here they are null, or true against an empty dimension.
     """
-    known = dimension.keys().withColumn("__known", F.lit(True))
+    known = dimension.distinct_keys.withColumn("__known", F.lit(True))
     joined = left_lookup(events, dimension, key, spread_by, columns=known)
     found = F.col("__known").isNotNull()
     if dimension.rows == 0:

@@ -88,6 +88,13 @@ def test_events_without_a_key_are_spread_in_shuffled_lookups(raw, dims, sort_mer
         assert sum("xxhash64(event_id" in line for line in exchanges) == 3
 
 
+def test_hot_partitions_of_shuffled_lookups_can_be_split(raw, dims, sort_merge):
+    if dims[0] == "large":
+        # Both inputs of each join are sorted shuffles, with no aggregate in between.
+        shape = tree(pipeline(raw, dims))
+        assert "HashAggregate" not in shape and "SortAggregate" not in shape
+
+
 def test_small_dimensions_leave_one_shuffle_of_events(raw, dims):
     if dims[0] == "small":
         exchanges = re.findall(r"hashpartitioning\((\w+)#", plan(pipeline(raw, dims)))
