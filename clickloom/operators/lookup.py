@@ -3,7 +3,8 @@
 A dimension is measured once (rows, bytes, null keys). Within the byte bound it is broadcast, and
 the events are not shuffled at all. Beyond the bound the join is a shuffled one: rows without a key
 are spread over all partitions instead of meeting in one, and adaptive execution splits partitions
-of hot keys (every caller shuffles by another key afterwards, so the split is always possible).
+of hot keys. It can do so because both sides come straight from a shuffle, without an aggregate on the
+join key in between, and every caller shuffles by another key afterwards.
 """
 
 from __future__ import annotations
@@ -49,12 +50,7 @@ class Dimension:
 
     @cached_property
     def distinct_keys(self) -> DataFrame:
-        """Distinct keys without the null key.
-
-        Too many to broadcast, they are written to a table first. Adaptive execution splits the hot
-        partitions of a join only if both sides come straight from a shuffle, which an aggregate
-        on the join key would stand in the way of.
-        """
+        """Distinct keys without the null key; too many to broadcast, they are written to a table once."""
         distinct = self.keys().distinct()
         return distinct if self.fits_broadcast else materialize(distinct, f"{self.key}-keys")
 
@@ -117,24 +113,50 @@ def left_lookup(
     return events.join(dimension.hinted(right), on, "left").drop("__dimension_key")
 
 
+def unknown_keys(events: DataFrame, dimension: Dimension, key: Column) -> Dimension:
+    """The keys of the events that the dimension does not have, as a measured table.
+
+    Only the distinct keys travel to meet a large dimension. What is left over is mostly few, so the
+    events themselves can be flagged by a broadcast.
+    """
+    keys = events.select(key.alias(dimension.key)).distinct()
+    unknown = materialize(without_parent(keys, dimension.key, dimension), f"unknown-{dimension.key}")
+    return measure(unknown, dimension.key, max_broadcast_bytes=dimension.max_broadcast_bytes)
+
+
 def with_unknown_flag(
-    events: DataFrame, dimension: Dimension, key: Column, flag: str, spread_by: str
+    events: DataFrame,
+    dimension: Dimension,
+    key: Column,
+    flag: str,
+    spread_by: str,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the value of ``key NOT IN (dimension keys)`` under SQL's three-valued logic.
 
     With a null among the dimension keys the test is never true (null where the key is not found).
     The caller decides about null keys; here they are null, or true against an empty dimension.
+
+    A large dimension is not joined to a batch of events: the events' unknown keys are. They are taken
+    from ``keys_from``, a cheaper relation with the same keys, where there is one.
     """
-    known = dimension.distinct_keys.withColumn("__known", F.lit(True))
-    joined = left_lookup(events, dimension, key, spread_by, columns=known)
-    found = F.col("__known").isNotNull()
     if dimension.rows == 0:
-        value = F.lit(True)
-    elif dimension.has_null_key:
-        value = F.when(found, F.lit(False))
+        return events.withColumn(flag, F.lit(True))
+    if dimension.fits_broadcast or events.isStreaming:
+        joined, found = dimension, dimension.distinct_keys
+    else:
+        joined = unknown_keys(events if keys_from is None else keys_from, dimension, key)
+        found = joined.df
+        if joined.rows == 0:
+            return events.withColumn(flag, F.when(key.isNotNull(), F.lit(False)))
+    marked = left_lookup(events, joined, key, spread_by, columns=found.withColumn("__found", F.lit(True)))
+    is_found = F.col("__found").isNotNull()
+    unknown = ~is_found if joined is dimension else is_found
+    if dimension.has_null_key:
+        value = F.when(~unknown & key.isNotNull(), F.lit(False))
     else:
-        value = F.when(key.isNotNull(), ~found)
-    return joined.withColumn(flag, value).drop("__known")
+        value = F.when(key.isNotNull(), unknown)
+    return marked.withColumn(flag, value).drop("__found")
 
 
 def without_parent(child: DataFrame, key: str, parent: Dimension) -> DataFrame:

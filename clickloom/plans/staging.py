@@ -52,7 +52,9 @@ def validate_events(events: DataFrame, products: Dimension, users: Dimension) ->
     )
     # Guests need no registration: without a key they take no part in the join.
     registered = F.when(F.col("user_id") != GUEST_USER, F.col("user_id"))
-    flagged = with_unknown_flag(flagged, users, registered, "user_unknown", spread_by="event_id")
+    flagged = with_unknown_flag(
+        flagged, users, registered, "user_unknown", spread_by="event_id", keys_from=events
+    )
     reason = reject_reason(
         F.col("event_type"),
         F.col("product_id"),

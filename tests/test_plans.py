@@ -31,7 +31,8 @@ def raw(make_raw):
         '{"event_id":"1","event_timestamp":1764000000,"event_type":"checkout","user_id":"u",'
         '"product_id":"p","quantity":1,"platform":"web"}'
     )
-    return materialize(make_raw(*[message] * 50), "raw")
+    strange = message.replace('"u"', '"nobody"'), message.replace('"p"', '"nothing"')
+    return materialize(make_raw(*[message] * 50, *strange), "raw")
 
 
 @pytest.fixture
@@ -95,6 +96,32 @@ def test_hot_partitions_of_shuffled_lookups_can_be_split(raw, dims, sort_merge):
         assert "HashAggregate" not in shape and "SortAggregate" not in shape
 
 
+def test_large_dimension_with_few_unknown_keys_leaves_events_in_place(spark, raw, sort_merge):
+    users = spark.range(100).selectExpr("concat('user-', id) as user_id", "'FR' as country")
+    products = spark.range(100).selectExpr("concat('prod-', id) as product_id")
+    large = {"max_broadcast_bytes": 1000}
+    judged = validate_events(
+        parse_events(raw), measure(products, "product_id", **large), measure(users, "user_id", **large)
+    )
+    text = plan(judged)
+    assert "hashpartitioning" not in text and text.count("BroadcastHashJoin LeftOuter") == 2
+    assert {r["reject_reason"] for r in judged.collect()} == {"unknown_product"}
+
+
+def test_nothing_unknown_needs_no_join(spark, make_raw, sort_merge):
+    good = make_raw(
+        '{"event_id":"1","event_timestamp":1764000000,"event_type":"checkout","user_id":"u","product_id":"p"}'
+    )
+    products = spark.createDataFrame([("p",)], "product_id string")
+    users = spark.createDataFrame([("u",)], "user_id string")
+    large = {"max_broadcast_bytes": 0}
+    judged = validate_events(
+        parse_events(good), measure(products, "product_id", **large), measure(users, "user_id", **large)
+    )
+    assert "Join" not in plan(judged)
+    assert judged.first()["is_valid_record"]
+
+
 def test_small_dimensions_leave_one_shuffle_of_events(raw, dims):
     if dims[0] == "small":
         exchanges = re.findall(r"hashpartitioning\((\w+)#", plan(pipeline(raw, dims)))

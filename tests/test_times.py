@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import at
@@ -60,3 +60,22 @@ def test_lake_date_is_local(spark):
     )
     days = [r["d"] for r in loaded.select(ingest_date(F.col("t").cast("timestamp")).alias("d")).collect()]
     assert days == [date(2025, 1, 1), date(2025, 1, 2), date(2025, 7, 2)]
+
+
+def test_random_times_against_python(spark):
+    import random
+
+    rng = random.Random(7)
+    times = [
+        datetime(1970, 1, 1) + timedelta(microseconds=rng.randrange(-(10**15), 4 * 10**15)) for _ in range(300)
+    ]
+    pairs = list(zip(times, times[1:]))
+    frame = spark.createDataFrame(pairs, "a timestamp_ntz, b timestamp_ntz")
+    got = frame.select(
+        "a", "b", crossed_minutes(F.col("a"), F.col("b")).alias("m"), crossed_seconds(F.col("a"), F.col("b")).alias("s")
+    )
+    for row in got.collect():
+        a, b = row["a"], row["b"]
+        whole = (b.replace(microsecond=0) - a.replace(microsecond=0)).total_seconds()
+        minutes = (b.replace(second=0, microsecond=0) - a.replace(second=0, microsecond=0)).total_seconds() / 60
+        assert (row["m"], row["s"]) == (minutes, whole)

@@ -112,3 +112,41 @@ def test_unchecked_columns_do_not_open_versions(spark):
     one = first_snapshot(load(spark, a=("a", "c", "1")), "product_id", ts("2025-01-01"))
     two = apply_snapshot(one, load(spark, a=("b", "c", "1")), "product_id", ["price"], ts("2025-02-01"))
     assert two.count() == 1
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_loads_against_a_plain_model(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    history, model, loads = None, {}, []
+    for day in range(1, 5):
+        products = {
+            f"p{i}": (rng.choice(["a", "b"]), rng.choice(["c", None]), str(rng.randrange(1, 3)))
+            for i in range(8)
+            if rng.random() < 0.8
+        }
+        loads.append(products)
+        stamp = datetime(2025, 1, day)
+        frame, at_column = load(spark, **products), ts(f"2025-01-0{day}")
+        if history is None:
+            history = first_snapshot(frame, "product_id", at_column)
+        else:
+            history = apply_snapshot(history, frame, "product_id", CHECK, at_column)
+        # The model: a list of [attributes, from, to] per key.
+        for key, attributes in products.items():
+            versions = model.setdefault(key, [])
+            if not versions or versions[-1][0] != attributes:
+                if versions:
+                    versions[-1][2] = stamp
+                versions.append([attributes, stamp, None])
+    rows = {
+        (r["product_id"], r["product_name"], r["category"], str(int(r["price"])), r["valid_from"], r["valid_to"])
+        for r in history.collect()
+    }
+    want = {(k, *a, start, end) for k, versions in model.items() for a, start, end in versions}
+    assert rows == want and history.count() == len(want)
+    # What a load listed is what was valid at its time.
+    for day, products in enumerate(loads, start=1):
+        valid = {r["product_id"]: r for r in versions_at(history, ts(f"2025-01-0{day}")).collect()}
+        assert all((valid[k]["product_name"], valid[k]["category"]) == a[:2] for k, a in products.items())
