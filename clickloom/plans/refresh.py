@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import quality
 from clickloom.operators.asof import price_asof
-from clickloom.operators.lookup import Dimension, measure
+from clickloom.operators.lookup import MAX_BROADCAST_BYTES, Dimension, measure
 from clickloom.operators.scd2 import apply_snapshot, first_snapshot
 from clickloom.operators.sessions import session_minutes, sessionize
 from clickloom.plans.marts import fact_sessions
@@ -48,6 +48,8 @@ class RefreshConfig:
     closed_validity: bool = False
     # Size of the raw table; gives the shuffles as many partitions as they need.
     raw_bytes: int | None = None
+    # Largest dimension to broadcast; raise it with the memory of the executors.
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES
 
     def table(self, name: str) -> str:
         return f"{self.warehouse}/run={self.run_id}/{name}"
@@ -199,9 +201,10 @@ def _build(
         product_history(spark, config, products, previous), config.table("product_versions")
     )
 
-    product_keys = measure(products, PRODUCT_KEY, columns=[])
-    user_dim = measure(users, "user_id", columns=["country"])
-    prices = measure(versions, PRODUCT_KEY, columns=["price", "valid_from", "valid_to"])
+    bound = config.max_broadcast_bytes
+    product_keys = measure(products, PRODUCT_KEY, [], bound)
+    user_dim = measure(users, "user_id", ["country"], bound)
+    prices = measure(versions, PRODUCT_KEY, ["price", "valid_from", "valid_to"], bound)
 
     parsed = parse_events(raw, config.min_event_ts)
     validated = write_table(

@@ -86,6 +86,13 @@ def test_users_missing_from_the_dimension_stop_the_run(spark, job, make_raw):
         job.run("1", raw=guests, users=job.users.where("user_id <> 'guest'"))
 
 
+def test_dimensions_too_large_to_broadcast_give_the_same_tables(spark, job):
+    want = {tuple(r) for r in job.run("1").collect()}
+    quarantine = {tuple(r) for r in job.read("quarantine").collect()}
+    assert {tuple(r) for r in job.run("2", max_broadcast_bytes=0).collect()} == want
+    assert {tuple(r) for r in job.read("quarantine").collect()} == quarantine
+
+
 def test_gap_and_cutoff_are_parameters(spark, job):
     assert job.run("1", gap_minutes=60).count() == 1
     assert job.read("sessionized").select("session_id").distinct().count() == 1
