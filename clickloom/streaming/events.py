@@ -21,10 +21,22 @@ def stream_events(raw: DataFrame, min_event_ts: str | None = DEFAULT_MIN_EVENT_T
     return parse_events(raw, min_event_ts).withColumn("event_at", F.col("event_at_ts").cast("timestamp"))
 
 
-def first_copies(events: DataFrame, lateness: str = "1 hour", time: str = "event_at") -> DataFrame:
-    """The first copy of each event, remembered for ``lateness``."""
-    timed = events.where(F.col(time).isNotNull())
-    return timed.withWatermark(time, lateness).dropDuplicatesWithinWatermark(["event_id"])
+def first_copies(
+    events: DataFrame, lateness: str = "1 hour", time: str = "event_at", spread: int = 16
+) -> DataFrame:
+    """The first copy of each event, remembered for ``lateness``.
+
+    Copies are thinned out per id and one of ``spread`` slots first, so that an id with very many of
+    them does not meet in one task: at most ``spread`` of its copies reach the second step.
+    """
+    slot = F.pmod(F.xxhash64("metadata_filename", "metadata_file_row_number"), F.lit(spread))
+    timed = events.where(F.col(time).isNotNull()).withColumn("__slot", slot)
+    return (
+        timed.withWatermark(time, lateness)
+        .dropDuplicatesWithinWatermark(["event_id", "__slot"])
+        .dropDuplicatesWithinWatermark(["event_id"])
+        .drop("__slot")
+    )
 
 
 def route_events(

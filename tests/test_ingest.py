@@ -139,6 +139,17 @@ def test_streaming_dedup_keeps_one_copy(spark, folder):
     assert sorted(r["event_id"] for r in read_table(spark, folder.out).collect()) == ["1", "2"]
 
 
+def test_streaming_dedup_remembers_copies_across_restarts(spark, folder):
+    folder.put("a", *[message("hot", minute=m % 3) for m in range(100)], message("1"))
+    for name, new in (("b", "2"), ("c", "3")):
+        stream = first_copies(raw_stream(spark, folder)).select("event_id")
+        writer = stream.writeStream.format("parquet").option("path", folder.out)
+        writer = writer.option("checkpointLocation", folder.out_offsets).trigger(availableNow=True)
+        writer.start().awaitTermination()
+        folder.put(name, message("hot", minute=4), message("1", minute=5), message(new, minute=6))
+    assert sorted(r["event_id"] for r in read_table(spark, folder.out).collect()) == ["1", "2", "hot"]
+
+
 def test_streaming_sessions_are_the_batch_sessions(spark, folder):
     minutes = [0, 5, 36, 66, 97, 127, 200]
     folder.put("a", *[message(str(i), minute=m, user_id="u") for i, m in enumerate(minutes)])
