@@ -27,15 +27,13 @@ from clickloom.schemas import (
     SESSION_GAP_MINUTES,
     VALIDATED_SCHEMA,
 )
-from clickloom.session import shuffle_partitions
+from clickloom.session import sizing
 from clickloom.sources.tables import read_table, write_table
 
 # The key and the compared attributes of the product history.
 PRODUCT_KEY = "product_id"
 PRODUCT_CHECK = ["category", "product_name", "price"]
 
-_SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-
 
 @dataclass(frozen=True)
 class RefreshConfig:
@@ -46,7 +44,7 @@ class RefreshConfig:
     min_event_ts: str | None = DEFAULT_MIN_EVENT_TS
     gap_minutes: int = SESSION_GAP_MINUTES
     closed_validity: bool = False
-    # Size of the raw table; gives the shuffles as many partitions as they need.
+    # Size of the raw table; sizes scans and shuffles.
     raw_bytes: int | None = None
     # Largest dimension to broadcast; raise it with the memory of the executors.
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES
@@ -55,16 +53,19 @@ class RefreshConfig:
         return f"{self.warehouse}/run={self.run_id}/{name}"
 
 
-def published_run(spark: SparkSession, warehouse: str) -> str | None:
-    """Id of the last published run, None before the first."""
+def published_runs(spark: SparkSession, warehouse: str) -> DataFrame:
+    """(run_id, published_at), one row per published run."""
     try:
-        runs = read_table(spark, f"{warehouse}/published")
+        return read_table(spark, f"{warehouse}/published")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return spark.createDataFrame([], "run_id string, published_at timestamp")
         raise
-    # One row per published run.
-    return runs.agg(F.max_by("run_id", "published_at")).first()[0]
+
+
+def published_run(spark: SparkSession, warehouse: str) -> str | None:
+    """Id of the last published run, None before the first."""
+    return published_runs(spark, warehouse).agg(F.max_by("run_id", "published_at")).first()[0]
 
 
 def read_published(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
@@ -179,13 +180,15 @@ def refresh(
     The raw messages are read once, and the quarantine is a partition of the validated records. The
     session-event relation is a view: it is checked here on its own columns and computed when read.
     """
-    partitions = spark.conf.get(_SHUFFLE_PARTITIONS)
-    if config.raw_bytes is not None:
-        spark.conf.set(_SHUFFLE_PARTITIONS, str(shuffle_partitions(config.raw_bytes)))
+    settings = {} if config.raw_bytes is None else sizing(config.raw_bytes)
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         facts = _build(spark, config, raw, products, users)
     finally:
-        spark.conf.set(_SHUFFLE_PARTITIONS, partitions)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     publish(spark, config)
     return facts
 
@@ -193,6 +196,8 @@ def refresh(
 def _build(
     spark: SparkSession, config: RefreshConfig, raw: DataFrame, products: DataFrame, users: DataFrame
 ) -> DataFrame:
+    if not published_runs(spark, config.warehouse).where(F.col("run_id") == config.run_id).isEmpty():
+        raise ValueError(f"run {config.run_id} is published already; readers and later runs rely on it")
     previous = published_run(spark, config.warehouse)
 
     products = write_table(products, config.table("products"))

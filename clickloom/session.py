@@ -24,13 +24,22 @@ RUNTIME_CONF = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
-# A shuffle partition of this size sorts in memory on an ordinary executor.
-SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-
-
-def shuffle_partitions(input_bytes: int) -> int:
-    """Shuffle partitions for a job over ``input_bytes``; adaptive execution merges what is too many."""
-    return max(8, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+_MIB = 1024 * 1024
+_SHUFFLE_PARTITION_BYTES = 256 * _MIB
+# The blocks of a shuffle are map tasks times partitions: beyond some 25 TB partitions grow instead
+# of becoming more (1 GiB each at 100 TB; sorts and aggregates spill what does not fit).
+_MAX_SHUFFLE_PARTITIONS = 100_000
+_LARGE_INPUT_BYTES = 10 * 1024 * 1024 * _MIB
+
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Runtime settings for a job over ``input_bytes``; adaptive execution merges what turns out small."""
+    partitions = -(-input_bytes // _SHUFFLE_PARTITION_BYTES)
+    scan_bytes = 512 * _MIB if input_bytes > _LARGE_INPUT_BYTES else 128 * _MIB
+    return {
+        "spark.sql.shuffle.partitions": str(min(max(8, partitions), _MAX_SHUFFLE_PARTITIONS)),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
+    }
 
 
 def configure(spark: SparkSession) -> SparkSession:

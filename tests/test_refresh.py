@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from clickloom.operators.quality import QualityError
 from clickloom.plans.refresh import RefreshConfig, published_run, read_published, refresh, register_views
 from clickloom.schemas import PRODUCT_SCHEMA, USER_SCHEMA
+from clickloom.session import sizing
 
 
 def event(event_id, minute, **fields):
@@ -75,9 +76,12 @@ def test_failed_check_leaves_the_published_run(spark, job, make_raw):
         job.run("2", raw=strange)
     assert published_run(spark, job.warehouse) == "1"
     assert job.read("fact_sessions").count() == 2
-    # The run can be repeated under its number once its input is right.
+    # The run can be repeated under its number once its input is right, but not after publication.
     job.run("2")
     assert published_run(spark, job.warehouse) == "2"
+    with pytest.raises(ValueError, match="published already"):
+        job.run("2")
+    assert job.read("product_versions").count() == 1
 
 
 def test_users_missing_from_the_dimension_stop_the_run(spark, job, make_raw):
@@ -114,6 +118,18 @@ def test_nothing_to_do(spark, job, make_raw):
     assert job.read("quarantine").count() == 0
 
 
+def test_sizing():
+    assert sizing(1) == {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.files.maxPartitionBytes": str(128 * 2**20),
+    }
+    assert sizing(2**40)["spark.sql.shuffle.partitions"] == "4096"
+    assert sizing(100 * 2**40) == {
+        "spark.sql.shuffle.partitions": "100000",
+        "spark.sql.files.maxPartitionBytes": str(512 * 2**20),
+    }
+
+
 def test_published_tables_in_sql(spark, job):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     job.run("1", raw_bytes=3_000_000_000)
