@@ -177,7 +177,7 @@ def refresh(
     """Run all steps in order, stop at the first failure, and return the published fact table.
 
     Every table is written once and read by the later steps, which scan only the columns they need.
-    The raw messages are read once, and the quarantine is a partition of the validated records. The
+    The raw messages are typed once, and the quarantine is a partition of the validated records. The
     session-event relation is a view: it is checked here on its own columns and computed when read.
     """
     settings = {} if config.raw_bytes is None else sizing(config.raw_bytes)

@@ -1,0 +1,44 @@
+import json
+
+from clickloom.job import main
+from clickloom.plans.refresh import read_published
+
+
+def test_messages_to_published_facts(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    events = [
+        {
+            "event_id": str(i),
+            "event_timestamp": 1764600000 + 60 * i,
+            "event_type": "checkout",
+            "product_id": "prod-1",
+            "user_id": None if i % 2 else "user-1",
+            "quantity": 1,
+        }
+        for i in range(4)
+    ]
+    (tmp_path / "in" / "a").write_text("\n".join(json.dumps(e) for e in events) + "\n{bad\n")
+    (tmp_path / "products.csv").write_text("product_id,product_name,category,price\nprod-1,Lamp,Home,2.50\n")
+    (tmp_path / "users.csv").write_text("user_id,registration_date,country\nuser-1,2025-01-15,FR\nguest,,\n")
+
+    def run(command, **places):
+        options = [f"--{k.replace('_', '-')}={v}" for k, v in places.items()]
+        main([command, *options, *(["--once"] if command != "refresh" else [])])
+
+    place = {n: str(tmp_path / n) for n in ("in", "lake", "raw", "warehouse", "c1", "c2")}
+    run("land", messages=place["in"], lake=place["lake"], checkpoint=place["c1"])
+    run("autoload", lake=place["lake"], raw=place["raw"], checkpoint=place["c2"])
+    run(
+        "refresh",
+        raw=place["raw"],
+        products=str(tmp_path / "products.csv"),
+        users=str(tmp_path / "users.csv"),
+        warehouse=place["warehouse"],
+        run_id="1",
+        loaded_at="2025-11-01 00:00:00",
+    )
+    facts = read_published(spark, place["warehouse"], "fact_sessions").collect()
+    assert {(r["session_id"], r["user_country"], str(r["total_session_revenue"])) for r in facts} == {
+        ("user-1-1", "FR", "5.00"),
+        ("guest-1", None, "5.00"),
+    }
