@@ -93,6 +93,17 @@ PLAIN_TEXT_FIELDS = [
     "utm_campaign",
 ]
 
+# What the session facts are computed from.
+METRIC_COLUMNS = [
+    "event_id",
+    "user_id",
+    "event_at_ts",
+    "event_type",
+    "product_id",
+    "value",
+    "utm_source",
+]
+
 SESSION_EVENT_COLUMNS = [
     "event_id",
     "event_type",

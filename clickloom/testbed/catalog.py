@@ -30,7 +30,14 @@ from clickloom.plans.refresh import (
     refresh,
     table_checks,
 )
-from clickloom.schemas import EVENT_TYPES, PAGE_VIEW, PLAIN_TEXT_FIELDS, VALIDATED_SCHEMA
+from clickloom.schemas import (
+    EVENT_TYPES,
+    METRIC_COLUMNS,
+    PAGE_VIEW,
+    PLAIN_TEXT_FIELDS,
+    SESSION_EVENT_COLUMNS,
+    VALIDATED_SCHEMA,
+)
 from clickloom.sources.dimensions import load_dimension, read_csv
 from clickloom.sources.messages import DEAD_LETTER, EVENT, parse_messages, read_text, stream_text
 from clickloom.sources.raw import read_lake, read_raw, stream_lake
@@ -39,6 +46,8 @@ from clickloom.streaming import events as live
 from clickloom.streaming.landing import autoload, batch_metrics, land_messages, start
 from clickloom.testbed import recipe
 
+INSTANT_COLUMNS = ["event_id", "user_id", "event_at_ts"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -216,7 +225,6 @@ def run_price_asof_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-
 @query("scd2_snapshot")
 def run_scd2_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product history after two loads: changed, unchanged, new and no longer listed products."""
@@ -255,36 +263,36 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("event_gaps")
 def run_event_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Previous event, gap in minutes and session-start flag per event."""
-    return event_gaps(materialize(valid(spark, sf_dir).select("event_id", "user_id", "event_at_ts"), "valid"))
-
+    return event_gaps(materialize(valid(spark, sf_dir).select(*INSTANT_COLUMNS), "valid"))
 
 
 @query("session_index")
 def run_session_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running session number per event."""
-    events = materialize(valid(spark, sf_dir).select("event_id", "user_id", "event_at_ts"), "valid")
-    return with_session_index(events)
+    return with_session_index(materialize(valid(spark, sf_dir).select(*INSTANT_COLUMNS), "valid"))
 
 
 @query("sessionize")
 def run_sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priced events with their session."""
-    return sessionize(materialize(priced(spark, sf_dir), "priced"))
-
+    columns = [name for name in SESSION_EVENT_COLUMNS if name != "session_id"]
+    return sessionize(materialize(priced(spark, sf_dir).select(*columns), "priced"))
 
 
 @query("sessionize_wide_gap")
 def run_sessionize_wide_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions with a gap of six hours."""
-    events = materialize(priced(spark, sf_dir), "priced")
-    return sessionize(events, gap_minutes=360).select("event_id", "session_id")
+    events = materialize(valid(spark, sf_dir).select(*INSTANT_COLUMNS), "valid")
+    return with_session_index(events, gap_minutes=360).select(
+        "event_id", session_id().alias("session_id")
+    )
 
 
 @query("fact_sessions")
 def run_fact_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The session fact table."""
-    return fact_sessions(materialize(priced(spark, sf_dir), "priced"), user_dim(spark, sf_dir))
-
+    events = materialize(priced(spark, sf_dir).select(*METRIC_COLUMNS), "priced")
+    return fact_sessions(events, user_dim(spark, sf_dir))
 
 
 @query("session_bounds")
@@ -319,7 +327,8 @@ def run_session_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("session_products_viewed")
 def run_session_products_viewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct products viewed, for sessions with a view."""
-    views = products_viewed(materialize(priced(spark, sf_dir), "priced"))
+    events = valid(spark, sf_dir).select("user_id", "event_at_ts", "event_type", "product_id")
+    views = products_viewed(materialize(events, "valid"))
     return views.select(session_id().alias("session_id"), "distinct_products_viewed")
 
 
@@ -331,7 +340,6 @@ def run_enrich_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-
 # --- dimensions and set operations ---------------------------------------------------------------
 
 
