@@ -364,6 +364,16 @@ def _through_csv(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 @query("union_all")
 def run_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event ids and the ids of guests' events with the user left null, without removing doubles."""
+    return _united(spark, sf_dir)
+
+
+@query("union_all_equal")
+def run_union_all_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An equality filter over that relation; rows without a user do not pass."""
+    return _united(spark, sf_dir).where(F.col("user_id") == "guest")
+
+
+def _united(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = parsed(spark, sf_dir)
     named = events.select("event_id", "user_id")
     guests = events.where(F.col("user_id") == "guest").select(

@@ -304,6 +304,9 @@ ORACLES: dict[str, str] = {
     "dim_users": f"{_with(_DIMS)} select * from users",
     "union_all": f"""{_PARSED} select event_id, user_id from parsed
         union all select event_id, null from parsed where user_id = 'guest'""",
+    "union_all_equal": f"""{_PARSED} select event_id, user_id from (
+        select event_id, user_id from parsed
+        union all select event_id, null from parsed where user_id = 'guest') where user_id = 'guest'""",
     "dq_unique": f"""{_PARSED} select event_id, count(*) as n_records from parsed
         group by event_id having count(*) > 1""",
     "dq_not_null": f"""{_PARSED} select metadata_file_row_number, event_id, event_type from parsed
