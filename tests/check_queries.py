@@ -37,7 +37,7 @@ def differences(spark, con, name: str, run, sql: str, sf_dir: str) -> str | None
     df = run(spark, sf_dir)
     table = df.toArrow()
     got = rows(table.column_names, zip(*[c.to_pylist() for c in table.columns]))
-    answer = con.execute(sql).to_arrow_table()
+    answer = con.sql(sql).to_arrow_table()
     want = rows(answer.column_names, zip(*[c.to_pylist() for c in answer.columns]))
     if sorted(table.column_names) != sorted(answer.column_names):
         return f"columns {sorted(table.column_names)} / {sorted(answer.column_names)}"
