@@ -8,12 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe
+from clickloom.llm import bpe, rules
 from clickloom.llm.common import table
+from clickloom.sources.tables import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels outside the held-out fifth."""
+    labels = table(spark, sf_dir, "labels")
+    return labels.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of the ids of every text, and the digest of what they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,8 +33,19 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every text, and whether it passes the base rules and the learned list."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    statistics = materialize(rules.with_statistics(docs).drop("text"), "statistics")
+    judged, _ = rules.judge(statistics, training_labels(spark, sf_dir))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op5_byte_bpe": op5_byte_bpe,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
