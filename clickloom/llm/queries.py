@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, rules
+from clickloom.llm import bpe, rules, warc
 from clickloom.llm.common import table
-from clickloom.sources.tables import materialize
+from clickloom.sources.tables import fresh_path, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,43 @@ def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
 
 
+def op1_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back: payload size and digest, record type, reference.
+
+    A revisit's payload is its response's: sizes and digests are looked up by the response's identifier.
+    A record that could not be read whole has null size and digest.
+    """
+    path = fresh_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    read = warc.read_archives(spark, path).select(
+        F.col("page").cast("long").alias("page_id"),
+        "record_id",
+        "record_type",
+        "refers_to_id",
+        F.octet_length("payload").cast("long").alias("bytes"),
+        F.sha1("payload").alias("digest"),
+        "status",
+    )
+    read = materialize(read, "warc-read")
+    responses = read.where(F.col("record_type") == "response").select(
+        F.col("record_id").alias("refers_to_id"),
+        F.col("page_id").alias("refers_to"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+    )
+    fields = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "status"]
+    revisits = read.where(F.col("record_type") == "revisit").join(responses, "refers_to_id", "left").select(*fields)
+    own = read.where(F.col("record_type") == "response").select(
+        "page_id",
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        F.lit(None).cast("long").alias("refers_to"),
+        "status",
+    )
+    return own.unionByName(revisits)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of the ids of every text, and the digest of what they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -44,8 +81,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc_roundtrip": op1_warc_roundtrip,
     "op5_byte_bpe": op5_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_warc_roundtrip": """
+        with sized as (
+            select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
+            from pages
+        ),
+        numbered as (
+            select *, max(page_id) over (partition by payload_digest, payload_bytes) as last_id from sized
+        )
+        select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+            case when payload_bytes >= 1000 and page_id <> last_id then 'revisit' else 'response' end as record_type,
+            case when payload_bytes >= 1000 and page_id <> last_id then last_id end as refers_to, 'ok' as status
+        from numbered
+    """,
+}
