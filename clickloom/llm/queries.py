@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, rules, warc
+from clickloom.llm import bpe, rules, topk, warc
 from clickloom.llm.common import table
 from clickloom.sources.tables import fresh_path, materialize
 
@@ -58,6 +58,11 @@ def op1_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.unionByName(revisits)
 
 
+def op3_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of all other vectors for every fiftieth one."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of the ids of every text, and the digest of what they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -82,6 +87,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc_roundtrip": op1_warc_roundtrip,
+    "op3_pivot_topk": op3_pivot_topk,
     "op5_byte_bpe": op5_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -100,4 +106,20 @@ ORACLES: dict[str, str] = {
             case when payload_bytes >= 1000 and page_id <> last_id then last_id end as refers_to, 'ok' as status
         from numbered
     """,
+    "op3_pivot_topk": """
+        with vectors as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings
+            where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        pairs as (
+            select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+            from vectors q join vectors c on q.vec_id <> c.vec_id
+            where q.vec_id % 50 = 0
+        ),
+        ranked as (
+            select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from pairs
+        )
+        select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
 }
