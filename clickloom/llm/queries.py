@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, rules, topk, warc
+from clickloom.llm import bpe, gam, linkgraph, rules, topk, warc
 from clickloom.llm.common import table
 from clickloom.sources.tables import fresh_path, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Score from which a document is taken for good.
+QUALITY_THRESHOLD = 0.3
+
+
 def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels outside the held-out fifth."""
     labels = table(spark, sf_dir, "labels")
@@ -63,6 +67,21 @@ def op3_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+#: The rules of the URL query. Fixed values.
+URL_RULES = [
+    linkgraph.parse_rule("org/", "allow"),
+    linkgraph.parse_rule("example.org/es/", "block"),
+    linkgraph.parse_rule("example.org/en/1", "block"),
+    linkgraph.parse_rule("com/fr/", "allow"),
+    linkgraph.parse_rule("com/de/", "block"),
+]
+
+
+def op4_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return linkgraph.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of the ids of every text, and the digest of what they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -75,6 +94,18 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_additive_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text, by a model that has not seen the held-out fifth of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = gam.train(docs, training_labels(spark, sf_dir))
+    return gam.score(docs, model, ["doc_id"]).select(
+        "doc_id",
+        (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every text, and whether it passes the base rules and the learned list."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -88,7 +119,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc_roundtrip": op1_warc_roundtrip,
     "op3_pivot_topk": op3_pivot_topk,
+    "op4_link_graph": op4_link_graph,
     "op5_byte_bpe": op5_byte_bpe,
+    "op9_additive_model": op9_additive_model,
     "op10_quality_rules": op10_quality_rules,
 }
 
