@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, gam, linkgraph, rules, topk, warc
+from clickloom.llm import bpe, gam, linkgraph, packing, rules, topk, warc
 from clickloom.llm.common import table
 from clickloom.sources.tables import fresh_path, materialize
 
@@ -94,6 +94,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' pieces and their places in sequences of 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_additive_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text, by a model that has not seen the held-out fifth of the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -121,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op3_pivot_topk": op3_pivot_topk,
     "op4_link_graph": op4_link_graph,
     "op5_byte_bpe": op5_byte_bpe,
+    "op8_bin_completion": op8_bin_completion,
     "op9_additive_model": op9_additive_model,
     "op10_quality_rules": op10_quality_rules,
 }
