@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, gam, linkgraph, packing, rules, topk, warc
+from clickloom.llm import bpe, feistel, gam, linkgraph, packing, rules, topk, warc
 from clickloom.llm.common import table
 from clickloom.sources.tables import fresh_path, materialize
 
@@ -67,6 +67,16 @@ def op3_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+#: Key of the pseudonyms in the queries; a real run takes its own from a secret store.
+PSEUDONYM_KEY = "clickloom"
+
+
+def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its personal numbers and dates replaced, and how many there were."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return feistel.pseudonymise(docs, PSEUDONYM_KEY, replaced="n_replaced")
+
+
 #: The rules of the URL query. Fixed values.
 URL_RULES = [
     linkgraph.parse_rule("org/", "allow"),
@@ -123,6 +133,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc_roundtrip": op1_warc_roundtrip,
+    "op2_feistel_pseudonyms": op2_feistel_pseudonyms,
     "op3_pivot_topk": op3_pivot_topk,
     "op4_link_graph": op4_link_graph,
     "op5_byte_bpe": op5_byte_bpe,
