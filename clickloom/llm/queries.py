@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, feistel, gam, linkgraph, packing, rules, topk, warc
+from clickloom.llm import bpe, feistel, gam, linkgraph, minhash, packing, rules, topk, warc
 from clickloom.llm.common import table
 from clickloom.sources.tables import fresh_path, materialize
 
@@ -104,6 +104,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_fast_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents at a similarity of 0.85."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op8_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' pieces and their places in sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -137,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "op3_pivot_topk": op3_pivot_topk,
     "op4_link_graph": op4_link_graph,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_fast_sketch_dedup": op6_fast_sketch_dedup,
     "op8_bin_completion": op8_bin_completion,
     "op9_additive_model": op9_additive_model,
     "op10_quality_rules": op10_quality_rules,
@@ -156,6 +162,37 @@ ORACLES: dict[str, str] = {
             case when payload_bytes >= 1000 and page_id <> last_id then last_id end as refers_to, 'ok' as status
         from numbered
     """,
+    "op6_fast_sketch_dedup": r"""
+        with recursive tokens as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') as words
+            from documents
+        ),
+        shingles as (
+            select distinct doc_id, array_to_string(words[i:i + 4], ' ') as shingle
+            from (select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i from tokens where len(words) > 0)
+        ),
+        sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+        common as (
+            select x.doc_id as a, y.doc_id as b, count(*) as shared
+            from shingles x join shingles y on x.shingle = y.shingle and x.doc_id < y.doc_id
+            group by all
+        ),
+        links as (
+            select a, b from common join sizes s on s.doc_id = a join sizes t on t.doc_id = b
+            where 100 * shared >= 85 * (s.n + t.n - shared)
+        ),
+        either as (select a, b from links union all select b, a from links),
+        reach as (
+            select doc_id as a, doc_id as b from documents
+            union
+            select reach.a, either.b from reach join either on reach.b = either.a
+        ),
+        groups as (select a as doc_id, min(b) as component_id from reach group by a)
+        select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+        from groups left join sizes using (doc_id)
+    """,
     "op3_pivot_topk": """
         with vectors as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
