@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, feistel, gam, linkgraph, minhash, packing, rules, topk, warc
+from clickloom.llm import bpe, feistel, gam, licences, linkgraph, minhash, packing, rules, topk, warc
 from clickloom.llm.common import table
 from clickloom.sources.tables import fresh_path, materialize
 
@@ -109,6 +109,15 @@ def op6_fast_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, as a file below its source: a directory for each digit of its id but the last two."""
+    number = F.col("doc_id").cast("string")
+    folders = F.when(F.length(number) > 2, F.regexp_replace(F.expr("left(doc_id, length(doc_id) - 2)"), "([0-9])", "$1/")).otherwise("")
+    path = F.concat(F.coalesce("source", F.lit("unknown")), F.lit("/"), folders, number, F.lit(".txt"))
+    files = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return licences.scan(files, keep=("doc_id",))
+
+
 def op8_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' pieces and their places in sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -143,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "op4_link_graph": op4_link_graph,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_fast_sketch_dedup": op6_fast_sketch_dedup,
+    "op7_licence_scan": op7_licence_scan,
     "op8_bin_completion": op8_bin_completion,
     "op9_additive_model": op9_additive_model,
     "op10_quality_rules": op10_quality_rules,
