@@ -242,3 +242,10 @@ def judge(statistics: DataFrame, labels: DataFrame, key: str = "doc_id") -> tupl
     """``statistics`` with base_failed and kept, by rules learned from it; and the rules."""
     rules = learn(statistics, labels, key)
     return statistics.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & verdict(rules)}), rules
+
+
+def kept_rows(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass the base rules and ``rules``, with their own columns alone."""
+    judged = with_statistics(docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text")), "_text")
+    # A generated column holds the filter above the statistics; pushed below them it would compute each anew.
+    return judged.select("_row", F.explode(F.array(~base_failed() & verdict(rules))).alias("_kept")).where("_kept").select("_row.*")
