@@ -1,0 +1,93 @@
+"""URL rules and trust propagation against a plain version."""
+
+import math
+import re
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from clickloom.llm import linkgraph
+from clickloom.llm.queries import QUERIES, URL_RULES
+
+
+def split_url(url):
+    m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    return ("".join(c.lower() if c.isascii() else c for c in m[1]), m[2]) if m else ("", "")
+
+
+def match(host, path, rules):
+    fits = [(len(n + p), n + p, v) for v, n, p in rules if (host == n or host.endswith("." + n)) and path.startswith(p)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+def plain(rows, rules, rounds=8, damping=0.85):
+    placed = [(k, *split_url(u), h) for k, u, h in rows]
+    hosts = {p[1] for p in placed if p[1]}
+    links, seeds = Counter(), [Counter(), Counter()]
+    for _, host, path, html in placed:
+        rule, verdict = match(host, path, rules)
+        if rule:
+            seeds[verdict == "block"][host] += 1
+        names = {m.lower() for m in re.findall(r"[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9][A-Za-z0-9-]*)+", html or "")}
+        for name in names:
+            if host and name != host and name in hosts:
+                links[host, name] += 1
+    scores = []
+    for kind in (0, 1):
+        edges = [(a, b, n) if kind == 0 else (b, a, n) for (a, b), n in links.items()]
+        out = Counter()
+        for a, _, n in edges:
+            out[a] += n
+        total = sum(seeds[kind].values())
+        score = {h: math.floor(float(linkgraph.MASS) * n / total) for h, n in seeds[kind].items()}
+        base = {h: math.floor((1.0 - damping) * s) for h, s in score.items()}
+        for _ in range(rounds):
+            new = defaultdict(int, base)
+            for a, b, n in edges:
+                if a in score:
+                    new[b] += math.floor(score[a] * (damping * n / out[a]))
+            score = dict(new)
+        scores.append(score)
+    result = []
+    for key, host, path, _ in placed:
+        rule, verdict = match(host, path, rules)
+        bad = host and scores[1].get(host, 0) > scores[0].get(host, 0)
+        result.append((key, host, path, rule, verdict or ("block" if bad else "allow")))
+    return sorted(result, key=str)
+
+
+def test_small_graph(spark):
+    rules = [linkgraph.parse_rule("good.org/", "allow"), linkgraph.parse_rule("bad.com/x", "block"), linkgraph.parse_rule("sub.good.org/", "block")]
+    rows = [
+        (1, "http://good.org/a?b#c", '<a href="http://near.net/">n</a> www.far.net'),
+        (2, "http://near.net", "see http://far.net/x and http://unknown.net/"),
+        (3, "http://far.net?x", None),
+        (4, "HTTP://Spam.NET/ü", "http://bad.com/x/1 http://bad.com/x/2"),
+        (5, "http://bad.com/x", "nothing"),
+        (6, "http://bad.com/y", "http://near.net"),
+        (7, None, "http://far.net"),
+        (8, "no scheme", "http://far.net"),
+        (9, "http://a.sub.good.org/", "x"),
+        (10, "http://notgood.org/", "x"),
+        (1, "http://good.org/a?b#c", '<a href="http://near.net/">n</a> www.far.net'),
+        (11, "a://b://c/d", ""),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({n: F.lit("x") for n in ("host", "src", "kind", "verdict")})
+    got = sorted((tuple(r) for r in linkgraph.judge(pages, rules).collect()), key=str)
+    assert got == plain(rows, rules)
+    verdicts = {r[0]: r[4] for r in got}
+    assert verdicts[4] == "block" and verdicts[2] == "allow" and verdicts[9] == "block" and verdicts[7] == "allow"
+
+
+def test_no_rows_no_rules(spark):
+    schema = "page_id long, url string, html string"
+    assert linkgraph.judge(spark.createDataFrame([], schema), URL_RULES).collect() == []
+    one = spark.createDataFrame([(1, "http://a.b/", "x")], schema)
+    assert [tuple(r) for r in linkgraph.judge(one, []).collect()] == [(1, "a.b", "/", None, "allow")]
+
+
+def test_given_pages(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    got = sorted((tuple(r) for r in QUERIES["op4_link_graph"](spark, sf).collect()), key=str)
+    assert got == plain(rows, URL_RULES)

@@ -1,0 +1,59 @@
+"""Exact top-k against brute force."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.llm import topk
+
+
+def brute(rows, is_query, k, scale=256):
+    vectors = {}
+    for key, v in rows:
+        if key is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        whole = [math.floor(x * scale) for x in v]
+        vectors[key] = min(vectors.get(key, whole), whole)
+    out = []
+    for q, a in vectors.items():
+        if is_query(q):
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in vectors.items() if c != q)
+            out += [(q, i + 1, c, -s) for i, (s, c) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({n: F.lit(1) for n in ("id", "v", "score", "rank", "pivot")})
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.select("query_id", "rank", "vec_id", "score").collect())
+
+
+@pytest.mark.parametrize("spread", [1.0, 0.05])
+def test_against_brute_force(spark, spread):
+    rnd = random.Random(5)
+    centres = [[rnd.gauss(0, 1) for _ in range(12)] for _ in range(5)]
+    rows = [(i, [c + rnd.gauss(0, spread) for c in centres[i * i % 5]]) for i in range(700)]
+    rows += [(1000 + i, list(rows[7][1])) for i in range(300)]  # a third are copies
+    got = topk.top_k(table(spark, rows), F.col("id") % 20 == 0, k=4, pivots=6, sample=50, annulus=16, query_block=20, part_rows=100)
+    assert found(got) == brute(rows, lambda q: q % 20 == 0, 4)
+
+
+def test_odd_rows(spark):
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (0, [0.5, 9.0]), (50, [1.0]), (1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (None, [1.0, 1.0]), (5, []), (6, [-1.0, 0.0]), (7, [0.0, 0.0])]
+    got = topk.top_k(table(spark, rows), F.col("id") % 50 == 0, k=5)
+    filled = [(k, v + [0.0] * (2 - len(v)) if v is not None else v) for k, v in rows]
+    assert found(got) == brute(filled, lambda q: q % 50 == 0, 5)
+
+
+def test_few_none_and_too_large(spark):
+    everything = F.col("id") >= 0
+    assert found(topk.top_k(table(spark, [(1, [1.0])]), everything)) == []
+    assert found(topk.top_k(table(spark, [(1, None)]), everything)) == []
+    assert found(topk.top_k(table(spark, [(1, [1.0]), (2, [1.0])]), F.col("id") > 5)) == []
+    assert found(topk.top_k(table(spark, [(1, [0.0]), (2, [0.0])]), everything)) == [(1, 1, 2, 0), (2, 1, 1, 0)]
+    with pytest.raises(ValueError):
+        topk.top_k(table(spark, [(1, [1e30]), (2, [1.0])]), everything)

@@ -1,0 +1,95 @@
+"""WARC writing, reassembly and chunked decoding."""
+
+import gzip
+import hashlib
+import random
+
+from pyspark.sql import functions as F
+
+from clickloom.llm import warc
+from clickloom.sources.tables import fresh_path
+
+
+def pages(spark, rows):
+    out = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return out.withColumns({"id": F.lit(1), "body": F.lit("clash"), "digest": F.lit(None).cast("string")})
+
+
+def roundtrip(spark, rows, **options):
+    path = fresh_path(spark, "warc-test")
+    warc.write_archives(pages(spark, rows), path, **options)
+    return {int(r["page"]): r for r in warc.read_archives(spark, path).collect()}, path
+
+
+def test_roundtrip_with_segments_and_revisits(spark):
+    rnd = random.Random(3)
+    long = "".join(rnd.choice("aé漢🙂 \r\n") for _ in range(30_000)) + "\r\n\r\nWARC/1.1\r\n"
+    same = "x" * 1000
+    rows = [(1, "http://a/1", same), (2, None, same), (3, "http://a/3\r\nX: y", "x" * 999), (4, "u", "x" * 999), (5, "u", None), (6, "u", ""), (7, "u", long), (None, "u", same), (8, "u", same)]
+    found, path = roundtrip(spark, rows, segment_bytes=700, chunk_bytes=300, file_records=5)
+    assert set(found) == {1, 2, 3, 4, 5, 6, 7, 8}
+    for key, _, html in rows:
+        if key in (None, 1, 2):
+            continue
+        assert found[key]["status"] == "ok" and found[key]["record_type"] == "response"
+        assert bytes(found[key]["payload"]) == (html or "").encode()
+    assert found[1]["record_type"] == found[2]["record_type"] == "revisit"
+    assert found[1]["refers_to_id"] == warc.record_id(8)
+    assert found[1]["payload_digest"] == "sha1:" + hashlib.sha1(same.encode()).hexdigest()
+    sizes = [len(list(warc.parse(r["content"]))) for r in spark.read.format("binaryFile").load(path).collect()]
+    assert max(sizes) <= 5 and sum(sizes) > 80
+
+
+def test_repeated_rows_and_ids(spark):
+    found, _ = roundtrip(spark, [(1, "u", "a"), (1, "u", "a"), (1, "u", "b"), (2, "u", "c")])
+    assert {k: bytes(r["payload"]) for k, r in found.items()} == {1: b"b", 2: b"c"}
+
+
+def test_empty_table(spark):
+    path = fresh_path(spark, "warc-test")
+    warc.write_archives(pages(spark, [(1, "u", "a")]).where("page_id > 1"), path)
+    assert warc.read_archives(spark, path).count() == 0
+
+
+def records(spark, rows):
+    names = ["record_id", "record_type", "origin_id", "number", "total", "block"]
+    given = spark.createDataFrame(rows, "record_id string, record_type string, origin_id string, number string, total string, block binary")
+    others = [n for n in warc._FIELDS if n not in names]
+    return given.withColumns({n: F.lit(None).cast("string") for n in others})
+
+
+def test_broken_segments_are_reported(spark):
+    http = b"HTTP/1.1 200 OK\r\n\r\n"
+    rows = [
+        ("o1", "response", None, "1", None, bytearray(http + b"ab")),
+        ("c", "continuation", "o1", "2", "23", bytearray(b"cd")),
+        ("c", "continuation", "o1", "2", "23", bytearray(b"cd")),  # a copy
+        ("o2", "response", None, "1", None, bytearray(http)),
+        ("d", "continuation", "o2", "3", "99", bytearray(b"cd")),
+        ("o3", "response", None, "1", None, bytearray(http)),
+        ("e", "continuation", "o3", "2", "99", bytearray(b"cd")),
+        ("f", "continuation", "o4", "2", "2", bytearray(b"cd")),
+        ("o5", "response", None, None, None, bytearray(b"no header")),
+        ("o6", "response", None, None, None, bytearray(b"HTTP/1.1 200\r\nTransfer-Encoding: chunked\r\n\r\n5\r\nab")),
+        ("o7", "response", None, None, None, bytearray(http + b"\xff\xfe\x00")),
+    ]
+    found = {r["record_id"]: (r["status"], r["payload"] and bytes(r["payload"])) for r in warc.payloads(warc.reassemble(records(spark, rows))).collect()}
+    assert found["o1"] == ("ok", b"abcd")
+    assert found["o2"][0] == found["o4"][0] == "missing segment"
+    assert found["o3"][0] == "wrong length"
+    assert found["o5"] == ("bad http", None) and found["o6"] == ("bad chunks", None)
+    assert found["o7"] == ("ok", b"\xff\xfe\x00")
+
+
+def test_chunks():
+    assert warc.unchunked(b"4;ext=1\r\nWiki\r\n0\r\nTrailer: x\r\n\r\n") == b"Wiki"
+    for body in (b"", b"a", bytes(range(256)) * 9):
+        assert warc.unchunked(warc.chunked(body, 100)) == body
+    for broken in (b"", b"4\r\nWik", b"zz\r\n", b"4\r\nWiki0\r\n\r\n", b"1\r\na\r\n"):
+        assert warc.unchunked(broken) is None
+
+
+def test_plain_and_folded_headers():
+    record = b"WARC/1.0\r\nWARC-Type: response\r\nX: a\r\n b\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    for content in (record * 2, gzip.compress(record) + gzip.compress(record)):
+        assert [(h["x"], b) for h, b in warc.parse(content)] == [("a b", b"abc")] * 2
