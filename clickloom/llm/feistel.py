@@ -48,7 +48,8 @@ _START, _END = r"(?<![\p{L}\p{N}_.@+-])", r"(?![\p{L}\p{N}_@]|[.-]\p{N})"
 FORMS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "iban": _iban_form(),
-    "nanp": r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}",
+    "nanp": r"(?:\+?1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|\+1[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+    r"|(?:1[ .-])?[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4}",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "iso": r"(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}",
     "dotted": r"[0-9]{1,2}\.[0-9]{1,2}\.(?:19|20)[0-9]{2}",
@@ -144,14 +145,16 @@ def _card(text: Column, key: str) -> Column:
 
 
 def _nanp(text: Column, key: str) -> Column:
-    """Ten digits; the first of the area and of the exchange is 2 to 9."""
-    lows = [2, 0, 0, 2, 0, 0, 0, 0, 0, 0]
+    """Ten digits. Area and exchange start with 2 to 9; where one is written with 0 or 1, it keeps to these."""
 
     def written(digits: Column) -> Column:
         own = F.slice(digits, F.size(digits) - 9, F.lit(10))
-        low = F.array(*[F.lit(x).cast("bigint") for x in lows])
-        radices = F.array(*[F.lit(10 - x).cast("bigint") for x in lows])
-        new = F.zip_with(permute(F.zip_with(own, low, lambda a, b: a - b), radices, key, F.lit("nanp")), low, lambda a, b: a + b)
+        leads = [F.get(own, F.lit(i)) > 1 for i in (0, 3)]
+        low = [F.when(leads[i // 3], 2).otherwise(0) if i in (0, 3) else F.lit(0) for i in range(10)]
+        radix = [F.when(leads[i // 3], 8).otherwise(2) if i in (0, 3) else F.lit(10) for i in range(10)]
+        low, radix = (F.array(*[x.cast("bigint") for x in xs]) for xs in (low, radix))
+        tweak = F.concat_ws("/", F.lit("nanp"), *[x.cast("string") for x in leads])
+        new = F.zip_with(permute(F.zip_with(own, low, lambda a, b: a - b), radix, key, tweak), low, lambda a, b: a + b)
         return _refill(text, F.concat(F.slice(digits, F.lit(1), F.size(digits) - 10), new))
 
     return let(_digits(text), written)

@@ -107,7 +107,7 @@ def features(text: str) -> list[float]:
 class AdditiveModel:
     """Lookup tables per feature and per pair of features."""
 
-    def __init__(self, bins: int = 64, pair_bins: int = 12, pairs: int = 8, rounds: int = 120, rate: float = 0.15):
+    def __init__(self, bins: int = 32, pair_bins: int = 12, pairs: int = 8, rounds: int = 120, rate: float = 0.15):
         self.bins, self.pair_bins, self.n_pairs, self.rounds, self.rate = bins, pair_bins, pairs, rounds, rate
         self.start = 0.0
         self.edges: list[np.ndarray] = []

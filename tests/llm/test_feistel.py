@@ -86,6 +86,13 @@ def test_values_are_linked_and_valid(docs):
     assert run(docs, "4111111111111111", key="other")[0] != got[1]
 
 
+def test_phone_numbers_keep_their_kind(docs):
+    got = run(docs, "+1 (152) 555-8590", "(152) 055-8590", "+11525558590", "152-555-8590")
+    assert re.fullmatch(r"\+1 \([01]\d\d\) [2-9]\d\d-\d{4}", got[0][0]) and got[0][0] != "+1 (152) 555-8590"
+    assert re.fullmatch(r"\([01]\d\d\) [01]\d\d-\d{4}", got[1][0]) and got[3] == ("152-555-8590", 0)
+    assert re.sub(r"\D", "", got[0][0]) == re.sub(r"\D", "", got[2][0])
+
+
 def test_what_is_not_valid_stays(docs):
     texts = [
         "4111111111111112 000-12-3456 666-12-3456 123-00-4567 DE89370400440532013001 2023-02-30 300.1.1.1 31.11.2020",
