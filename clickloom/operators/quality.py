@@ -77,6 +77,15 @@ class QueryCheck:
     severity: str = ERROR
 
 
+@dataclass(frozen=True)
+class CountCheck:
+    """A rule whose violations are counted together with others: a column of a one-row frame."""
+
+    name: str
+    failures: Column
+    severity: str = ERROR
+
+
 def not_null(name: str, column: str, where: Column | None = None, severity: str = ERROR) -> RowCheck:
     bad = F.col(column).isNull()
     return RowCheck(name, bad if where is None else where & bad, severity)
@@ -100,14 +109,19 @@ def relationships(
 
 def _count_rows(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     counted = df.agg(*[F.count_if(check.rule_broken).alias(f"c{i}") for i, check in enumerate(checks)])
+    return _in_rows(counted, [CountCheck(c.name, F.col(f"c{i}"), c.severity) for i, c in enumerate(checks)])
+
+
+def _in_rows(counted: DataFrame, checks: Sequence[CountCheck]) -> DataFrame:
+    """One row per check from one row of counts."""
     results = F.array(
         *[
             F.struct(
                 F.lit(check.name).alias("check"),
                 F.lit(check.severity).alias("severity"),
-                F.col(f"c{i}").alias("failures"),
+                F.coalesce(check.failures, F.lit(0)).cast("bigint").alias("failures"),
             )
-            for i, check in enumerate(checks)
+            for check in checks
         ]
     )
     return counted.select(F.inline(results))
@@ -120,10 +134,13 @@ def _count_query(check: QueryCheck) -> DataFrame:
 
 
 def run_checks(
-    row_checks: Sequence[tuple[DataFrame, Sequence[RowCheck]]], query_checks: Sequence[QueryCheck]
+    row_checks: Sequence[tuple[DataFrame, Sequence[RowCheck]]],
+    query_checks: Sequence[QueryCheck],
+    count_checks: Sequence[tuple[DataFrame, Sequence[CountCheck]]] = (),
 ) -> DataFrame:
     """(check, severity, failures, passed), one row per check."""
     parts = [_count_rows(df, checks) for df, checks in row_checks if checks]
+    parts += [_in_rows(counted, checks) for counted, checks in count_checks]
     parts += [_count_query(check) for check in query_checks]
     result = reduce(DataFrame.unionByName, parts)
     return result.withColumn("passed", F.col("failures") == 0)

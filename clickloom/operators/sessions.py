@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions import crossed_seconds, epoch_minute
+from clickloom.functions import crossed_minutes, crossed_seconds, epoch_minute, epoch_second
 from clickloom.schemas import (
     ADD_TO_CART,
     CHECKOUT,
@@ -33,6 +33,13 @@ from clickloom.schemas import (
 )
 
 
+INSTANT_COLUMNS = ["event_id", "user_id", "event_at_ts"]
+
+
+def _lag(column: str, keys: list[str], order: str) -> Column:
+    return F.lag(column).over(Window.partitionBy(*keys).orderBy(order))
+
+
 def _by_minute():
     return Window.partitionBy("user_id").orderBy("minute")
 
@@ -48,12 +55,40 @@ def number_sessions(minutes: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES)
     )
 
 
-def session_minutes(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
+def active_minutes(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
     """(user, minute, session_index) for every minute in which a user was active."""
     minutes = events.select("user_id", epoch_minute(F.col("event_at_ts")).alias("minute")).distinct()
     return number_sessions(minutes, gap_minutes)
 
 
+def session_minutes(
+    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, unique_events: bool = True
+) -> DataFrame:
+    """The active minutes with the totals of their priced events.
+
+    The one relation the session facts come from: events are summed up per (user, minute), with map-side
+    combining, and a user's minutes are put in order once. Write it where several things are derived from
+    it. ``unique_events`` says that an event id occurs in one row only, which spares the distinct count;
+    leave it off after a closed-interval price join.
+    """
+    event_count = F.count("event_id") if unique_events else F.countDistinct("event_id")
+    is_type = F.col("event_type").eqNullSafe
+    minutes = (
+        events.withColumn("minute", epoch_minute(F.col("event_at_ts")))
+        .groupBy("user_id", "minute")
+        .agg(
+            F.min("event_at_ts").alias("first_ts"),
+            F.max("event_at_ts").alias("last_ts"),
+            event_count.alias("events"),
+            # A checkout without a known value is null and left out; a session of nothing else is null.
+            F.sum(F.when(is_type(CHECKOUT), F.col("value")).otherwise(0)).alias("revenue"),
+            F.sum(F.when(is_type(ADD_TO_CART), 1).otherwise(0)).alias("items_added"),
+            F.max("utm_source").alias("utm_source"),
+        )
+    )
+    return number_sessions(minutes, gap_minutes)
+
+
 def session_id() -> Column:
     user = F.coalesce(F.col("user_id"), F.lit(GUEST_USER))
     return F.concat(user, F.lit("-"), F.col("session_index").cast("string"))
@@ -62,8 +97,9 @@ def session_id() -> Column:
 def with_session_index(
     events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, minutes: DataFrame | None = None
 ) -> DataFrame:
-    """Add ``session_index`` to every event; ``minutes`` are its session minutes where already known."""
-    minutes = session_minutes(events, gap_minutes) if minutes is None else minutes
+    """Add ``session_index`` to every event; ``minutes`` are its active minutes where already known."""
+    minutes = active_minutes(events, gap_minutes) if minutes is None else minutes
+    minutes = minutes.select("user_id", "minute", "session_index")
     return (
         events.withColumn("minute", epoch_minute(F.col("event_at_ts")))
         .join(minutes, ["user_id", "minute"], "left")
@@ -85,27 +121,28 @@ def sessionize(
 def event_gaps(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
     """Previous event of the same user, minutes since then, and the session-start flag, per event.
 
-    Event ids are unique; events of a user at the same instant are ordered by id. Three grains, each
-    bounded: instants within one minute, minutes within one user, and the events themselves.
+    Event ids are unique; events of a user at the same instant are ordered by id. Four grains, each
+    bounded whatever the traffic: instants within a second, seconds within a minute, minutes within a user,
+    and the events themselves. Each grain hands its last instant on to the next one.
     """
-    events = events.select("event_id", "user_id", "event_at_ts").withColumn(
-        "minute", epoch_minute(F.col("event_at_ts"))
-    )
-    instants = events.groupBy("user_id", "minute", "event_at_ts").agg(F.min("event_id").alias("first_id"))
-    within_minute = Window.partitionBy("user_id", "minute").orderBy("event_at_ts")
-    instants = instants.withColumn("before_in_minute", F.lag("event_at_ts").over(within_minute))
-
-    minutes = events.groupBy("user_id", "minute").agg(F.max("event_at_ts").alias("last_ts"))
-    minutes = minutes.select(
-        "user_id", "minute", F.lag("last_ts").over(_by_minute()).alias("before_minute")
+    ts = F.col("event_at_ts")
+    events = events.select(*INSTANT_COLUMNS, epoch_minute(ts).alias("minute"), epoch_second(ts).alias("second"))
+    instants = events.groupBy("user_id", "second", "event_at_ts").agg(F.min("event_id").alias("first_id"))
+    instants = instants.withColumn("before_in_second", _lag("event_at_ts", ["user_id", "second"], "event_at_ts"))
+    seconds = events.groupBy("user_id", "minute", "second").agg(F.max("event_at_ts").alias("last_ts"))
+    minutes = seconds.groupBy("user_id", "minute").agg(F.max("last_ts").alias("last_ts"))
+    seconds = seconds.withColumn("before_in_minute", _lag("last_ts", ["user_id", "minute"], "second")).drop("last_ts")
+    minutes = minutes.withColumn("before_minute", _lag("last_ts", ["user_id"], "minute")).drop("last_ts")
+    before = seconds.join(minutes, ["user_id", "minute"]).select(
+        "user_id", "second", F.coalesce("before_in_minute", "before_minute").alias("before_second")
     )
-    instants = instants.join(minutes, ["user_id", "minute"], "left").select(
+    instants = instants.join(before, ["user_id", "second"]).select(
         "user_id",
         "event_at_ts",
         "first_id",
-        F.coalesce("before_in_minute", "before_minute").alias("before_instant"),
+        F.coalesce("before_in_second", "before_second").alias("before_instant"),
     )
-    idle = F.col("minute") - epoch_minute(F.col("previous_event_ts"))
+    idle = crossed_minutes(F.col("previous_event_ts"), F.col("event_at_ts"))
     return (
         events.join(instants, ["user_id", "event_at_ts"], "left")
         .withColumn(
@@ -127,34 +164,10 @@ def event_gaps(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> Dat
     )
 
 
-def session_metrics(
-    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, unique_events: bool = True
-) -> DataFrame:
-    """Aggregate priced events to sessions without attaching a session to every event.
-
-    Events are summed up per (user, minute) first, with map-side combining; sessions are then sums
-    over minutes, in the partitioning the window already made. ``unique_events`` says that an event
-    id occurs in one row only, which spares the distinct count; leave it off after a closed-interval
-    price join.
-    """
-    event_count = F.count("event_id") if unique_events else F.countDistinct("event_id")
-    is_type = F.col("event_type").eqNullSafe
-    minutes = (
-        events.withColumn("minute", epoch_minute(F.col("event_at_ts")))
-        .groupBy("user_id", "minute")
-        .agg(
-            F.min("event_at_ts").alias("first_ts"),
-            F.max("event_at_ts").alias("last_ts"),
-            event_count.alias("events"),
-            # A checkout without a known value is null and left out; a session of nothing else is null.
-            F.sum(F.when(is_type(CHECKOUT), F.col("value")).otherwise(0)).alias("revenue"),
-            F.sum(F.when(is_type(ADD_TO_CART), 1).otherwise(0)).alias("items_added"),
-            F.max("utm_source").alias("utm_source"),
-        )
-    )
+def session_metrics(minutes: DataFrame) -> DataFrame:
+    """Sessions as sums over their minutes (``session_minutes``); no session is attached to an event."""
     return (
-        number_sessions(minutes, gap_minutes)
-        .groupBy("user_id", "session_index")
+        minutes.groupBy("user_id", "session_index")
         .agg(
             F.min("first_ts").alias("session_started_at_ts"),
             F.max("last_ts").alias("session_ended_at_ts"),
@@ -171,22 +184,19 @@ def session_metrics(
     )
 
 
-def products_viewed(
-    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, minutes: DataFrame | None = None
-) -> DataFrame:
+def products_viewed(events: DataFrame, minutes: DataFrame) -> DataFrame:
     """(user, session_index, distinct_products_viewed) for sessions with a product view.
 
     Views are made distinct per minute, then per session, then counted: every step combines before
     its shuffle and none gathers the products of one session in a single group.
     """
-    minutes = session_minutes(events, gap_minutes) if minutes is None else minutes
     views = (
         events.where((F.col("event_type") == PRODUCT_VIEW) & F.col("product_id").isNotNull())
         .select("user_id", epoch_minute(F.col("event_at_ts")).alias("minute"), "product_id")
         .distinct()
     )
     return (
-        views.join(minutes, ["user_id", "minute"])
+        views.join(minutes.select("user_id", "minute", "session_index"), ["user_id", "minute"])
         .select("user_id", "session_index", "product_id")
         .distinct()
         .groupBy("user_id", "session_index")

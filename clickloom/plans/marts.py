@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.lookup import Dimension, left_lookup
-from clickloom.operators.sessions import products_viewed, session_metrics
+from clickloom.operators.sessions import products_viewed, session_metrics, session_minutes
 from clickloom.schemas import SESSION_GAP_MINUTES
+from clickloom.sources.tables import materialize
 
 
 def enrich_sessions(sessions: DataFrame, users: Dimension) -> DataFrame:
@@ -23,9 +24,15 @@ def fact_sessions(
     unique_events: bool = True,
     minutes: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per session. ``events`` are valid, priced events, best read from a written table."""
-    metrics = session_metrics(events, gap_minutes, unique_events)
-    viewed = products_viewed(events, gap_minutes, minutes)
+    """One row per session. ``events`` are valid, priced events, best read from a written table.
+
+    Everything comes from the session minutes, which are written down first where they are not given: a
+    user's minutes are ordered once.
+    """
+    if minutes is None:
+        minutes = materialize(session_minutes(events, gap_minutes, unique_events), "session-minutes")
+    metrics = session_metrics(minutes)
+    viewed = products_viewed(events, minutes)
     sessions = metrics.join(viewed, ["user_id", "session_index"], "left").withColumn(
         "distinct_products_viewed", F.coalesce("distinct_products_viewed", F.lit(0).cast("bigint"))
     )

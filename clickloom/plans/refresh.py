@@ -13,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.functions import epoch_minute
 from clickloom.operators import quality
 from clickloom.operators.asof import price_asof
 from clickloom.operators.lookup import MAX_BROADCAST_BYTES, Dimension, measure
@@ -24,10 +25,11 @@ from clickloom.schemas import (
     DEFAULT_MIN_EVENT_TS,
     EVENT_TYPES,
     PAGE_VIEW,
+    PRODUCT_VERSION_SCHEMA,
     SESSION_GAP_MINUTES,
     VALIDATED_SCHEMA,
 )
-from clickloom.session import sizing
+from clickloom.session import input_bytes, sizing
 from clickloom.sources.tables import read_table, write_table
 
 # The key and the compared attributes of the product history.
@@ -44,7 +46,7 @@ class RefreshConfig:
     min_event_ts: str | None = DEFAULT_MIN_EVENT_TS
     gap_minutes: int = SESSION_GAP_MINUTES
     closed_validity: bool = False
-    # Size of the raw table; sizes scans and shuffles.
+    # Size of the raw table, by which scans and shuffles are sized; measured where it is not given.
     raw_bytes: int | None = None
     # Largest dimension to broadcast; raise it with the memory of the executors.
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES
@@ -120,14 +122,19 @@ def product_history(
     at = F.lit(config.loaded_at).cast("timestamp_ntz")
     if previous is None:
         return first_snapshot(products, PRODUCT_KEY, at)
-    history = read_table(spark, f"{config.warehouse}/run={previous}/product_versions")
+    history = read_table(spark, f"{config.warehouse}/run={previous}/product_versions", PRODUCT_VERSION_SCHEMA)
     return apply_snapshot(history, products, PRODUCT_KEY, PRODUCT_CHECK, at)
 
 
 def table_checks(
-    events: DataFrame, sessionized: DataFrame, facts: DataFrame, users: Dimension
+    events: DataFrame, minutes: DataFrame, facts: DataFrame, users: Dimension
 ) -> DataFrame:
-    """The checks of the three event tables."""
+    """The checks of the event, session-event and session tables.
+
+    A session event is an event joined to the one minute it lies in, so its rules are checked where they
+    arise: its id is the event's, it has a session unless its minute is missing, and it is there once if
+    the event is and no minute is there twice. No event is joined to its session for that.
+    """
     row_checks = [
         (
             events,
@@ -140,13 +147,7 @@ def table_checks(
                     "product_id",
                     where=~F.col("event_type").isin(PAGE_VIEW),
                 ),
-            ],
-        ),
-        (
-            sessionized,
-            [
                 quality.not_null("sessionized.event_id.not_null", "event_id"),
-                quality.not_null("sessionized.session_id.not_null", "session_id"),
             ],
         ),
         (
@@ -161,14 +162,31 @@ def table_checks(
             ],
         ),
     ]
+    # Rows by kind of violation: an event id twice, a minute twice.
+    keys = minutes.groupBy("user_id", "minute").agg(F.count("session_index").alias("n_records"))
+    doubles = quality.duplicated(events, "event_id").select(F.lit(1).alias("e"), F.lit(0).alias("m"))
+    doubles = doubles.unionByName(keys.where("n_records > 1").select(F.lit(0).alias("e"), F.lit(1).alias("m")))
+    doubles = doubles.agg(F.sum("e").alias("e"), F.sum("m").alias("m"))
+    # Events are counted per minute before they meet the minutes that have a session.
+    active = events.groupBy("user_id", epoch_minute(F.col("event_at_ts")).alias("minute")).agg(F.count(F.lit(1)).alias("n"))
+    homeless = active.join(keys.where("n_records > 0"), ["user_id", "minute"], "left_anti").agg(F.sum("n").alias("n"))
+    e, m = (F.coalesce(F.col(c), F.lit(0)) for c in ("e", "m"))
+    count_checks = [
+        (
+            doubles,
+            [
+                quality.CountCheck("events.event_id.unique", e),
+                quality.CountCheck("sessionized.event_id.unique", e + m),
+            ],
+        ),
+        (homeless, [quality.CountCheck("sessionized.session_id.not_null", F.col("n"))]),
+    ]
     query_checks = [
-        quality.unique("events.event_id.unique", events, "event_id"),
         quality.accepted_values("events.event_type.accepted_values", events, "event_type", EVENT_TYPES),
-        quality.unique("sessionized.event_id.unique", sessionized, "event_id"),
         quality.unique("sessions.session_id.unique", facts, "session_id"),
         quality.relationships("sessions.user_id.relationships", facts, "user_id", users),
     ]
-    return quality.run_checks(row_checks, query_checks)
+    return quality.run_checks(row_checks, query_checks, count_checks)
 
 
 def refresh(
@@ -178,9 +196,9 @@ def refresh(
 
     Every table is written once and read by the later steps, which scan only the columns they need.
     The raw messages are typed once, and the quarantine is a partition of the validated records. The
-    session-event relation is a view: it is checked here on its own columns and computed when read.
+    session-event relation is a view: it is checked by what it is made of and computed when read.
     """
-    settings = {} if config.raw_bytes is None else sizing(config.raw_bytes)
+    settings = sizing(input_bytes(raw) if config.raw_bytes is None else config.raw_bytes)
     before = {key: spark.conf.get(key) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
@@ -220,13 +238,12 @@ def _build(
     events = write_table(
         price_asof(valid_events(validated), prices, config.closed_validity), config.table("events")
     )
-    minutes = write_table(session_minutes(events, config.gap_minutes), config.table("session_minutes"))
+    minutes = session_minutes(events, config.gap_minutes, not config.closed_validity)
+    minutes = write_table(minutes, config.table("session_minutes"))
     facts = write_table(
-        fact_sessions(events, user_dim, config.gap_minutes, not config.closed_validity, minutes),
-        config.table("fact_sessions"),
+        fact_sessions(events, user_dim, config.gap_minutes, minutes=minutes), config.table("fact_sessions")
     )
 
-    sessionized = sessionize(events, minutes=minutes)
-    checks = write_table(table_checks(events, sessionized, facts, user_dim), config.table("checks"))
+    checks = write_table(table_checks(events, minutes, facts, user_dim), config.table("checks"))
     quality.require_passed(checks)
     return facts

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings, safe to set on a session somebody else created.
 RUNTIME_CONF = {
@@ -42,6 +42,11 @@ def sizing(input_bytes: int) -> dict[str, str]:
     }
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of what a frame scans, as the planner knows it: for files, the sum of their sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():

@@ -11,11 +11,30 @@ EVENT = "event"
 DEAD_LETTER = "dead_letter"
 
 
-def stream_text(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stream of the lines of text files, new files being picked up as they arrive."""
+# Bounds of a micro-batch unless told otherwise: a backlog is worked off in steps.
+MAX_FILES = 1000
+MAX_OFFSETS = 1_000_000
+
+
+def stream_text(
+    spark: SparkSession,
+    path: str,
+    max_files: int = MAX_FILES,
+    max_bytes: str | None = None,
+    archive: str | None = None,
+) -> DataFrame:
+    """Stream of the lines of text files, new files being picked up as they arrive.
+
+    A micro-batch takes ``max_files`` files, or, where given, up to ``max_bytes`` of them. With
+    ``archive``, files are moved there once they are landed, so that the inbox to be listed stays small.
+    """
     reader = spark.readStream.format("text")
-    if max_files:
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    else:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(path)
 
 
@@ -24,18 +43,22 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_kafka(
-    spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None, **options: str
+    spark: SparkSession, servers: str, topic: str, max_offsets: int = MAX_OFFSETS, **options: str
 ) -> DataFrame:
     """Stream of a topic's message values (needs the Spark Kafka connector on the class path)."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
+        .option("maxOffsetsPerTrigger", max_offsets)
         .options(**options)
     )
-    if max_offsets:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    return reader.load().select(F.col("value").cast("string").alias("value"))
+    return message_values(reader.load())
+
+
+def message_values(records: DataFrame) -> DataFrame:
+    """The text of a queue's records; a record without a value is an empty message."""
+    return records.select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))
 
 
 def parse_messages(messages: DataFrame, loaded_at: Column | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The raw table: one variant per message with load metadata."""
+"""The lake of landed messages, and the raw table: one variant per message with load metadata."""
 
 from __future__ import annotations
 
@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.schemas import RAW_SCHEMA
+from clickloom.sources.dated import open_folder, read_dated
 from clickloom.sources.messages import EVENT
 
+_BATCH = T.StructField("batch", T.StringType())
 LAKE_SCHEMA = T.StructType(
     [
         T.StructField("raw_data", T.VariantType()),
@@ -16,34 +18,54 @@ LAKE_SCHEMA = T.StructType(
         T.StructField("loaded_at", T.TimestampType()),
         T.StructField("kind", T.StringType()),
         T.StructField("ingest_date", T.DateType()),
+        _BATCH,
     ]
 )
+RAW_TABLE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, _BATCH])
+
+# Files of a micro-batch unless told otherwise: a backlog is worked off in steps.
+MAX_FILES = 1000
 
 
 def with_load_metadata(lake: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Raw rows of lake files: the message, its file, its row in the file, and the load time."""
     return lake.where(F.col("kind") == EVENT).select(
         "raw_data",
-        F.col("_metadata.file_name").alias("metadata_filename"),
+        F.col("_metadata.file_path").alias("metadata_filename"),
         F.col("_metadata.row_index").alias("metadata_file_row_number"),
         (F.current_timestamp() if loaded_at is None else loaded_at).alias("loaded_at"),
         "ingest_date",
+        "batch",
     )
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LAKE_SCHEMA).parquet(path)
+    return read_dated(spark, path, LAKE_SCHEMA)
 
 
-def stream_lake(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def stream_lake(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
     """Stream of lake files as they are landed."""
-    reader = spark.readStream.schema(LAKE_SCHEMA)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    reader = spark.readStream.schema(LAKE_SCHEMA).option("maxFilesPerTrigger", max_files)
+    return reader.parquet(open_folder(spark, path))
+
+
+def lake_batches(spark: SparkSession, path: str, arrived: DataFrame) -> DataFrame | None:
+    """The event files of all batches that ``arrived`` has rows of; None without any.
+
+    ``arrived`` holds the files of one micro-batch, so its batches are no more than these.
+    """
+    found = arrived.where(F.col("kind") == EVENT).select("ingest_date", "batch").distinct().collect()
+    folder = f"{path}/open"
+    paths = [f"{folder}/kind={EVENT}/ingest_date={row['ingest_date']}/batch={row['batch']}" for row in found]
+    return spark.read.schema(LAKE_SCHEMA).option("basePath", folder).parquet(*paths) if paths else None
 
 
 def read_raw(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
-    """Scan the raw table. ``since`` (a date) prunes the load-date partitions."""
-    raw = spark.read.schema(RAW_SCHEMA).parquet(path)
+    """Scan the raw table.
+
+    ``since`` (a date) prunes the load-date partitions, for looking at recent messages. Facts must not be
+    built from a part of the table: earlier sessions and copies would be missing, and session numbers
+    would start anew.
+    """
+    raw = read_dated(spark, path, RAW_TABLE_SCHEMA).drop("batch")
     return raw if since is None else raw.where(F.col("ingest_date") >= F.lit(since).cast("date"))

@@ -2,32 +2,35 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local_folder = os.path.join(tempfile.gettempdir(), "clickloom-scratch")
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="clickloom-")
+def use_local_folder(path: str) -> None:
+    """Name the folder of intermediate tables for local runs without ``spark.checkpoint.dir``."""
+    global _local_folder
+    _local_folder = path
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate tables, reachable from every executor.
 
-    A local run without the setting gets a temporary folder; a cluster must name one.
+    A local run without the setting uses the local folder; a cluster must name one.
     """
     folder = spark.conf.get(_CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"{_CHECKPOINT_DIR} is not set: name a folder all executors can reach")
-    return _local_dir()
+    return _local_folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -6,28 +6,39 @@ give early results while the data arrives.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators.lookup import Dimension
 from clickloom.plans.staging import parse_events, validate_events
-from clickloom.schemas import ADD_TO_CART, DEFAULT_MIN_EVENT_TS, SESSION_GAP_MINUTES
-from clickloom.streaming.landing import start
+from clickloom.schemas import ADD_TO_CART, DEFAULT_MIN_EVENT_TS, SESSION_GAP_MINUTES, VALIDATED_SCHEMA
+from clickloom.streaming.landing import start_table
 
 
 def stream_events(raw: DataFrame, min_event_ts: str | None = DEFAULT_MIN_EVENT_TS) -> DataFrame:
-    """Typed events of a raw stream. ``event_at`` repeats the event time in the type a watermark needs."""
-    return parse_events(raw, min_event_ts).withColumn("event_at", F.col("event_at_ts").cast("timestamp"))
+    """Typed events of a raw stream.
+
+    ``event_at`` repeats the event time in the type a watermark needs, ``event_minute`` its minute.
+    """
+    event_at = F.col("event_at_ts").cast("timestamp")
+    events = parse_events(raw, min_event_ts).withColumn("event_at", event_at)
+    return events.withColumn("event_minute", F.date_trunc("minute", "event_at"))
+
+
+def valid_stream(events: DataFrame, products: Dimension, users: Dimension) -> DataFrame:
+    """The events that break no rule, as the batch job validates them. Stateless."""
+    return validate_events(events, products, users).where("is_valid_record").drop("is_valid_record", "reject_reason")
 
 
 def first_copies(
     events: DataFrame, lateness: str = "1 hour", time: str = "event_at", spread: int = 16
 ) -> DataFrame:
-    """The first copy of each event, remembered for ``lateness``.
+    """One copy of each event, remembered for ``lateness``: one of those in the first batch that has any.
 
-    Copies are thinned out per id and one of ``spread`` slots first, so that an id with very many of
-    them does not meet in one task: at most ``spread`` of its copies reach the second step.
+    Which of several copies in one batch it is depends on the order of tasks. Copies are thinned out per id
+    and one of ``spread`` slots first, so that an id with very many of them does not meet in one task: at
+    most ``spread`` of its copies reach the second step.
     """
     slot = F.pmod(F.xxhash64("metadata_filename", "metadata_file_row_number"), F.lit(spread))
     timed = events.where(F.col(time).isNotNull()).withColumn("__slot", slot)
@@ -49,27 +60,24 @@ def route_events(
 ) -> StreamingQuery:
     """Validate a stream and write valid and quarantined records to their own partitions in one pass."""
     routed = validate_events(events, products, users)
-    writer = routed.writeStream.format("parquet").partitionBy("is_valid_record")
-    return start(writer, path, checkpoint, continuous)
+    return start_table(routed, path, checkpoint, continuous, ["is_valid_record"])
+
+
+def read_routed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(VALIDATED_SCHEMA).parquet(f"{path}/open")
 
 
 def live_sessions(
-    events: DataFrame,
-    lateness: str = "1 hour",
-    gap_minutes: int = SESSION_GAP_MINUTES,
-    time: str = "event_at",
+    events: DataFrame, lateness: str = "1 hour", gap_minutes: int = SESSION_GAP_MINUTES
 ) -> DataFrame:
-    """Sessions of a stream, each emitted once no more events can join it.
+    """Sessions of a stream of valid events, each emitted once no more events can join it.
 
-    Session windows over the event time cut to the minute are the sessions of the batch job: they
-    merge while the next minute is at most ``gap_minutes`` away. A running number needs the whole
-    history, so a live session is known by user and first minute.
+    Copies are removed first, under the same watermark. Session windows over the event time cut to the
+    minute are the sessions of the batch job: they merge while the next minute is at most ``gap_minutes``
+    away. A running number needs the whole history, so a live session is known by user and first minute.
     """
-    minute = F.date_trunc("minute", F.col(time))
     return (
-        events.where(F.col(time).isNotNull())
-        .withColumn("event_minute", minute)
-        .withWatermark("event_minute", lateness)
+        first_copies(events, lateness, time="event_minute")
         .groupBy("user_id", F.session_window("event_minute", f"{gap_minutes} minutes").alias("w"))
         .agg(
             F.min("event_at_ts").alias("session_started_at_ts"),

@@ -1,32 +1,53 @@
 """Streaming ingestion: messages to lake files, lake files to the raw table.
 
-Both steps are one streaming query with a file sink. The sink's commit log together with the source
-offsets in the checkpoint makes each step exactly-once: a failed batch is run again under the same
-number and its earlier files are not visible. A batch without rows writes nothing.
+Both steps write each micro-batch to folders of its own (``sources.dated``). A failed batch is run again
+under the same number, over the same input and at the same recorded time, and replaces what its first try
+left; so each step is exactly-once, without a log of all files ever written. A batch without rows writes
+nothing.
+
+A source's own list of files seen lies in the checkpoint and grows by a line per file. It may be dropped
+by starting with a new checkpoint: batches are named after it, messages that were landed are moved out of
+the inbox, and loading a lake batch once more replaces it in the raw table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.sources.messages import parse_messages
-from clickloom.sources.raw import with_load_metadata
+from clickloom.sources.dated import DATE, close_dates, in_batches, write_batch
+from clickloom.sources.messages import EVENT, parse_messages
+from clickloom.sources.raw import LAKE_SCHEMA, RAW_TABLE_SCHEMA, lake_batches, with_load_metadata
 
 # Fixed value: the longest wait before a micro-batch is taken.
 TRIGGER_INTERVAL = "10 seconds"
-METRICS = "ingest"
+LAKE_PARTITIONS = ("kind", DATE)
 
 
-def start(writer: DataStreamWriter, path: str, checkpoint: str, continuous: bool) -> StreamingQuery:
-    """Start a Parquet sink: every ten seconds, or once over everything available."""
-    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
+def start(
+    stream: DataFrame, write: Callable[[DataFrame, str], None], checkpoint: str, continuous: bool
+) -> StreamingQuery:
+    """Hand every batch to ``write`` with its name: every ten seconds, or once over everything available."""
+    label = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    writer = stream.writeStream.foreachBatch(in_batches(write, label)).option("checkpointLocation", checkpoint)
     if continuous:
         return writer.trigger(processingTime=TRIGGER_INTERVAL).start()
     return writer.trigger(availableNow=True).start()
 
 
+def start_table(
+    stream: DataFrame, path: str, checkpoint: str, continuous: bool, partitions: Sequence[str] = ()
+) -> StreamingQuery:
+    """Write every batch of a stream to a table of batches below ``path``."""
+    return start(
+        stream, lambda df, batch: write_batch(df, path, batch, partitions), checkpoint, continuous
+    )
+
+
 def land_messages(
     messages: DataFrame,
     lake: str,
@@ -34,41 +55,50 @@ def land_messages(
     continuous: bool = True,
     loaded_at: Column | None = None,
 ) -> StreamingQuery:
-    """Write a message stream to the lake, by kind (event or dead letter) and local load date.
+    """Write a message stream to the lake, by kind (event or dead letter), local load date and batch."""
+    return start_table(parse_messages(messages, loaded_at), lake, checkpoint, continuous, LAKE_PARTITIONS)
 
-    Each batch reports how many messages it received, wrote as events, and set aside.
-    """
-    parsed = parse_messages(messages, loaded_at).observe(
-        METRICS,
-        F.count(F.lit(1)).alias("received"),
-        F.count("raw_data").alias("written"),
-        F.count_if(F.col("raw_data").isNull()).alias("malformed"),
-    )
-    writer = parsed.writeStream.format("parquet").partitionBy("kind", "ingest_date")
-    return start(writer, lake, checkpoint, continuous)
 
+def batch_counts(lake: DataFrame) -> DataFrame:
+    """Messages received, written as events and set aside, for every batch ever landed.
 
-def batch_metrics(query: StreamingQuery) -> list[dict]:
-    """Received, written and malformed counts of the query's recent batches."""
-    metrics = []
-    for progress in query.recentProgress:
-        observed = progress.observedMetrics.get(METRICS)
-        if observed is not None and observed["received"]:
-            metrics.append({"batch_id": progress.batchId, **observed.asDict()})
-    return metrics
+    Counted from the lake itself, by its partition columns, so nothing is lost with a query's progress.
+    """
+    written = F.count_if(F.col("kind") == EVENT)
+    received = F.count(F.lit(1))
+    return lake.groupBy("batch").agg(
+        received.alias("received"), written.alias("written"), (received - written).alias("malformed")
+    )
 
 
 def autoload(
     lake_files: DataFrame,
+    lake: str,
     raw: str,
     checkpoint: str,
     continuous: bool = True,
     loaded_at: Column | None = None,
 ) -> StreamingQuery:
-    """Load new lake files into the raw table, each file once."""
-    writer = (
-        with_load_metadata(lake_files, loaded_at)
-        .writeStream.format("parquet")
-        .partitionBy("ingest_date")
-    )
-    return start(writer, raw, checkpoint, continuous)
+    """Load new lake batches into the raw table, each under its name in the lake.
+
+    The stream says which batches have new files; these are loaded whole, in place of what the raw table
+    has of them.
+    """
+
+    def load(arrived: DataFrame, _: str) -> None:
+        spark = arrived.sparkSession
+        batches = lake_batches(spark, lake, arrived)
+        if batches is not None:
+            write_batch(with_load_metadata(batches, loaded_at), raw)
+
+    return start(lake_files, load, checkpoint, continuous)
+
+
+def compact(spark: SparkSession, lake: str | None, raw: str | None, before: str) -> dict[str, list]:
+    """Close the dates before ``before`` in the raw table and then the lake; run it once they are loaded."""
+    closed = {}
+    if raw is not None:
+        closed["raw"] = close_dates(spark, raw, RAW_TABLE_SCHEMA, before)
+    if lake is not None:
+        closed["lake"] = close_dates(spark, lake, LAKE_SCHEMA, before, LAKE_PARTITIONS)
+    return closed

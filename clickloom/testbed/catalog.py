@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import configure
-from clickloom.functions import ingest_date, text_field
+from clickloom.functions import crossed_seconds, event_timestamp, text_field
 from clickloom.operators import quality, scd2
 from clickloom.operators.asof import price_asof
 from clickloom.operators.lookup import Dimension, measure, with_unknown_flag
 from clickloom.operators.sessions import (
+    INSTANT_COLUMNS,
     event_gaps,
     products_viewed,
     session_id,
     session_metrics,
+    session_minutes,
     sessionize,
     with_session_index,
 )
@@ -36,18 +38,15 @@ from clickloom.schemas import (
     PAGE_VIEW,
     PLAIN_TEXT_FIELDS,
     SESSION_EVENT_COLUMNS,
-    VALIDATED_SCHEMA,
 )
 from clickloom.sources.dimensions import load_dimension, read_csv
 from clickloom.sources.messages import DEAD_LETTER, EVENT, parse_messages, read_text, stream_text
 from clickloom.sources.raw import read_lake, read_raw, stream_lake
 from clickloom.sources.tables import fresh_path, materialize, read_table, write_table
 from clickloom.streaming import events as live
-from clickloom.streaming.landing import autoload, batch_metrics, land_messages, start
+from clickloom.streaming.landing import autoload, batch_counts, compact, land_messages, start_table
 from clickloom.testbed import recipe
 
-INSTANT_COLUMNS = ["event_id", "user_id", "event_at_ts"]
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -146,7 +145,7 @@ def priced(spark: SparkSession, sf_dir: str, closed: bool = False) -> DataFrame:
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return session_metrics(priced(spark, sf_dir))
+    return session_metrics(session_minutes(priced(spark, sf_dir)))
 
 
 # --- staging -------------------------------------------------------------------------------------
@@ -308,7 +307,7 @@ def run_session_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("session_event_counts")
 def run_session_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct events per session over the closed price join, where events can repeat."""
-    counted = session_metrics(priced(spark, sf_dir, closed=True), unique_events=False)
+    counted = session_metrics(session_minutes(priced(spark, sf_dir, closed=True), unique_events=False))
     return counted.select("session_id", "total_events_in_session")
 
 
@@ -327,8 +326,8 @@ def run_session_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("session_products_viewed")
 def run_session_products_viewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct products viewed, for sessions with a view."""
-    events = valid(spark, sf_dir).select("user_id", "event_at_ts", "event_type", "product_id")
-    views = products_viewed(materialize(events, "valid"))
+    events = materialize(priced(spark, sf_dir).select(*METRIC_COLUMNS), "priced")
+    views = products_viewed(events, materialize(session_minutes(events), "session-minutes"))
     return views.select(session_id().alias("session_id"), "distinct_products_viewed")
 
 
@@ -421,21 +420,22 @@ def run_dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dq_positive_duration")
 def run_dq_positive_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions that end before they start: none."""
-    return quality.violating(
-        metrics(spark, sf_dir).select("session_id", "session_duration_seconds"),
-        F.col("session_duration_seconds") < 0,
-    )
+    """Sessions that end before they start. There are none, so every seventh one's ends are swapped first."""
+    start, end = F.col("session_started_at_ts"), F.col("session_ended_at_ts")
+    swapped = F.col("session_index") % 7 == 0
+    seconds = F.when(swapped, crossed_seconds(end, start)).otherwise(crossed_seconds(start, end))
+    sessions = metrics(spark, sf_dir).select("session_id", seconds.alias("session_duration_seconds"))
+    return quality.violating(sessions, F.col("session_duration_seconds") < 0)
 
 
 @query("dq_suite")
 def run_dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks of the event, session-event and session tables."""
-    events = materialize(priced(spark, sf_dir), "priced")
-    sessionized = materialize(sessionize(events), "sessionized")
+    events = materialize(priced(spark, sf_dir).select(*METRIC_COLUMNS), "priced")
     users = user_dim(spark, sf_dir)
-    facts = materialize(fact_sessions(events, users), "facts")
-    return table_checks(events, sessionized, facts, users)
+    minutes = materialize(session_minutes(events), "session-minutes")
+    facts = materialize(fact_sessions(events, users, minutes=minutes), "facts")
+    return table_checks(events, minutes, facts, users)
 
 
 @query("dq_suite_dirty")
@@ -460,34 +460,41 @@ def run_dq_suite_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ingestion -----------------------------------------------------------------------------------
 
 
+MESSAGE_FILES = 8
+
+
 def _message_files(spark: SparkSession, sf_dir: str) -> str:
     """Messages, cut-off ones among them, as text files."""
     path = fresh_path(spark, "messages")
-    recipe.messages(spark, sf_dir, malformed=True).select("value").write.text(path)
+    messages = recipe.messages(spark, sf_dir, malformed=True).select("value")
+    messages.repartition(MESSAGE_FILES).write.text(path)
     return path
 
 
-def _landed(spark: SparkSession, sf_dir: str):
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a lake the messages were landed in, file by file: as many batches as there are files."""
     lake = fresh_path(spark, "lake")
-    source = stream_text(spark, _message_files(spark, sf_dir))
-    landing = land_messages(source, lake, fresh_path(spark, "lake-offsets"), continuous=False)
-    landing.awaitTermination()
-    return lake, landing
+    source = stream_text(spark, _message_files(spark, sf_dir), max_files=1)
+    land_messages(source, lake, fresh_path(spark, "lake-offsets"), continuous=False).awaitTermination()
+    return lake
 
 
 def _autoloaded(spark: SparkSession, sf_dir: str) -> str:
-    lake, _ = _landed(spark, sf_dir)
-    raw, checkpoint = fresh_path(spark, "raw"), fresh_path(spark, "raw-offsets")
-    # The second run finds no new files and loads nothing.
-    for _ in range(2):
-        autoload(stream_lake(spark, lake), raw, checkpoint, continuous=False).awaitTermination()
+    """Folder of a raw table loaded from that lake in several batches, then again, then closed."""
+    lake, raw = _landed(spark, sf_dir), fresh_path(spark, "raw")
+    # The second run finds no new files; the third has a new checkpoint and loads every batch once more.
+    first, other = fresh_path(spark, "raw-offsets"), fresh_path(spark, "raw-offsets")
+    for checkpoint in (first, first, other):
+        files = stream_lake(spark, lake, max_files=3)
+        autoload(files, lake, raw, checkpoint, continuous=False).awaitTermination()
+    compact(spark, lake, raw, before="2999-01-01")
     return raw
 
 
 @query("ingest_json")
 def run_ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text fields of the messages a stream landed in the lake."""
-    lake, _ = _landed(spark, sf_dir)
+    lake = _landed(spark, sf_dir)
     fields = [*PLAIN_TEXT_FIELDS, "event_type", "user_id", "event_timestamp"]
     events = read_lake(spark, lake).where(F.col("kind") == EVENT)
     return events.select(*[text_field(F.col("raw_data"), name).alias(name) for name in fields])
@@ -496,7 +503,7 @@ def run_ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ingest_malformed")
 def run_ingest_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters of the same stream."""
-    lake, _ = _landed(spark, sf_dir)
+    lake = _landed(spark, sf_dir)
     return read_lake(spark, lake).where(F.col("kind") == DEAD_LETTER).select("raw_text")
 
 
@@ -532,22 +539,31 @@ def run_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ingest_partitions")
 def run_ingest_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages per local load date, from a partitioned table; an event loads when it happens."""
-    loaded = recipe.messages(spark, sf_dir).select(
-        "event_id", ingest_date(F.col("ts").cast("timestamp")).alias("ingest_date")
-    )
-    table = write_table(loaded, fresh_path(spark, "by-date"), partition_by="ingest_date", rebalance=True)
-    return table.groupBy("ingest_date").agg(F.count("event_id").alias("events"))
+    """Messages per local load date in the lake; they load a quarter of an hour apart around both clock changes."""
+    number = F.get_json_object("value", "$.event_id").cast("bigint")
+    hours = F.pmod(number, F.lit(192)) * F.expr("interval 15 minutes")
+    change = F.when(number % 2 == 0, F.lit("2024-03-30 00:00:00")).otherwise(F.lit("2024-10-26 00:00:00"))
+    source = stream_text(spark, _message_files(spark, sf_dir))
+    lake = fresh_path(spark, "lake")
+    land_messages(
+        source, lake, fresh_path(spark, "lake-offsets"), continuous=False, loaded_at=change.cast("timestamp") + hours
+    ).awaitTermination()
+    landed = read_lake(spark, lake).where(F.col("kind") == EVENT)
+    return landed.groupBy("ingest_date").agg(F.count("raw_data").alias("events"))
 
 
 @query("ingest_metrics")
 def run_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Received, written and malformed counts the stream reported, over its batches."""
-    _, landing = _landed(spark, sf_dir)
-    reported = spark.createDataFrame(
-        batch_metrics(landing), "batch_id long, received long, written long, malformed long"
-    )
-    return reported.agg(*[F.sum(c).alias(c) for c in ("received", "written", "malformed")])
+    """Received, written and malformed messages over all batches, with a progress buffer of two batches."""
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "2")
+    try:
+        lake = _landed(spark, sf_dir)
+    finally:
+        spark.conf.set(kept, before)
+    counts = batch_counts(read_lake(spark, lake))
+    return counts.agg(F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in ("received", "written", "malformed")])
 
 
 @query("raw_autoload")
@@ -568,6 +584,9 @@ def run_raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.countDistinct("metadata_filename", "metadata_file_row_number").alias("distinct_positions"),
+        # The path tells the file's kind, load date and batch in the lake.
+        F.count_if(F.col("metadata_filename").rlike(r"/kind=event/ingest_date=[0-9-]+/batch=\w+-[0-9]+/part-")).alias("with_path"),
+        F.countDistinct(F.regexp_extract("metadata_filename", "batch=([^/]+)", 1)).alias("batches"),
         F.count("loaded_at").alias("with_load_time"),
     )
 
@@ -575,38 +594,67 @@ def run_raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams -------------------------------------------------------------------------------------
 
 
+ARRIVALS, ARRIVAL_FILES, ARRIVAL_DAYS = 6, 4, 5
+# Repeated copies arrive one batch, at most ten days, after the first ones.
+LATENESS = "11 days"
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> str:
+    """The raw table as it arrives: five days at a time, repeated copies one step after the first ones."""
+
+    def build(path: str) -> None:
+        raw = raw_table(spark, sf_dir)
+        number = F.col("metadata_file_row_number")
+        at = event_timestamp(text_field(F.col("raw_data"), "event_timestamp"))
+        step = F.datediff(at, F.lit("2024-01-01").cast("date")) / ARRIVAL_DAYS
+        step = F.least(F.floor(step), F.lit(ARRIVALS - 1)) + (number % 20 == 7).cast("int")
+        rows = materialize(raw.withColumn("step", step), "arrivals")
+        for i in range(ARRIVALS + 1):
+            part = rows.where(F.col("step") == i).drop("step").repartition(ARRIVAL_FILES)
+            part.write.mode("append").parquet(path)
+
+    place = _place(spark, sf_dir, "arrivals")
+    if place not in _TABLES:
+        path = fresh_path(spark, "arrivals")
+        build(path)
+        _TABLES[place] = path
+    return _TABLES[place]
+
+
 def _raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = raw_path(spark, sf_dir)
-    schema = read_table(spark, path).schema
-    return live.stream_events(spark.readStream.schema(schema).parquet(path), recipe.MIN_EVENT_TS)
+    """Typed events in seven micro-batches."""
+    path = _arrivals(spark, sf_dir)
+    reader = spark.readStream.schema(read_table(spark, path).schema)
+    reader = reader.option("maxFilesPerTrigger", ARRIVAL_FILES)
+    return live.stream_events(reader.parquet(path), recipe.MIN_EVENT_TS)
 
 
 def _run(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    """The rows a stream emits in append mode."""
     path = fresh_path(spark, name)
-    writer = stream.writeStream.format("parquet")
-    start(writer, path, fresh_path(spark, f"{name}-offsets"), continuous=False).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    start_table(stream, path, fresh_path(spark, f"{name}-offsets"), continuous=False).awaitTermination()
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(f"{path}/open")
 
 
 @query("stream_dedup")
 def run_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids that pass the streaming de-duplication."""
-    return _run(spark, live.first_copies(_raw_stream(spark, sf_dir)), "first-copies").select("event_id")
+    """Events that pass the streaming de-duplication: the copies that arrived first."""
+    copies = live.first_copies(_raw_stream(spark, sf_dir), LATENESS)
+    return _run(spark, copies.drop("event_at", "event_minute"), "first-copies").select("event_id", "event_at_ts")
 
 
 @query("stream_sessions")
 def run_stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions a stream has closed by its end, an hour of lateness allowed for."""
-    return _run(spark, live.live_sessions(_raw_stream(spark, sf_dir)), "live-sessions").drop(
-        "session_utm_source"
-    )
+    """Sessions of valid, distinct events that a stream has closed by its end."""
+    events = live.valid_stream(_raw_stream(spark, sf_dir), product_dim(spark, sf_dir), user_dim(spark, sf_dir))
+    return _run(spark, live.live_sessions(events, LATENESS), "live-sessions")
 
 
 @query("stream_quarantine")
 def run_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records a stream routed, by validity and reason."""
     path = fresh_path(spark, "routed")
-    events = _raw_stream(spark, sf_dir).drop("event_at")
+    events = _raw_stream(spark, sf_dir).drop("event_at", "event_minute")
     live.route_events(
         events,
         product_dim(spark, sf_dir),
@@ -615,7 +663,7 @@ def run_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         fresh_path(spark, "routed-offsets"),
         continuous=False,
     ).awaitTermination()
-    routed = read_table(spark, path, VALIDATED_SCHEMA)
+    routed = live.read_routed(spark, path)
     return routed.groupBy("is_valid_record", "reject_reason").agg(
         F.count(F.lit(1)).alias("events"), F.min("event_id").alias("first_event_id")
     )

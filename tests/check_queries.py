@@ -11,13 +11,15 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import duckdb  # noqa: E402
 import pandas as pd  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = """region nation customer supplier part orders lineitem events
+documents embeddings pages benchmark labels conversations""".split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for table in TABLES:
-        con.execute(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
+        path = f"{sf_dir}/{table}.parquet"
+        con.execute(f"create view {table} as select * from '{path}{'/*.parquet' if os.path.isdir(path) else ''}'")
     return con
 
 

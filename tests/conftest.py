@@ -8,11 +8,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import __spark_entry__  # noqa: E402, F401  names its own folder when imported, before the tests name theirs
 from clickloom import build_session  # noqa: E402
+from clickloom.sources.tables import use_local_folder  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    use_local_folder(str(tmp_path_factory.mktemp("scratch")))
     session = build_session(
         "tests",
         "local[4]",

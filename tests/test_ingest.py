@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import text_field
 from clickloom.operators.lookup import measure
-from clickloom.operators.sessions import session_metrics
+from clickloom.operators.sessions import session_metrics, session_minutes
 from clickloom.plans.staging import parse_events, valid_events, validate_events
 from clickloom.sources.dimensions import load_dimension, read_products, read_users
-from clickloom.sources.messages import parse_messages, read_text, stream_text
-from clickloom.sources.raw import read_lake, read_raw, stream_lake
-from clickloom.sources.tables import read_table, shared_dir, write_table
-from clickloom.streaming.events import first_copies, live_sessions, route_events, stream_events
-from clickloom.streaming.landing import autoload, batch_metrics, land_messages
+from clickloom.sources.dated import closed_dates, write_batch
+from clickloom.sources.messages import message_values, parse_messages, read_text, stream_text
+from clickloom.sources.raw import LAKE_SCHEMA, read_lake, read_raw, stream_lake
+from clickloom.sources.tables import shared_dir, write_table
+from clickloom.streaming.events import first_copies, live_sessions, read_routed, route_events, stream_events
+from clickloom.streaming.landing import autoload, batch_counts, compact, land_messages, start_table
 
 START = 1764000000
 
@@ -36,15 +37,19 @@ def folder(tmp_path):
         def put(self, name, *lines):
             (tmp_path / "in" / name).write_text("\n".join(lines) + "\n")
 
-        def land(self, spark, **options):
-            query = land_messages(
-                stream_text(spark, self.source), self.lake, self.lake_offsets, continuous=False, **options
-            )
-            query.awaitTermination()
-            return query
+        def land(self, spark, max_files=1000, archive=None, **options):
+            source = stream_text(spark, self.source, max_files, archive=archive)
+            land_messages(source, self.lake, self.lake_offsets, continuous=False, **options).awaitTermination()
+            return self.counts(spark)
 
-        def load(self, spark):
-            autoload(stream_lake(spark, self.lake), self.raw, self.raw_offsets, continuous=False).awaitTermination()
+        def counts(self, spark):
+            """Received, written and malformed messages of each batch."""
+            return sorted(tuple(r)[1:] for r in batch_counts(read_lake(spark, self.lake)).collect())
+
+        def load(self, spark, offsets=None, max_files=1000):
+            files = stream_lake(spark, self.lake, max_files)
+            offsets = offsets or self.raw_offsets
+            autoload(files, self.lake, self.raw, offsets, continuous=False).awaitTermination()
             return read_raw(spark, self.raw)
 
         def files(self, place):
@@ -55,20 +60,82 @@ def folder(tmp_path):
 
 def test_malformed_messages_become_dead_letters(spark, folder):
     folder.put("a", message("1"), "{bad", '{"event_id":"0","event_id":"2"}', "", "not json")
-    query = folder.land(spark)
+    counts = folder.land(spark)
     lake = read_lake(spark, folder.lake)
     events = lake.where("kind = 'event'").select(text_field(F.col("raw_data"), "event_id").alias("id"))
     assert sorted(r["id"] for r in events.collect()) == ["1", "2"]
     dead = lake.where("kind = 'dead_letter'")
     assert sorted(r["raw_text"] for r in dead.collect()) == ["", "not json", "{bad"]
-    assert batch_metrics(query) == [{"batch_id": 0, "received": 5, "written": 2, "malformed": 3}]
+    assert counts == [(5, 2, 3)]
+
+
+def test_counts_do_not_depend_on_the_progress_a_query_keeps(spark, folder):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        for i in range(8):
+            folder.put(f"m{i}", message(str(i)), *["{bad"] * (i == 3))
+        counts = folder.land(spark, max_files=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert len(counts) == 8 and [sum(c) for c in zip(*counts)] == [9, 8, 1]
+
+
+def test_a_repeated_batch_replaces_its_first_try(spark, folder):
+    lake = spark.createDataFrame([(None, "x", None, "dead_letter", None, "b")], LAKE_SCHEMA).drop("batch")
+    parts = ("kind", "ingest_date")
+    for _ in range(2):
+        write_batch(lake, folder.lake, "q-0000000001", parts)
+    assert read_lake(spark, folder.lake).count() == 1
+    write_batch(lake, folder.lake, "q-0000000002", parts)
+    assert read_lake(spark, folder.lake).count() == 2
+
+
+def test_landed_files_leave_the_inbox(spark, folder, tmp_path):
+    for i in range(3):
+        folder.put(f"m{i}", message(str(i)))
+        folder.land(spark, archive=str(tmp_path / "done"))
+    # A file is moved when the batch after its own is committed.
+    assert len(list((tmp_path / "in").iterdir())) <= 1
+    assert read_lake(spark, folder.lake).count() == 3
+
+
+def test_closed_dates_are_few_files_and_lose_or_double_nothing(spark, folder):
+    for i in range(6):
+        folder.put(f"m{i}", message(str(i)), "{bad")
+    days = F.lit("2025-01-01 12:00:00").cast("timestamp")
+    folder.land(spark, max_files=1, loaded_at=days)
+    folder.load(spark, max_files=2)
+    rows = lambda: sorted(r["id"] for r in read_raw(spark, folder.raw).select(text_field(F.col("raw_data"), "event_id").alias("id")).collect())
+    want = rows()
+    assert want == [str(i) for i in range(6)] and len(folder.files("raw")) >= 6
+    for _ in range(2):  # repeating it changes nothing
+        compact(spark, folder.lake, folder.raw, before="2025-01-02")
+        assert rows() == want and folder.counts(spark) == [(2, 1, 1)] * 6
+        assert [str(d) for d in closed_dates(spark, folder.raw)] == ["2025-01-01"]
+        assert not [f for f in folder.files("raw") if "/open/" in f] and len(folder.files("raw/closed")) == 1
+    folder.put("late", message("7"))
+    folder.land(spark)
+    assert folder.load(spark).count() == 7
+    assert compact(spark, folder.lake, folder.raw, before="2025-01-02") == {"raw": [], "lake": []}
+    # A loader with a new checkpoint loads what is open once more, and doubles nothing.
+    assert folder.load(spark, offsets=folder.raw_offsets + "-2").count() == 7
+
+
+def test_queue_records_without_a_broker(spark):
+    records = spark.createDataFrame([(bytearray(b'{"event_id":"1"}'), 0), (None, 1), (bytearray(b"\xc3\xa9{"), 2)], "value binary, offset long")
+    parsed = parse_messages(message_values(records))
+    assert [(r["kind"], r["raw_text"]) for r in parsed.select("kind", "raw_text").collect()] == [
+        ("event", None),
+        ("dead_letter", ""),
+        ("dead_letter", "é{"),
+    ]
 
 
 def test_restart_lands_only_new_files_and_an_empty_batch_writes_nothing(spark, folder):
     folder.put("a", message("1"))
     folder.land(spark)
     before = folder.files("lake")
-    assert batch_metrics(folder.land(spark)) == []
+    assert folder.land(spark) == [(1, 1, 0)]
     assert folder.files("lake") == before
     folder.put("b", message("2"))
     folder.land(spark)
@@ -84,7 +151,8 @@ def test_autoload_takes_each_file_once_and_notes_where_rows_came_from(spark, fol
     raw = folder.load(spark)
     assert raw.count() == 3
     assert raw.select("metadata_filename", "metadata_file_row_number").distinct().count() == 3
-    assert raw.where("metadata_filename like '%.parquet' and loaded_at is not null").count() == 3
+    path = "%/lake/open/kind=event/ingest_date=%/batch=%.parquet"
+    assert raw.where(f"metadata_filename like '{path}' and loaded_at is not null").count() == 3
     assert read_raw(spark, folder.raw, since="2999-01-01").count() == 0
 
 
@@ -124,50 +192,83 @@ def test_batch_parse_of_text(spark, folder):
     assert {tuple(r) for r in kinds.collect()} == {("event", 1), ("dead_letter", 1)}
 
 
-def raw_stream(spark, folder):
+def raw_stream(spark, folder, **options):
     folder.land(spark)
     folder.load(spark)
     schema = read_raw(spark, folder.raw).schema
-    return stream_events(spark.readStream.schema(schema).parquet(folder.raw))
+    reader = spark.readStream.schema(schema).options(**options)
+    return stream_events(reader.parquet(f"{folder.raw}/open"))
+
 
+def emitted(spark, stream, folder):
+    """What a stream emits in append mode over all that is there."""
+    start_table(stream, folder.out, folder.out_offsets, continuous=False).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder.out}/open").collect()
 
-def test_streaming_dedup_keeps_one_copy(spark, folder):
+
+def test_streaming_dedup_keeps_one_of_the_copies_sent(spark, folder):
     folder.put("a", message("1"), message("1", minute=1), message("2"), '{"event_id":"3","event_timestamp":"junk"}')
-    stream = first_copies(raw_stream(spark, folder)).select("event_id")
-    writer = stream.writeStream.format("parquet").option("path", folder.out)
-    writer.option("checkpointLocation", folder.out_offsets).trigger(availableNow=True).start().awaitTermination()
-    assert sorted(r["event_id"] for r in read_table(spark, folder.out).collect()) == ["1", "2"]
+    got = emitted(spark, first_copies(raw_stream(spark, folder)).select("event_id", "event_at_ts"), folder)
+    assert sorted(r["event_id"] for r in got) == ["1", "2"]
+    assert {r["event_at_ts"].minute for r in got if r["event_id"] == "1"} <= {0, 1}
 
 
 def test_streaming_dedup_remembers_copies_across_restarts(spark, folder):
     folder.put("a", *[message("hot", minute=m % 3) for m in range(100)], message("1"))
     for name, new in (("b", "2"), ("c", "3")):
-        stream = first_copies(raw_stream(spark, folder)).select("event_id")
-        writer = stream.writeStream.format("parquet").option("path", folder.out)
-        writer = writer.option("checkpointLocation", folder.out_offsets).trigger(availableNow=True)
-        writer.start().awaitTermination()
+        got = emitted(spark, first_copies(raw_stream(spark, folder)).select("event_id"), folder)
         folder.put(name, message("hot", minute=4), message("1", minute=5), message(new, minute=6))
-    assert sorted(r["event_id"] for r in read_table(spark, folder.out).collect()) == ["1", "2", "hot"]
+    assert sorted(r["event_id"] for r in got) == ["1", "2", "hot"]
+
+
+def arriving(spark, folder, *batches):
+    """A typed stream whose micro-batches are the given messages."""
+    path = f"{folder.raw}-arriving"
+    for batch in batches:
+        folder.put("m", *batch)
+        raw = parse_messages(read_text(spark, f"{folder.source}/m")).selectExpr(
+            "raw_data", "'f' as metadata_filename", "0L as metadata_file_row_number", "loaded_at"
+        )
+        raw.coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1)
+    return stream_events(reader.parquet(path))
 
 
 def test_streaming_sessions_are_the_batch_sessions(spark, folder):
     minutes = [0, 5, 36, 66, 97, 127, 200]
-    folder.put("a", *[message(str(i), minute=m, user_id="u") for i, m in enumerate(minutes)])
-    stream = live_sessions(raw_stream(spark, folder))
-    query = (
-        stream.writeStream.format("memory")
-        .queryName("live")
-        .outputMode("complete")
-        .trigger(availableNow=True)
-        .option("checkpointLocation", folder.out_offsets)
-        .start()
-    )
-    query.awaitTermination()
-    columns = ["session_started_at_ts", "session_ended_at_ts", "total_events_in_session"]
-    got = {tuple(r) for r in spark.table("live").select(*columns).collect()}
-    priced = parse_events(read_raw(spark, folder.raw)).withColumn("value", F.lit(None).cast("decimal(21,2)"))
-    want = {tuple(r) for r in session_metrics(priced).select(*columns).collect()}
-    assert got == want and len(got) == 4
+    sent = [message(str(i), minute=m, user_id="u", utm_source=f"s{i}") for i, m in enumerate(minutes)]
+    copy = message("1", minute=6, user_id="u")
+    end = message("end", minute=500, user_id="v")
+    got = emitted(spark, live_sessions(arriving(spark, folder, sent[:2], [copy, *sent[2:4]], sent[4:], [end])), folder)
+    columns = ["session_started_at_ts", "session_ended_at_ts", "total_events_in_session", "session_utm_source"]
+    folder.put("a", *sent)
+    folder.land(spark)
+    priced = parse_events(folder.load(spark)).dropDuplicates(["event_id"])
+    priced = priced.withColumn("value", F.lit(None).cast("decimal(21,2)")).where("event_id <> 'end'")
+    want = {tuple(r) for r in session_metrics(session_minutes(priced)).select(*columns).collect()}
+    assert {tuple(r[c] for c in columns) for r in got} == want and len(got) == 4
+
+
+def test_late_events_on_either_side_of_the_watermark(spark, folder):
+    """An hour of lateness: the watermark is at minute 60 once minute 120 has been seen."""
+
+    def sessions(late):
+        first = [message("1", minute=100, user_id="u"), message("2", minute=120, user_id="w")]
+        then = [message("late", minute=late, user_id="u"), message("3", minute=121, user_id="w")]
+        end = [message("end", minute=900, user_id="z")]
+        got = emitted(spark, live_sessions(arriving(spark, folder, first, then, end)), folder)
+        return sorted(r["total_events_in_session"] for r in got if r["user_id"] == "u")
+
+    assert sessions(75) == [2]
+
+
+def test_events_behind_the_watermark_are_dropped(spark, folder):
+    first = [message("1", minute=100, user_id="u"), message("2", minute=300, user_id="w")]
+    then = [message("3", minute=301, user_id="w")]  # the watermark holds for the batch after the next
+    late = [message("late", minute=110, user_id="u")]
+    end = [message("end", minute=900, user_id="z")]
+    got = emitted(spark, live_sessions(arriving(spark, folder, first, then, late, end)), folder)
+    assert sorted((r["user_id"], r["total_events_in_session"]) for r in got) == [("u", 1), ("w", 2)]
 
 
 def test_stream_routing_equals_batch_validation(spark, folder):
@@ -180,11 +281,11 @@ def test_stream_routing_equals_batch_validation(spark, folder):
     )
     products = measure(spark.createDataFrame([("p",)], "product_id string"), "product_id")
     users = measure(spark.createDataFrame([("guest",)], "user_id string"), "user_id")
-    stream = raw_stream(spark, folder).drop("event_at")
+    stream = raw_stream(spark, folder).drop("event_at", "event_minute")
     route_events(stream, products, users, folder.out, folder.out_offsets, continuous=False).awaitTermination()
     routed = {
         (r["event_id"], str(r["is_valid_record"]).lower(), r["reject_reason"])
-        for r in read_table(spark, folder.out).collect()
+        for r in read_routed(spark, folder.out).collect()
     }
     batch = validate_events(parse_events(read_raw(spark, folder.raw)), products, users)
     want = {(r["event_id"], str(r["is_valid_record"]).lower(), r["reject_reason"]) for r in batch.collect()}
