@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.operators.sessions import session_metrics
+from clickloom.operators.sessions import active_minutes
 from clickloom.testbed import catalog, recipe
 
 EXPECTED = {
@@ -39,4 +39,4 @@ def test_sessions_with_one_busy_user(spark, gap, sessions):
         F.lit(None).cast("decimal(21,2)").alias("value"),
         F.lit("s").alias("utm_source"),
     )
-    assert session_metrics(events, gap).count() == sessions
+    assert active_minutes(events, gap).select("user_id", "session_index").distinct().count() == sessions

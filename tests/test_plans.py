@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.asof import price_asof
 from clickloom.operators.lookup import measure
-from clickloom.operators.sessions import session_metrics, with_session_index
+from clickloom.operators.sessions import event_gaps, session_metrics, session_minutes, with_session_index
+from clickloom.plans.marts import fact_sessions
+from clickloom.plans.refresh import table_checks
 from clickloom.plans.staging import parse_events, valid_events, validate_events
 from clickloom.sources.tables import materialize
 
@@ -69,7 +71,7 @@ def pipeline(raw, dims):
 
 def test_no_nested_loops_products_or_python(raw, dims, sort_merge):
     events = pipeline(raw, dims)
-    for df in (events, session_metrics(events), with_session_index(events)):
+    for df in (events, session_metrics(session_minutes(events)), with_session_index(events)):
         text = plan(df)
         for forbidden in ("NestedLoop", "CartesianProduct", "EvalPython", "PandasUDF", "MapInPandas"):
             assert forbidden not in text
@@ -145,7 +147,7 @@ def test_scan_reads_only_the_fields_a_query_needs(raw):
 
 def test_user_window_runs_over_aggregated_minutes(make_events, sort_merge):
     events = materialize(make_events([("a", "u", "10:00")]), "events")
-    text = plan(session_metrics(events))
+    text = plan(session_metrics(session_minutes(events)))
     exchanges = re.findall(r"hashpartitioning\(([^)]*), \d+\)", text)
     assert [re.sub(r"#\d+L?", "", keys) for keys in exchanges] == ["user_id, minute", "user_id"]
 
@@ -156,3 +158,39 @@ def test_sessions_reach_events_by_user_and_minute(make_events, sort_merge):
     exchanges = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"hashpartitioning\(([^)]*), \d+\)", text)]
     # Events by (user, minute); minutes by (user, minute), by user for the window, and back.
     assert sorted(exchanges) == ["user_id", "user_id, minute", "user_id, minute", "user_id, minute"]
+
+
+def windows_by_user(text):
+    """Window steps over a user as a whole."""
+    return len(re.findall(r"Arguments: \[.*windowspecdefinition\(user_id#\d+, minute#", text))
+
+
+def test_facts_order_a_user_once(spark, make_events, sort_merge):
+    """The session minutes are the only place where a user's rows are put in order; the facts read them."""
+    events = materialize(make_events([("a", "u", "10:00")]), "events")
+    users = measure(spark.createDataFrame([("u", "FR")], "user_id string, country string"), "user_id", ["country"])
+    minutes = session_minutes(events)
+    # Idle time and running number: two functions over one sort of one shuffle by user.
+    exchanges = re.findall(r"hashpartitioning\(([^)]*), \d+\)", plan(minutes))
+    assert [re.sub(r"#\d+L?", "", keys) for keys in exchanges] == ["user_id, minute", "user_id"]
+    facts = plan(fact_sessions(events, users))
+    assert "Window" not in facts and windows_by_user(facts) == 0
+
+
+def test_checks_do_not_join_events_to_their_sessions(spark, make_events, sort_merge):
+    events = materialize(make_events([("a", "u", "10:00")]), "events")
+    users = measure(spark.createDataFrame([("u", "FR")], "user_id string, country string"), "user_id", ["country"])
+    minutes = materialize(session_minutes(events), "minutes")
+    facts = materialize(fact_sessions(events, users, minutes=minutes), "facts")
+    text = plan(table_checks(events, minutes, facts, users))
+    exchanges = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"hashpartitioning\(([^)]*), \d+\)", text)]
+    assert exchanges.count("event_id") == 1
+    # Distinct minutes of the events meet the distinct minutes that have a session.
+    assert len(re.findall(r"SortMergeJoin LeftAnti", text.split("\n\n\n")[0])) <= 2
+    assert {r["passed"] for r in table_checks(events, minutes, facts, users).collect()} == {True}
+
+
+def test_gaps_order_instants_within_a_second(make_events, sort_merge):
+    text = plan(event_gaps(materialize(make_events([("a", "u", "10:00")]), "events")))
+    specs = set(re.findall(r"windowspecdefinition\(([^)]*?) ASC", re.sub(r"#\d+L?", "", text)))
+    assert specs == {"user_id, second, event_at_ts", "user_id, minute, second", "user_id, minute"}

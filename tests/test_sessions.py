@@ -11,6 +11,7 @@ from clickloom.operators.sessions import (
     event_gaps,
     products_viewed,
     session_metrics,
+    session_minutes,
     sessionize,
     with_session_index,
 )
@@ -108,11 +109,11 @@ def test_metrics_equal_plain_aggregation(busy):
     )
     columns = [c for c in plain.columns if c != "viewed"]
     want = {tuple(r) for r in plain.select(*columns).collect()}
-    assert {tuple(r) for r in session_metrics(busy).select(*columns).collect()} == want
-    assert {tuple(r) for r in session_metrics(busy, unique_events=False).select(*columns).collect()} == want
+    assert {tuple(r) for r in session_metrics(session_minutes(busy)).select(*columns).collect()} == want
+    assert {tuple(r) for r in session_metrics(session_minutes(busy, unique_events=False)).select(*columns).collect()} == want
     viewed = ["user_id", "session_index", "distinct_products_viewed"]
     want = {tuple(r) for r in plain.where("viewed > 0").select("user_id", "session_index", "viewed").collect()}
-    assert {tuple(r) for r in products_viewed(busy).select(*viewed).collect()} == want
+    assert {tuple(r) for r in products_viewed(busy, session_minutes(busy)).select(*viewed).collect()} == want
 
 
 def test_equals_session_windows_over_minutes(busy):
@@ -121,13 +122,13 @@ def test_equals_session_windows_over_minutes(busy):
         F.min("event_at_ts").alias("first"), F.count("event_id").alias("n")
     )
     want = {tuple(r) for r in windows.select("user_id", "first", "n").collect()}
-    got = session_metrics(busy).select("user_id", "session_started_at_ts", "total_events_in_session")
+    got = session_metrics(session_minutes(busy)).select("user_id", "session_started_at_ts", "total_events_in_session")
     assert {tuple(r) for r in got.collect()} == want
 
 
 def test_repeated_rows_of_an_event_count_once(make_events):
     events = make_events([("a", "u", "10:00"), ("a", "u", "10:00"), ("b", "u", "10:01")])
-    counted = session_metrics(events, unique_events=False).first()
+    counted = session_metrics(session_minutes(events, unique_events=False)).first()
     assert counted["total_events_in_session"] == 2
 
 
@@ -159,3 +160,14 @@ def test_sessionize_columns(spark, make_events):
         events = events.withColumn(name, F.lit("x"))
     row = sessionize(events.withColumn("quantity", F.lit(1))).first()
     assert row["session_id"] == "u-1" and len(row) == 15
+
+
+def test_many_instants_of_one_user_in_one_minute(spark):
+    """Instants are put in order per second, so a busy minute is at most 60 groups."""
+    micro = F.expr("timestampadd(MICROSECOND, id * 977 % 59000000, timestamp_ntz'2025-11-24 10:00:00')")
+    busy = spark.range(20_000).select(F.col("id").cast("string").alias("event_id"), F.lit("u").alias("user_id"), micro.alias("event_at_ts"))
+    more = spark.range(40).select(F.concat(F.lit("x"), "id").alias("event_id"), F.lit("u").alias("user_id"), F.expr("timestampadd(MINUTE, 20 * id, timestamp_ntz'2025-11-24 09:00:30.5')").alias("event_at_ts"))
+    events = busy.unionByName(more)
+    columns = ["event_id", "previous_event_ts", "minutes_since_last_event", "is_new_session"]
+    assert event_gaps(events).select(*columns).exceptAll(plain_sessions(events).select(*columns)).count() == 0
+    assert event_gaps(events).count() == 20_040
