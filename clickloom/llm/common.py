@@ -63,3 +63,17 @@ def fresh_name(taken: Iterable[str], name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Largest set of keys that is sent to every executor; beyond it both sides are shuffled.
+BROADCAST_BYTES = 64 << 20
+
+
+def join_keys(df: DataFrame, keys: DataFrame, on: str, how: str, key_bytes: int = 32) -> DataFrame:
+    """Semi or anti join with a written table of distinct keys, which are counted first.
+
+    Within the bound the keys are broadcast and ``df`` stays in place; a larger set is joined by shuffle.
+    """
+    if keys.count() * key_bytes <= BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    return df.join(keys, on, how)

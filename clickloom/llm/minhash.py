@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import emit
+from clickloom.llm.common import emit, join_keys
 from clickloom.llm.shingles import band_keys, shingle_set, similarity_sketch
 from clickloom.sources.tables import materialize
 
@@ -85,7 +85,8 @@ def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, threshold:
         for batch in batches:
             yield from emit((one(k.as_py(), t.as_py()) for k, t in zip(*batch.columns)), schema, lambda row: len(row[2]) + 200)
 
-    own = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).join(nodes, "node", "left_semi")
+    own = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
+    own = join_keys(own, nodes, "node", "left_semi")
     found = own.mapInArrow(run, "node long, n long, shingles binary, sketch binary")
     return found.where(F.col("n") > 0)
 
@@ -158,13 +159,14 @@ def crowds(members: DataFrame, heads: DataFrame, groups: DataFrame) -> DataFrame
     A component of more than a block's shingles has blocks of its own; small ones share blocks. Blocks come
     from sums and hashes, so no bucket is sorted or numbered in one task.
     """
-    wide = heads.where("m > 2").select("key")
-    found = members.join(wide, "key", "left_semi")
+    wide = materialize(heads.where("m > 2").select("key"), "near-wide")
+    found = join_keys(members, wide, "key", "left_semi")
     own = groups.withColumnRenamed("component", "c")
     found = found.join(own, "node", "left").select("key", "node", "n", F.coalesce("c", "node").alias("component"))
     found = materialize(found, "near-members")
     mixed = found.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    found = materialize(found.join(materialize(mixed.select("key"), "near-mixed"), "key", "left_semi"), "near-crowds")
+    mixed = materialize(mixed.select("key"), "near-mixed")
+    found = materialize(join_keys(found, mixed, "key", "left_semi"), "near-crowds")
     weight = F.greatest(F.col("n"), F.lit(LEAST))
     sums = found.groupBy("key", "component").agg(F.sum(weight).alias("w"))
     shared = sums.where(F.col("w") <= BLOCK).groupBy("key").agg(F.sum("w").alias("all_w"))
@@ -243,7 +245,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, key: str
     members = reps.select(F.explode("keys").alias("key"), "node", "n")
     heads = members.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("m")).where("m > 1")
     heads = materialize(heads, "near-heads")
-    members = materialize(members.join(heads.select("key"), "key", "left_semi"), "near-buckets")
+    members = materialize(join_keys(members, heads.select("key"), "key", "left_semi"), "near-buckets")
     pairs = members.join(heads, "key").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     pairs = materialize(pairs, "near-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
