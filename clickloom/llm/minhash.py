@@ -7,12 +7,13 @@
    make components.
 3. What the stars could miss is left in buckets whose members are still in several components. Their
    members are packed into blocks of a bounded number of shingles; blocks of a bucket are compared two by
-   two inside tasks: sketches first (a margin of 0.15 below the threshold, five standard deviations), then
-   full sets. Only links leave the tasks. Blocks within one component are not compared.
+   two inside tasks: sketches first, then full sets. Only links leave the tasks. Blocks within one component are not compared.
 4. The components of all links are the groups; each document gets the smallest id of its group.
 
 No bucket, group or set is capped or sampled. Numbers of bands and rows follow from the threshold: a pair
 at the threshold misses all bands with a probability of at most 1e-5, and more similar ones much less.
+Before sets are moved, sketches rule out pairs whose estimate is so low that one at the threshold has it
+with the same small probability.
 
 Null or empty texts, and those of white space alone, have no shingles and are linked with nothing. Rows
 without an id are returned as they are, without a component, and kept. Rows with one id are one document:
@@ -39,8 +40,8 @@ from clickloom.sources.tables import materialize
 MISSED = 1e-5
 #: Shingles of a block; a document counts as LEAST at least.
 BLOCK, LEAST = 65_536, 512
-#: How far below the threshold a sketch may estimate a pair that is verified all the same.
-MARGIN = 0.15
+#: Standard deviations that a sketch's estimate is below the threshold with a chance of 1e-5.
+DEVIATIONS = 4.265
 
 
 def banding(threshold: float) -> tuple[int, int]:
@@ -70,24 +71,25 @@ def describe(docs: DataFrame, key: str, text: str, threshold: float, words: int)
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, threshold: float, words: int) -> DataFrame:
-    """node, n, shingles (binary) and sketch (one byte a coordinate) of the documents in ``nodes``."""
+    """node, n, shingles and band keys (binary) and sketch (one byte a coordinate) of the documents in ``nodes``."""
     bands, rows = banding(threshold)
 
     def one(key: int, text: str | None) -> tuple:
         elements = shingle_set(text or "", words)
         if not len(elements):
-            return key, 0, b"", b""
+            return key, 0, b"", b"", b""
         sketch = similarity_sketch(elements, bands * rows)
-        return key, len(elements), elements.tobytes(), sketch.astype(np.uint8).tobytes()
+        keys = band_keys(sketch, rows)
+        return key, len(elements), elements.tobytes(), sketch.astype(np.uint8).tobytes(), keys.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary()), ("sketch", pa.binary())])
+        schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary()), ("sketch", pa.binary()), ("keys", pa.binary())])
         for batch in batches:
-            yield from emit((one(k.as_py(), t.as_py()) for k, t in zip(*batch.columns)), schema, lambda row: len(row[2]) + 200)
+            yield from emit((one(k.as_py(), t.as_py()) for k, t in zip(*batch.columns)), schema, lambda row: len(row[2]) + 500)
 
     own = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
     own = join_keys(own, nodes, "node", "left_semi")
-    found = own.mapInArrow(run, "node long, n long, shingles binary, sketch binary")
+    found = own.mapInArrow(run, "node long, n long, shingles binary, sketch binary, keys binary")
     return found.where(F.col("n") > 0)
 
 
@@ -100,8 +102,30 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that hold on their full sets."""
+def least_estimate(threshold: float) -> float:
+    """Share of equal coordinates below which a pair is not verified: one at the threshold has it with a chance of 1e-5."""
+    bands, rows = banding(threshold)
+    return threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / (bands * rows))
+
+
+def promising(pairs: DataFrame, sets: DataFrame, threshold: float, percent: int) -> DataFrame:
+    """The pairs whose sizes and sketches leave room for a similarity of ``percent``."""
+    least = least_estimate(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
+            near = pa.array((x == y).mean(1) >= least)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["a", "b"])
+
+    one = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("x"))
+    other = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("y"))
+    sized = pairs.join(one, "a").join(other, "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    return sized.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float, percent: int) -> DataFrame:
+    """The pairs (a, b) that hold on their full sets; only sets of promising pairs are moved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,14 +137,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if held:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([h[0] for h in held]), "b": pa.array([h[1] for h in held])})
 
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"), F.col("n").alias("n_a"))
-    other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"), F.col("n").alias("n_b"))
-    sized = sets.select("node", "n")
-    # Sizes alone rule many pairs out before the sets move.
-    fits = pairs.join(sized.withColumnsRenamed({"node": "a", "n": "n_a"}), "a").join(sized.withColumnsRenamed({"node": "b", "n": "n_b"}), "b")
-    fits = fits.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b").distinct()
-    fits = materialize(fits, "near-fitting")
-    joined = fits.join(one.drop("n_a"), "a").join(other.drop("n_b"), "b").select("a", "b", "x", "y")
+    fits = materialize(promising(pairs, sets, threshold, percent), "near-promising")
+
+    def sets_of(side: str, name: str) -> DataFrame:
+        used = materialize(fits.select(F.col(side).alias("node")).distinct(), "near-used")
+        return join_keys(sets.select("node", "shingles"), used, "node", "left_semi").withColumnsRenamed({"node": side, "shingles": name})
+
+    joined = fits.join(sets_of("a", "x"), "a").join(sets_of("b", "y"), "b").select("a", "b", "x", "y")
     return joined.mapInArrow(run, "a long, b long")
 
 
@@ -182,8 +205,8 @@ def crowds(members: DataFrame, heads: DataFrame, groups: DataFrame) -> DataFrame
 
 def block_links(crowded: DataFrame, sets: DataFrame, threshold: float, percent: int) -> DataFrame:
     """Links (a, b) between components, from all blocks of a bucket compared two by two."""
-    _, rows = banding(threshold)
-    item = F.struct("node", "component", "shingles", "sketch")
+    least = least_estimate(threshold)
+    item = F.struct("node", "component", "shingles", "sketch", "keys")
     blocks = crowded.join(sets.drop("n"), "node").groupBy("key", "block").agg(F.collect_list(item).alias("items"))
     blocks = materialize(blocks, "near-blocks")
     other = blocks.select("key", F.col("block").alias("block_2"), F.col("items").alias("items_2"))
@@ -193,12 +216,16 @@ def block_links(crowded: DataFrame, sets: DataFrame, threshold: float, percent:
         | (F.col("block") <= F.col("block_2")) & within & F.col("block_2").startswith("s/")
     )
 
-    def arrays(items: list[dict]) -> tuple:
+    def arrays(key: int, items: list[dict]) -> tuple:
+        keys = np.array([np.frombuffer(i["keys"], np.int64) for i in items])
+        own = (keys == key).any(1)  # a node of several texts is here for one of them
+        items = [i for i, x in zip(items, own) if x]
         sets_ = [np.frombuffer(i["shingles"], np.uint64) for i in items]
         sketches = np.array([np.frombuffer(i["sketch"], np.uint8) for i in items])
-        return np.array([i["node"] for i in items]), np.array([i["component"] for i in items]), np.array([len(s) for s in sets_]), sketches, sets_
+        return np.array([i["node"] for i in items]), np.array([i["component"] for i in items]), np.array([len(s) for s in sets_]), sketches, sets_, keys[own]
 
-    def compare(left: tuple, right: tuple) -> Iterator[tuple[int, int]]:
+    def compare(key: int, left: tuple, right: tuple) -> Iterator[tuple[int, int]]:
+        """Links across components, of pairs that share no earlier band: those meet in that band's bucket."""
         near: dict[int, int] = {}
 
         def root(c: int) -> int:
@@ -206,11 +233,15 @@ def block_links(crowded: DataFrame, sets: DataFrame, threshold: float, percent:
                 c = near[c]
             return c
 
-        nodes, groups, sizes, sketches, sets_ = right
+        nodes, groups, sizes, sketches, sets_, keys = right
+        if not len(left[0]) or not len(nodes):
+            return
+        band = int((keys[0] == key).argmax())
         for i in range(len(left[0])):
             low, high = np.minimum(sizes, left[2][i]), np.maximum(sizes, left[2][i])
             j = np.flatnonzero((groups != left[1][i]) & (100 * low >= percent * high))
-            j = j[(sketches[j] == left[3][i]).mean(1) >= threshold - MARGIN] if len(j) else j
+            j = j[(keys[j] == left[5][i]).argmax(1) == band] if len(j) else j
+            j = j[(sketches[j] == left[3][i]).mean(1) >= least] if len(j) else j
             for k in j:
                 a, b = root(int(left[1][i])), root(int(groups[k]))
                 if a != b and similar(left[4][i], sets_[k], percent):
@@ -220,12 +251,12 @@ def block_links(crowded: DataFrame, sets: DataFrame, threshold: float, percent:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = []
-            for one, two in zip(batch.column(0), batch.column(1)):
-                held.extend(compare(arrays(one.as_py()), arrays(two.as_py())))
+            for key, one, two in zip(*(batch.column(i) for i in range(3))):
+                held.extend(compare(key.as_py(), arrays(key.as_py(), one.as_py()), arrays(key.as_py(), two.as_py())))
             if held:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([h[0] for h in held]), "b": pa.array([h[1] for h in held])})
 
-    return paired.select("items", "items_2").mapInArrow(run, "a long, b long").distinct()
+    return paired.select("key", "items", "items_2").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -250,7 +281,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, key: str
     pairs = materialize(pairs, "near-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = materialize(full_sets(docs, materialize(wanted, "near-wanted"), key, text, threshold, words), "near-sets")
-    links = materialize(verified(pairs, sets, percent).unionByName(same_id), "near-links")
+    links = materialize(verified(pairs, sets, threshold, percent).unionByName(same_id), "near-links")
     groups = components(links)
     crowded = materialize(crowds(members, heads, groups), "near-blocked")
     if not crowded.isEmpty():
