@@ -145,6 +145,72 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _link_graph_sql(rounds: int = 8) -> str:
+    """The link graph round by round: scores are whole numbers, so both engines sum them alike."""
+    steps = "".join(
+        f"""
+        s{i + 1} as materialized (
+            select host, kind, sum(score)::bigint as score from (
+                select e.dst as host, e.kind, floor(s.score * e.share)::bigint as score
+                from s{i} s join edges e on e.src = s.host and e.kind = s.kind
+                union all select host, kind, floor(0.15000000000000002::double * score)::bigint from s0
+            ) group by host, kind
+        ),"""
+        for i in range(rounds)
+    )
+    name = r"[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9][A-Za-z0-9-]*)+"
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+        with cut as (
+            select page_id, html, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
+            from pages
+        ),
+        placed as materialized (
+            select page_id, html, {lower.format("regexp_extract(rest, '^[^/?#]*')")} as host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+            from cut
+        ),
+        rules(verdict, name, start) as (
+            values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+        ),
+        ruled as materialized (
+            select page_id, any_value(host) as host, any_value(path) as path, any_value(html) as html,
+                max_by(name || start, length(name || start)) as rule, max_by(verdict, length(name || start)) as verdict
+            from placed left join rules
+                on (host = name or ends_with(host, '.' || name)) and starts_with(path, start)
+            group by page_id
+        ),
+        named as (
+            select distinct page_id, host as src, {lower.format("unnest(regexp_extract_all(html, '" + name + "'))")} as dst
+            from ruled where host <> ''
+        ),
+        links as (
+            select src, dst, count(*) as n from named
+            where src <> dst and dst in (select host from ruled where host <> '') group by src, dst
+        ),
+        both_ways as (
+            select src, dst, n, 0 as kind from links union all select dst, src, n, 1 from links
+        ),
+        edges as materialized (
+            select src, dst, kind, 0.85::double * n / sum(n) over (partition by src, kind) as share from both_ways
+        ),
+        seeds as (
+            select host, (verdict = 'block')::int as kind, count(*) as w from ruled where rule is not null group by all
+        ),
+        s0 as materialized (
+            select host, kind, floor(1e15::double * w / sum(w) over (partition by kind))::bigint as score from seeds
+        ),{steps}
+        bad as (
+            select host from s{rounds} group by host
+            having sum(case when kind = 1 then score else 0 end) > sum(case when kind = 0 then score else 0 end)
+        )
+        select page_id, host, path, rule,
+            coalesce(verdict, case when host <> '' and host in (select host from bad) then 'block' else 'allow' end) as verdict
+        from ruled
+    """
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_roundtrip": op1_warc_roundtrip,
     "op2_feistel_pseudonyms": op2_feistel_pseudonyms,
@@ -159,6 +225,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_link_graph": _link_graph_sql(),
     "op1_warc_roundtrip": """
         with sized as (
             select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest

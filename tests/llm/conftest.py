@@ -8,12 +8,8 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_DIR = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string"
 
-#: Words for long texts.
-PROSE = "the of and a to in that is was for on are with as his they be at one have this from or had by".split()
-
 
 @pytest.fixture(scope="session")
 def docs(spark):
@@ -25,7 +21,3 @@ def docs(spark):
         return out.withColumns({name: F.lit("x") for name in ("score", "n_words", "key", "node", "label", "chunk")})
 
     return make
-
-
-def rows_of(df):
-    return [tuple(r) for r in df.collect()]

@@ -66,7 +66,7 @@ def test_empty_table(docs, spark):
 
 
 def test_query_on_the_given_tables(spark, library):
-    from conftest import SF_DIR
+    from samples import SF_DIR
 
     from clickloom.llm.queries import QUERIES
 

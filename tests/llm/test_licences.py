@@ -4,7 +4,7 @@ import math
 import random
 from collections import Counter
 
-from conftest import PROSE
+from samples import PROSE
 
 from clickloom.llm import licences
 

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import PROSE
+from samples import PROSE
 
 from clickloom.llm import minhash
 from clickloom.llm.shingles import band_keys, shingle_set, similarity_sketch

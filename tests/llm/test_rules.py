@@ -4,7 +4,7 @@ import random
 import re
 from collections import Counter
 
-from conftest import PROSE
+from samples import PROSE
 
 from clickloom.llm import rules
 from clickloom.llm.queries import QUERIES
