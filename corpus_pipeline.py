@@ -31,10 +31,9 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the decision list learned from the labelled ones among them."""
-    labels = training_labels(spark, sf_dir)
-    labelled = docs.select("doc_id", "text").join(labels.select("doc_id"), "doc_id", "left_semi")
-    statistics = materialize(rules.with_statistics(labelled).drop("text"), "stage-statistics")
-    learned = rules.learn(statistics, labels)
+    # The labels meet the statistics, which are narrow, not the texts.
+    statistics = rules.with_statistics(docs.select("doc_id", "text")).drop("text")
+    learned = rules.learn(materialize(statistics, "stage-statistics"), training_labels(spark, sf_dir))
     return rules.kept_rows(docs, learned)
 
 
