@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import feistel, gam, minhash, packing, rules
-from clickloom.llm.common import fresh_name
+from clickloom.llm.common import fresh_name, join_keys
 from clickloom.llm.queries import PSEUDONYM_KEY, QUALITY_THRESHOLD, training_labels
 from clickloom.sources.tables import materialize
 
@@ -39,15 +39,18 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest id, and one row of each document."""
-    groups = materialize(minhash.near_duplicates(docs.select("doc_id", "text")), "stage-groups")
-    kept = groups.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = materialize(kept, "stage-kept")
-    rows = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
-    repeated = kept.where("n > 1").select("doc_id")
-    if not repeated.isEmpty():
-        single = rows.join(repeated, "doc_id", "left_anti")
-        rows = single.unionByName(rows.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return rows.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    groups = minhash.near_duplicates(docs.select("doc_id", "text"))
+    groups = materialize(groups.where(F.col("doc_id").isNotNull()), "stage-groups")
+    # The documents that go are fewer than those that stay; rows without an id match none of them.
+    gone = materialize(groups.where(~F.col("kept")).select("doc_id").distinct(), "stage-gone")
+    rows = join_keys(docs, gone, "doc_id", "left_anti")
+    repeated = groups.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = materialize(repeated.select("doc_id"), "stage-repeated")
+    if repeated.isEmpty():
+        return rows
+    single = join_keys(rows, repeated, "doc_id", "left_anti")
+    again = join_keys(rows, repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(again.select(single.columns))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
