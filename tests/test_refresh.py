@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators.quality import QualityError
+from clickloom.plans import refresh as refresh_module
 from clickloom.plans.refresh import RefreshConfig, published_run, read_published, refresh, register_views
 from clickloom.schemas import PRODUCT_SCHEMA, USER_SCHEMA
 from clickloom.session import sizing
+from clickloom.sources.tables import write_table
 
 
 def event(event_id, minute, **fields):
@@ -140,3 +142,15 @@ def test_published_tables_in_sql(spark, job):
     ).first()
     assert (row["user_country"], str(row["revenue"])) == ("FR", "20.00")
     assert spark.table("quarantine").count() == 1
+
+
+def test_partitions_follow_the_size_of_the_raw_table(spark, job, make_raw, tmp_path, monkeypatch):
+    path = tmp_path / "raw"
+    raw = write_table(make_raw(*[event(str(i), i % 60) for i in range(200)]), str(path))
+    seen = []
+    monkeypatch.setattr(refresh_module, "sizing", lambda size: seen.append(size) or {})
+    job.run("1", raw=raw)
+    job.run("2", raw=raw, raw_bytes=7)
+    assert seen == [sum(f.stat().st_size for f in path.glob("*.parquet")), 7]
+    many = sizing(10**12)
+    assert int(many["spark.sql.shuffle.partitions"]) > 3000
