@@ -61,6 +61,7 @@ def main() -> None:
             "spark.eventLog.enabled": "true",
             "spark.eventLog.dir": f"file://{log}",
             "spark.eventLog.rolling.enabled": "false",
+            "spark.eventLog.compress": "false",
             "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -2,15 +2,17 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import __spark_entry__  # noqa: E402, F401  names its own folder when imported, before the tests name theirs
 from clickloom import build_session  # noqa: E402
 from clickloom.sources.tables import use_local_folder  # noqa: E402
+from moments import at  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -30,11 +32,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def at(text: str) -> datetime:
-    """``HH:MM[:SS[.f]]`` on a fixed day, or a full ISO timestamp."""
-    return datetime.fromisoformat(text if "-" in text else f"2025-11-24T{text}")
-
-
 @pytest.fixture(scope="session")
 def make_raw(spark):
     """Raw rows of JSON texts, one load second apart: newer ones come later."""

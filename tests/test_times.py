@@ -1,7 +1,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import at
+from moments import at
 from pyspark.sql import functions as F
 
 from clickloom.functions import crossed_minutes, crossed_seconds, event_timestamp, ingest_date, text_field

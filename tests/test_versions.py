@@ -2,7 +2,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import at
+from moments import at
 from pyspark.sql import functions as F
 
 from clickloom.operators.asof import price_asof
