@@ -2,7 +2,7 @@
 
 ``BENCH_SF_DIR`` names the data (default sf0.1), ``BENCH_CPUS`` the local threads, ``BENCH_SCRATCH`` the
 folder of intermediate tables. Each query runs to completion into a sink that drops the rows, three times
-or until ten seconds are spent; the median counts. One small query on the smallest data warms the JVM up and is not counted. ``land_raw``
+or until four seconds are spent; the median counts. One small query on the smallest data warms the JVM up and is not counted. ``land_raw``
 is the time to turn all messages into the raw table the other queries read, ``load_dimensions`` that to
 load and measure the dimension tables; both are part of the events per second. The session facts are also
 timed on the next smaller data, so that a slope can be read.
@@ -40,7 +40,7 @@ HEADLINE = [
     "stream_sessions",
     "refresh_facts",
 ]
-RUNS, ENOUGH = 3, 10.0
+RUNS, ENOUGH = 3, 4.0
 
 
 def timed(spark, sf_dir: str, name: str) -> float:
