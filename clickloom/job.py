@@ -61,6 +61,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     if args.command == "land" and bool(args.kafka_servers) != bool(args.topic):
         parser.error("--kafka-servers and --topic go together")
+    if args.command == "compact" and args.lake and not args.raw:
+        parser.error("--lake needs --raw, which shows what was loaded")
     return args
 
 

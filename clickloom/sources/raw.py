@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.schemas import RAW_SCHEMA
-from clickloom.sources.dated import open_folder, read_dated
+from clickloom.sources.dated import DATE, open_folder, read_dated
 from clickloom.sources.messages import EVENT
 
 _BATCH = T.StructField("batch", T.StringType())
@@ -23,6 +23,8 @@ LAKE_SCHEMA = T.StructType(
 )
 RAW_TABLE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, _BATCH])
 
+LAKE_PARTITIONS = ("kind", DATE)
+
 # Files of a micro-batch unless told otherwise: a backlog is worked off in steps.
 MAX_FILES = 1000
 
@@ -40,7 +42,12 @@ def with_load_metadata(lake: DataFrame, loaded_at: Column | None = None) -> Data
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
-    return read_dated(spark, path, LAKE_SCHEMA)
+    return read_dated(spark, path, LAKE_SCHEMA, LAKE_PARTITIONS)
+
+
+def open_lake(spark: SparkSession, path: str) -> DataFrame:
+    """Lake rows of dates, and late batches, that aren't closed yet."""
+    return spark.read.schema(LAKE_SCHEMA).parquet(open_folder(spark, path))
 
 
 def stream_lake(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:

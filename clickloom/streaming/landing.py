@@ -19,13 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.sources.dated import DATE, close_dates, in_batches, write_batch
+from clickloom.sources.dated import BATCH, DATE, close_dates, in_batches, read_dated, write_batch
 from clickloom.sources.messages import EVENT, parse_messages
-from clickloom.sources.raw import LAKE_SCHEMA, RAW_TABLE_SCHEMA, lake_batches, with_load_metadata
+from clickloom.sources.raw import LAKE_PARTITIONS, LAKE_SCHEMA, RAW_TABLE_SCHEMA, lake_batches, open_lake, with_load_metadata
 
 # Fixed value: the longest wait before a micro-batch is taken.
 TRIGGER_INTERVAL = "10 seconds"
-LAKE_PARTITIONS = ("kind", DATE)
 
 
 def start(
@@ -94,11 +93,29 @@ def autoload(
     return start(lake_files, load, checkpoint, continuous)
 
 
+def unloaded_dates(lake: DataFrame, raw: str) -> list:
+    """Dates of which the raw table lacks an event batch of these lake rows."""
+    batches = lake.where(F.col("kind") == EVENT).select(DATE, BATCH).distinct()
+    dates = [row[0] for row in batches.select(DATE).distinct().collect()]
+    loaded = read_dated(lake.sparkSession, raw, RAW_TABLE_SCHEMA).where(F.col(DATE).isin(dates))
+    missing = batches.join(loaded.select(DATE, BATCH).distinct(), [DATE, BATCH], "left_anti")
+    return [row[0] for row in missing.select(DATE).distinct().collect()]
+
+
 def compact(spark: SparkSession, lake: str | None, raw: str | None, before: str) -> dict[str, list]:
-    """Close the dates before ``before`` in the raw table and then the lake; run it once they are loaded."""
+    """Close the dates before ``before`` in the raw table and then the lake.
+
+    A date with a lake batch that isn't in the raw table yet waits in both; a later run closes it. The lake
+    is closed together with its raw table only.
+    """
+    if lake is not None and raw is None:
+        raise ValueError("a lake can't be closed without the raw table that shows what was loaded")
     closed = {}
     if raw is not None:
-        closed["raw"] = close_dates(spark, raw, RAW_TABLE_SCHEMA, before)
+        waiting = None if lake is None else lambda _: unloaded_dates(open_lake(spark, lake), raw)
+        closed["raw"] = close_dates(spark, raw, RAW_TABLE_SCHEMA, before, waiting=waiting)
     if lake is not None:
-        closed["lake"] = close_dates(spark, lake, LAKE_SCHEMA, before, LAKE_PARTITIONS)
+        closed["lake"] = close_dates(
+            spark, lake, LAKE_SCHEMA, before, LAKE_PARTITIONS, lambda rows: unloaded_dates(rows, raw)
+        )
     return closed

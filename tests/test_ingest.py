@@ -121,6 +121,55 @@ def test_closed_dates_are_few_files_and_lose_or_double_nothing(spark, folder):
     assert folder.load(spark, offsets=folder.raw_offsets + "-2").count() == 7
 
 
+def test_rows_of_closed_dates_are_merged_and_unloaded_ones_wait(spark, folder):
+    day = F.lit("2025-01-01 12:00:00").cast("timestamp")
+    day_before = {"before": "2025-01-02"}
+
+    def ids():
+        raw = read_raw(spark, folder.raw).select(text_field(F.col("raw_data"), "event_id").alias("id"))
+        return sorted(r["id"] for r in raw.collect())
+
+    folder.put("a", message("1"), "{bad")
+    folder.land(spark, loaded_at=day)
+    # The loader is behind, first with all and then with one batch: nothing is closed or removed.
+    assert compact(spark, folder.lake, folder.raw, **day_before) == {"raw": [], "lake": []}
+    folder.load(spark)
+    folder.put("b", message("2"))
+    folder.land(spark, loaded_at=day)
+    assert compact(spark, folder.lake, folder.raw, **day_before) == {"raw": [], "lake": []}
+    assert folder.load(spark).count() == 2 and ids() == ["1", "2"]
+    first = compact(spark, folder.lake, folder.raw, **day_before)
+    assert [str(d) for d in first["raw"]] == [str(d) for d in first["lake"]] == ["2025-01-01"]
+    # Batches come for the closed date, twice: seen at once, kept in open until loaded, then merged.
+    for name in ("3", "4"):
+        want = [str(i + 1) for i in range(int(name))]
+        folder.put(name, message(name))
+        folder.land(spark, loaded_at=day)
+        assert read_lake(spark, folder.lake).where("kind = 'event'").count() == int(name)
+        assert compact(spark, folder.lake, folder.raw, **day_before) == {"raw": [], "lake": []}
+        folder.load(spark)
+        assert ids() == want
+        merged = compact(spark, folder.lake, folder.raw, **day_before)
+        assert ids() == want and [str(d) for d in merged["raw"]] == [str(d) for d in merged["lake"]] == ["2025-01-01"]
+        assert not [f for place in ("raw", "lake") for f in folder.files(place) if "/open/" in f]
+    assert sum(r for r, _, _ in folder.counts(spark)) == 5 and len(folder.files("raw/merged")) == 1
+    with pytest.raises(ValueError):
+        compact(spark, folder.lake, None, **day_before)
+
+
+def test_a_batch_repeated_after_the_close_replaces_itself(spark, folder):
+    rows = spark.createDataFrame([(None, t, None, "dead_letter", datetime(2025, 1, 1).date(), "b") for t in "xy"], LAKE_SCHEMA)
+    parts = ("kind", "ingest_date")
+    for batch in ("q-1", "q-2"):
+        write_batch(rows.drop("batch"), folder.lake, batch, parts)
+    for batch in ("q-2", "q-3"):
+        compact(spark, folder.lake, folder.raw, before="2025-01-02")
+        write_batch(rows.drop("batch"), folder.lake, batch, parts)
+        assert read_lake(spark, folder.lake).count() == (4 if batch == "q-2" else 6)
+    compact(spark, folder.lake, folder.raw, before="2025-01-02")
+    assert folder.counts(spark) == [(2, 0, 2)] * 3
+
+
 def test_queue_records_without_a_broker(spark):
     records = spark.createDataFrame([(bytearray(b'{"event_id":"1"}'), 0), (None, 1), (bytearray(b"\xc3\xa9{"), 2)], "value binary, offset long")
     parsed = parse_messages(message_values(records))
