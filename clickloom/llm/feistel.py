@@ -9,8 +9,8 @@ values get equal pseudonyms in all documents and forms, different ones different
 
 Kinds: e-mail addresses (the local part; the domain is kept), IBANs, payment cards (first digit kept),
 US social security numbers, North American and international phone numbers (country code kept), IPv4
-addresses, and dates from 1900 to 2099 as 1999-12-31, 31.12.1999 and 12/31/1999. What is not valid is left
-as it is, as is all other text.
+addresses, and dates from 1900 to 2099 as 1999-12-31 (also before a time: 1999-12-31T10:00), 31.12.1999 and
+12/31/1999. What is not valid is left as it is, as is all other text.
 
 Null text stays null, empty text empty; texts without any value are returned unchanged. Rows are
 independent, nothing is shuffled, and all other columns are passed on.
@@ -27,13 +27,23 @@ ROUNDS = 8
 #: 1900-01-01 to 2099-12-31: days, and the two factors they are split into. Fixed values.
 FIRST_DAY, DAY_RADICES = "1900-01-01", (17, 4297)
 
-#: Characters of an IBAN by country. Fixed values.
+#: Characters of an IBAN by country, the whole registry. Fixed values.
 IBAN_LENGTHS = {
-    "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27,
-    "GB": 22, "GI": 23, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21,
-    "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TR": 26,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28,
+    "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24,
+    "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26,
+    "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
 }
 
+#: Assigned country codes of one and two digits; all others have three. Fixed values.
+SHORT_CODES = ("[17]", "2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
+#: Where a zero before the area code is part of the number.
+ZERO_KEPT = "39|378|379"
+
 
 def _iban_form() -> str:
     """Compact or with blanks; the country tells where it ends."""
@@ -44,7 +54,9 @@ def _iban_form() -> str:
 
 
 # Forms, as Java regular expressions. Repeats are bounded or possessive.
-_START, _END = r"(?<![\p{L}\p{N}_.@+-])", r"(?![\p{L}\p{N}_@]|[.-]\p{N})"
+# A dot before a value may end a sentence or an abbreviation, but no number.
+_START, _END = r"(?<![\p{L}\p{N}_@+-])(?<!\p{N}\.)", r"(?![\p{L}\p{N}_@]|[.-]\p{N})"
+_DATE_END = rf"(?:{_END}|(?=[Tt][0-9]{{2}}|[Zz](?![\p{{L}}\p{{N}}_])))"
 FORMS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "iban": _iban_form(),
@@ -55,10 +67,10 @@ FORMS = {
     "dotted": r"[0-9]{1,2}\.[0-9]{1,2}\.(?:19|20)[0-9]{2}",
     "slashed": r"[0-9]{1,2}/[0-9]{1,2}/(?:19|20)[0-9]{2}",
     "ipv4": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}",
-    "intl": r"\+[1-9][0-9]{0,2}(?:[ .-]?[0-9]){6,12}",
+    "intl": r"\+[1-9][0-9]{0,2}(?:[ ./-]?[0-9]){6,12}|\+[1-9][0-9]{0,2} ?\([0-9]{1,5}\)(?:[ ./-]?[0-9]){4,12}",
     "card": r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}",
 }
-ANY = "|".join(f"{_START}{'(?:' + form + ')'}{_END}" for form in FORMS.values())
+ANY = "|".join(f"{_START}{'(?:' + form + ')'}{_DATE_END if name == 'iso' else _END}" for name, form in FORMS.items())
 
 
 def permute(values: Column, radices: Column, key: str, tweak: Column, rounds: int = ROUNDS) -> Column:
@@ -161,17 +173,25 @@ def _nanp(text: Column, key: str) -> Column:
 
 
 def _intl(text: Column, key: str) -> Column:
-    """The country code is what stands before the first separator, or else two digits."""
-    lead = F.regexp_extract(text, r"^\+([0-9]{1,3})[ .-]", 1)
+    """The country code is the assigned one, whatever the separators. A zero in brackets, as in +44 (0)20, takes no part."""
 
-    def written(digits: Column) -> Column:
-        code = F.when(lead != "", F.length(lead)).otherwise(F.lit(2))
-        size = F.size(digits) - code
-        tweak = F.concat(F.lit("phone"), F.array_join(F.slice(digits, F.lit(1), code).cast("array<string>"), ""))
-        new = permute(F.slice(digits, code + 1, size), _repeat(10, size), key, tweak)
-        return _refill(text, F.concat(F.slice(digits, F.lit(1), code), new))
+    def written(own: Column) -> Column:
+        digits = _digits(own)
+        bare = F.regexp_replace(own, "[^0-9]", "")
+        code = F.when(bare.rlike(f"^(?:{SHORT_CODES[0]})"), 1).when(bare.rlike(f"^(?:{SHORT_CODES[1]})"), 2).otherwise(3)
 
-    return let(_digits(text), written)
+        def moved(x: Column) -> Column:
+            digits, code = x["d"], x["c"]
+            size = F.size(digits) - code
+            lead = F.slice(digits, F.lit(1), code)
+            tweak = F.concat(F.lit("phone"), F.array_join(lead.cast("array<string>"), ""))
+            return F.concat(lead, permute(F.slice(digits, code + 1, size), _repeat(10, size), key, tweak))
+
+        new = F.translate(_refill(own, let(F.struct(digits.alias("d"), code.alias("c")), moved)), "~", "0")
+        american = (F.length(bare) == 11) & bare.startswith("1")
+        return F.when(american, _nanp(own, key)).when(F.length(bare).between(7, 15), new)
+
+    return let(F.when(text.rlike(rf"^\+(?:{ZERO_KEPT}) ?\("), text).otherwise(F.regexp_replace(text, r"\(0", "(~")), written)
 
 
 def _ssn(text: Column, key: str) -> Column:

@@ -93,6 +93,43 @@ def test_phone_numbers_keep_their_kind(docs):
     assert re.sub(r"\D", "", got[0][0]) == re.sub(r"\D", "", got[2][0])
 
 
+def iban(country, account):
+    spelled = "".join(str(int(c, 36)) for c in account + country + "00")
+    return f"{country}{98 - int(spelled) % 97:02}{account}"
+
+
+def test_dates_before_times_and_values_after_sentence_marks(docs):
+    got = run(docs, "1984-03-05", "1984-03-05T10:00:00Z 1984-03-05t10:00 1984-03-05Z", "No.4111111111111111, end.42.144.35.254", "1984-03-05x 0.4111111111111111 7.42.144.35.254", "4111111111111111")
+    new = got[0][0]
+    assert got[1] == (f"{new}T10:00:00Z {new}t10:00 {new}Z", 3) and new != "1984-03-05"
+    assert got[2][1] == 2 and got[2][0].startswith(f"No.{got[4][0]}, end.")
+    assert got[3] == ("1984-03-05x 0.4111111111111111 7.42.144.35.254", 0)
+
+
+def test_ibans_of_the_whole_registry(docs):
+    assert "UA213223130000026007233566001" == iban("UA", "3223130000026007233566001")
+    rnd = random.Random(3)
+    given = [iban(c, "".join(rnd.choice("0123456789") for _ in range(n - 4))) for c, n in feistel.IBAN_LENGTHS.items()]
+    assert {"UA", "RS", "BA", "AL", "SA", "AE", "IL", "BR"} <= {x[:2] for x in given}
+    for i, (new, n) in run(docs, *given).items():
+        assert n == 1 and new != given[i] and len(new) == len(given[i]) and new == iban(new[:2], new[4:]) and new[:2] == given[i][:2]
+
+
+def test_phones_are_linked_in_all_forms(docs):
+    same = [
+        ("+353", "+353 86 123 4567", "+353861234567", "+353-86-1234567", "+353 (0)86 123 4567", "+353 (086) 1234567", "+353(86)1234567"),
+        ("+44", "+44 20 7946 0958", "+442079460958", "+44 (0) 20 7946 0958", "+4420 7946/0958"),
+        ("+7", "+7 495 123 45 67", "+74951234567", "+7 (495) 123-45-67"),
+        ("+39", "+39 06 1234567", "+39061234567", "+39 (06) 1234567"),
+        ("+1", "+1 (988) 555-2485", "+19885552485", "+1 98 855 52485", "+1 (988) 5552485"),
+    ]
+    for code, *texts in same:
+        got = run(docs, *texts)
+        assert [n for _, n in got.values()] == [1] * len(texts)
+        bare = {re.sub(r"\D", "", re.sub(r"\(0", "(", new) if code != "+39" else new) for new, _ in got.values()}
+        assert len(bare) == 1 and bare != {re.sub(r"\D", "", texts[1])} and all(new.startswith(code) for new, _ in got.values())
+
+
 def test_what_is_not_valid_stays(docs):
     texts = [
         "4111111111111112 000-12-3456 666-12-3456 123-00-4567 DE89370400440532013001 2023-02-30 300.1.1.1 31.11.2020",
