@@ -2,13 +2,16 @@
 
 Terms are lower-case runs of letters and digits. The vocabulary is that of the templates; a term's weight
 is its count times ln((1 + N) / (1 + df)) + 1, df being counted over all documents. Terms of no template
-weigh as much as a template's term on average. Units are the lines of a text (headers) and the text as a
-whole (licence files). A unit can only reach the threshold if it has one of a template's heaviest terms,
-those without which the rest of the template falls short of it, so only such lines and texts are broken up.
+weigh as much as a template's term on average. Units are the lines of a text (headers), the text as a whole
+(licence files), and, for notices that share a line with other words or go over several, its sentences and
+the runs of a template's length around the template's heaviest terms, across line ends. A unit can only reach
+the threshold if it has one of a template's heaviest terms, those without which the rest of the template falls
+short of it, so only such units and texts are broken up.
 
 A file has the licence of its best line, if that reaches ``header_at``. A text that as a whole reaches
-``file_at`` is the licence file of its directory (of several the most similar counts). Other files inherit
-from the nearest directory above them that has one. Directories are joined with their ancestors, not
+``file_at`` is the licence file of its directory (of several the most similar counts). A file that is neither
+has the licence of its best sentence or run that reaches ``header_at``. Other files inherit from the nearest
+directory above them that has one. Directories are joined with their ancestors, not
 files, and files then with directories: the joins' sides are tables, so a directory with a third of all
 files is split like any hot key, or the directories are broadcast if Spark finds them small.
 
@@ -42,6 +45,7 @@ TEMPLATES = {
 }
 
 HEADER_AT, FILE_AT = 0.8, 0.5
+_SENTENCE_END = r"(?<=[.!?;:])\s+|\n\s*\n"
 _BETWEEN = r"[^\p{L}\p{N}]+"
 
 
@@ -72,17 +76,43 @@ def template_vectors(templates: dict[str, str], weights: dict[str, float]) -> di
     return out
 
 
+def _heaviest(vector: dict[str, float], least: float) -> list[str]:
+    out, rest = [], 1.0
+    for term, x in sorted(vector.items(), key=lambda item: (-item[1], item[0])):
+        if math.sqrt(max(rest, 0.0)) < least - 1e-9:
+            break
+        out.append(term)
+        rest -= x * x
+    return out
+
+
 def anchors(vectors: dict[str, dict[str, float]], least: float) -> list[str]:
     """Terms of which a unit has at least one, if its cosine with any template reaches ``least``."""
-    out: set[str] = set()
-    for vector in vectors.values():
-        rest = 1.0
-        for term, x in sorted(vector.items(), key=lambda item: (-item[1], item[0])):
-            if math.sqrt(max(rest, 0.0)) < least - 1e-9:
-                break
-            out.add(term)
-            rest -= x * x
-    return sorted(out)
+    return sorted({term for vector in vectors.values() for term in _heaviest(vector, least)})
+
+
+def runs_of(terms: Column, templates: dict[str, str], vectors: dict[str, dict[str, float]], least: float) -> Column:
+    """The runs of terms that lie as a template would, judged by the first place of one of its heaviest terms."""
+    places: dict[str, set[tuple[int, int]]] = {}
+    for name, notice in templates.items():
+        words = terms_of(notice)
+        for term in _heaviest(vectors[name], least):
+            places.setdefault(term, set()).add((words.index(term), len(words)))
+    entries = [
+        x
+        for term, ways in sorted(places.items())
+        for x in (F.lit(term), F.array(*[F.struct(F.lit(i).alias("before"), F.lit(n).alias("n")) for i, n in sorted(ways)]))
+    ]
+    table, names = F.create_map(*entries), F.array(*[F.lit(t) for t in sorted(places)])
+    found = F.transform(terms, lambda t, i: F.struct(t.alias("term"), i.alias("at")))
+    found = F.filter(found, lambda x: F.array_contains(names, x["term"]))
+
+    def around(x: Column) -> Column:
+        start = lambda way: F.greatest(x["at"] - way["before"], F.lit(0))
+        return F.transform(F.element_at(table, x["term"]), lambda way: F.struct(start(way).alias("start"), way["n"].alias("n")))
+
+    runs = F.array_distinct(F.flatten(F.transform(found, around)))
+    return F.transform(runs, lambda x: F.slice(terms, x["start"] + 1, x["n"]))
 
 
 def similarities(units: DataFrame, vectors: dict[str, dict[str, float]], weights: dict[str, float]) -> DataFrame:
@@ -103,8 +133,14 @@ def similarities(units: DataFrame, vectors: dict[str, dict[str, float]], weights
     return scored.groupBy("path", "unit").agg(best).select("path", "unit", F.col("best.licence").alias("licence"), (-F.col("best.cosine")).alias("cosine"))
 
 
-def own_licences(files: DataFrame, path: str, text: str, templates: dict[str, str], header_at: float, file_at: float) -> tuple[DataFrame, DataFrame]:
-    """Licences stated in lines (path, licence, cosine), and licence files (the same columns)."""
+def _best(scored: DataFrame) -> DataFrame:
+    """path, licence and cosine of the most similar template."""
+    best = F.min(F.struct((-F.col("cosine")).alias("cosine"), F.col("licence"))).alias("best")
+    return scored.groupBy("path").agg(best).select("path", F.col("best.licence").alias("licence"), (-F.col("best.cosine")).alias("cosine"))
+
+
+def own_licences(files: DataFrame, path: str, text: str, templates: dict[str, str], header_at: float, file_at: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Licences stated in lines (path, licence, cosine), licence files, and licences stated inside texts (the same columns)."""
     vocabulary = sorted({t for notice in templates.values() for t in terms_of(notice)})
     weights = term_weights(files, vocabulary, text)
     vectors = template_vectors(templates, weights)
@@ -121,10 +157,17 @@ def own_licences(files: DataFrame, path: str, text: str, templates: dict[str, st
     whole = F.array(F.struct(F.lit(-1).alias("unit"), _terms(F.col("body")).alias("terms")))
     units = likely.select("path", F.explode(F.concat(lines, whole)).alias("x")).select("path", "x.unit", "x.terms")
     scored = materialize(similarities(units, vectors, weights), "licence-scores")
-    best = F.min(F.struct((-F.col("cosine")).alias("cosine"), F.col("licence"))).alias("best")
-    stated = scored.where((F.col("unit") >= 0) & (F.col("cosine") >= header_at)).groupBy("path").agg(best)
-    stated = stated.select("path", F.col("best.licence").alias("licence"), (-F.col("best.cosine")).alias("cosine"))
-    return stated, scored.where((F.col("unit") < 0) & (F.col("cosine") >= file_at)).select("path", "licence", "cosine")
+    sentences = F.filter(F.transform(F.split("body", _SENTENCE_END), _terms), lambda terms: with_anchor(terms, in_lines))
+    inside = inner_units(likely, F.concat(sentences, runs_of(_terms(F.col("body")), templates, vectors, header_at)))
+    inside = materialize(similarities(inside, vectors, weights).where(F.col("cosine") >= header_at), "licence-inner-scores")
+    stated = _best(scored.where((F.col("unit") >= 0) & (F.col("cosine") >= header_at)))
+    return stated, scored.where((F.col("unit") < 0) & (F.col("cosine") >= file_at)).select("path", "licence", "cosine"), _best(inside)
+
+
+def inner_units(texts: DataFrame, terms: Column) -> DataFrame:
+    """Units (path, unit, terms) of the term lists of each text; equal ones of a path are one."""
+    units = texts.select("path", F.explode(F.array_distinct(terms)).alias("terms"))
+    return units.select("path", F.array_join("terms", " ").alias("unit"), "terms").distinct()
 
 
 def directory_of(path: Column) -> Column:
@@ -146,12 +189,15 @@ def inherited(files: DataFrame, licence_files: DataFrame) -> DataFrame:
 
 def scan(files: DataFrame, path: str = "path", text: str = "text", keep: tuple[str, ...] = (), templates: dict[str, str] = TEMPLATES, header_at: float = HEADER_AT, file_at: float = FILE_AT) -> DataFrame:
     """keep, path, licence and basis (header, file, directory or null) of every row of ``files``."""
-    stated, licence_files = own_licences(files, path, text, templates, header_at, file_at)
+    stated, licence_files, inside = own_licences(files, path, text, templates, header_at, file_at)
     stated, licence_files = materialize(stated, "licence-headers"), materialize(licence_files, "licence-files")
+    inside = materialize(inside, "licence-inside")
     rows = materialize(files.select(*keep, F.col(path).alias("path"), directory_of(F.col(path)).alias("directory")), "licence-rows")
     above = materialize(inherited(rows, licence_files), "licence-inherited")
     own = stated.select("path", F.col("licence").alias("in_header"))
     whole = licence_files.select("path", F.col("licence").alias("in_file"))
-    out = rows.join(own, "path", "left").join(whole, "path", "left").join(above, "directory", "left")
-    basis = F.when(F.col("in_header").isNotNull(), "header").when(F.col("in_file").isNotNull(), "file").when(F.col("from_above").isNotNull(), "directory")
-    return out.select(*keep, F.col("path").alias(path), F.coalesce("in_header", "in_file", "from_above").alias("licence"), basis.alias("basis"))
+    inner = inside.select("path", F.col("licence").alias("in_text"))
+    out = rows.join(own, "path", "left").join(whole, "path", "left").join(inner, "path", "left").join(above, "directory", "left")
+    basis = F.when(F.col("in_header").isNotNull(), "header").when(F.col("in_file").isNotNull(), "file")
+    basis = basis.when(F.col("in_text").isNotNull(), "header").when(F.col("from_above").isNotNull(), "directory")
+    return out.select(*keep, F.col("path").alias(path), F.coalesce("in_header", "in_file", "in_text", "from_above").alias("licence"), basis.alias("basis"))

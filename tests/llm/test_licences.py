@@ -90,6 +90,18 @@ def test_licence_file_without_header(spark):
     assert scanned(spark, rows) == [(1, "a/LICENSE", "MIT", "file"), (2, "a/b/c.txt", "MIT", "directory"), (3, "z/c.txt", None, None)]
 
 
+def test_notices_inside_lines_and_across_line_ends(spark):
+    words = "some words about this thing here and there which go on and on for quite a while"
+    rows = [(100 + i, f"z/{i}", words) for i in range(20)]
+    rows += [(i, f"{i}/x", f"{words} {notice} {words}") for i, notice in enumerate(licences.TEMPLATES.values())]
+    rows += [(20 + i, f"{20 + i}/x", f"{words}\n# {words} " + notice.replace(" ", "\n# ", 3) + f" {words}\n") for i, notice in enumerate(licences.TEMPLATES.values())]
+    rows += [(50, "50/x", f"{words}. Released under the MIT License. {words}"), (51, "51/x", f"{words} license {words}")]
+    got = {r[0]: r[2:] for r in scanned(spark, rows)}
+    for i, name in enumerate(licences.TEMPLATES):
+        assert got[i] == got[20 + i] == (name, "header")
+    assert got[50] == ("MIT", "header") and got[51] == got[100] == (None, None)
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, path string, text string")
     assert licences.scan(empty, keep=("doc_id",)).collect() == []
