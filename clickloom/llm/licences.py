@@ -15,6 +15,11 @@ directory above them that has one. Directories are joined with their ancestors,
 files, and files then with directories: the joins' sides are tables, so a directory with a third of all
 files is split like any hot key, or the directories are broadcast if Spark finds them small.
 
+Beside the notices there are whole licence texts, which texts as a whole are compared with, and standard file
+headers, which runs of their length are compared with; both have a vocabulary and weights of their own. Of
+texts only those are broken up that have as many different uncommon terms of a template as the threshold
+takes. An SPDX line states the licences it names (without -only, -or-later or +), like a line of cosine 1.
+
 Ties go to the licence first in alphabet. Null or empty texts have no licence of their own but inherit.
 Rows without a path get none. Rows with the same path are one file: their lines are taken together, and
 each row gets the file's result. Empty tables give empty results. Extra columns are left out, except
@@ -26,6 +31,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +50,17 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+
+def _folder(name: str) -> dict[str, str]:
+    files = resources.files(__package__).joinpath(name).iterdir()
+    return {f.name.removesuffix(".txt"): f.read_text() for f in sorted(files, key=lambda f: f.name)}
+
+
+#: Licence texts, and standard file headers (of short licences the text itself). Fixed values.
+TEXTS, HEADERS = _folder("licence_texts"), _folder("licence_headers")
+#: Share of all documents from which a term counts as common.
+COMMON = 0.02
+
 HEADER_AT, FILE_AT = 0.8, 0.5
 _SENTENCE_END = r"(?<=[.!?;:])\s+|\n\s*\n"
 _BETWEEN = r"[^\p{L}\p{N}]+"
@@ -57,13 +74,21 @@ def _terms(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), _BETWEEN), "")
 
 
-def term_weights(docs: DataFrame, vocabulary: list[str], text: str) -> dict[str, float]:
-    """Weight of each term of the vocabulary, from all documents."""
+def term_counts(docs: DataFrame, vocabulary: list[str], text: str) -> dict[str, int]:
+    """Documents with each term of the vocabulary, and all under ''."""
     found = F.array_intersect(_terms(F.coalesce(F.col(text), F.lit(""))), F.array(*[F.lit(t) for t in vocabulary]))
     counted = docs.select(F.explode(F.concat(found, F.array(F.lit("")))).alias("term")).groupBy("term").count()
-    counts = {row["term"]: row["count"] for row in counted.collect()}  # the vocabulary, and all documents under ""
+    return {row["term"]: row["count"] for row in counted.collect()}
+
+
+def term_weights(counts: dict[str, int], templates: dict[str, str]) -> dict[str, float]:
+    """Weight of each term of the templates."""
     total = counts.get("", 0)
-    return {t: math.log((1 + total) / (1 + counts.get(t, 0))) + 1 for t in vocabulary}
+    return {t: math.log((1 + total) / (1 + counts.get(t, 0))) + 1 for t in vocabulary_of(templates)}
+
+
+def vocabulary_of(*templates: dict[str, str]) -> list[str]:
+    return sorted({t for some in templates for notice in some.values() for t in terms_of(notice)})
 
 
 def template_vectors(templates: dict[str, str], weights: dict[str, float]) -> dict[str, dict[str, float]]:
@@ -91,6 +116,28 @@ def anchors(vectors: dict[str, dict[str, float]], least: float) -> list[str]:
     return sorted({term for vector in vectors.values() for term in _heaviest(vector, least)})
 
 
+def uncommon(vectors: dict[str, dict[str, float]], counts: dict[str, int], least: float) -> tuple[list[str], int]:
+    """Uncommon terms, and of how many different ones a unit has at least, if its cosine with any template reaches ``least``."""
+    names: set[str] = set()
+    needed = []
+    for vector in vectors.values():
+        reach, rare = 0.0, dict(vector)
+        for term in sorted(vector, key=lambda t: (-counts.get(t, 0), t)):
+            share = vector[term] ** 2
+            if counts.get(term, 0) <= COMMON * counts.get("", 0) or reach + share >= least * least / 2:
+                break
+            reach += share
+            del rare[term]
+        names |= set(rare)
+        heaviest = sorted((x * x for x in rare.values()), reverse=True)
+        n = 0
+        while n < len(heaviest) and math.sqrt(reach) < least - 1e-9:
+            reach += heaviest[n]
+            n += 1
+        needed.append(n)
+    return sorted(names), min(needed)
+
+
 def runs_of(terms: Column, templates: dict[str, str], vectors: dict[str, dict[str, float]], least: float) -> Column:
     """The runs of terms that lie as a template would, judged by the first place of one of its heaviest terms."""
     places: dict[str, set[tuple[int, int]]] = {}
@@ -139,10 +186,46 @@ def _best(scored: DataFrame) -> DataFrame:
     return scored.groupBy("path").agg(best).select("path", F.col("best.licence").alias("licence"), (-F.col("best.cosine")).alias("cosine"))
 
 
+_SPDX_NAME = r"\(*[A-Za-z0-9][A-Za-z0-9.+-]*\)*"
+_SPDX = rf"(?i)SPDX-License-Identifier:[ \t]*({_SPDX_NAME}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_SPDX_NAME})*)"
+
+
+def spdx_licences(files: DataFrame, path: str, text: str) -> DataFrame:
+    """Licences named in SPDX lines (path, licence, cosine)."""
+    known = sorted({*TEMPLATES, *TEXTS, *HEADERS})
+    spelled = F.create_map(*[F.lit(x) for name in known for x in (name.lower(), name)])
+    named = files.where(F.col(path).isNotNull() & F.col(text).rlike("(?i)SPDX-License-Identifier:"))
+    named = named.select(F.col(path).alias("path"), F.explode(F.regexp_extract_all(F.col(text), F.lit(_SPDX), F.lit(1))).alias("said"))
+    said = F.regexp_replace("said", r"(?i)[ \t]+WITH[ \t]+[^ \t]+", "")
+    named = named.select("path", F.explode(F.split(said, r"(?i)[ \t]+(?:AND|OR)[ \t]+")).alias("name"))
+    name = F.regexp_replace(F.regexp_replace("name", r"[()]|\.+$", ""), r"(?i)(?:-only|-or-later|\+)$", "")
+    named = named.select("path", name.alias("name"))
+    return named.select("path", F.coalesce(F.element_at(spelled, F.lower("name")), F.col("name")).alias("licence"), F.lit(1.0).alias("cosine"))
+
+
+def text_licences(files: DataFrame, path: str, text: str, counts: dict[str, int], header_at: float, file_at: float) -> tuple[DataFrame, DataFrame]:
+    """Licence texts (path, licence, cosine), and standard headers inside texts (the same columns)."""
+    weights = [term_weights(counts, x) for x in (TEXTS, HEADERS)]
+    vectors = [template_vectors(x, w) for x, w in zip((TEXTS, HEADERS), weights)]
+    needs = [uncommon(v, counts, least) for v, least in zip(vectors, (file_at, header_at))]
+
+    def has(names: list[str], n: int) -> Column:
+        return F.size(F.array_intersect("terms", F.array(*[F.lit(t) for t in names]))) >= n
+
+    terms = files.where(F.col(path).isNotNull()).select(F.col(path).alias("path"), _terms(F.col(text)).alias("terms"))
+    likely = terms.where(has(sorted({t for names, _ in needs for t in names}), min(n for _, n in needs)))
+    likely = materialize(likely, "licence-likely")
+    whole = likely.where(has(*needs[0])).select("path", F.lit(-1).alias("unit"), "terms")
+    whole = similarities(whole, vectors[0], weights[0]).where(F.col("cosine") >= file_at)
+    runs = inner_units(likely.where(has(*needs[1])), runs_of(F.col("terms"), HEADERS, vectors[1], header_at))
+    runs = similarities(runs, vectors[1], weights[1]).where(F.col("cosine") >= header_at)
+    return tuple(materialize(x.select("path", "licence", "cosine"), "licence-texts") for x in (whole, runs))
+
+
 def own_licences(files: DataFrame, path: str, text: str, templates: dict[str, str], header_at: float, file_at: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Licences stated in lines (path, licence, cosine), licence files, and licences stated inside texts (the same columns)."""
-    vocabulary = sorted({t for notice in templates.values() for t in terms_of(notice)})
-    weights = term_weights(files, vocabulary, text)
+    counts = term_counts(files, vocabulary_of(templates, TEXTS, HEADERS), text)
+    weights = term_weights(counts, templates)
     vectors = template_vectors(templates, weights)
     in_lines, in_files = anchors(vectors, header_at), anchors(vectors, file_at)
     body = F.col(text)
@@ -160,8 +243,11 @@ def own_licences(files: DataFrame, path: str, text: str, templates: dict[str, st
     sentences = F.filter(F.transform(F.split("body", _SENTENCE_END), _terms), lambda terms: with_anchor(terms, in_lines))
     inside = inner_units(likely, F.concat(sentences, runs_of(_terms(F.col("body")), templates, vectors, header_at)))
     inside = materialize(similarities(inside, vectors, weights).where(F.col("cosine") >= header_at), "licence-inner-scores")
-    stated = _best(scored.where((F.col("unit") >= 0) & (F.col("cosine") >= header_at)))
-    return stated, scored.where((F.col("unit") < 0) & (F.col("cosine") >= file_at)).select("path", "licence", "cosine"), _best(inside)
+    texts, headers = text_licences(files, path, text, counts, header_at, file_at)
+    in_line = scored.where((F.col("unit") >= 0) & (F.col("cosine") >= header_at)).select("path", "licence", "cosine")
+    whole = scored.where((F.col("unit") < 0) & (F.col("cosine") >= file_at)).select("path", "licence", "cosine")
+    inside = inside.select("path", "licence", "cosine").unionByName(headers)
+    return _best(in_line.unionByName(spdx_licences(files, path, text))), _best(whole.unionByName(texts)), _best(inside)
 
 
 def inner_units(texts: DataFrame, terms: Column) -> DataFrame:

@@ -102,6 +102,26 @@ def test_notices_inside_lines_and_across_line_ends(spark):
     assert got[50] == ("MIT", "header") and got[51] == got[100] == (None, None)
 
 
+def test_licence_texts_headers_and_spdx_lines(spark):
+    words = "some words about this thing here and there which go on and on for quite a while\n"
+    rows = [(1000 + i, f"z/{i}", words) for i in range(40)]
+    own = "Copyright (c) 2019 Jane Roe and contributors. All rights reserved.\n\n"
+    for i, (name, text) in enumerate(licences.TEXTS.items()):
+        rows += [(i, f"t/{name}/LICENSE", f"{name} licence\n\n{own}{text}"), (100 + i, f"t/{name}/src/a.c", words)]
+    for i, (name, text) in enumerate(licences.HEADERS.items()):
+        body = "\n".join(" * " + line for line in f"{own}{text}".split("\n"))
+        rows.append((200 + i, f"h{i}/a.c", f"/*\n{body}\n */\n{words * 40}"))
+    said = {"MIT": "MIT", "Apache-2.0 */": "Apache-2.0", "GPL-3.0-or-later": "GPL-3.0", "(mit OR Apache-2.0)": "Apache-2.0", "GPL-2.0-only WITH Classpath-exception-2.0": "GPL-2.0", "Zlib": "Zlib"}
+    rows += [(300 + i, f"s{i}/a.c", f"// SPDX-License-Identifier: {line}\n{words * 10}") for i, line in enumerate(said)]
+    got = {r[0]: r[2:] for r in scanned(spark, rows)}
+    for i, name in enumerate(licences.TEXTS):
+        assert got[i][0] == name and got[100 + i] == (name, "directory"), (name, got[i], got[100 + i])
+    for i, name in enumerate(licences.HEADERS):
+        assert got[200 + i][0] == name, (name, got[200 + i])
+    assert [got[300 + i] for i in range(len(said))] == [(name, "header") for name in said.values()]
+    assert got[1000] == (None, None)
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, path string, text string")
     assert licences.scan(empty, keep=("doc_id",)).collect() == []
