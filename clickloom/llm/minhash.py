@@ -271,7 +271,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, key: str
         shown.groupBy("digest").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys")), "near-nodes"
     )
     named = materialize(shown.select("id", "digest").join(reps.select("digest", "node"), "digest").select("id", "node").distinct(), "near-ids")
-    same_id = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("a", "b")
+    several = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("id", "a")
+    several = materialize(several, "near-several")
+    same_id = named.join(several, "id").where("node <> a").select("a", F.col("node").alias("b")).distinct()
 
     members = reps.select(F.explode("keys").alias("key"), "node", "n")
     heads = members.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("m")).where("m > 1")

@@ -118,6 +118,13 @@ def test_groups_against_brute_force(docs):
         assert found(got) == brute(rows, percent)
 
 
+def test_all_texts_of_an_id_are_linked(docs):
+    one, two, three = "a b c d e f g", "h i j k l m n", "o p q r s t u"
+    rows = [(1, one), (2, two), (3, one), (3, two), (3, three), (4, three), (5, "v w x y z")]
+    got = minhash.near_duplicates(docs(*rows), percent=85)
+    assert got.count() == len(rows) and found(got) == brute(rows, 85)
+
+
 def test_crowd_that_stars_do_not_join(docs, monkeypatch):
     """A chain: each text is close to the next one only, and blocks hold few documents."""
     monkeypatch.setattr(minhash, "BLOCK", 600)
