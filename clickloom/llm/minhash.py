@@ -13,7 +13,7 @@
 No bucket, group or set is capped or sampled. Numbers of bands and rows follow from the threshold: a pair
 at the threshold misses all bands with a probability of at most 1e-5, and more similar ones much less.
 Before sets are moved, sketches rule out pairs whose estimate is so low that one at the threshold has it
-with the same small probability.
+with a probability of at most 1e-7, by the binomial tail; the bands are nearly all of the loss.
 
 Null or empty texts, and those of white space alone, have no shingles and are linked with nothing. Rows
 without an id are returned as they are, without a component, and kept. Rows with one id are one document:
@@ -40,8 +40,8 @@ from clickloom.sources.tables import materialize
 MISSED = 1e-5
 #: Shingles of a block; a document counts as LEAST at least.
 BLOCK, LEAST = 65_536, 512
-#: Standard deviations that a sketch's estimate is below the threshold with a chance of 1e-5.
-DEVIATIONS = 4.265
+#: Chance that the sketches of a pair just at the threshold rule it out.
+RULED_OUT = 1e-7
 
 
 def banding(threshold: float) -> tuple[int, int]:
@@ -102,10 +102,21 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def least_equal(threshold: float) -> int:
+    """Equal coordinates below which a pair is not verified: one at the threshold has fewer with a chance of at most 1e-7."""
+    bands, rows = banding(threshold)
+    n, below, k = bands * rows, 0.0, 0
+    while True:
+        below += math.comb(n, k) * threshold**k * (1 - threshold) ** (n - k)
+        if below > RULED_OUT:
+            return k
+        k += 1
+
+
 def least_estimate(threshold: float) -> float:
-    """Share of equal coordinates below which a pair is not verified: one at the threshold has it with a chance of 1e-5."""
+    """The share of equal coordinates just below that number of them."""
     bands, rows = banding(threshold)
-    return threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / (bands * rows))
+    return (least_equal(threshold) - 0.5) / (bands * rows)
 
 
 def promising(pairs: DataFrame, sets: DataFrame, threshold: float, percent: int) -> DataFrame:

@@ -166,3 +166,14 @@ def test_banding():
     for threshold in (0.5, 0.8, 0.85, 0.95):
         bands, rows = minhash.banding(threshold)
         assert (1 - threshold**rows) ** bands <= 1.01e-5
+
+
+def test_sketches_rule_out_less_than_bands():
+    from math import comb
+
+    for percent in (80, 85):
+        threshold = percent / 100
+        bands, rows = minhash.banding(threshold)
+        n, least = bands * rows, minhash.least_estimate(threshold)
+        lost = sum(comb(n, k) * percent**k * (100 - percent) ** (n - k) for k in range(n + 1) if k / n < least) / 100**n
+        assert lost <= 1e-7
