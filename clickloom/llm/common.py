@@ -69,8 +69,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
 BROADCAST_BYTES = 64 << 20
 
 
-def join_keys(df: DataFrame, keys: DataFrame, on: str, how: str, key_bytes: int = 32) -> DataFrame:
-    """Semi or anti join with a written table of distinct keys, which are counted first.
+def join_keys(df: DataFrame, keys: DataFrame, on: str | list[str], how: str, key_bytes: int = 32) -> DataFrame:
+    """Join with a written table of rows with distinct keys, which are counted first.
 
     Within the bound the keys are broadcast and ``df`` stays in place; a larger set is joined by shuffle.
     """

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, feistel, gam, licences, linkgraph, minhash, packing, rules, topk, warc
+from clickloom.llm import bpe, divergence, feistel, gam, licences, linkgraph, minhash, packing, rules, topk, warc
 from clickloom.llm.common import table
 from clickloom.sources.tables import fresh_path, materialize
 
@@ -145,6 +145,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_level_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of each source from the others of its language, and the terms that set it apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def _link_graph_sql(rounds: int = 8) -> str:
     """The link graph round by round: scores are whole numbers, so both engines sum them alike."""
     steps = "".join(
@@ -222,6 +227,7 @@ QUERIES: dict[str, Query] = {
     "op8_bin_completion": op8_bin_completion,
     "op9_additive_model": op9_additive_model,
     "op10_quality_rules": op10_quality_rules,
+    "op13_level_products": op13_level_products,
 }
 
 ORACLES: dict[str, str] = {
@@ -286,4 +292,50 @@ ORACLES: dict[str, str] = {
         )
         select query_id, rank, vec_id, score from ranked where rank <= 5
     """,
+    "op13_level_products": r"""
+        with docs as (
+            select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as doc,
+                regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+            from documents
+        ),
+        held as materialized (select lang, source, doc, unnest(terms) as term from docs),
+        kept as materialized (select lang, term from held group by all having count(distinct doc) >= 3),
+        counts as materialized (select lang, source, term, count(*) as n from held join kept using (lang, term) group by all),
+        wholes as materialized (select lang, term, sum(n) as n from counts group by all),
+        langs as materialized (select lang, count(*) as v, sum(n) as n from wholes group by all),
+        groups as materialized (
+            select d.lang, d.source, coalesce(c.n, 0) as n, coalesce(l.v, 0) as v, coalesce(l.n, 0) as lang_n
+            from (select distinct lang, source from docs) d
+            left join (select lang, source, sum(n) as n from counts group by all) c on c.lang = d.lang and c.source = d.source
+            left join langs l on l.lang = d.lang
+        ),
+        priced as materialized (
+            select g.lang, g.source, w.term, coalesce(c.n, 0) as n,
+                (1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (g.n + g.v))::hugeint as p,
+                (1 + (1000000000::hugeint * (w.n + 1)) // (g.lang_n + g.v))::hugeint as q
+            from groups g join wholes w on w.lang = g.lang
+            left join counts c on c.lang = g.lang and c.source = g.source and c.term = w.term
+        ),
+        pairs as (
+            select x.lang, x.source, 'pair' as part, y.source as item, sum((x.p - y.p) * (x.p - y.p) // y.p) as value
+            from priced x join priced y on x.lang = y.lang and x.term = y.term and x.source <> y.source
+            group by all
+            union all
+            select g.lang, g.source, 'pair', h.source, 0 from groups g join groups h on h.lang = g.lang and h.source <> g.source
+            where g.v = 0
+        ),
+        found as (
+            select * from pairs
+            union all
+            select lang, source, 'term', term, (p - q) * (p - q) // q from priced where n > 0 and p > q
+        ),
+        ranked as (
+            select lang, source, part, item, value::bigint as value,
+                row_number() over (partition by lang, source, part order by value desc, encode(item))::integer as rank
+            from found
+        )
+        select * from ranked where part = 'pair' or rank <= 200
+    """,
 }
