@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, divergence, feistel, gam, licences, linkgraph, minhash, packing, rules, topk, warc
+from clickloom.llm import bpe, divergence, feistel, gam, lexical, licences, linkgraph, minhash, mixing, packing, rules, topk, warc
 from clickloom.llm.common import table
 from clickloom.sources.tables import fresh_path, materialize
 
@@ -145,6 +145,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_splitting_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes, and the shards they go to."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.size("draws")).alias("taken"),
+        F.transform("draws", lambda d: d["shard"]).alias("shards"),
+    )
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_level_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of each source from the others of its language, and the terms that set it apart."""
     return divergence.audit(table(spark, sf_dir, "documents"))
@@ -227,6 +245,8 @@ QUERIES: dict[str, Query] = {
     "op8_bin_completion": op8_bin_completion,
     "op9_additive_model": op9_additive_model,
     "op10_quality_rules": op10_quality_rules,
+    "op11_splitting_tree": op11_splitting_tree,
+    "op12_lexical_search": op12_lexical_search,
     "op13_level_products": op13_level_products,
 }
 
@@ -292,6 +312,38 @@ ORACLES: dict[str, str] = {
         )
         select query_id, rank, vec_id, score from ranked where rank <= 5
     """,
+    "op12_lexical_search": r"""
+        with tokens as (
+            select doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from documents
+        ),
+        postings as materialized (select doc_id, term, count(*) as tf from tokens group by all),
+        lengths as materialized (select doc_id, sum(tf) as n from postings group by all),
+        totals as materialized (select count(*) as n_docs, sum(n) as n_terms from lengths),
+        weights as materialized (
+            select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as w
+            from postings, totals group by term, n_docs
+        ),
+        asked as (
+            select item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark
+        ),
+        scored as (
+            select item_id, doc_id,
+                sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // n_terms)))))::bigint as score
+            from asked join weights using (term) join postings using (term) join lengths using (doc_id), totals
+            group by all
+        ),
+        ranked as (
+            select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank, doc_id, score
+            from scored where score > 0
+        )
+        select item_id, rank, doc_id, score from ranked where rank <= 20
+    """,
     "op13_level_products": r"""
         with docs as (
             select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as doc,

@@ -1,0 +1,112 @@
+"""Ranked lexical search against a plain version."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from clickloom.llm import lexical
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+DOCS = "doc_id long, text string, score string, term string, query string"
+
+
+def cut(text):
+    return TERM.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain(docs, items, k):
+    held = [(key, Counter(cut(text))) for key, text in docs]
+    held = [(key, c) for key, c in held if c]
+    n_docs, n_terms = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    out = []
+    for item, text in items:
+        found = []
+        for key, c in held:
+            m = 100 - 25 + (25 * sum(c.values()) * n_docs) // n_terms
+            score = 0
+            for t in cut(text):
+                if t in c:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += w * ((1000000000 * c[t]) // (1000 * c[t] + 12 * m))
+            if score > 0:
+                found.append((-score, key is None, key))
+        found.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        out += [(item, i + 1, key, -s) for i, (s, _, key) in enumerate(found[:k])]
+    return out
+
+
+def order(row):
+    return str(row[0]), row[1], row[3], str(row[2])
+
+
+def searched(spark, docs, items, **options):
+    frame = spark.createDataFrame([(*d, "x", "y", "z") for d in docs], DOCS)
+    wanted = spark.createDataFrame([(*i, "x") for i in items], "item_id string, text string, id string")
+    return sorted((tuple(r) for r in lexical.search(frame, wanted, **options).collect()), key=order)
+
+
+def made(seed, docs, words=400, long=60):
+    pick = random.Random(seed)
+    names = [f"w{i}" for i in range(words - 4)] + ["Éa", "ñ", "日本", "THE"]
+    weights = [1 / (i + 1) for i in range(words)][::-1]
+
+    def text(most):
+        return pick.choice([" ", "-", ", "]).join(pick.choices(names, weights, k=pick.randrange(most)))
+
+    return [(i, text(long)) for i in range(docs)], [(f"q{i}", text(25)) for i in range(12)]
+
+
+@pytest.mark.parametrize("shard_bytes, window", [(1 << 22, 512), (3000, 4), (200, 2)])
+def test_equals_plain_version(spark, monkeypatch, shard_bytes, window):
+    monkeypatch.setattr(lexical, "_WINDOW", window)
+    docs, items = made(window, 400)
+    docs += [(1000, None), (1001, ""), (1002, "-- !!"), (None, "w1 w2 w3 w4"), (None, "w1 w2 w3 w4"), (7, "w1 w2 the"), (7, "w1 w2 the")]
+    items += [("none", None), ("empty", ""), ("unknown", "zzz yyy"), ("twice", "w1 w1 w2 w3 THE the"), ("twice", "w1 w1 w2 w3 THE the"), (None, "w1 w2")]
+    assert searched(spark, docs, items, shard_bytes=shard_bytes) == sorted(plain(docs, items, 20), key=order)
+
+
+def test_items_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "_BLOCK_ENTRIES", 30)
+    docs, items = made(3, 200)
+    assert searched(spark, docs, items, k=5, shard_bytes=2000) == sorted(plain(docs, items, 5), key=order)
+
+
+def test_equal_scores_go_by_id(spark):
+    docs = [(i, "same words here") for i in range(300, 0, -1)] + [(i, "others") for i in range(500, 900)]
+    got = searched(spark, docs, [("q", "words")], shard_bytes=100)
+    assert [r[2] for r in got] == list(range(1, 21))
+
+
+def test_word_of_every_document_weighs_nothing(spark):
+    docs = [(i, "the") for i in range(3000)]
+    assert searched(spark, docs, [("q", "the")]) == plain(docs, [("q", "the")], 20) == []
+
+
+def test_long_text(spark):
+    docs = [(1, "a " * 900_000 + "needle"), (2, "needle b"), *[(i, "c d") for i in range(3, 30)]]
+    items = [("q", "needle a")]
+    assert searched(spark, docs, items) == plain(docs, items, 20)
+
+
+def test_most_windows_are_skipped(spark, monkeypatch):
+    """With a rare term asked for, windows without it are not scored."""
+    offered = []
+    plain_offer = lexical.Best.offer
+    monkeypatch.setattr(lexical.Best, "offer", lambda self, score, ids: (offered.append(len(score)), plain_offer(self, score, ids)))
+    wanted = {b"the": 0, b"needle": 1}
+    docs = [["the"] * 3 + ["needle"] * (i < 30) for i in range(20_000)]
+    numbers = lexical._Numbers()
+    codes = [lexical.np.array([numbers[w.encode()] for w in d]) for d in docs]
+    row = dict(zip(("docs", "n_with", "n_terms", "ids", "lengths", "terms", "sizes", "places", "counts"), lexical._shard(list(range(20_000)), numbers, codes)))
+    shard = lexical.Shard({k: lexical.pa.scalar(v) for k, v in row.items()}, wanted, 20_000, row["n_terms"])
+    best = lexical.Best(20)
+    shard.search(lexical.np.array([0, 1]), lexical.np.array([10, 5000]), best)
+    assert list(best.ids) == list(range(20)) and sum(offered) < 1000
+
+
+@pytest.mark.parametrize("docs, items", [([], [("q", "w")]), ([(1, "w")], []), ([], []), ([(1, None)], [("q", "w")])])
+def test_empty_tables(spark, docs, items):
+    assert searched(spark, docs, items) == []
