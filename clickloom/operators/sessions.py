@@ -61,19 +61,15 @@ def active_minutes(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) ->
     return number_sessions(minutes, gap_minutes)
 
 
-def session_minutes(
-    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, unique_events: bool = True
-) -> DataFrame:
-    """The active minutes with the totals of their priced events.
+def minute_totals(events: DataFrame, unique_events: bool = True) -> DataFrame:
+    """The totals of the priced events of every (user, minute), summed up with map-side combining.
 
-    The one relation the session facts come from: events are summed up per (user, minute), with map-side
-    combining, and a user's minutes are put in order once. Write it where several things are derived from
-    it. ``unique_events`` says that an event id occurs in one row only, which spares the distinct count;
+    ``unique_events`` says that an event id occurs in one row only, which spares the distinct count;
     leave it off after a closed-interval price join.
     """
     event_count = F.count("event_id") if unique_events else F.countDistinct("event_id")
     is_type = F.col("event_type").eqNullSafe
-    minutes = (
+    return (
         events.withColumn("minute", epoch_minute(F.col("event_at_ts")))
         .groupBy("user_id", "minute")
         .agg(
@@ -86,7 +82,17 @@ def session_minutes(
             F.max("utm_source").alias("utm_source"),
         )
     )
-    return number_sessions(minutes, gap_minutes)
+
+
+def session_minutes(
+    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, unique_events: bool = True
+) -> DataFrame:
+    """The active minutes with the totals of their priced events.
+
+    The one relation the session facts come from: a user's minutes are put in order once. Write it where
+    several things are derived from it.
+    """
+    return number_sessions(minute_totals(events, unique_events), gap_minutes)
 
 
 def session_id() -> Column:
@@ -184,17 +190,19 @@ def session_metrics(minutes: DataFrame) -> DataFrame:
     )
 
 
+def minute_views(events: DataFrame) -> DataFrame:
+    """The distinct products viewed in every (user, minute)."""
+    views = events.where((F.col("event_type") == PRODUCT_VIEW) & F.col("product_id").isNotNull())
+    return views.select("user_id", epoch_minute(F.col("event_at_ts")).alias("minute"), "product_id").distinct()
+
+
 def products_viewed(events: DataFrame, minutes: DataFrame) -> DataFrame:
     """(user, session_index, distinct_products_viewed) for sessions with a product view.
 
     Views are made distinct per minute, then per session, then counted: every step combines before
     its shuffle and none gathers the products of one session in a single group.
     """
-    views = (
-        events.where((F.col("event_type") == PRODUCT_VIEW) & F.col("product_id").isNotNull())
-        .select("user_id", epoch_minute(F.col("event_at_ts")).alias("minute"), "product_id")
-        .distinct()
-    )
+    views = minute_views(events)
     return (
         views.join(minutes.select("user_id", "minute", "session_index"), ["user_id", "minute"])
         .select("user_id", "session_index", "product_id")

@@ -11,6 +11,21 @@ from clickloom.schemas import SESSION_GAP_MINUTES
 from clickloom.sources.tables import materialize
 
 
+FACT_COLUMNS = [
+    "session_id",
+    "user_id",
+    "user_country",
+    "session_started_at_ts",
+    "session_ended_at_ts",
+    "session_duration_seconds",
+    "total_events_in_session",
+    "total_session_revenue",
+    "total_items_added_to_cart",
+    "distinct_products_viewed",
+    "session_utm_source",
+]
+
+
 def enrich_sessions(sessions: DataFrame, users: Dimension) -> DataFrame:
     """Add ``user_country``; sessions of unknown users stay."""
     countries = users.df.select(users.key, F.col("country").alias("user_country"))
@@ -36,16 +51,4 @@ def fact_sessions(
     sessions = metrics.join(viewed, ["user_id", "session_index"], "left").withColumn(
         "distinct_products_viewed", F.coalesce("distinct_products_viewed", F.lit(0).cast("bigint"))
     )
-    return enrich_sessions(sessions, users).select(
-        "session_id",
-        "user_id",
-        "user_country",
-        "session_started_at_ts",
-        "session_ended_at_ts",
-        "session_duration_seconds",
-        "total_events_in_session",
-        "total_session_revenue",
-        "total_items_added_to_cart",
-        "distinct_products_viewed",
-        "session_utm_source",
-    )
+    return enrich_sessions(sessions, users).select(*FACT_COLUMNS)

@@ -329,6 +329,8 @@ ORACLES: dict[str, str] = {
         from sessionized""",
     "sessionize_wide_gap": f"{_WIDE_GAP} select event_id, session_id from sessionized",
     "fact_sessions": f"{_FULL} select * exclude (session_index) from facts",
+    "increment_sessions": f"{_FULL} select * exclude (session_index) from facts",
+    "increment_events": f"{_VALID} select * from valid",
     "session_bounds": f"{_FULL} select session_id, session_started_at_ts, session_ended_at_ts from facts",
     "session_duration": f"{_FULL} select session_id, session_duration_seconds from facts",
     "session_event_counts": f"{_CLOSED} select session_id, total_events_in_session from facts",
