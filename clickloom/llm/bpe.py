@@ -27,12 +27,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from clickloom.llm.common import emit
+from clickloom.llm.common import emit, map_arrow
 
-#: Pieces whose ids a worker remembers; the cache starts anew when full.
-CACHED_PIECES = 500_000
-#: Token pairs whose compatibility a worker remembers.
-CACHED_PAIRS = 1_000_000
+#: Pieces whose ids a task remembers (none of over 64 characters, so some 64 MB); the cache starts anew when full.
+CACHED_PIECES = 250_000
+#: Token pairs whose compatibility a worker remembers, some 64 MB.
+CACHED_PAIRS = 500_000
 
 
 class BytePairEncoding:
@@ -68,6 +68,10 @@ class BytePairEncoding:
             del cache[piece]
         return ids
 
+    def forget(self) -> None:
+        """Empty the cache of pieces."""
+        self._pieces.clear()
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, _unpacked(ids)))
 
@@ -192,8 +196,9 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
             schema = pa.schema([("key", keys.type), ("ids", pa.binary())])
             rows = ((k.as_py(), codec.encode(t.as_py() or "")) for k, t in zip(keys, texts))
             yield from emit(rows, schema, lambda row: len(row[1]) + 16)
+        codec.forget()
 
-    return docs.select(docs[key].alias("key"), docs[text].alias("text")).mapInArrow(run, f"key {kind}, ids binary").withColumnRenamed("key", key)
+    return map_arrow(docs.select(docs[key].alias("key"), docs[text].alias("text")), run, f"key {kind}, ids binary").withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -209,4 +214,4 @@ def decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id", ids
             yield from emit(rows, schema, lambda row: len(row[1]) + len(row[2]) + 16)
 
     out = encoded.select(encoded[key].alias("key"), encoded[ids].alias("ids"))
-    return out.mapInArrow(run, f"key {kind}, ids binary, decoded binary").withColumnRenamed("key", key)
+    return map_arrow(out, run, f"key {kind}, ids binary, decoded binary").withColumnRenamed("key", key)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -15,12 +16,39 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 _BATCH_BYTES = 8 << 20
 _BATCH_ROWS = 4096
+#: Copies of a row that a task makes at most.
+_COPIES = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, with input batches of the size of output batches (a longer row is a batch of its own).
+
+    Workers outlive a task: what one has freed goes back to the system at its end.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(_BATCH_BYTES))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(bounded, schema)
+
+
+def release_memory() -> None:
+    """Give freed memory of this process back to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def emit(rows: Iterable[tuple], schema: pa.Schema, weight: Callable[[tuple], int]) -> Iterator[pa.RecordBatch]:
     """Rows as Arrow batches of some 8 MB, whatever the input's batches hold."""
     held: list[tuple] = []
@@ -61,6 +89,20 @@ def fresh_name(taken: Iterable[str], name: str) -> str:
     return name
 
 
+def each_copy(grouped: DataFrame, copies: str, number: str) -> DataFrame:
+    """A row for each of the ``copies`` of every row of a written table, with its ``number`` from 1, instead of their count.
+
+    A row with very many copies is spread over tasks before they are made.
+    """
+    chunk = fresh_name([*grouped.columns, number], "chunk")
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / _COPIES))
+    spread = grouped.withColumn(chunk, F.explode(chunks))
+    if (grouped.agg(F.max(copies).alias("n")).first()["n"] or 0) > _COPIES:
+        spread = spread.repartition(shuffle_partitions(grouped.sparkSession), *[c for c in grouped.columns if c != copies], chunk)
+    last = F.least(F.col(copies), (F.col(chunk) + 1) * _COPIES)
+    return spread.withColumn(number, F.explode(F.sequence(F.col(chunk) * _COPIES + 1, last))).drop(chunk, copies)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.llm.common import map_arrow
+
 #: Labelled rows the model is fitted on, at most.
 SAMPLE = 20_000
 
@@ -243,7 +245,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.int32()), lists], names=["k", "y", "x"])
 
     kind = docs.schema[key].dataType.simpleString()
-    found = rows.mapInArrow(run, f"k {kind}, y int, x array<double>").orderBy(F.xxhash64("k"), "k", "x").limit(sample).toArrow()
+    found = map_arrow(rows, run, f"k {kind}, y int, x array<double>").orderBy(F.xxhash64("k"), "k", "x").limit(sample).toArrow()
     x = np.array(found.column("x").to_pylist(), float).reshape(found.num_rows, len(FEATURES))
     return AdditiveModel().fit(x, (np.array(found.column("y").to_pylist(), float) > 0).astype(float))
 
@@ -259,4 +261,4 @@ def score(docs: DataFrame, model: AdditiveModel, keep: list[str], text: str = "t
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], names=[*keep, name])
 
-    return docs.select(*[F.col(c) for c in keep], F.col(text).alias("_text_")).mapInArrow(run, schema)
+    return map_arrow(docs.select(*[F.col(c) for c in keep], F.col(text).alias("_text_")), run, schema)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import emit
+from clickloom.llm.common import emit, map_arrow
 from clickloom.llm.terms import LETTERS_DIGITS, terms
 from clickloom.sources.tables import fresh_path
 
@@ -102,7 +102,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from emit(shards(batches), _INDEX_SCHEMA, lambda row: sum(map(len, row[3:])))
 
-    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(run, _INDEX)
+    return map_arrow(docs.select(F.col(key).cast("long"), F.col(text).cast("string")), run, _INDEX)
 
 
 class Items:
@@ -152,7 +152,7 @@ def holding(index: DataFrame, wanted: dict[bytes, int]) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"term": pa.array(held), "df": pa.array(found[held])})
 
     out = np.zeros(len(wanted), np.int64)
-    for row in index.select("terms", "sizes").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
+    for row in map_arrow(index.select("terms", "sizes"), run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
         out[row["term"]] = row["df"]
     known.unpersist()
     return out
@@ -293,7 +293,7 @@ def search(
                 yield pa.RecordBatch.from_arrays(columns, names=["query", "item", "id", "score"])
 
         read = index.select("ids", "lengths", "terms", "sizes", "places", "counts")
-        read.mapInArrow(run, schema).write.mode("append").parquet(out)
+        map_arrow(read, run, schema).write.mode("append").parquet(out)
         known.unpersist()
         query += len(block.ids)
     found = spark.read.schema(schema).parquet(out) if query else spark.createDataFrame([], schema)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import emit, join_keys
+from clickloom.llm.common import emit, fresh_name, join_keys, map_arrow, shuffle_partitions
 from clickloom.llm.shingles import band_keys, shingle_set, similarity_sketch
 from clickloom.sources.tables import materialize
 
@@ -67,7 +67,7 @@ def describe(docs: DataFrame, key: str, text: str, threshold: float, words: int)
             found = (one(k.as_py(), t.as_py()) for k, t in zip(*batch.columns))
             yield from emit(found, schema, lambda row: 8 * bands + 64)
 
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, "id long, n long, digest binary, keys array<long>")
+    return map_arrow(docs.select(F.col(key).cast("long"), F.col(text)), run, "id long, n long, digest binary, keys array<long>")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, threshold: float, words: int) -> DataFrame:
@@ -89,7 +89,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, threshold:
 
     own = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
     own = join_keys(own, nodes, "node", "left_semi")
-    found = own.mapInArrow(run, "node long, n long, shingles binary, sketch binary, keys binary")
+    found = map_arrow(own, run, "node long, n long, shingles binary, sketch binary, keys binary")
     return found.where(F.col("n") > 0)
 
 
@@ -132,7 +132,7 @@ def promising(pairs: DataFrame, sets: DataFrame, threshold: float, percent: int)
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("x"))
     other = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("y"))
     sized = pairs.join(one, "a").join(other, "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    return sized.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+    return map_arrow(sized.select("a", "b", "x", "y"), run, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float, percent: int) -> DataFrame:
@@ -155,7 +155,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float, percent: int)
         return join_keys(sets.select("node", "shingles"), used, "node", "left_semi").withColumnsRenamed({"node": side, "shingles": name})
 
     joined = fits.join(sets_of("a", "x"), "a").join(sets_of("b", "y"), "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(run, "a long, b long")
+    return map_arrow(joined, run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -267,7 +267,7 @@ def block_links(crowded: DataFrame, sets: DataFrame, threshold: float, percent:
             if held:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([h[0] for h in held]), "b": pa.array([h[1] for h in held])})
 
-    return paired.select("key", "items", "items_2").mapInArrow(run, "a long, b long").distinct()
+    return map_arrow(paired.select("key", "items", "items_2"), run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -308,3 +308,23 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, key: str
     found = found.withColumn("component_id", F.coalesce("component_id", "id"))
     kept = F.col("id").isNull() | (F.col("id") == F.col("component_id"))
     return found.select(F.col("id").alias(key), "n_shingles", "component_id", kept.alias("kept"))
+
+
+def one_of_each_group(docs: DataFrame, percent: int = 80, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` but for those whose text is a near-duplicate, over links, of a row that stays: that of the smallest id.
+
+    Rows count one by one: where ids are missing or repeated, all rows are numbered in order of their ids first,
+    and the smallest number stays, rows without an id being last.
+    """
+    repeated = docs.groupBy(key).agg(F.count("*").alias("n")).where(F.col(key).isNull() | (F.col("n") > 1))
+    name = key
+    if not materialize(repeated.select(key), "near-repeated").isEmpty():
+        name = fresh_name(docs.columns, "row")
+        order = [F.asc_nulls_last(key), F.xxhash64(text)]
+        ordered = docs.repartitionByRange(shuffle_partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+        docs = materialize(ordered.withColumn(name, F.monotonically_increasing_id()), "near-numbered")
+    groups = near_duplicates(docs.select(name, text), percent, words, name, text)
+    # The documents that go are fewer than those that stay.
+    gone = materialize(groups.where(~F.col("kept")).select(name), "near-gone")
+    rows = join_keys(docs, gone, name, "left_anti")
+    return rows if name == key else rows.drop(name)

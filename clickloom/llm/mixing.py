@@ -30,16 +30,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import SPACE, join_keys, shuffle_partitions
+from clickloom.llm.common import SPACE, each_copy, join_keys, shuffle_partitions
 from clickloom.sources.tables import materialize
 
-#: Blocks, and copies of equal rows, that are summed up in one task.
+#: Blocks that are summed up in one task.
 _GROUP = 4096
 #: Levels of the tree before its nodes are spread over tasks.
 _ALONE = 6
 #: Bytes of a row in a join with measured tables.
 _ROW_BYTES = 96
-_ADDED = ("source_size", "size", "target", "draws", "number", "block", "order", "copies", "rounds", "extra", "shard", "place")
+_ADDED = ("source_size", "size", "target", "draws", "number", "block", "order", "copies", "copy", "chunk", "rounds", "extra", "shard", "place")
 
 
 def counted_rows(docs: DataFrame, keep: Sequence[str], text: str, source: str) -> DataFrame:
@@ -50,8 +50,8 @@ def counted_rows(docs: DataFrame, keep: Sequence[str], text: str, source: str) -
 
 
 def numbered_sources(rows: DataFrame) -> DataFrame:
-    """source, source_size, most copies of a row and number: the place in the order of names, null last."""
-    sums = rows.groupBy("_source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.max("copies").alias("most_copies"))
+    """source, source_size and number: the place in the order of names, null last."""
+    sums = rows.groupBy("_source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     # Order by parts of the range, so that no task sees all sources.
     ordered = sums.repartitionByRange(shuffle_partitions(rows.sparkSession), F.asc_nulls_last("_source"))
     ordered = materialize(ordered.withColumn("part", F.spark_partition_id()), "mix-sources")
@@ -59,7 +59,7 @@ def numbered_sources(rows: DataFrame) -> DataFrame:
     parts = ordered.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     within = Window.partitionBy("part").orderBy(F.asc_nulls_last("_source"))
     placed = ordered.withColumn("at", F.row_number().over(within)).join(F.broadcast(parts), "part")
-    return placed.select("_source", "source_size", "most_copies", (F.col("first") + F.col("at") - 1).alias("number"))
+    return placed.select("_source", "source_size", (F.col("first") + F.col("at") - 1).alias("number"))
 
 
 def with_targets(sources: DataFrame, weights: Sequence[int], percent: int, most: int) -> DataFrame:
@@ -88,13 +88,8 @@ def placed_rows(rows: DataFrame, sources: DataFrame, keep: Sequence[str], block_
     named = sources.withColumnRenamed("_source", "_name")
     if sources.count() * _ROW_BYTES <= 64 << 20:
         named = F.broadcast(named)
-    joined = rows.join(named, F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
-    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / _GROUP)))
-    spread = joined.withColumn("chunk", chunk)
-    if (sources.agg(F.max("most_copies").alias("n")).first()["n"] or 0) > _GROUP:  # else no row has a second chunk
-        spread = spread.repartition(shuffle_partitions(rows.sparkSession), *keep, "chunk")
-    last = F.least("copies", (F.col("chunk") + 1) * _GROUP)
-    copies = spread.withColumn("copy", F.explode(F.sequence(F.col("chunk") * _GROUP + 1, last)))
+    copies = each_copy(rows, "copies", "copy")
+    copies = copies.join(named, F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
     content = [F.col("_source"), *map(F.col, keep), F.col("size"), F.col("copy")]
     blocks = F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words))
     return copies.select(

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import shuffle_partitions
+from clickloom.llm.common import map_arrow, shuffle_partitions
 from clickloom.sources.tables import fresh_path, materialize
 
 #: Products up to here are exact in the double precision they are computed in.
@@ -201,7 +201,7 @@ def top_k(
             yield pa.RecordBatch.from_arrays(columns, names=["pivot", "distance", "id", "v"])
 
     parts = max(shuffle_partitions(spark) // 2, -(-stats["n"] // part_rows))
-    keyed = vectors.mapInArrow(assign, "pivot int, distance double, id long, v array<double>")
+    keyed = map_arrow(vectors, assign, "pivot int, distance double, id long, v array<double>")
     index = materialize(
         keyed.repartitionByRange(parts, "pivot", "distance", "id").sortWithinPartitions("pivot", "distance", "id"),
         "topk-index",
@@ -225,7 +225,7 @@ def top_k(
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["query_id", key, "score"])
 
-        found = index.select("pivot", "distance", "id", "v").mapInArrow(scan, f"query_id long, {key} long, score long")
+        found = map_arrow(index.select("pivot", "distance", "id", "v"), scan, f"query_id long, {key} long, score long")
         found.write.mode("append").parquet(out)
         known.unpersist()
     found = spark.read.schema(f"query_id long, {key} long, score long").parquet(out)
