@@ -31,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import emit, join_keys
+from clickloom.llm.common import emit, join_keys, map_arrow
 from clickloom.llm.terms import LETTERS, terms
 from clickloom.sources.tables import materialize
 
 SCALE = 1_000_000_000
 #: Counts a task holds before it hands them on.
-_HELD = 200_000
+_HELD = 400_000
 #: Entries of a block of the matrix; columns of its dense part, and the terms a column needs for it; rows of a tile.
 _BLOCK, _DENSE, _FULL, _TILE = 1 << 20, 512, 32, 8192
 #: Bytes of a row of groups, for the measured join.
@@ -45,12 +45,11 @@ _GROUP_BYTES = 256
 
 
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """lang, source, term, n (occurrences), docs (documents that hold it); a row with a null term for every group."""
+    """lang, source, term, n (occurrences) and docs (documents that hold it), as far as tasks sum them up."""
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 
     def rows(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[tuple]:
         for group, (number, holding) in held.items():
-            yield *group, None, 0, 0
             for term, n in number.items():
                 yield *group, term.decode("utf-8", "replace"), n, holding[term]
 
@@ -77,8 +76,7 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
         yield from emit(rows(held), schema, lambda row: 64)
 
     found = docs.select(F.col(lang).cast("string"), F.col(source).cast("string"), F.col(text).cast("string"))
-    found = found.mapInArrow(run, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return map_arrow(found, run, "lang string, source string, term string, n long, docs long")
 
 
 def level_product(row: np.ndarray, column: np.ndarray, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,7 +154,7 @@ def joint_tables(vectors: DataFrame) -> DataFrame:
         if held:
             yield from product(held)
 
-    tables = vectors.select("lang", "counts").mapInArrow(run, "lang string, source string, a long, other string, b long, n long")
+    tables = map_arrow(vectors.select("lang", "counts"), run, "lang string, source string, a long, other string, b long, n long")
     swapped = F.col("source") > F.col("other")  # blocks number their columns differently
 
     def ordered(one: str, two: str) -> Column:
@@ -215,14 +213,16 @@ def pair_values(vectors: DataFrame, groups: DataFrame) -> DataFrame:
 
 def audit(docs: DataFrame, least_docs: int = 3, terms_ranked: int = 200, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source, part, item, value, rank: divergence from each other source (``pair``), and the terms a group has more often than its language (``term``)."""
-    counts = materialize(term_counts(docs, text, lang, source), "divergence-counts")
-    held = counts.where(F.col("term").isNotNull()).groupBy("lang", "term")
-    vectors = held.agg(F.sum("docs").alias("docs"), F.sum("n").alias("whole"), F.collect_list(F.struct("source", "n")).alias("counts"))
+    # One shuffle by term serves the sums of a group and the list of a term's groups.
+    counts = term_counts(docs, text, lang, source).repartition("lang", "term")
+    counts = counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    vectors = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("whole"), F.collect_list(F.struct("source", "n")).alias("counts"))
     vectors = materialize(vectors.where(F.col("docs") >= least_docs).drop("docs"), "divergence-vectors")
 
     langs = vectors.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("whole").alias("lang_n"))
     sums = vectors.select("lang", F.explode("counts").alias("c")).groupBy("lang", "c.source").agg(F.sum("c.n").alias("own_n"))
-    groups = counts.where(F.col("term").isNull()).select("lang", "source").join(sums, ["lang", "source"], "left").join(langs, "lang", "left")
+    names = [F.coalesce(docs[x].cast("string"), F.lit("")).alias(y) for x, y in ((lang, "lang"), (source, "source"))]
+    groups = docs.select(*names).distinct().join(sums, ["lang", "source"], "left").join(langs, "lang", "left")
     groups = groups.fillna(0, ["own_n", "kept", "lang_n"])
     groups = groups.select("lang", "source", "kept", (F.col("own_n") + F.col("kept")).alias("total"), (F.col("lang_n") + F.col("kept")).alias("lang_total"))
     groups = materialize(groups, "divergence-groups")
