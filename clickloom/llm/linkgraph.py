@@ -26,8 +26,12 @@ from clickloom.sources.tables import materialize
 
 #: Total score of a walk.
 MASS = 10**15
-#: A host name as it stands in markup or text: labels of letters, digits and hyphens.
-_NAME = r"[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9][A-Za-z0-9-]*)++"
+#: The host of a link in markup or text, which a quote, a bracket or a blank ends as well.
+_LINK = r"""://([^/?#"'<>\x20\x09-\x0D]*)"""
+#: Marks that end a sentence, not a host.
+_MARKS = ".,;:!)]}"
+#: A host named outside links: labels of letters, digits, hyphens and underscores, from where the first begins.
+_NAME = r"(?<![\p{L}\p{N}_-])[\p{L}\p{N}_-]++(?:\.[\p{L}\p{N}_-]++)++"
 
 Rule = tuple[str, str, str]  # verdict, host, path
 
@@ -65,9 +69,15 @@ def with_rules(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFra
 
 
 def host_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """src, dst, links: other hosts of the table that a host's pages name, in links or in plain text."""
+    """src, dst, links: other hosts of the table that a host's pages name, in links or in plain text.
+
+    The target of a link has the whole host, with port and user, as a page's url has; a name in plain text is
+    taken whole too, so ``my_shop.net`` is no mention of ``shop.net``.
+    """
     hosts = pages.select("host").where(F.col("host") != "").distinct()
-    names = F.array_distinct(F.transform(F.regexp_extract_all(html, F.lit(_NAME), F.lit(0)), lower_ascii))
+    links = F.transform(F.regexp_extract_all(html, F.lit(_LINK), F.lit(1)), lambda x: F.rtrim(x, F.lit(_MARKS)))
+    bare = F.regexp_extract_all(F.regexp_replace(html, _LINK, " "), F.lit(_NAME), F.lit(0))
+    names = F.array_distinct(F.transform(F.concat(links, bare), lower_ascii))
     named = pages.where((F.col("host") != "") & F.col(html).isNotNull()).select(
         F.col("host").alias("src"), F.explode(names).alias("dst")
     )

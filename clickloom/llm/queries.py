@@ -34,7 +34,7 @@ def op1_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     read = warc.read_archives(spark, path).select(
-        F.col("page").cast("long").alias("page_id"),
+        F.col("page").try_cast("long").alias("page_id"),  # empty for rows without an id
         "record_id",
         "record_type",
         "refers_to_id",
@@ -181,7 +181,8 @@ def _link_graph_sql(rounds: int = 8) -> str:
         ),"""
         for i in range(rounds)
     )
-    name = r"[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9][A-Za-z0-9-]*)+"
+    link = r"""'://([^/?#"''<>\x20\x09-\x0D]*)'"""
+    name = r"'[\p{L}\p{N}_-]+(?:\.[\p{L}\p{N}_-]+)+'"
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return rf"""
         with cut as (
@@ -205,8 +206,11 @@ def _link_graph_sql(rounds: int = 8) -> str:
             group by page_id
         ),
         named as (
-            select distinct page_id, host as src, {lower.format("unnest(regexp_extract_all(html, '" + name + "'))")} as dst
-            from ruled where host <> ''
+            select distinct page_id, src, {lower.format("dst")} as dst from (
+                select page_id, host as src, rtrim(unnest(regexp_extract_all(html, {link}, 1)), '.,;:!)]}}') as dst from ruled
+                union all
+                select page_id, host, unnest(regexp_extract_all(regexp_replace(html, {link}, ' ', 'g'), {name})) from ruled
+            ) where src <> ''
         ),
         links as (
             select src, dst, count(*) as n from named

@@ -15,8 +15,10 @@ take part in the shuffle. A record that can't be put together is returned with a
 
 Two equal copies of a segment count once; different segments with the same origin and number are a
 ``wrong length`` or ``bad chunks`` at the latest. A null url is written as an empty target, a null body
-as an empty payload. Rows without an id are left out, as records need one; of rows with the same id one
-is written (the largest url, then body). Empty tables give empty archives, which read as no rows.
+as an empty payload. Every row has a record: rows that share an id, or have none, are told apart by their
+content and a running number. Of equal payloads, all rows of the largest id are responses, and so are rows
+without an id; a revisit refers to one of the former. Ids are whole numbers. Empty tables give empty
+archives, which read as no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import emit
+from clickloom.llm.common import each_copy, emit, join_keys, map_arrow
 from clickloom.sources.tables import materialize
 
 #: Fixed values of the formats.
@@ -45,9 +47,9 @@ FILE_RECORDS = 4096
 MIN_REVISIT = 1000
 
 
-def record_id(key: int) -> str:
-    """The identifier of a page's record: the same for the same page, so a repeated task writes it again."""
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{key}')}>"
+def record_id(name: object) -> str:
+    """The identifier of a row's record: the same for the same row, so a repeated task writes it again."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{name}')}>"
 
 
 def chunked(body: bytes, size: int) -> bytes:
@@ -83,15 +85,15 @@ def _record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
-def _records(key: int, url: str, body: bytes, refers_to: int | None, segment: int, chunk: int) -> Iterator[bytes]:
-    origin = record_id(key)
+def _records(key: int | None, name: str, url: str, body: bytes, refers_to: str | None, segment: int, chunk: int) -> Iterator[bytes]:
+    origin = record_id(name)
     url = "".join(url.split())  # a header is one line
     digest = hashlib.sha1(body).hexdigest()
     shared = [
         ("WARC-Target-URI", url),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
-        ("X-Page-ID", key),
+        ("X-Page-ID", "" if key is None else key),
         ("Content-Type", "application/http;msgtype=response"),
     ]
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -108,7 +110,7 @@ def _records(key: int, url: str, body: bytes, refers_to: int | None, segment: in
     for number, at in enumerate(range(segment, len(block), segment), 2):
         headers = [
             ("WARC-Type", "continuation"),
-            ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{key}:{number}')}>"),
+            ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{name}:{number}')}>"),
             ("WARC-Date", "1970-01-01T00:00:00Z"),
             ("WARC-Segment-Origin-ID", origin),
             ("WARC-Segment-Number", number),
@@ -118,41 +120,45 @@ def _records(key: int, url: str, body: bytes, refers_to: int | None, segment: in
         yield _record(headers, block[at : at + segment])
 
 
-def plan_records(pages: DataFrame, key: str, url: str, body: str, min_revisit: int) -> DataFrame:
-    """id, url, body (binary) and refers_to of each page; one row an id.
+def plan_records(rows: DataFrame, min_revisit: int) -> DataFrame:
+    """id, name, url, body (binary) and refers_to (the name of a response) of each of the named rows.
 
-    Only digests, sizes and ids are grouped; a digest's rows are counted in the map tasks first. The
+    Only digests, ids and names are grouped; a digest's rows are counted in the map tasks first. The
     representatives are written down, so that both sides of the join come straight from a shuffle (or
     the small one is broadcast by Spark's own limit) and a digest with very many pages is split.
     """
-    rows = pages.where(F.col(key).isNotNull()).select(
+    sized = rows.withColumn("digest", F.when((F.octet_length("body") >= min_revisit) & F.col("id").isNotNull(), F.sha1("body")))
+    shared = sized.where(F.col("digest").isNotNull()).groupBy("digest")
+    shared = shared.agg(F.max(F.struct("id", "name")).alias("first"), F.min("id").alias("least")).where(F.col("first.id") != F.col("least"))
+    shared = materialize(shared.select("digest", "first"), "warc-shared")
+    joined = sized.join(shared, "digest", "left")
+    return joined.select("id", "name", "url", "body", F.when(F.col("id") != F.col("first.id"), F.col("first.name")).alias("refers_to"))
+
+
+def named_rows(pages: DataFrame, key: str, url: str, body: str) -> DataFrame:
+    """id, name, url and body (binary) of every row; nothing is moved where ids are unique.
+
+    The name is the id. To rows with an id that others have too, or without one, it adds a digest of the content
+    and the number among equal rows.
+    """
+    rows = pages.select(
         F.col(key).cast("long").alias("id"),
         F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"),
         F.coalesce(F.col(body).cast("string").cast("binary"), F.lit(b"")).alias("body"),
     )
-    sized = rows.withColumn("digest", F.when(F.octet_length("body") >= min_revisit, F.sha1("body")))
-    shared = (
-        sized.where(F.col("digest").isNotNull())
-        .groupBy("digest")
-        .agg(F.max("id").alias("first"), F.min("id").alias("least"))
-        .where(F.col("first") != F.col("least"))
-        .select("digest", "first")
-    )
-    shared = materialize(shared, "warc-shared")
-    joined = sized.join(shared, "digest", "left")
-    return joined.select("id", "url", "body", F.when(F.col("id") != F.col("first"), F.col("first")).alias("refers_to"))
-
-
-def one_per_id(pages: DataFrame, key: str, url: str, body: str) -> DataFrame:
-    """Of rows with the same id the one of largest url, then body; nothing is moved where ids are unique."""
-    twice = pages.groupBy(key).count().where(F.col("count") > 1).select(key)
+    twice = rows.groupBy("id").count().where((F.col("count") > 1) & F.col("id").isNotNull()).select("id")
     twice = materialize(twice, "warc-repeated")
-    if twice.isEmpty():
-        return pages
-    largest = F.max(F.struct(F.col(url).alias("url"), F.col(body).alias("body"))).alias("x")
-    again = pages.join(twice, key, "left_semi").groupBy(key).agg(largest)
-    single = pages.join(twice, key, "left_anti").select(key, url, body)
-    return single.unionByName(again.select(key, F.col("x.url").alias(url), F.col("x.body").alias(body)))
+    without = rows.where(F.col("id").isNull())
+    single = rows.where(F.col("id").isNotNull())
+    if not twice.isEmpty():
+        without = without.unionByName(join_keys(single, twice, "id", "left_semi"))
+        single = join_keys(single, twice, "id", "left_anti")
+    alike = without.groupBy("id", "url", "body").agg(F.count("*").alias("copies"))
+    content = F.sha1(F.concat(F.sha1("body"), F.col("url").cast("string")).cast("binary"))
+    named = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("")), content, "copy")
+    again = each_copy(materialize(alike, "warc-alike"), "copies", "copy").withColumn("name", named)
+    single = single.withColumn("name", F.col("id").cast("string"))
+    return single.unionByName(again.select("id", "url", "body", "name"))
 
 
 def write_archives(
@@ -167,7 +173,7 @@ def write_archives(
     file_records: int = FILE_RECORDS,
 ) -> None:
     """Write the pages as gzipped WARC files below ``path``."""
-    planned = plan_records(one_per_id(pages, key, url, body), key, url, body, min_revisit)
+    planned = plan_records(named_rows(pages, key, url, body), min_revisit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("record", pa.binary())])
@@ -176,7 +182,7 @@ def write_archives(
             records = ((r,) for row in rows for r in _records(*row, segment_bytes, chunk_bytes))
             yield from emit(records, schema, lambda row: len(row[0]))
 
-    records = planned.mapInArrow(run, "record binary")
+    records = map_arrow(planned, run, "record binary")
     # The text writer passes the bytes of a string on as they are, and the line separator ends each record.
     writer = records.select(F.col("record").cast("string").alias("value")).write.mode("overwrite")
     writer.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
@@ -231,7 +237,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 yield from emit(rows, schema, lambda row: len(row[-1]) + 400)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(run, ", ".join(f"{name} string" for name in _FIELDS) + ", block binary")
+    return map_arrow(files, run, ", ".join(f"{name} string" for name in _FIELDS) + ", block binary")
 
 
 def reassemble(records: DataFrame) -> DataFrame:
@@ -275,7 +281,7 @@ def payloads(assembled: DataFrame) -> DataFrame:
             rows = ((*row[:-2], *_payload(row[-2], row[-1], row[kept.index("record_type")])) for row in zip(*columns))
             yield from emit(rows, schema, lambda row: len(row[-2] or b"") + 400)
 
-    return assembled.mapInArrow(run, ", ".join(f"{name} string" for name in kept) + ", payload binary, status string")
+    return map_arrow(assembled, run, ", ".join(f"{name} string" for name in kept) + ", payload binary, status string")
 
 
 def _payload(block: bytes | None, status: str, kind: str | None) -> tuple[bytes | None, str]:

@@ -1,9 +1,9 @@
 """URL rules and trust propagation against a plain version."""
 
 import math
-import re
 from collections import Counter, defaultdict
 
+import regex as re
 from pyspark.sql import functions as F
 
 from clickloom.llm import linkgraph
@@ -20,6 +20,27 @@ def match(host, path, rules):
     return max(fits)[1:] if fits else (None, None)
 
 
+def lower(text):
+    return "".join(c.lower() if c.isascii() else c for c in text)
+
+
+def hosts_in(html):
+    """Whole hosts of absolute links, cut as a url is; outside them runs of labels with a dot between."""
+    names, rest = set(), []
+    for i, part in enumerate(html.split("://")):
+        if i:
+            end = next((at for at, c in enumerate(part) if c in "/?#\"'<> \t\n\v\f\r"), len(part))
+            names.add(lower(part[:end]).rstrip(".,;:!)]}"))
+            part = part[end:]
+        rest.append(part)
+    for run in re.findall(r"[\p{L}\p{N}_.-]+", " ".join(rest)):
+        for name in re.split(r"\.{2,}", run):
+            name = name.strip(".")
+            if "." in name:
+                names.add(lower(name))
+    return names
+
+
 def plain(rows, rules, rounds=8, damping=0.85):
     placed = [(k, *split_url(u), h) for k, u, h in rows]
     hosts = {p[1] for p in placed if p[1]}
@@ -28,8 +49,7 @@ def plain(rows, rules, rounds=8, damping=0.85):
         rule, verdict = match(host, path, rules)
         if rule:
             seeds[verdict == "block"][host] += 1
-        names = {m.lower() for m in re.findall(r"[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9][A-Za-z0-9-]*)+", html or "")}
-        for name in names:
+        for name in hosts_in(html or ""):
             if host and name != host and name in hosts:
                 links[host, name] += 1
     scores = []
@@ -79,6 +99,31 @@ def test_small_graph(spark):
     assert verdicts[4] == "block" and verdicts[2] == "allow" and verdicts[9] == "block" and verdicts[7] == "allow"
 
 
+def test_links_by_whole_hosts(spark):
+    rules = [linkgraph.parse_rule("bad.com/", "block")]
+    hosts = ["my_shop.net", "shop.net", "b.net:8080", "b.net", "müller.de", "ller.de", "u:p@c.net", "c.net", "d.net"]
+    rows = [(i, f"http://{h}/", None) for i, h in enumerate(hosts)]
+    mentions = [
+        "http://my_shop.net/x",
+        "see my_shop.net.",
+        "http://b.net:8080",
+        "http://müller.de?q",
+        "müller.de, x",
+        "<a href='http://u:p@c.net/'>",
+        "go to HTTP://D.net; or",
+        "x.d.net d.net..e",
+    ]
+    rows += [(100 + i, "http://bad.com/", html) for i, html in enumerate(mentions)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    placed = linkgraph.with_rules(pages, rules)
+    got = {r["dst"]: r["links"] for r in linkgraph.host_links(placed).collect()}
+    assert got == {"my_shop.net": 2, "b.net:8080": 1, "müller.de": 2, "u:p@c.net": 1, "d.net": 2}
+    for _, _, html in rows:
+        assert {x for x in hosts_in(html or "") if x in hosts} <= set(got)
+    judged = sorted((tuple(r) for r in linkgraph.judge(pages, rules).collect()), key=str)
+    assert judged == plain(rows, rules)
+
+
 def test_no_rows_no_rules(spark):
     schema = "page_id long, url string, html string"
     assert linkgraph.judge(spark.createDataFrame([], schema), URL_RULES).collect() == []

@@ -3,10 +3,12 @@
 import gzip
 import hashlib
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from clickloom.llm import warc
+from clickloom.llm.queries import QUERIES
 from clickloom.sources.tables import fresh_path
 
 
@@ -18,7 +20,7 @@ def pages(spark, rows):
 def roundtrip(spark, rows, **options):
     path = fresh_path(spark, "warc-test")
     warc.write_archives(pages(spark, rows), path, **options)
-    return {int(r["page"]): r for r in warc.read_archives(spark, path).collect()}, path
+    return {int(r["page"]) if r["page"] else None: r for r in warc.read_archives(spark, path).collect()}, path
 
 
 def test_roundtrip_with_segments_and_revisits(spark):
@@ -27,9 +29,9 @@ def test_roundtrip_with_segments_and_revisits(spark):
     same = "x" * 1000
     rows = [(1, "http://a/1", same), (2, None, same), (3, "http://a/3\r\nX: y", "x" * 999), (4, "u", "x" * 999), (5, "u", None), (6, "u", ""), (7, "u", long), (None, "u", same), (8, "u", same)]
     found, path = roundtrip(spark, rows, segment_bytes=700, chunk_bytes=300, file_records=5)
-    assert set(found) == {1, 2, 3, 4, 5, 6, 7, 8}
+    assert set(found) == {None, 1, 2, 3, 4, 5, 6, 7, 8}
     for key, _, html in rows:
-        if key in (None, 1, 2):
+        if key in (1, 2):
             continue
         assert found[key]["status"] == "ok" and found[key]["record_type"] == "response"
         assert bytes(found[key]["payload"]) == (html or "").encode()
@@ -40,9 +42,27 @@ def test_roundtrip_with_segments_and_revisits(spark):
     assert max(sizes) <= 5 and sum(sizes) > 80
 
 
-def test_repeated_rows_and_ids(spark):
-    found, _ = roundtrip(spark, [(1, "u", "a"), (1, "u", "a"), (1, "u", "b"), (2, "u", "c")])
-    assert {k: bytes(r["payload"]) for k, r in found.items()} == {1: b"b", 2: b"c"}
+def test_every_row_has_a_record(spark):
+    same, other = "s" * 2000, "t" * 30_000
+    rows = [(1, "u", "a"), (1, "u", "a"), (1, "u", "b"), (1, None, "b"), (2, "u", "c"), (None, "u", same), (None, "u", same), (None, None, None)]
+    rows += [(3, "u", same), (4, "u", same), (4, "v", same), (5, "u", other), (5, "u", other), (5, "u", other)]
+    path = fresh_path(spark, "warc-test")
+    warc.write_archives(pages(spark, rows), path, segment_bytes=700)
+    found = warc.read_archives(spark, path).collect()
+    assert len({r["record_id"] for r in found}) == len(found) == len(rows)
+    got = Counter((r["page"], bytes(r["payload"] or b""), r["record_type"]) for r in found)
+    want = Counter((str(k or ""), b"" if k == 3 else (html or "").encode(), "revisit" if k == 3 else "response") for k, _, html in rows)
+    assert got == want and {r["status"] for r in found} == {"ok"}
+    revisit = next(r for r in found if r["page"] == "3")
+    assert revisit["refers_to_id"] in {r["record_id"] for r in found if r["page"] == "4"}
+
+
+def test_query_returns_every_row(spark, tmp_path):
+    rows = [(1, "u", "a" * 1200), (2, "u", "a" * 1200), (2, "v", "a" * 1200), (None, "u", "a" * 1200), (None, "u", None), (3, "u", "b")]
+    pages(spark, rows).write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in QUERIES["op1_warc_roundtrip"](spark, str(tmp_path)).collect()), key=str)
+    want = [(1, 1200, "revisit", 2), (2, 1200, "response", None), (2, 1200, "response", None), (3, 1, "response", None), (None, 0, "response", None), (None, 1200, "response", None)]
+    assert got == sorted(want, key=str)
 
 
 def test_empty_table(spark):
