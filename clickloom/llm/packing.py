@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import emit
+from clickloom.llm.common import emit, map_arrow
 from clickloom.sources.tables import materialize
 
-#: Words whose ids a worker remembers; the cache starts anew when full.
-CACHED_WORDS = 500_000
+#: Bytes of the words whose ids a task remembers, and what a word takes besides its letters and ids; the cache starts anew when full.
+CACHED_BYTES, _WORD_BYTES = 64 << 20, 180
 #: Bytes of text whose words are looked up together.
 _GROUP_BYTES = 1 << 20
 
@@ -70,10 +70,16 @@ class WordEncoder:
         self._merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self._letters = _byte_letters()
         self._cache: dict[bytes, bytes] = {}
+        self._cached = 0
         probe = ["The thing, it's über\n\tfine!! a|b élan. 12 été***", "x", " .", "ab\x00 c"]
         self._wordwise = True
         self._wordwise = self.encode(probe) == [self._ids(p) for p in probe]
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the cache."""
         self._cache.clear()
+        self._cached = 0
 
     def _ids(self, text: str) -> bytes:
         return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -83,8 +89,8 @@ class WordEncoder:
         if not self._wordwise:
             return [self._ids(t) for t in texts]
         cache = self._cache
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
+        if self._cached > CACHED_BYTES:
+            self.forget()
         words = [t.encode("utf-8").lower().split() for t in texts]  # A-Z; at ASCII white space
         self._learn(set().union(*words).difference(cache))
         return [b"".join(map(cache.__getitem__, w)) for w in words]
@@ -110,11 +116,13 @@ class WordEncoder:
         new = list(other.difference(cache))
         self._learn_all(new, [w.decode("utf-8") for w in new], self._tokenizer, "\x00")
         for word, stem, marks in parted:
-            cache[word] = cache[stem] + cache[marks]
+            ids = cache[word] = cache[stem] + cache[marks]
+            self._cached += len(word) + len(ids) + _WORD_BYTES
 
     def _learn_all(self, words: list[bytes], texts: list[str], tokenizer, border: str) -> None:
         """Encode several words at once, with a border word between any two."""
         mark = tokenizer.encode(border, add_special_tokens=False).ids
+        self._cached += sum(map(len, words)) * 3 + len(words) * _WORD_BYTES  # an id for every other letter
         for at in range(0, len(words), 4096):
             some = words[at : at + 4096]
             ids = _packed(tokenizer.encode_batch_fast([f" {border} ".join(texts[at : at + 4096])], add_special_tokens=False)[0].ids)
@@ -165,9 +173,10 @@ def pieces(docs: DataFrame, path: str, size: int = 2048, end_id: int = 0, key: s
             fields = [("key", batch.column(0).type), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
             schema = pa.schema(fields + [("ids", pa.binary())] * with_ids)
             yield from emit(rows(batch.column(0), batch.column(1)), schema, lambda row: 64 + 4 * row[3] * with_ids)
+        _encoder(path).forget()
 
     schema = f"key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_arrow(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), run, schema).withColumnRenamed("key", key)
 
 
 def lower_bound(counts: dict[int, int], size: int) -> int:
@@ -364,6 +373,7 @@ class Layout:
 def with_ranks(cut: DataFrame, order: list[str], chunk_rows: int = 20_000) -> DataFrame:
     """``cut`` with ``rank``: a number from 0 within each length, without a gap.
 
+    The last column of ``order`` is different in every row, so equal rows share out over the chunks like others.
     ``cut`` is read twice: pass a written table.
     """
     chunks = max(8, -(-cut.count() // chunk_rows))
@@ -376,11 +386,18 @@ def with_ranks(cut: DataFrame, order: list[str], chunk_rows: int = 20_000) -> Da
     return ranked.withColumn("rank", F.col("base") + F.col("place") - 1).drop("chunk", "place", "base")
 
 
+def numbered(cut: DataFrame) -> DataFrame:
+    """The pieces, written with a number in ``_row`` that no other has."""
+    return materialize(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+
+
 def pack(cut: DataFrame, size: int = 2048, nodes: int = 20_000, key: str = "doc_id") -> DataFrame:
-    """The pieces with ``sequence_id`` and ``offset``. ``cut`` is read several times: pass a written table."""
+    """The ``numbered`` pieces with ``sequence_id`` and ``offset``."""
     counts = {row["length"]: row["n"] for row in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``size`` rows
     layout = Layout(complete_bins(counts, size, nodes))
-    ranked = with_ranks(cut, [key, "piece", "start", "ids_crc32"]).select(*cut.columns, "rank")
+    ranked = with_ranks(cut, [key, "piece", "start", "ids_crc32", "_row"])
+    kept = [f for f in cut.schema if f.name != "_row"]
+    ranked = ranked.select(*[f.name for f in kept], "rank")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -389,8 +406,8 @@ def pack(cut: DataFrame, size: int = 2048, nodes: int = 20_000, key: str = "doc_
             columns = [*batch.columns[:-1], pa.array(sequence), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "sequence_id", "offset"])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema)
-    return ranked.mapInArrow(run, f"{fields}, sequence_id long, offset long")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    return map_arrow(ranked, run, f"{fields}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -402,4 +419,4 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 def pack_documents(docs: DataFrame, path: str, size: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, piece, start, length, ids_crc32, sequence_id and offset of every piece of the documents."""
-    return pack(materialize(pieces(docs, path, size, end_id, key, text), "pieces"), size, key=key)
+    return pack(numbered(pieces(docs, path, size, end_id, key, text)), size, key=key)

@@ -10,6 +10,9 @@ import pytest
 from tokenizers import Tokenizer
 
 from clickloom.llm import packing
+from clickloom.llm.queries import QUERIES
+from pyspark.sql import functions as F
+from samples import SF_DIR
 
 PATH = P.path("word_bpe_49k.json")
 
@@ -136,7 +139,7 @@ def test_packing_documents(docs, library):
     rows = [(i, " ".join(rnd.choice(["alpha", "beta", "gamma"]) for _ in range(rnd.randrange(90)))) for i in range(120)]
     rows += [(500, None), (501, ""), (None, "null id"), rows[4], rows[4], (502, "word " * 20_000), (503, "x " * 63)]
     cut = packing.pieces(docs(*rows), PATH, 64)
-    packed = packing.pack(cut, 64).collect()
+    packed = packing.pack(packing.numbered(cut), 64).collect()
     bins = check(library, rows, packed, 64)
     assert bins <= -(-sum(len(ids_of(library, t)) for _, t in rows) // 64) + 1
 
@@ -144,10 +147,29 @@ def test_packing_documents(docs, library):
 def test_sequences_hold_the_ids(docs, library):
     rows = [(1, "one two three"), (2, "four"), (3, "five six " * 20)]
     cut = packing.pieces(docs(*rows), PATH, 16, with_ids=True)
-    found = packing.sequences(packing.pack(cut, 16)).collect()
+    found = packing.sequences(packing.pack(packing.numbered(cut), 16)).collect()
     assert sum(len(r["ids"]) for r in found) == 4 * sum(len(ids_of(library, t)) for _, t in rows)
     assert max(len(r["ids"]) for r in found) <= 64
 
 
+def test_equal_pieces_share_out(spark):
+    cut = packing.numbered(spark.range(200_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(1).cast("long").alias("length"), F.lit(7).cast("long").alias("ids_crc32")))
+    order = ["doc_id", "piece", "start", "ids_crc32", "_row"]
+    sizes = cut.groupBy(F.pmod(F.xxhash64(*order), F.lit(10)).alias("chunk")).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) < 21_000
+    ranks = packing.with_ranks(cut, order).agg(F.min("rank"), F.max("rank"), F.countDistinct("rank")).first()
+    assert tuple(ranks) == (0, 199_999, 200_000)
+    packed = packing.pack(cut).groupBy("sequence_id").agg(F.count("*").alias("n"), F.countDistinct("offset").alias("places")).collect()
+    assert len(packed) == -(-200_000 // 2048) and all(r["n"] == r["places"] for r in packed)
+
+
+def test_query(spark):
+    """The registered query against the library on whole texts, and the lower bound."""
+    rows = QUERIES["op8_bin_completion"](spark, SF_DIR).collect()
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    bins = check(Tokenizer.from_file(PATH), docs, rows, 2048)
+    assert bins == -(-sum(r["length"] for r in rows) // 2048)
+
+
 def test_empty_table(docs):
     assert packing.pack_documents(docs((1, "x")).where("doc_id > 1"), PATH).collect() == []

@@ -110,11 +110,19 @@ def test_odd_documents(spark, docs):
         assert out.columns == given.columns, name
         assert stage(spark, given.where("doc_id > 99"), "/root/testdata/sf0.001").collect() == []
     kept = corpus_pipeline.drop_near_duplicates(spark, given, SF).collect()
-    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "3", "4", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "3", "4"]
+
+
+def test_rows_count_not_ids(spark, docs):
+    one, two = "a b c d e f g h i j k", "quite other words stand in this text of the same id"
+    rows = [(7, one), (7, two), (None, one), (None, "a third text that nobody else has in this table"), (3, two + " indeed"), (3, None), (3, ""), (None, None)]
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs(*rows), SF).collect()
+    got = sorted(((r["doc_id"], r["text"]) for r in kept), key=str)
+    assert got == sorted([(7, one), (3, two + " indeed"), rows[3], (3, None), (3, ""), (None, None)], key=str)
 
 
 def test_registered():
     import __spark_entry__ as entry
 
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
