@@ -25,7 +25,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import SPACE, WORD, let
+from clickloom.llm.common import SPACE, WORD, join_keys, let
 from clickloom.sources.tables import materialize
 
 #: Characters that count as symbols. Fixed value.
@@ -249,3 +249,14 @@ def kept_rows(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFra
     judged = with_statistics(docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text")), "_text")
     # A generated column holds the filter above the statistics; pushed below them it would compute each anew.
     return judged.select("_row", F.explode(F.array(~base_failed() & verdict(rules))).alias("_kept")).where("_kept").select("_row.*")
+
+
+def screen(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass the base rules and the list learned from the labelled ones among them, with their own columns alone.
+
+    Only labelled rows are gone through for learning.
+    """
+    known = labels.where(F.col(key).isNotNull()).select(key).distinct()
+    marked = join_keys(docs.select(key, text), materialize(known, "rule-labelled"), key, "left_semi")
+    learned = learn(materialize(with_statistics(marked, text).drop(text), "rule-statistics-of"), labels, key)
+    return kept_rows(docs, learned, text)
