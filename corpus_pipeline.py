@@ -1,8 +1,8 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes all its predecessor kept and returns a DataFrame; all but the last return the columns of
-their input, whatever these are. Null texts count as empty. Rows with a null id are judged by their text,
-take no part in de-duplication and are kept there. An empty table passes through all stages.
+their input, whatever these are. Null texts count as empty. Rows are judged one by one, by their text: ids may be
+missing or repeated. An empty table passes through all stages.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import feistel, gam, minhash, packing, rules
-from clickloom.llm.common import fresh_name, join_keys
+from clickloom.llm.common import fresh_name
 from clickloom.llm.queries import PSEUDONYM_KEY, QUALITY_THRESHOLD, training_labels
 from clickloom.sources.tables import materialize
 
@@ -31,26 +31,12 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the decision list learned from the labelled ones among them."""
-    # The labels meet the statistics, which are narrow, not the texts.
-    statistics = rules.with_statistics(docs.select("doc_id", "text")).drop("text")
-    learned = rules.learn(materialize(statistics, "stage-statistics"), training_labels(spark, sf_dir))
-    return rules.kept_rows(docs, learned)
+    return rules.screen(docs, training_labels(spark, sf_dir))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id, and one row of each document."""
-    groups = minhash.near_duplicates(docs.select("doc_id", "text"))
-    groups = materialize(groups.where(F.col("doc_id").isNotNull()), "stage-groups")
-    # The documents that go are fewer than those that stay; rows without an id match none of them.
-    gone = materialize(groups.where(~F.col("kept")).select("doc_id").distinct(), "stage-gone")
-    rows = join_keys(docs, gone, "doc_id", "left_anti")
-    repeated = groups.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    repeated = materialize(repeated.select("doc_id"), "stage-repeated")
-    if repeated.isEmpty():
-        return rows
-    single = join_keys(rows, repeated, "doc_id", "left_anti")
-    again = join_keys(rows, repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(again.select(single.columns))
+    """One row of each group of near-duplicates, that of the smallest id."""
+    return minhash.one_of_each_group(docs)
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
