@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clickloom import configure
 from clickloom.functions import crossed_seconds, event_timestamp, text_field
 from clickloom.operators import quality, scd2
-from clickloom.operators.asof import price_asof
+from clickloom.operators.asof import price_asof, price_asof_sweep
 from clickloom.operators.lookup import Dimension, measure, with_unknown_flag
 from clickloom.operators.sessions import (
     INSTANT_COLUMNS,
@@ -224,6 +224,14 @@ def run_price_asof_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("price_sweep")
+def run_price_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events valued by a history of a price a day for each product, in one sweep over events and versions."""
+    path = _stored(spark, sf_dir, "daily_versions", lambda: recipe.daily_versions(spark, sf_dir))
+    priced_events = price_asof_sweep(materialize(valid(spark, sf_dir), "valid"), read_table(spark, path))
+    return priced_events.select("event_id", "product_id", "quantity", "event_at_ts", "value")
+
+
 @query("scd2_snapshot")
 def run_scd2_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product history after two loads: changed, unchanged, new and no longer listed products."""

@@ -311,6 +311,14 @@ ORACLES: dict[str, str] = {
     "dedup_events": f"{_VALID} select * from valid",
     "price_asof": f"{_FULL} select event_id, product_id, quantity, event_at_ts, value from priced",
     "price_asof_closed": f"{_CLOSED} select event_id, product_id, quantity, event_at_ts, value from priced",
+    "price_sweep": f"""{_VALID}, daily as (
+            select product_id, cast(price + k as decimal(10,2)) as price,
+                timestamp '2024-01-01 00:00:00' + to_hours(24 * k + cast(substr(product_id, 6) as bigint) % 24) as valid_from, k
+            from products, range(30) days(k)
+        )
+        select event_id, e.product_id, quantity, event_at_ts, cast(quantity * price as decimal(21,2)) as value
+        from valid e left join daily d on e.product_id = d.product_id and event_at_ts >= valid_from
+            and (k = 29 or event_at_ts < valid_from + interval 1 day)""",
     "scd2_snapshot": f"{_VERSIONED} select * from history",
     "scd2_current": f"{_VERSIONED} select * from history where valid_to is null",
     "scd2_point_in_time": f"""{_VERSIONED} select product_id, price, valid_from from history
