@@ -19,8 +19,8 @@ from clickloom.schemas import DEFAULT_MIN_EVENT_TS, SESSION_GAP_MINUTES
 from clickloom.session import build_session
 from clickloom.sources.dimensions import read_products, read_users
 from clickloom.sources.messages import MAX_FILES, MAX_OFFSETS, stream_kafka, stream_text
-from clickloom.sources.raw import read_raw, stream_lake
-from clickloom.streaming.landing import autoload, compact, land_messages
+from clickloom.sources.raw import MAX_BATCHES, read_raw
+from clickloom.streaming.landing import compact, keep_loading, land_messages, load_batches
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -43,7 +43,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     command.add_argument("--max-offsets", type=int, default=MAX_OFFSETS, help="messages per micro-batch")
     command.add_argument("--max-bytes", help="bytes of text files per micro-batch, e.g. 1g")
     command.add_argument("--archive", help="where landed text files are moved")
-    stream("autoload", "lake", "raw")
+    command = stream("autoload", "lake", "raw")
+    command.add_argument("--max-batches", type=int, default=MAX_BATCHES, help="batches of the lake loaded in one step")
 
     command = commands.add_parser("compact")
     command.add_argument("--lake")
@@ -79,9 +80,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         source = message_stream(spark, args)
         land_messages(source, args.lake, args.checkpoint, continuous=not args.once).awaitTermination()
     elif args.command == "autoload":
-        source = stream_lake(spark, args.lake, args.max_files)
-        query = autoload(source, args.lake, args.raw, args.checkpoint, continuous=not args.once)
-        query.awaitTermination()
+        if args.once:
+            load_batches(spark, args.lake, args.raw, args.max_batches)
+        else:
+            keep_loading(spark, args.lake, args.raw, args.checkpoint, args.max_batches).awaitTermination()
     elif args.command == "compact":
         compact(spark, args.lake, args.raw, args.before)
     else:

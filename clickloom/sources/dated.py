@@ -50,6 +50,31 @@ def write_batch(df: DataFrame, path: str, batch: str | None = None, partitions:
     writer.partitionBy(*partitions, BATCH).parquet(f"{path}/open")
 
 
+def open_batches(spark: SparkSession, path: str, partitions: Sequence[str] = (DATE,), only: dict[str, str] | None = None) -> set[tuple]:
+    """Partition values and names of the batches that lie in ``open``, from the names of their folders alone."""
+    names = [*partitions, BATCH]
+    files, place = _file_system(spark, "/".join([path, "open", *(f"{n}={(only or {}).get(n, '*')}" for n in names)]))
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    found = set()
+    for status in files.globStatus(place) or []:
+        parts = status.getPath().toString().split("/")[-len(names) :]
+        found.add(tuple(unescape(part.partition("=")[2]) for part in parts))
+    return found
+
+
+def closed_batches(spark: SparkSession, path: str, schema: T.StructType, dates: Sequence[str], partitions: Sequence[str] = (DATE,)) -> set[tuple]:
+    """The same of those of ``dates`` that are closed, from their files."""
+    merges = {d: n for d, n in _merges(spark, path).items() if str(d) in set(dates)}
+    if not merges:
+        return set()
+    return {tuple(map(str, x)) for x in _batches(_read_closed(spark, path, schema, merges), partitions)}
+
+
+def remove_batches(spark: SparkSession, path: str, batches: Sequence[tuple], partitions: Sequence[str] = (DATE,)) -> None:
+    """Remove open batches, named as by ``open_batches``."""
+    _remove_batches(spark, f"{path}/open", [list(zip([*partitions, BATCH], x)) for x in batches])
+
+
 def _merges(spark: SparkSession, path: str) -> dict:
     """Closed dates, each with the last merge into it; 0 for none."""
     if not exists(spark, f"{path}/dates"):

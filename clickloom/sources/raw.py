@@ -25,6 +25,9 @@ RAW_TABLE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, _BATCH])
 
 LAKE_PARTITIONS = ("kind", DATE)
 
+# Batches of the lake that are loaded in one step.
+MAX_BATCHES = 1000
+
 # Files of a micro-batch unless told otherwise: a backlog is worked off in steps.
 MAX_FILES = 1000
 
@@ -56,15 +59,20 @@ def stream_lake(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> D
     return reader.parquet(open_folder(spark, path))
 
 
+def read_batches(spark: SparkSession, path: str, batches: list[tuple[str, str]]) -> DataFrame:
+    """The event files of open batches of the lake, each named by load date and batch."""
+    folder = f"{path}/open"
+    paths = [f"{folder}/kind={EVENT}/ingest_date={date}/batch={batch}" for date, batch in batches]
+    return spark.read.schema(LAKE_SCHEMA).option("basePath", folder).parquet(*paths)
+
+
 def lake_batches(spark: SparkSession, path: str, arrived: DataFrame) -> DataFrame | None:
     """The event files of all batches that ``arrived`` has rows of; None without any.
 
     ``arrived`` holds the files of one micro-batch, so its batches are no more than these.
     """
     found = arrived.where(F.col("kind") == EVENT).select("ingest_date", "batch").distinct().collect()
-    folder = f"{path}/open"
-    paths = [f"{folder}/kind={EVENT}/ingest_date={row['ingest_date']}/batch={row['batch']}" for row in found]
-    return spark.read.schema(LAKE_SCHEMA).option("basePath", folder).parquet(*paths) if paths else None
+    return read_batches(spark, path, [(row["ingest_date"], row["batch"]) for row in found]) if found else None
 
 
 def read_raw(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:

@@ -5,9 +5,11 @@ under the same number, over the same input and at the same recorded time, and re
 left; so each step is exactly-once, without a log of all files ever written. A batch without rows writes
 nothing.
 
-A source's own list of files seen lies in the checkpoint and grows by a line per file. It may be dropped
+A file source's own list of files seen lies in the checkpoint and grows by a line per file. It may be dropped
 by starting with a new checkpoint: batches are named after it, messages that were landed are moved out of
-the inbox, and loading a lake batch once more replaces it in the raw table.
+the inbox, and loading a lake batch once more replaces it in the raw table. The raw table needs no such list:
+``load_batches`` compares the folders of the lake's open batches with those the table has, so nothing but the
+table itself is kept from run to run.
 """
 
 from __future__ import annotations
@@ -19,9 +21,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.sources.dated import BATCH, DATE, close_dates, in_batches, read_dated, write_batch
+from clickloom.sources.dated import BATCH, DATE, close_dates, closed_batches, in_batches, open_batches, read_dated, write_batch
 from clickloom.sources.messages import EVENT, parse_messages
-from clickloom.sources.raw import LAKE_PARTITIONS, LAKE_SCHEMA, RAW_TABLE_SCHEMA, lake_batches, open_lake, with_load_metadata
+from clickloom.sources.raw import (
+    LAKE_PARTITIONS,
+    LAKE_SCHEMA,
+    MAX_BATCHES,
+    RAW_TABLE_SCHEMA,
+    lake_batches,
+    open_lake,
+    read_batches,
+    with_load_metadata,
+)
 
 # Fixed value: the longest wait before a micro-batch is taken.
 TRIGGER_INTERVAL = "10 seconds"
@@ -93,6 +104,38 @@ def autoload(
     return start(lake_files, load, checkpoint, continuous)
 
 
+def unloaded_batches(spark: SparkSession, lake: str, raw: str) -> list[tuple[str, str]]:
+    """Load date and name of the event batches in the lake that the raw table lacks, in order.
+
+    Folders are listed and no file is read, but for dates that are closed in the raw table already and open in
+    the lake: of these, late batches may have come, and the closed files say which are there.
+    """
+    landed = {x[1:] for x in open_batches(spark, lake, LAKE_PARTITIONS, {"kind": EVENT})}
+    landed -= open_batches(spark, raw)
+    dates = sorted({date for date, _ in landed})
+    return sorted(landed - closed_batches(spark, raw, RAW_TABLE_SCHEMA, dates)) if landed else []
+
+
+def load_batches(
+    spark: SparkSession, lake: str, raw: str, max_batches: int = MAX_BATCHES, loaded_at: Column | None = None
+) -> int:
+    """Load what the raw table lacks of the lake, ``max_batches`` batches in one step; their number is returned.
+
+    A batch appears in the raw table by one renaming of its folder, so a run that stops leaves whole batches only,
+    and the next one loads the rest.
+    """
+    batches = unloaded_batches(spark, lake, raw)
+    for at in range(0, len(batches), max_batches):
+        write_batch(with_load_metadata(read_batches(spark, lake, batches[at : at + max_batches]), loaded_at), raw)
+    return len(batches)
+
+
+def keep_loading(spark: SparkSession, lake: str, raw: str, checkpoint: str, max_batches: int = MAX_BATCHES) -> StreamingQuery:
+    """Load new batches every ten seconds. The stream is a clock; its checkpoint holds the last hundred ticks."""
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return start(clock, lambda tick, _: load_batches(tick.sparkSession, lake, raw, max_batches) and None, checkpoint, continuous=True)
+
+
 def unloaded_dates(lake: DataFrame, raw: str) -> list:
     """Dates of which the raw table lacks an event batch of these lake rows."""
     batches = lake.where(F.col("kind") == EVENT).select(DATE, BATCH).distinct()

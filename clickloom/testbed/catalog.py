@@ -28,6 +28,7 @@ from clickloom.plans.refresh import (
     PRODUCT_CHECK,
     PRODUCT_KEY,
     RefreshConfig,
+    publish,
     read_published,
     refresh,
     table_checks,
@@ -44,7 +45,7 @@ from clickloom.sources.messages import DEAD_LETTER, EVENT, parse_messages, read_
 from clickloom.sources.raw import read_lake, read_raw, stream_lake
 from clickloom.sources.tables import fresh_path, materialize, read_table, write_table
 from clickloom.streaming import events as live
-from clickloom.streaming.landing import autoload, batch_counts, compact, land_messages, start_table
+from clickloom.streaming.landing import autoload, batch_counts, compact, land_messages, load_batches, start_table
 from clickloom.testbed import recipe
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -487,8 +488,18 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
     return lake
 
 
+def _loaded(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a raw table loaded from that lake in steps, then again, then closed, then loaded once more."""
+    lake, raw = _landed(spark, sf_dir), fresh_path(spark, "raw")
+    for _ in range(2):
+        load_batches(spark, lake, raw, max_batches=3)
+    compact(spark, lake, raw, before="2999-01-01")
+    load_batches(spark, lake, raw)
+    return raw
+
+
 def _autoloaded(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of a raw table loaded from that lake in several batches, then again, then closed."""
+    """Folder of a raw table a stream of files loaded from that lake in several batches, then again, then closed."""
     lake, raw = _landed(spark, sf_dir), fresh_path(spark, "raw")
     # The second run finds no new files; the third has a new checkpoint and loads every batch once more.
     first, other = fresh_path(spark, "raw-offsets"), fresh_path(spark, "raw-offsets")
@@ -576,8 +587,8 @@ def run_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("raw_autoload")
 def run_raw_autoload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages in the raw table after two runs of the loader."""
-    raw = read_raw(spark, _autoloaded(spark, sf_dir))
+    """Messages in the raw table after several runs of the loader."""
+    raw = read_raw(spark, _loaded(spark, sf_dir))
     data = F.col("raw_data")
     return raw.select(
         text_field(data, "event_id").alias("event_id"),
@@ -588,7 +599,7 @@ def run_raw_autoload(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("raw_metadata")
 def run_raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load metadata: each row has a file, a row in it that no other row has, and a load time."""
-    raw = read_raw(spark, _autoloaded(spark, sf_dir))
+    raw = read_raw(spark, _loaded(spark, sf_dir))
     return raw.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.countDistinct("metadata_filename", "metadata_file_row_number").alias("distinct_positions"),
@@ -671,12 +682,37 @@ def run_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         fresh_path(spark, "routed-offsets"),
         continuous=False,
     ).awaitTermination()
-    routed = live.read_routed(spark, path)
+    return _routed_counts(live.read_routed(spark, path))
+
+
+def _routed_counts(routed: DataFrame) -> DataFrame:
     return routed.groupBy("is_valid_record", "reject_reason").agg(
         F.count(F.lit(1)).alias("events"), F.min("event_id").alias("first_event_id")
     )
 
 
+@query("stream_quarantine_published")
+def run_stream_quarantine_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records routed by the dimensions as published: the first batches know half the products, then all are published."""
+    warehouse, path, offsets = fresh_path(spark, "warehouse"), fresh_path(spark, "routed"), fresh_path(spark, "routed-offsets")
+    everything = product_dim(spark, sf_dir).df
+    number = F.substring_index("product_id", "-", -1).cast("long")
+    arrivals = read_table(spark, _arrivals(spark, sf_dir))
+    inbox = fresh_path(spark, "inbox")
+    last = arrivals.agg(F.max("metadata_file_row_number")).first()[0] or 0
+    for run, known, late in (("1", everything.where(number % 2 == 0), False), ("2", everything, True)):
+        config = RefreshConfig(warehouse, run, recipe.FIRST_LOAD)
+        write_table(known, config.table("products"))
+        write_table(user_dim(spark, sf_dir).df, config.table("users"))
+        publish(spark, config)
+        part = arrivals.where((F.col("metadata_file_row_number") * 2 > last) == late)
+        part.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(arrivals.schema).parquet(inbox)
+        events = live.stream_events(stream, recipe.MIN_EVENT_TS).drop("event_at", "event_minute")
+        live.route_published(events, warehouse, path, offsets, continuous=False).awaitTermination()
+    return _routed_counts(live.read_routed(spark, path))
+
+
 # --- the whole job -------------------------------------------------------------------------------
 
 

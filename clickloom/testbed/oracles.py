@@ -400,6 +400,8 @@ ORACLES: dict[str, str] = {
         {_FIRST.format(relation='passed')} {_LIVE.format(relation='passed')}""",
     "stream_quarantine": f"""{_VALID} select reject_reason is null as is_valid_record, reject_reason,
         count(*) as events, min(event_id) as first_event_id from validated group by 1, 2""",
+    "stream_quarantine_published": f"""{_VALID} select reject_reason is null as is_valid_record, reject_reason,
+        count(*) as events, min(event_id) as first_event_id from validated group by 1, 2""",
     "refresh_facts": f"{_FULL} select * exclude (session_index) from facts",
     "refresh_quarantine": f"""{_VALID} select metadata_file_row_number, event_id, reject_reason
         from validated where reject_reason is not null""",

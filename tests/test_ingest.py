@@ -7,14 +7,33 @@ from pyspark.sql import functions as F
 from clickloom.functions import text_field
 from clickloom.operators.lookup import measure
 from clickloom.operators.sessions import session_metrics, session_minutes
+from clickloom.plans.refresh import RefreshConfig, publish
 from clickloom.plans.staging import parse_events, valid_events, validate_events
 from clickloom.sources.dimensions import load_dimension, read_products, read_users
 from clickloom.sources.dated import closed_dates, write_batch
 from clickloom.sources.messages import message_values, parse_messages, read_text, stream_text
 from clickloom.sources.raw import LAKE_SCHEMA, read_lake, read_raw, stream_lake
 from clickloom.sources.tables import shared_dir, write_table
-from clickloom.streaming.events import first_copies, live_sessions, read_routed, route_events, stream_events
-from clickloom.streaming.landing import autoload, batch_counts, compact, land_messages, start_table
+from clickloom.streaming.events import (
+    PublishedDimensions,
+    first_copies,
+    judge_again,
+    live_sessions,
+    read_routed,
+    route_events,
+    route_published,
+    stream_events,
+)
+from clickloom.streaming.landing import (
+    autoload,
+    batch_counts,
+    compact,
+    keep_loading,
+    land_messages,
+    load_batches,
+    start_table,
+    unloaded_batches,
+)
 
 START = 1764000000
 
@@ -365,3 +384,131 @@ def test_tables(spark, tmp_path):
     assert write_table(spark.range(3), path).count() == 3
     assert write_table(spark.range(1), path).count() == 1
     assert shared_dir(spark)
+
+
+def ids_in(raw):
+    return sorted(r["id"] for r in raw.select(text_field(F.col("raw_data"), "event_id").alias("id")).collect())
+
+
+def test_loader_takes_what_the_raw_table_lacks(spark, folder, monkeypatch):
+    for i in range(5):
+        folder.put(f"m{i}", message(str(i)), "{bad")
+    folder.land(spark, max_files=1, loaded_at=F.lit("2025-01-01 12:00:00").cast("timestamp"))
+    assert len(unloaded_batches(spark, folder.lake, folder.raw)) == 5
+    # A run that stops leaves whole batches; the next one takes the rest.
+    steps = []
+
+    def failing(df, path, *args):
+        if steps:
+            raise OSError("stopped")
+        steps.append(path)
+        write_batch(df, path, *args)
+
+    monkeypatch.setattr("clickloom.streaming.landing.write_batch", failing)
+    with pytest.raises(OSError):
+        load_batches(spark, folder.lake, folder.raw, max_batches=2)
+    monkeypatch.undo()
+    assert len(unloaded_batches(spark, folder.lake, folder.raw)) == 3
+    assert load_batches(spark, folder.lake, folder.raw, max_batches=2) == 3
+    assert load_batches(spark, folder.lake, folder.raw) == 0
+    raw = read_raw(spark, folder.raw)
+    assert ids_in(raw) == [str(i) for i in range(5)]
+    assert raw.where("metadata_filename like '%/kind=event/%' and loaded_at is not null").count() == 5
+    # Nothing is kept besides the table.
+    assert {f.split("/raw/")[1].split("/")[0] for f in folder.files("raw")} == {"open"}
+
+
+def test_loader_takes_late_batches_of_closed_dates_once(spark, folder):
+    day = {"loaded_at": F.lit("2025-01-01 12:00:00").cast("timestamp")}
+    folder.put("a", message("1"))
+    folder.land(spark, **day)
+    load_batches(spark, folder.lake, folder.raw)
+    compact(spark, folder.lake, folder.raw, before="2025-01-02")
+    assert unloaded_batches(spark, folder.lake, folder.raw) == []
+    folder.put("b", message("2"))
+    folder.land(spark, **day)
+    assert load_batches(spark, folder.lake, folder.raw) == 1
+    assert load_batches(spark, folder.lake, folder.raw) == 0
+    assert ids_in(read_raw(spark, folder.raw)) == ["1", "2"]
+    # Closed in the raw table alone, the batch is still open in the lake: its files say that it is there.
+    compact(spark, None, folder.raw, before="2025-01-02")
+    assert load_batches(spark, folder.lake, folder.raw) == 0
+    compact(spark, folder.lake, folder.raw, before="2025-01-02")
+    assert load_batches(spark, folder.lake, folder.raw) == 0
+    assert ids_in(read_raw(spark, folder.raw)) == ["1", "2"]
+
+
+def test_loader_on_a_clock(spark, folder):
+    folder.put("a", message("1"))
+    folder.land(spark)
+    query = keep_loading(spark, folder.lake, folder.raw, folder.raw_offsets)
+    try:
+        for _ in range(120):
+            if query.lastProgress and not unloaded_batches(spark, folder.lake, folder.raw):
+                break
+            query.awaitTermination(0.5)
+    finally:
+        query.stop()
+    assert ids_in(read_raw(spark, folder.raw)) == ["1"]
+
+
+def test_dimensions_published_under_a_running_stream(spark, folder, tmp_path):
+    warehouse = str(tmp_path / "warehouse")
+    users = spark.createDataFrame([("u1", None, "FR"), ("guest", None, None)], "user_id string, registration_date date, country string")
+
+    def bring(run, *names):
+        config = RefreshConfig(warehouse, run, "2025-01-01 00:00:00")
+        rows = [(n, n, "c") for n in names]
+        write_table(spark.createDataFrame(rows, "product_id string, product_name string, category string"), config.table("products"))
+        write_table(users, config.table("users"))
+        publish(spark, config)
+
+    def route(*lines):
+        folder.put(f"m{len(list((tmp_path / 'in').iterdir()))}", *lines)
+        folder.land(spark)
+        load_batches(spark, folder.lake, folder.raw)
+        reader = spark.readStream.schema(read_raw(spark, folder.raw).schema).option("recursiveFileLookup", "true")
+        events = stream_events(reader.parquet(f"{folder.raw}/open")).drop("event_at", "event_minute")
+        route_published(events, warehouse, folder.out, folder.out_offsets, continuous=False).awaitTermination()
+        found = read_routed(spark, folder.out).collect()
+        assert len(found) == len({r["event_id"] for r in found})
+        return {r["event_id"]: r["reject_reason"] for r in found}
+
+    with pytest.raises(Exception, match="nothing has been published"):
+        route(message("0", event_type="page_view"))
+    bring("1", "p1")
+    got = route(*[message(i, event_type="product_view", product_id=p) for i, p in (("1", "p1"), ("2", "p2"), ("3", "p3"))], message("4", event_type="checkout"))
+    assert got == {"0": None, "1": None, "2": "unknown_product", "3": "unknown_product", "4": "missing_product"}
+    bring("2", "p1", "p2")
+    got = route(message("5", event_type="product_view", product_id="p2"))
+    assert got == {"0": None, "1": None, "2": None, "3": "unknown_product", "4": "missing_product", "5": None}
+    bring("3", "p1", "p2", "p3")
+    dimensions = PublishedDimensions(spark, warehouse)
+    assert judge_again(spark, folder.out, *dimensions.current()) == 1 and judge_again(spark, folder.out, *dimensions.current()) == 0
+    got = route(message("6", event_type="product_view", product_id="p4"))
+    assert got["3"] is None and got["6"] == "unknown_product" and len(got) == 7
+
+
+def test_stopped_judgement_is_repeated(spark, folder, tmp_path, monkeypatch):
+    products = measure(spark.createDataFrame([("p1",)], "product_id string"), "product_id")
+    users = measure(spark.createDataFrame([("guest", None)], "user_id string, country string"), "user_id", ["country"])
+    none = measure(products.df.where("product_id = 'x'"), "product_id")
+    folder.put("a", message("1", event_type="product_view", product_id="p1"), message("2", event_type="product_view", product_id="p2"))
+    folder.land(spark)
+    load_batches(spark, folder.lake, folder.raw)
+    events = parse_events(read_raw(spark, folder.raw))
+    write_batch(validate_events(events, none, users), folder.out, "b-1", ["is_valid_record"])
+    calls = []
+
+    def stops(df, path, *args, **kwargs):
+        calls.append(path)
+        if len(calls) == 2:
+            raise OSError("stopped")
+        write_batch(df, path, *args, **kwargs)
+
+    monkeypatch.setattr("clickloom.streaming.events.write_batch", stops)
+    with pytest.raises(OSError):
+        judge_again(spark, folder.out, "1", products, users)
+    monkeypatch.undo()
+    assert judge_again(spark, folder.out, "1", products, users) == 1
+    assert sorted((r["event_id"], r["reject_reason"]) for r in read_routed(spark, folder.out).collect()) == [("1", None), ("2", "unknown_product")]
