@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.operators import bloom
 from clickloom.sources.tables import materialize
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -113,6 +114,23 @@ def left_lookup(
     return events.join(dimension.hinted(right), on, "left").drop("__dimension_key")
 
 
+def relevant_keys(parent: Dimension, asked: DataFrame) -> DataFrame:
+    """The parent's keys that may be among the ``asked`` ones (a written column of distinct keys).
+
+    The asked keys' Bloom filter goes to the parent's rows; of those that nobody asks for, some thousandth is
+    left. Only what is left has to be shuffled to be compared exactly: it holds every asked key the parent has.
+    If the filter is too large to broadcast, all keys are returned.
+    """
+    key = asked.columns[0]
+    blocks = bloom.blocks_for(asked.count())
+    if blocks * bloom.BLOCK_BYTES > parent.max_broadcast_bytes:
+        return parent.keys()
+    filter_ = materialize(bloom.build(asked, key, blocks), f"asked-{key}")
+    keys = parent.keys().withColumn("__block", bloom.block_of(F.col(parent.key), blocks))
+    met = keys.join(F.broadcast(filter_.withColumnRenamed("block", "__block")), "__block")
+    return met.where(bloom.may_hold(F.col("words"), F.col(parent.key))).select(parent.key)
+
+
 def unknown_keys(events: DataFrame, dimension: Dimension, key: Column) -> Dimension:
     """The keys of the events that the dimension does not have, as a measured table.
 
@@ -160,7 +178,14 @@ def with_unknown_flag(
 
 
 def without_parent(child: DataFrame, key: str, parent: Dimension) -> DataFrame:
-    """Rows of ``child`` whose non-null key does not occur in the parent (left anti join)."""
+    """Rows of ``child`` whose non-null key does not occur in the parent (left anti join).
+
+    Of a parent too large to broadcast, only the keys that the child may hold are shuffled.
+    """
     child = child.where(F.col(key).isNotNull())
-    keys = parent.keys().withColumnRenamed(parent.key, "__parent_key")
+    keys = parent.keys()
+    if not parent.fits_broadcast and not child.isStreaming:
+        child = materialize(child, f"child-{key}")
+        keys = relevant_keys(parent, materialize(child.select(key).distinct(), f"child-{key}-keys"))
+    keys = keys.withColumnRenamed(parent.key, "__parent_key")
     return child.join(parent.hinted(keys), F.col(key) == F.col("__parent_key"), "left_anti")

@@ -46,6 +46,8 @@ class RefreshConfig:
     min_event_ts: str | None = DEFAULT_MIN_EVENT_TS
     gap_minutes: int = SESSION_GAP_MINUTES
     closed_validity: bool = False
+    # Estimate distinct products by sketches of two to this power of buckets; None counts them.
+    approx_products: int | None = None
     # Size of the raw table, by which scans and shuffles are sized; measured where it is not given.
     raw_bytes: int | None = None
     # Largest dimension to broadcast; raise it with the memory of the executors.
@@ -241,7 +243,8 @@ def _build(
     minutes = session_minutes(events, config.gap_minutes, not config.closed_validity)
     minutes = write_table(minutes, config.table("session_minutes"))
     facts = write_table(
-        fact_sessions(events, user_dim, config.gap_minutes, minutes=minutes), config.table("fact_sessions")
+        fact_sessions(events, user_dim, config.gap_minutes, minutes=minutes, approx_products=config.approx_products),
+        config.table("fact_sessions"),
     )
 
     checks = write_table(table_checks(events, minutes, facts, user_dim), config.table("checks"))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import configure
 from clickloom.functions import crossed_seconds, event_timestamp, text_field
-from clickloom.operators import quality, scd2
+from clickloom.operators import quality, scd2, sketches
 from clickloom.operators.asof import price_asof, price_asof_sweep
 from clickloom.operators.lookup import Dimension, measure, with_unknown_flag
 from clickloom.operators.sessions import (
@@ -38,6 +39,7 @@ from clickloom.schemas import (
     METRIC_COLUMNS,
     PAGE_VIEW,
     PLAIN_TEXT_FIELDS,
+    PRODUCT_VIEW,
     SESSION_EVENT_COLUMNS,
 )
 from clickloom.sources.dimensions import load_dimension, read_csv
@@ -340,6 +342,32 @@ def run_session_products_viewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.select(session_id().alias("session_id"), "distinct_products_viewed")
 
 
+@query("approx_products_viewed")
+def run_approx_products_viewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct products viewed by session, country and day, and whether the merged sketches' estimate is near the count."""
+    events = materialize(priced(spark, sf_dir).select(*METRIC_COLUMNS), "priced")
+    minutes = materialize(session_minutes(events), "session-minutes")
+    viewed = materialize(sketches.viewed_sketches(events), "viewed-sketches")
+    users = user_dim(spark, sf_dir)
+    day = F.to_date(F.timestamp_seconds(F.col("minute") * 60))
+    of_country = enrich_sessions(viewed.withColumn("session_id", F.lit("")), users)
+    found = [
+        sketches.session_sketches(viewed, minutes).select(F.lit("session").alias("level"), session_id().alias("name"), "viewed"),
+        sketches.united(of_country, F.lit("country").alias("level"), F.col("user_country").alias("name")),
+        sketches.united(viewed, F.lit("day").alias("level"), day.cast("string").alias("name")),
+    ]
+    estimates = reduce(DataFrame.unionByName, found).select("level", "name", sketches.estimate().alias("estimate"))
+    views = events.where((F.col("event_type") == PRODUCT_VIEW) & F.col("product_id").isNotNull())
+    views = enrich_sessions(with_session_index(views, minutes=minutes).withColumn("session_id", session_id()), users)
+    groups = [("session", F.col("session_id")), ("country", F.col("user_country")), ("day", F.to_date("event_at_ts").cast("string"))]
+    of_groups = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), name.alias("name")) for level, name in groups]))
+    counts = views.select(of_groups.alias("g"), "product_id").groupBy("g.level", "g.name").agg(F.countDistinct("product_id").alias("distinct_products"))
+    same = (counts["level"] == estimates["level"]) & counts["name"].eqNullSafe(estimates["name"])
+    error = F.abs(F.col("estimate") - F.col("distinct_products"))
+    near = error <= F.greatest(F.lit(0.5), 4 * sketches.relative_error() * F.col("distinct_products"))
+    return counts.join(estimates, same, "left").select(counts["level"], counts["name"], "distinct_products", F.coalesce(near, F.lit(False)).alias("near"))
+
+
 @query("enrich_sessions")
 def run_enrich_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions with the country of their user."""

@@ -345,6 +345,14 @@ ORACLES: dict[str, str] = {
     "session_revenue": f"""{_FULL} select session_id, total_session_revenue, total_items_added_to_cart
         from facts""",
     "session_utm": f"{_FULL} select session_id, session_utm_source from facts",
+    "approx_products_viewed": f"""{_FULL}, viewed as (
+            select session_id, s.user_id, country, cast(cast(event_at_ts as date) as varchar) as day, product_id
+            from sessionized s left join users u on u.user_id = s.user_id
+            where event_type = 'product_view' and product_id is not null
+        )
+        select 'session' as level, session_id as name, count(distinct product_id) as distinct_products, true as near from viewed group by 2
+        union all select 'country', country, count(distinct product_id), true from viewed group by 2
+        union all select 'day', day, count(distinct product_id), true from viewed group by 2""",
     "session_products_viewed": f"""{_FULL} select session_id, distinct_products_viewed from facts
         where distinct_products_viewed > 0""",
     "enrich_sessions": f"{_FULL} select session_id, user_id, user_country from facts",
