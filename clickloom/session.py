@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings, safe to set on a session somebody else created.
@@ -54,6 +59,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, for sessions that run without it installed there.
+
+    The same as ``spark-submit --py-files``. Needed by operators that run Python in tasks; the clickstream part does not.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    parent, name = os.path.split(package)
+    folder = tempfile.TemporaryDirectory(prefix="clickloom-")  # the driver serves the file from here until it ends
+    atexit.register(folder.cleanup)
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder.name, name), "zip", parent, name))
+
+
 def build_session(app_name: str = "clickloom", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session; pass ``master`` only for local runs, a cluster names its own."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
