@@ -22,6 +22,7 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 from clickloom.llm.common import emit, map_arrow
 from clickloom.sources.tables import materialize
 
-#: Bytes of the words whose ids a task remembers, and what a word takes besides its letters and ids; the cache starts anew when full.
-CACHED_BYTES, _WORD_BYTES = 64 << 20, 180
+#: Bytes of the words whose ids a task remembers, and what a word takes besides its letters and ids. When the cache is full,
+#: and when a partition ends, only the words that came first stay, which are the frequent ones.
+CACHED_BYTES, _WORD_BYTES, KEPT_WORDS = 64 << 20, 180, 50_000
 #: Bytes of text whose words are looked up together.
 _GROUP_BYTES = 1 << 20
 
@@ -74,13 +76,14 @@ class WordEncoder:
         probe = ["The thing, it's über\n\tfine!! a|b élan. 12 été***", "x", " .", "ab\x00 c"]
         self._wordwise = True
         self._wordwise = self.encode(probe) == [self._ids(p) for p in probe]
-        self.forget()
-
-    def forget(self) -> None:
-        """Empty the cache."""
         self._cache.clear()
         self._cached = 0
 
+    def forget(self) -> None:
+        """Cut the cache to the words that came first."""
+        self._cache = dict(islice(self._cache.items(), KEPT_WORDS))
+        self._cached = sum(map(len, self._cache)) * 3 + len(self._cache) * _WORD_BYTES
+
     def _ids(self, text: str) -> bytes:
         return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -88,9 +91,9 @@ class WordEncoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if not self._wordwise:
             return [self._ids(t) for t in texts]
-        cache = self._cache
         if self._cached > CACHED_BYTES:
             self.forget()
+        cache = self._cache
         words = [t.encode("utf-8").lower().split() for t in texts]  # A-Z; at ASCII white space
         self._learn(set().union(*words).difference(cache))
         return [b"".join(map(cache.__getitem__, w)) for w in words]

@@ -42,6 +42,37 @@ def test_against_brute_force(spark, spread):
     assert found(got) == brute(rows, lambda q: q % 20 == 0, 4)
 
 
+def test_clustered_vectors_are_mostly_left_out(spark):
+    rnd = random.Random(6)
+    centres = [[rnd.gauss(0, 1) for _ in range(16)] for _ in range(30)]
+    rows = [(i, [c + rnd.gauss(0, 0.02) for c in centres[i % 30]]) for i in range(3000)]
+    stats = {}
+    got = topk.top_k(table(spark, rows), F.col("id") % 60 == 0, k=3, pivots=30, sample=600, annulus=25, part_rows=1000, report=stats)
+    assert found(got) == brute(rows, lambda q: q % 60 == 0, 3)
+    assert stats["pairs"] == 50 * 3000 and 0 < stats["read"] < stats["pairs"] / 5
+
+
+def test_task_returns_k_rows_a_query():
+    random_numbers = topk.np.random.default_rng(2)
+    vectors = random_numbers.integers(-50, 50, (4000, 6)).astype(float)
+    ids = topk.np.arange(4000)
+    top = (vectors**2).sum(1).max()
+    search = topk.Search(vectors[:5], top, 3, ids[:40], vectors[:40], ids[:0], vectors[:0])
+    running = topk.Running(search)
+    for at in range(0, 4000, 500):
+        part = slice(at, at + 500)
+        pivot, distance, apart = search.assign(vectors[part])
+        order = topk.np.lexsort((distance, pivot))
+        running.add(pivot[order], ids[part][order], vectors[part][order], apart[order], 64)
+    query, candidate, score = running.result()
+    assert len(query) == 120
+    scores = vectors[:40] @ vectors.T
+    scores[topk.np.arange(40), topk.np.arange(40)] = -topk.np.inf
+    for q in range(40):
+        want = sorted(zip(-scores[q], ids.tolist()))[:3]
+        assert [(-s, c) for c, s in zip(candidate[query == q], score[query == q])] == [(s, c) for s, c in want]
+
+
 def test_odd_rows(spark):
     rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (0, [0.5, 9.0]), (50, [1.0]), (1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (None, [1.0, 1.0]), (5, []), (6, [-1.0, 0.0]), (7, [0.0, 0.0])]
     got = topk.top_k(table(spark, rows), F.col("id") % 50 == 0, k=5)
