@@ -21,6 +21,7 @@ import sys
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import ahocorasick
 import pyarrow as pa
@@ -29,10 +30,11 @@ from pyspark.sql import DataFrame
 
 from clickloom.llm.common import emit, map_arrow
 
-#: Pieces whose ids a task remembers (none of over 64 characters, so some 64 MB); the cache starts anew when full.
-CACHED_PIECES = 250_000
-#: Token pairs whose compatibility a worker remembers, some 64 MB.
-CACHED_PAIRS = 500_000
+#: Pieces whose ids a task remembers, none of over 64 characters: some 100 MB. When the cache is full, and when a
+#: partition ends, only the pieces that came first stay, which are the frequent ones.
+CACHED_PIECES, KEPT_PIECES = 400_000, 50_000
+#: Token pairs whose compatibility a worker remembers, some 64 MB, and those of them that stay when these are full.
+CACHED_PAIRS, KEPT_PAIRS = 600_000, 200_000
 
 
 class BytePairEncoding:
@@ -54,9 +56,9 @@ class BytePairEncoding:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
+        if len(self._pieces) > CACHED_PIECES:
+            self.forget()
         cache = self._pieces
-        if len(cache) > CACHED_PIECES:
-            cache.clear()
         pieces = self.pattern.findall(text)
         long = []
         for piece in set(pieces).difference(cache):
@@ -69,8 +71,8 @@ class BytePairEncoding:
         return ids
 
     def forget(self) -> None:
-        """Empty the cache of pieces."""
-        self._pieces.clear()
+        """Cut the cache of pieces to those that came first."""
+        self._pieces = dict(islice(self._pieces.items(), KEPT_PIECES))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, _unpacked(ids)))
@@ -130,7 +132,9 @@ class BytePairEncoding:
     def fits(self, left: int, right: int) -> bool:
         """Whether the merges of the two tokens' bytes end in these two tokens; left is -1 at the start."""
         if len(self._fits) > CACHED_PAIRS:
-            self._fits.clear()
+            kept = dict(islice(self._fits.items(), KEPT_PAIRS))
+            self._fits.clear()  # the encoder holds on to this very table
+            self._fits.update(kept)
         fits = self._made(right) if left < 0 else self._apart(left, right)
         self._fits[left << 32 | right] = fits
         return fits
