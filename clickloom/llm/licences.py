@@ -6,7 +6,8 @@ weigh as much as a template's term on average. Units are the lines of a text (he
 (licence files), and, for notices that share a line with other words or go over several, its sentences and
 the runs of a template's length around the template's heaviest terms, across line ends. A unit can only reach
 the threshold if it has one of a template's heaviest terms, those without which the rest of the template falls
-short of it, so only such units and texts are broken up.
+short of it, so only such units and texts are broken up. Which terms of any template a text has is found in one
+pass over all texts; what follows reads the candidates' texts alone.
 
 A file has the licence of its best line, if that reaches ``header_at``. A text that as a whole reaches
 ``file_at`` is the licence file of its directory (of several the most similar counts). A file that is neither
@@ -36,6 +37,7 @@ from importlib import resources
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.common import join_keys
 from clickloom.sources.tables import materialize
 
 #: Notices of common licences. Fixed values.
@@ -74,10 +76,17 @@ def _terms(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), _BETWEEN), "")
 
 
-def term_counts(docs: DataFrame, vocabulary: list[str], text: str) -> dict[str, int]:
+def known_terms(files: DataFrame, vocabulary: list[str], path: str, text: str) -> DataFrame:
+    """path, known (the distinct terms of the vocabulary in the text) and spdx (whether it may have an SPDX line) of every row."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    # A list of literals is looked up in a hash set; an array would be hashed anew for every row.
+    known = F.array_distinct(F.filter(_terms(body), lambda t: t.isin(vocabulary)))
+    return files.select(F.col(path).alias("path"), known.alias("known"), body.rlike(_SPDX_MARK).alias("spdx"))
+
+
+def term_counts(known: DataFrame) -> dict[str, int]:
     """Documents with each term of the vocabulary, and all under ''."""
-    found = F.array_intersect(_terms(F.coalesce(F.col(text), F.lit(""))), F.array(*[F.lit(t) for t in vocabulary]))
-    counted = docs.select(F.explode(F.concat(found, F.array(F.lit("")))).alias("term")).groupBy("term").count()
+    counted = known.select(F.explode(F.concat("known", F.array(F.lit("")))).alias("term")).groupBy("term").count()
     return {row["term"]: row["count"] for row in counted.collect()}
 
 
@@ -186,6 +195,7 @@ def _best(scored: DataFrame) -> DataFrame:
     return scored.groupBy("path").agg(best).select("path", F.col("best.licence").alias("licence"), (-F.col("best.cosine")).alias("cosine"))
 
 
+_SPDX_MARK = "(?i)SPDX-License-Identifier:"
 _SPDX_NAME = r"\(*[A-Za-z0-9][A-Za-z0-9.+-]*\)*"
 _SPDX = rf"(?i)SPDX-License-Identifier:[ \t]*({_SPDX_NAME}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_SPDX_NAME})*)"
 
@@ -194,7 +204,7 @@ def spdx_licences(files: DataFrame, path: str, text: str) -> DataFrame:
     """Licences named in SPDX lines (path, licence, cosine)."""
     known = sorted({*TEMPLATES, *TEXTS, *HEADERS})
     spelled = F.create_map(*[F.lit(x) for name in known for x in (name.lower(), name)])
-    named = files.where(F.col(path).isNotNull() & F.col(text).rlike("(?i)SPDX-License-Identifier:"))
+    named = files.where(F.col(path).isNotNull() & F.col(text).rlike(_SPDX_MARK))
     named = named.select(F.col(path).alias("path"), F.explode(F.regexp_extract_all(F.col(text), F.lit(_SPDX), F.lit(1))).alias("said"))
     said = F.regexp_replace("said", r"(?i)[ \t]+WITH[ \t]+[^ \t]+", "")
     named = named.select("path", F.explode(F.split(said, r"(?i)[ \t]+(?:AND|OR)[ \t]+")).alias("name"))
@@ -203,34 +213,35 @@ def spdx_licences(files: DataFrame, path: str, text: str) -> DataFrame:
     return named.select("path", F.coalesce(F.element_at(spelled, F.lower("name")), F.col("name")).alias("licence"), F.lit(1.0).alias("cosine"))
 
 
-def text_licences(files: DataFrame, path: str, text: str, counts: dict[str, int], header_at: float, file_at: float) -> tuple[DataFrame, DataFrame]:
-    """Licence texts (path, licence, cosine), and standard headers inside texts (the same columns)."""
-    weights = [term_weights(counts, x) for x in (TEXTS, HEADERS)]
-    vectors = [template_vectors(x, w) for x, w in zip((TEXTS, HEADERS), weights)]
-    needs = [uncommon(v, counts, least) for v, least in zip(vectors, (file_at, header_at))]
-
-    def has(names: list[str], n: int) -> Column:
-        return F.size(F.array_intersect("terms", F.array(*[F.lit(t) for t in names]))) >= n
-
-    terms = files.where(F.col(path).isNotNull()).select(F.col(path).alias("path"), _terms(F.col(text)).alias("terms"))
-    likely = terms.where(has(sorted({t for names, _ in needs for t in names}), min(n for _, n in needs)))
-    likely = materialize(likely, "licence-likely")
-    whole = likely.where(has(*needs[0])).select("path", F.lit(-1).alias("unit"), "terms")
+def text_licences(texts: DataFrame, vectors: list[dict], weights: list[dict[str, float]], header_at: float, file_at: float) -> tuple[DataFrame, DataFrame]:
+    """Licence texts (path, licence, cosine), and standard headers inside texts (the same columns), of candidates (path, body, as_text, as_header)."""
+    terms = texts.where("as_text or as_header").select("path", _terms(F.col("body")).alias("terms"), "as_text", "as_header")
+    terms = materialize(terms, "licence-likely")
+    whole = terms.where("as_text").select("path", F.lit(-1).alias("unit"), "terms")
     whole = similarities(whole, vectors[0], weights[0]).where(F.col("cosine") >= file_at)
-    runs = inner_units(likely.where(has(*needs[1])), runs_of(F.col("terms"), HEADERS, vectors[1], header_at))
+    runs = inner_units(terms.where("as_header"), runs_of(F.col("terms"), HEADERS, vectors[1], header_at))
     runs = similarities(runs, vectors[1], weights[1]).where(F.col("cosine") >= header_at)
     return tuple(materialize(x.select("path", "licence", "cosine"), "licence-texts") for x in (whole, runs))
 
 
 def own_licences(files: DataFrame, path: str, text: str, templates: dict[str, str], header_at: float, file_at: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Licences stated in lines (path, licence, cosine), licence files, and licences stated inside texts (the same columns)."""
-    counts = term_counts(files, vocabulary_of(templates, TEXTS, HEADERS), text)
-    weights = term_weights(counts, templates)
-    vectors = template_vectors(templates, weights)
-    in_lines, in_files = anchors(vectors, header_at), anchors(vectors, file_at)
-    body = F.col(text)
-    likely = files.where(F.col(path).isNotNull() & F.lower(body).rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(in_files)})(?![\p{{L}}\p{{N}}])"))
-    likely = likely.select(F.col(path).alias("path"), body.alias("body"))
+    known = materialize(known_terms(files, vocabulary_of(templates, TEXTS, HEADERS), path, text), "licence-known")
+    counts = term_counts(known)
+    weights = [term_weights(counts, x) for x in (templates, TEXTS, HEADERS)]
+    vectors = [template_vectors(x, w) for x, w in zip((templates, TEXTS, HEADERS), weights)]
+    in_lines, in_files = anchors(vectors[0], header_at), anchors(vectors[0], file_at)
+    needs = [uncommon(v, counts, least) for v, least in zip(vectors[1:], (file_at, header_at))]
+
+    def has(names: list[str], n: int) -> Column:
+        return F.size(F.filter("known", lambda t: t.isin(names))) >= n
+
+    asked = {"as_notice": has(in_files, 1), "as_text": has(*needs[0]), "as_header": has(*needs[1]), "spdx": F.col("spdx")}
+    wanted = known.where(F.col("path").isNotNull()).groupBy("path").agg(*[F.max(c).alias(name) for name, c in asked.items()])
+    wanted = materialize(wanted.where(" or ".join(asked)), "licence-candidates")
+    candidates = files.where(F.col(path).isNotNull()).select(F.col(path).alias("path"), F.col(text).alias("body"))
+    candidates = join_keys(candidates, wanted, "path", "inner", 128)
+    likely = candidates.where("as_notice").select("path", "body")
 
     def with_anchor(terms: Column, names: list[str]) -> Column:
         return F.arrays_overlap(terms, F.array(*[F.lit(t) for t in names]))
@@ -239,15 +250,15 @@ def own_licences(files: DataFrame, path: str, text: str, templates: dict[str, st
     lines = F.filter(lines, lambda x: with_anchor(x["terms"], in_lines))
     whole = F.array(F.struct(F.lit(-1).alias("unit"), _terms(F.col("body")).alias("terms")))
     units = likely.select("path", F.explode(F.concat(lines, whole)).alias("x")).select("path", "x.unit", "x.terms")
-    scored = materialize(similarities(units, vectors, weights), "licence-scores")
+    scored = materialize(similarities(units, vectors[0], weights[0]), "licence-scores")
     sentences = F.filter(F.transform(F.split("body", _SENTENCE_END), _terms), lambda terms: with_anchor(terms, in_lines))
-    inside = inner_units(likely, F.concat(sentences, runs_of(_terms(F.col("body")), templates, vectors, header_at)))
-    inside = materialize(similarities(inside, vectors, weights).where(F.col("cosine") >= header_at), "licence-inner-scores")
-    texts, headers = text_licences(files, path, text, counts, header_at, file_at)
+    inside = inner_units(likely, F.concat(sentences, runs_of(_terms(F.col("body")), templates, vectors[0], header_at)))
+    inside = materialize(similarities(inside, vectors[0], weights[0]).where(F.col("cosine") >= header_at), "licence-inner-scores")
+    texts, headers = text_licences(candidates, vectors[1:], weights[1:], header_at, file_at)
     in_line = scored.where((F.col("unit") >= 0) & (F.col("cosine") >= header_at)).select("path", "licence", "cosine")
     whole = scored.where((F.col("unit") < 0) & (F.col("cosine") >= file_at)).select("path", "licence", "cosine")
     inside = inside.select("path", "licence", "cosine").unionByName(headers)
-    return _best(in_line.unionByName(spdx_licences(files, path, text))), _best(whole.unionByName(texts)), _best(inside)
+    return _best(in_line.unionByName(spdx_licences(candidates.where("spdx"), "path", "body"))), _best(whole.unionByName(texts)), _best(inside)
 
 
 def inner_units(texts: DataFrame, terms: Column) -> DataFrame:
