@@ -5,15 +5,14 @@
 2. Nodes that share a band key meet in a bucket. Each is paired with the bucket's smallest node, so a
    bucket gives as many pairs as it has members. Pairs are verified on the full sets; the links that hold
    make components.
-3. What the stars could miss is left in buckets whose members are still in several components. Such a bucket
-   is split by the bands of a second, independent sketch: only members that share a band of both sketches can
-   reach the threshold. Members of what is left are packed into blocks of a bounded number of shingles; blocks
-   of a bucket are compared two by two inside tasks: sketches first, then full sets. Only links leave the tasks.
-   Blocks within one component are not compared.
+3. What the stars could miss is left in buckets whose members are still in several components. Their
+   members are packed into blocks of a bounded number of shingles and of sets of about one size; blocks of a
+   bucket whose sizes leave room for the threshold are compared two by two inside tasks: sketches first, then
+   full sets. Only links leave the tasks. Blocks within one component are not compared.
 4. The components of all links are the groups; each document gets the smallest id of its group.
 
 No bucket, group or set is capped or sampled. Numbers of bands and rows follow from the threshold: a pair
-at the threshold misses all bands of a sketch with a probability of at most 1e-5, and more similar ones much less.
+at the threshold misses all bands with a probability of at most 1e-5, and more similar ones much less.
 Before sets are moved, sketches rule out pairs whose estimate is so low that one at the threshold has it
 with a probability of at most 1e-7, by the binomial tail; the bands are nearly all of the loss.
 
@@ -31,11 +30,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import BROADCAST_BYTES, emit, fresh_name, join_keys, map_arrow, shuffle_partitions
-from clickloom.llm.shingles import band_keys, mix, shingle_set, similarity_sketch
+from clickloom.llm.shingles import band_keys, shingle_set, similarity_sketch
 from clickloom.sources.tables import materialize
 
 #: Chance that a pair just at the threshold shares no band.
@@ -44,8 +43,6 @@ MISSED = 1e-5
 BLOCK, LEAST = 65_536, 512
 #: Chance that the sketches of a pair just at the threshold rule it out.
 RULED_OUT = 1e-7
-#: Makes the second sketch another one than the first. Fixed value.
-_SECOND = np.uint64(0x5851F42D4C957F2D)
 
 
 def banding(threshold: float) -> tuple[int, int]:
@@ -197,109 +194,67 @@ def components(links: DataFrame) -> DataFrame:
     return materialize(ends.unionByName(roots), "components")
 
 
-def crowds(members: DataFrame, heads: DataFrame, groups: DataFrame) -> DataFrame:
-    """key, node, n and component of the members of buckets that hold several components."""
+def crowds(members: DataFrame, heads: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """key, node, component, n, class and block of the members of buckets that hold several components.
+
+    Sets of one class are at most as far apart in size as the threshold allows, and those two classes apart are
+    farther. A component of more than a block's shingles of a class has blocks of its own; others share blocks.
+    Blocks come from sums and hashes, so no bucket is sorted or numbered in one task.
+    """
     wide = materialize(heads.where("m > 2").select("key"), "near-wide")
     found = join_keys(members, wide, "key", "left_semi")
     own = groups.withColumnRenamed("component", "c")
     found = found.join(own, "node", "left").select("key", "node", "n", F.coalesce("c", "node").alias("component"))
-    return materialize(mixed(materialize(found, "near-members"), "key"), "near-crowds")
-
-
-def mixed(members: DataFrame, key: str) -> DataFrame:
-    """The members (written) of buckets with several components."""
-    several = members.groupBy(key).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    return join_keys(members, materialize(several.select(key), "near-mixed"), key, "left_semi")
-
-
-def split_crowds(crowded: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The crowds again, as buckets of members that share a band of a second sketch too, where these hold several components.
-
-    ``key`` now names both bands, ``band`` and ``band_2`` each; ``keys_2`` is the second bands of the node's set, and
-    ``set`` its hash, as an id of several texts has several sets.
-    """
-    bands, rows = banding(threshold)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        longs = pa.list_(pa.int64())
-        schema = pa.schema([("node", pa.int64()), ("set", pa.int64()), ("firsts", longs), ("bands", longs), ("keys_2", pa.binary())])
-        for batch in batches:
-            found = []
-            for node, named, packed, firsts in zip(*batch.columns):
-                elements = mix(np.frombuffer(packed.as_buffer(), np.uint64) ^ _SECOND)
-                keys = band_keys(similarity_sketch(elements, bands * rows), rows)
-                firsts = np.frombuffer(firsts.as_buffer(), np.int64).tolist()
-                found.append((node.as_py(), named.as_py(), firsts, keys.view(np.int64).tolist(), keys.tobytes()))
-            yield from emit(found, schema, lambda row: 24 * bands)
-
-    nodes = materialize(crowded.select("node").distinct(), "near-crowded-nodes")
-    own = join_keys(named_sets(sets).select("node", "set", "shingles", "keys"), nodes, "node", "left_semi").dropDuplicates(["node", "set"])
-    second = map_arrow(own, run, "node long, set long, firsts array<long>, bands array<long>, keys_2 binary")
-    second = materialize(second, "near-second")
-    each = crowded.join(second.drop("keys_2"), "node").where(F.array_contains("firsts", F.col("key")))
-    each = each.withColumn("band_2", F.explode("bands")).drop("firsts", "bands")
-    each = each.withColumnRenamed("key", "band").withColumn("key", F.xxhash64("band", "band_2"))
-    # Most of these buckets hold one node: they are told by their smallest and largest component before anything is written.
-    several = each.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    several = materialize(several.select("key"), "near-mixed-second")
-    left = materialize(join_keys(each, several, "key", "left_semi"), "near-split")
-    return left.join(second.select("node", "set", "keys_2"), ["node", "set"])
-
-
-def named_sets(sets: DataFrame) -> DataFrame:
-    """``sets`` with ``set``: a hash of the shingles."""
-    return sets.withColumn("set", F.xxhash64("shingles"))
-
-
-def in_blocks(crowded: DataFrame) -> DataFrame:
-    """``crowded`` (written) with ``block``.
-
-    A component of more than a block's shingles has blocks of its own; small ones share blocks. Blocks come
-    from sums and hashes, so no bucket is sorted or numbered in one task.
-    """
+    found = materialize(found, "near-members")
+    mixed = found.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    mixed = materialize(mixed.select("key"), "near-mixed")
+    found = materialize(join_keys(found, mixed, "key", "left_semi"), "near-crowds")
     weight = F.greatest(F.col("n"), F.lit(LEAST))
-    sums = crowded.groupBy("key", "component").agg(F.sum(weight).alias("w"))
-    shared = sums.where(F.col("w") <= BLOCK).groupBy("key").agg(F.sum("w").alias("all_w"))
-    sums = materialize(sums.join(shared, "key", "left"), "near-weights")
+    found = found.withColumn("class", size_class(F.col("n"), percent))
+    sums = found.groupBy("key", "class", "component").agg(F.sum(weight).alias("w"))
+    shared = sums.where(F.col("w") <= BLOCK).groupBy("key", "class").agg(F.sum("w").alias("all_w"))
+    sums = materialize(sums.join(shared, ["key", "class"], "left"), "near-weights")
     parts = F.ceil(F.col("w") / BLOCK)
     mixed_parts = F.ceil(2 * F.col("all_w") / BLOCK)
     block = F.when(
         F.col("w") > BLOCK, F.concat_ws("/", F.col("component"), F.pmod(F.xxhash64("node"), parts))
     ).otherwise(F.concat_ws("/", F.lit("s"), F.pmod(F.xxhash64("component"), mixed_parts)))
-    return crowded.join(sums, ["key", "component"]).withColumn("block", block).drop("w", "all_w", "n")
+    blocked = found.join(sums, ["key", "class", "component"])
+    return blocked.select("key", "node", "component", "n", "class", block.alias("block"))
 
 
-def block_pairs(blocked: DataFrame, sets: DataFrame) -> DataFrame:
+def size_class(n: Column, percent: int) -> Column:
+    """Class of a set's size. If one of two sizes is at least ``percent`` hundredths of the other, their classes differ by 1 at most."""
+    return F.floor(F.log(n.cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
+
+
+def block_pairs(crowded: DataFrame, sets: DataFrame) -> DataFrame:
     """key, items and items_2 of the blocks of a bucket that have to be compared."""
-    item = F.struct("node", "component", "shingles", "sketch", "keys", "band", "band_2", "keys_2")
-    whole = named_sets(sets).drop("n").dropDuplicates(["node", "set"])
-    blocks = blocked.join(whole, ["node", "set"]).groupBy("key", "block").agg(F.collect_list(item).alias("items"))
+    item = F.struct("node", "component", "shingles", "sketch", "keys")
+    blocks = crowded.join(sets.drop("n"), "node").groupBy("key", "class", "block").agg(F.collect_list(item).alias("items"))
     blocks = materialize(blocks, "near-blocks")
-    other = blocks.select("key", F.col("block").alias("block_2"), F.col("items").alias("items_2"))
-    within = F.col("block").startswith("s/")
-    return blocks.join(other, "key").where(
-        (F.col("block") < F.col("block_2")) & (F.substring_index("block", "/", 1) != F.substring_index("block_2", "/", 1))
-        | (F.col("block") <= F.col("block_2")) & within & F.col("block_2").startswith("s/")
-    )
+    other = blocks.select("key", F.col("class").alias("class_2"), F.col("block").alias("block_2"), F.col("items").alias("items_2"))
+    shared = F.col("block").startswith("s/") & F.col("block_2").startswith("s/")
+    apart = F.substring_index("block", "/", 1) != F.substring_index("block_2", "/", 1)
+    in_class = (F.col("class") == F.col("class_2")) & (F.col("block") <= F.col("block_2"))
+    in_next = F.col("class") + 1 == F.col("class_2")
+    return blocks.join(other, "key").where((in_class | in_next) & (shared | apart)).select("key", "items", "items_2")
 
 
 def block_links(paired: DataFrame, threshold: float, percent: int) -> DataFrame:
     """Links (a, b) between components, from pairs of blocks."""
     least = least_estimate(threshold)
 
-    def arrays(items: list[dict]) -> tuple:
+    def arrays(key: int, items: list[dict]) -> tuple:
         keys = np.array([np.frombuffer(i["keys"], np.int64) for i in items])
+        own = (keys == key).any(1)  # a node of several texts is here for one of them
+        items = [i for i, x in zip(items, own) if x]
         sets_ = [np.frombuffer(i["shingles"], np.uint64) for i in items]
         sketches = np.array([np.frombuffer(i["sketch"], np.uint8) for i in items])
-        second = np.array([np.frombuffer(i["keys_2"], np.int64) for i in items])
-        return np.array([i["node"] for i in items]), np.array([i["component"] for i in items]), np.array([len(s) for s in sets_]), sketches, sets_, keys, second
-
-    def first_shared(keys: np.ndarray, own: np.ndarray, band: int) -> np.ndarray:
-        """Of which rows the first band shared with ``own`` is ``band``: the others meet in another bucket."""
-        return (keys == own).argmax(1) == int((own == band).argmax())
+        return np.array([i["node"] for i in items]), np.array([i["component"] for i in items]), np.array([len(s) for s in sets_]), sketches, sets_, keys[own]
 
-    def compare(bands: tuple[int, int], left: tuple, right: tuple) -> Iterator[tuple[int, int]]:
-        """Links across components."""
+    def compare(key: int, left: tuple, right: tuple) -> Iterator[tuple[int, int]]:
+        """Links across components, of pairs that share no earlier band: those meet in that band's bucket."""
         near: dict[int, int] = {}
 
         def root(c: int) -> int:
@@ -307,12 +262,14 @@ def block_links(paired: DataFrame, threshold: float, percent: int) -> DataFrame:
                 c = near[c]
             return c
 
-        nodes, groups, sizes, sketches, sets_, keys, second = right
+        nodes, groups, sizes, sketches, sets_, keys = right
+        if not len(left[0]) or not len(nodes):
+            return
+        band = int((keys[0] == key).argmax())
         for i in range(len(left[0])):
             low, high = np.minimum(sizes, left[2][i]), np.maximum(sizes, left[2][i])
             j = np.flatnonzero((groups != left[1][i]) & (100 * low >= percent * high))
-            j = j[first_shared(keys[j], left[5][i], bands[0])] if len(j) else j
-            j = j[first_shared(second[j], left[6][i], bands[1])] if len(j) else j
+            j = j[(keys[j] == left[5][i]).argmax(1) == band] if len(j) else j
             j = j[(sketches[j] == left[3][i]).mean(1) >= least] if len(j) else j
             for k in j:
                 a, b = root(int(left[1][i])), root(int(groups[k]))
@@ -323,13 +280,12 @@ def block_links(paired: DataFrame, threshold: float, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = []
-            for one, two in zip(*batch.columns):
-                items = one.as_py()  # all of a bucket have both bands
-                held.extend(compare((items[0]["band"], items[0]["band_2"]), arrays(items), arrays(two.as_py())))
+            for key, one, two in zip(*(batch.column(i) for i in range(3))):
+                held.extend(compare(key.as_py(), arrays(key.as_py(), one.as_py()), arrays(key.as_py(), two.as_py())))
             if held:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([h[0] for h in held]), "b": pa.array([h[1] for h in held])})
 
-    return map_arrow(paired.select("items", "items_2"), run, "a long, b long").distinct()
+    return map_arrow(paired, run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -358,10 +314,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, key: str
     sets = materialize(full_sets(docs, materialize(wanted, "near-wanted"), key, text, threshold, words), "near-sets")
     links = materialize(verified(pairs, sets, threshold, percent).unionByName(same_id), "near-links")
     groups = components(links)
-    crowded = crowds(members, heads, groups)
+    crowded = materialize(crowds(members, heads, groups, percent), "near-blocked")
     if not crowded.isEmpty():
-        blocked = in_blocks(materialize(split_crowds(crowded, sets, threshold), "near-narrow"))
-        more = materialize(block_links(block_pairs(blocked, sets), threshold, percent), "near-more")
+        more = materialize(block_links(block_pairs(crowded, sets), threshold, percent), "near-more")
         if not more.isEmpty():
             groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 

@@ -139,30 +139,34 @@ def test_crowd_that_stars_do_not_join(docs, monkeypatch):
     assert found(minhash.near_duplicates(docs(*rows), percent=85)) == brute(rows, 85)
 
 
-def test_shared_passage_makes_few_pairs_of_blocks(spark, docs, monkeypatch):
-    """Half of each text is the same passage: buckets are wide, but no two texts are near."""
+def test_shared_passage_makes_few_pairs(spark, docs, monkeypatch):
+    """Texts of many lengths hold the same passage: buckets are wide, but sizes keep most members apart."""
     monkeypatch.setattr(minhash, "BLOCK", 4000)
+    monkeypatch.setattr(minhash, "LEAST", 50)
     rnd = random.Random(10)
     passage = varied(rnd, 120)
-    rows = [(i, " ".join(passage + varied(rnd, 45))) for i in range(400)]
+    rows = [(i, " ".join(passage + varied(rnd, 10 + i))) for i in range(0, 400, 2)]
     rows += [(1000 + i, " ".join(changed(rnd, rows[i][1].split(), 2))) for i in range(0, 40, 2)]
-    made, wide, plain, split = [], [], minhash.block_pairs, minhash.split_crowds
+    made, wide, plain = [], [], minhash.block_pairs
 
-    def counted(*args):
-        made.append(plain(*args))
-        return made[-1]
-
-    def before(crowded, *args):
+    def counted(crowded, sets):
         wide.extend(r["count"] for r in crowded.groupBy("key").count().collect())
-        return split(crowded, *args)
+        made.append(plain(crowded, sets))
+        return made[-1]
 
     monkeypatch.setattr(minhash, "block_pairs", counted)
-    monkeypatch.setattr(minhash, "split_crowds", before)
     assert found(minhash.near_duplicates(docs(*rows), percent=85)) == brute(rows, 85)
     pairs = sum(len(r["items"]) * len(r["items_2"]) for df in made for r in df.select("items", "items_2").collect())
     assert max(wide) > 20 and pairs < sum(n * n for n in wide) / 2, (pairs, wide)
 
 
+def test_size_classes(spark):
+    for percent in (80, 85):
+        sizes = spark.range(1, 400).select("id", minhash.size_class(minhash.F.col("id"), percent).alias("c")).collect()
+        for a in sizes:
+            assert all(b["c"] - a["c"] <= 1 for b in sizes if b["id"] >= a["id"] and 100 * a["id"] >= percent * b["id"])
+
+
 def test_empty_and_wholly_different(docs):
     given = docs((1, "a b c d e"), (2, "f g h i j"), (3, "word " * 50_000))
     assert found(minhash.near_duplicates(given)) == brute([(1, "a b c d e"), (2, "f g h i j"), (3, "word " * 50_000)], 80)
