@@ -613,6 +613,18 @@ def run_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in ("received", "written", "malformed")])
 
 
+@query("ingest_continuous")
+def run_ingest_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages by kind that the ten-second trigger has landed when the inbox is worked off."""
+    lake = fresh_path(spark, "lake")
+    stream = land_messages(stream_text(spark, _message_files(spark, sf_dir)), lake, fresh_path(spark, "lake-offsets"))
+    try:
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return read_lake(spark, lake).groupBy("kind").agg(F.count(F.lit(1)).alias("messages"))
+
+
 @query("raw_autoload")
 def run_raw_autoload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages in the raw table after several runs of the loader."""

@@ -400,6 +400,8 @@ ORACLES: dict[str, str] = {
         from loaded group by 1""",
     "ingest_metrics": """select 8::bigint as batches, count(*) + count(*) filter (event_id % 50 = 3) as received,
         count(*) as written, count(*) filter (event_id % 50 = 3) as malformed from events""",
+    "ingest_continuous": """select 'event' as kind, count(*) as messages from events
+        union all select 'dead_letter', count(*) from events where event_id % 50 = 3""",
     "raw_autoload": f"{_PARSED} select event_id, event_timestamp from sent",
     "raw_metadata": """select count(*) as n_rows, count(*) as distinct_positions,
         count(*) as with_load_time, count(*) as with_path, 8::bigint as batches from events""",
