@@ -8,7 +8,9 @@ What is carried from run to run lies below one folder, in tables of which every
 * ``minutes`` and ``views``: totals and viewed products of every active minute, by day, with the session's number and
   the state of the user just before the minute;
 * ``tails`` and ``seen``: each user's state after the last minute, and the products of the session still open;
-* ``facts``: sessions by the day they start, ``rejected``: what is in quarantine.
+* ``facts``: sessions by the day they start, ``rejected``: what is in quarantine;
+* ``event_checks``, ``minute_checks``, ``fact_checks``: counts from which the checks of the whole tables are put
+  together, one set for each run's events and for each day of minutes and facts.
 
 A user whose new events all lie after the tail goes on from there. Where an event comes late, or a newer copy takes
 another's place, the user's minutes from there on are numbered anew, from the state that the first of them carries.
@@ -27,20 +29,22 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions import crossed_seconds, epoch_minute
-from clickloom.operators import bloom
+from clickloom.operators import bloom, quality
 from clickloom.operators.asof import price_asof
 from clickloom.operators.dedup import latest_copy, newest_first
-from clickloom.operators.lookup import MAX_BROADCAST_BYTES, Dimension, measure
+from clickloom.operators.lookup import MAX_BROADCAST_BYTES, Dimension, measure, without_parent
 from clickloom.operators.sessions import minute_totals, minute_views, session_id
 from clickloom.plans.marts import FACT_COLUMNS, enrich_sessions
+from clickloom.plans.refresh import event_rules, fact_rules
 from clickloom.plans.staging import parse_events, validate_events
-from clickloom.schemas import DEFAULT_MIN_EVENT_TS, SESSION_GAP_MINUTES, VALIDATED_SCHEMA
+from clickloom.schemas import DEFAULT_MIN_EVENT_TS, EVENT_TYPES, SESSION_GAP_MINUTES, VALIDATED_SCHEMA
 from clickloom.sources.dated import exists
 from clickloom.sources.tables import materialize, read_table, write_table
 
@@ -59,12 +63,17 @@ _SCHEMAS = {
     "minutes": f"user_id string, minute long, {_TOTALS}, session_index long, before struct<{_STATE}>",
     "views": "user_id string, minute long, product_id string",
     "facts": f"user_id string, {_STATE}",
+    "minute_checks": "name string, value string, n long",
+    "fact_checks": "name string, value string, n long",
 }
 _WHOLE = {
     "filters": "blocks long, block long, words array<long>",
     "tails": f"user_id string, tail struct<{_STATE}>",
     "seen": "user_id string, product_id string, minute long",
+    "event_checks": "name string, value string, n long",
 }
+#: Columns of an event that its rules, and its minute, need.
+_CHECKED = ["event_id", "user_id", "event_at_ts", "event_type", "product_id"]
 
 
 class DimensionsChanged(ValueError):
@@ -200,7 +209,7 @@ def _prices_unchanged(state: State, versions: DataFrame) -> None:
 def merge_copies(state: State, fresh: DataFrame, run: str) -> tuple[DataFrame, DataFrame, int]:
     """Rows of ``fresh`` (written, one a key) that are the latest copy, the stored rows they replace, and the number of runs read.
 
-    ``superseded`` rows have event_id, old_run, user_id and event_at_ts.
+    ``superseded`` rows have old_run and the columns in ``_CHECKED``.
     """
     found = materialize(bloom.suspects(fresh, "event_id", state.read_whole("filters", state.runs), RUN), "increment-suspects")
     runs = [row[RUN] for row in found.select(RUN).distinct().collect()]
@@ -211,11 +220,11 @@ def merge_copies(state: State, fresh: DataFrame, run: str) -> tuple[DataFrame, D
     of_id = Window.partitionBy("event_id").orderBy(*newest_first(), F.col(RUN).asc_nulls_last())
     rivals = stored.unionByName(asked.select(*columns)).withColumn("rank", F.row_number().over(of_id))
     rivals = rivals.withColumn("first_run", F.first(RUN).over(of_id))
-    rivals = materialize(rivals.select("event_id", "user_id", "event_at_ts", RUN, "rank", "first_run"), "increment-rivals")
+    rivals = materialize(rivals.select(*_CHECKED, RUN, "rank", "first_run"), "increment-rivals")
     beaten = rivals.where(F.col(RUN).isNull() & (F.col("rank") > 1)).select("event_id")
     gained = fresh.join(beaten, "event_id", "left_anti")
     superseded = rivals.where(F.col(RUN).isNotNull() & (F.col("rank") == 2) & F.col("first_run").isNull())
-    return gained, superseded.select("event_id", F.col(RUN).alias("old_run"), "user_id", "event_at_ts"), len(runs)
+    return gained, superseded.select(F.col(RUN).alias("old_run"), *_CHECKED), len(runs)
 
 
 def number_from(rows: DataFrame, views: DataFrame, seen: DataFrame, gap_minutes: int) -> tuple[DataFrame, DataFrame]:
@@ -293,11 +302,12 @@ def advance(
     blocks = bloom.blocks_for(n_gained)
     filter_ = bloom.build(gained, "event_id", blocks).select(F.lit(blocks).cast("long").alias("blocks"), F.col("block").cast("long"), "words")
     write_table(filter_, f"{folder}/filters/{RUN}={run_id}")
+    write_table(event_states(gained, superseded), f"{folder}/event_checks/{RUN}={run_id}")
 
     instants = gained.select("user_id", "event_at_ts", DAY).unionByName(superseded.select("user_id", "event_at_ts", DAY))
     touched = instants.select("user_id", epoch_minute(F.col("event_at_ts")).alias("minute"), DAY).distinct()
     touched = materialize(touched, "increment-touched")
-    days_read = _sessions(state, run_id, touched, gap_minutes)
+    days_read = _sessions(state, run_id, touched, gap_minutes, users)
     days_held = len(state.days("minutes"))
     state.publish(run_id)
     return Report(n_gained, n_superseded, held, runs_read, days_held, days_read)
@@ -328,7 +338,71 @@ def _judge(
     return materialize(price_asof(valid, prices).select(*_SCHEMAS["copies"].names), "increment-fresh")
 
 
-def _sessions(state: State, run: str, touched: DataFrame, gap_minutes: int) -> int:
+def event_states(gained: DataFrame, superseded: DataFrame) -> DataFrame:
+    """name, value and n: events, and violations of the rules on events, that a run adds or takes away."""
+    signed = gained.select(*_CHECKED, F.lit(1).alias("sign")).unionByName(superseded.select(*_CHECKED, F.lit(-1).alias("sign")))
+    counted = {"events": F.lit(True)} | {check.name: check.rule_broken for check in event_rules()}
+    found = [F.struct(F.lit(name).alias("name"), F.lit(None).cast("string").alias("value"), F.sum(F.when(bad, F.col("sign")).otherwise(0)).alias("n")) for name, bad in counted.items()]
+    rules = signed.agg(F.array(*found).alias("x")).select(F.inline("x"))
+    values = quality.unaccepted(signed.withColumn("n", F.col("sign")), "event_type", EVENT_TYPES).drop("n_records")
+    values = signed.join(values.distinct(), "event_type", "left_semi").groupBy(F.col("event_type").alias("value")).agg(F.sum("sign").alias("n"))
+    twice = quality.duplicated(gained, "event_id").agg(F.count("*").alias("n"))
+    parts = [rules, values.select(F.lit("event_type").alias("name"), "value", "n"), twice.select(F.lit("twice").alias("name"), F.lit(None).cast("string").alias("value"), "n")]
+    return reduce(DataFrame.unionByName, parts).withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
+
+
+def _minute_states(minutes: DataFrame) -> DataFrame:
+    """day, name, value and n: events in minutes, and minutes that are there twice."""
+    keys = minutes.groupBy(DAY, "user_id", "minute").agg(F.count("*").alias("rows"), F.sum("events").alias("events"))
+    found = F.array(*[F.struct(F.lit(name).alias("name"), n.cast("long").alias("n")) for name, n in (("events", F.sum("events")), ("twice", F.count_if(F.col("rows") > 1)))])
+    return keys.groupBy(DAY).agg(found.alias("x")).select(DAY, F.inline("x")).withColumn("value", F.lit(None).cast("string"))
+
+
+def _fact_states(facts: DataFrame, users: DataFrame) -> DataFrame:
+    """day, name, value and n: sessions, violations of the rules on sessions, and sessions of users that aren't known."""
+    shown = _shown(facts)
+    counted = {"sessions": F.lit(True)} | {check.name: check.rule_broken for check in fact_rules()}
+    found = F.array(*[F.struct(F.lit(name).alias("name"), F.count_if(bad).alias("n")) for name, bad in counted.items()])
+    rules = shown.groupBy(DAY).agg(found.alias("x")).select(DAY, F.inline("x")).withColumn("value", F.lit(None).cast("string"))
+    by_user = shown.where(F.col("user_id").isNotNull()).groupBy(DAY, F.col("user_id").alias("value")).agg(F.count("*").alias("n"))
+    unknown = without_parent(by_user, "value", measure(users, "user_id", ["country"]))
+    return rules.unionByName(unknown.withColumn("name", F.lit("orphan")).select(*rules.columns))
+
+
+def checks(spark: SparkSession, folder: str, users: Dimension) -> DataFrame:
+    """The suite of the event, session-event and session tables, put together from the states of runs and days."""
+    state = State.load(spark, folder)
+    events = state.read_whole("event_checks", state.runs)
+    minutes, facts = state.read("minute_checks"), state.read("fact_checks")
+
+    def total(rows: DataFrame, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("name") == name, F.col("n"))), F.lit(0))
+
+    of_events = events.agg(total(events, "events").alias("events"), total(events, "twice").alias("twice"), *[total(events, c.name).alias(f"e{i}") for i, c in enumerate(event_rules())])
+    of_minutes = minutes.agg(total(minutes, "events").alias("in_minutes"), total(minutes, "twice").alias("minutes_twice"))
+    of_facts = facts.agg(total(facts, "sessions").alias("sessions"), *[total(facts, c.name).alias(f"f{i}") for i, c in enumerate(fact_rules())])
+    numbers = state.read_whole("tails", state.runs[-1:]).agg(F.coalesce(F.sum("tail.session_index"), F.lit(0)).alias("numbers"))
+    # Single rows, each beside the others.
+    row = of_events.join(of_minutes, how="cross").join(of_facts, how="cross").join(numbers, how="cross")
+    counts = [quality.CountCheck(c.name, F.col(f"e{i}"), c.severity) for i, c in enumerate(event_rules())]
+    counts += [quality.CountCheck(c.name, F.col(f"f{i}"), c.severity) for i, c in enumerate(fact_rules())]
+    counts += [
+        quality.CountCheck("events.event_id.unique", F.col("twice")),
+        quality.CountCheck("sessionized.event_id.unique", F.col("twice") + F.col("minutes_twice")),
+        quality.CountCheck("sessionized.session_id.not_null", F.col("events") - F.col("in_minutes")),
+        # A user's sessions are numbered without a gap up to the tail's.
+        quality.CountCheck("sessions.session_id.unique", F.col("sessions") - F.col("numbers")),
+    ]
+    values = events.where("name = 'event_type'").groupBy("value").agg(F.sum("n").alias("n")).where("n > 0")
+    orphans = facts.where("name = 'orphan'").groupBy("value").agg(F.sum("n").alias("n"))
+    failing = [
+        quality.QueryCheck("events.event_type.accepted_values", values),
+        quality.QueryCheck("sessions.user_id.relationships", without_parent(orphans, "value", users)),
+    ]
+    return quality.run_checks([], failing, [(row, counts)])
+
+
+def _sessions(state: State, run: str, touched: DataFrame, gap_minutes: int, known_users: DataFrame) -> int:
     """Carry minutes, views, facts, tails and seen products on; the number of stored days of minutes read is returned."""
     spark = state.spark
     changed = _days(touched)
@@ -382,6 +456,7 @@ def _sessions(state: State, run: str, touched: DataFrame, gap_minutes: int) -> i
     kept = kept.where(F.col("from_minute").isNull() | (F.col("minute") < F.col("from_minute"))).drop("from_minute")
     columns = [*names, "session_index", "before"]
     state.write(kept.select(*columns).unionByName(numbered.select(*columns)), "minutes", run, _day(F.col("minute")), days)
+    state.write(_minute_states(state.read("minutes", days)).drop(RUN), "minute_checks", run, F.col(DAY), days)
     kept = state.read("views", changed).drop(RUN, DAY).join(touched.select("user_id", "minute"), ["user_id", "minute"], "left_anti")
     state.write(kept.unionByName(new_views), "views", run, _day(F.col("minute")), changed)
 
@@ -397,6 +472,7 @@ def _sessions(state: State, run: str, touched: DataFrame, gap_minutes: int) -> i
     kept = state.read("facts", days_of_facts).drop(RUN).join(_hinted(materialize(cut, "increment-cut")), "user_id", "left")
     kept = kept.where(F.col("from_index").isNull() | (F.col("session_index") < F.col("from_index"))).drop("from_index")
     state.write(kept.unionByName(found), "facts", run, F.col(DAY), days_of_facts)
+    state.write(_fact_states(state.read("facts", days_of_facts), known_users), "fact_checks", run, F.col(DAY), days_of_facts)
 
     # Tails, and the products of the sessions still open.
     last = numbered.groupBy("user_id").agg(F.max_by("after", "minute").alias("last"))
@@ -415,8 +491,13 @@ def _sessions(state: State, run: str, touched: DataFrame, gap_minutes: int) -> i
 
 def session_facts(spark: SparkSession, folder: str, users: Dimension) -> DataFrame:
     """The session fact table of the last published run."""
-    facts = State.load(spark, folder).read("facts")
-    facts = facts.select(
+    return enrich_sessions(_shown(State.load(spark, folder).read("facts")), users).select(*FACT_COLUMNS)
+
+
+def _shown(facts: DataFrame) -> DataFrame:
+    """Stored facts with the names of the fact table, and ``day``."""
+    return facts.select(
+        DAY,
         "user_id",
         session_id().alias("session_id"),
         F.col("started_at").alias("session_started_at_ts"),
@@ -428,7 +509,6 @@ def session_facts(spark: SparkSession, folder: str, users: Dimension) -> DataFra
         F.col("products").alias("distinct_products_viewed"),
         F.col("utm_source").alias("session_utm_source"),
     )
-    return enrich_sessions(facts, users).select(*FACT_COLUMNS)
 
 
 def latest_events(spark: SparkSession, folder: str) -> DataFrame:

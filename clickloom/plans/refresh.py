@@ -128,6 +128,26 @@ def product_history(
     return apply_snapshot(history, products, PRODUCT_KEY, PRODUCT_CHECK, at)
 
 
+def event_rules() -> list[quality.RowCheck]:
+    """Rules on single rows of the event table."""
+    return [
+        quality.not_null("events.event_id.not_null", "event_id"),
+        quality.not_null("events.event_at_ts.not_null", "event_at_ts"),
+        quality.not_null("events.user_id.not_null", "user_id"),
+        quality.not_null("events.product_id.not_null", "product_id", where=~F.col("event_type").isin(PAGE_VIEW)),
+        quality.not_null("sessionized.event_id.not_null", "event_id"),
+    ]
+
+
+def fact_rules() -> list[quality.RowCheck]:
+    """Rules on single rows of the session table."""
+    return [
+        quality.not_null("sessions.session_id.not_null", "session_id"),
+        quality.not_null("sessions.user_id.not_null", "user_id"),
+        quality.RowCheck("sessions.session_duration_seconds.not_negative", F.col("session_duration_seconds") < 0),
+    ]
+
+
 def table_checks(
     events: DataFrame, minutes: DataFrame, facts: DataFrame, users: Dimension
 ) -> DataFrame:
@@ -137,33 +157,7 @@ def table_checks(
     arise: its id is the event's, it has a session unless its minute is missing, and it is there once if
     the event is and no minute is there twice. No event is joined to its session for that.
     """
-    row_checks = [
-        (
-            events,
-            [
-                quality.not_null("events.event_id.not_null", "event_id"),
-                quality.not_null("events.event_at_ts.not_null", "event_at_ts"),
-                quality.not_null("events.user_id.not_null", "user_id"),
-                quality.not_null(
-                    "events.product_id.not_null",
-                    "product_id",
-                    where=~F.col("event_type").isin(PAGE_VIEW),
-                ),
-                quality.not_null("sessionized.event_id.not_null", "event_id"),
-            ],
-        ),
-        (
-            facts,
-            [
-                quality.not_null("sessions.session_id.not_null", "session_id"),
-                quality.not_null("sessions.user_id.not_null", "user_id"),
-                quality.RowCheck(
-                    "sessions.session_duration_seconds.not_negative",
-                    F.col("session_duration_seconds") < 0,
-                ),
-            ],
-        ),
-    ]
+    row_checks = [(events, event_rules()), (facts, fact_rules())]
     # Rows by kind of violation: an event id twice, a minute twice.
     keys = minutes.groupBy("user_id", "minute").agg(F.count("session_index").alias("n_records"))
     doubles = quality.duplicated(events, "event_id").select(F.lit(1).alias("e"), F.lit(0).alias("m"))

@@ -817,6 +817,12 @@ def run_increment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return increment.latest_events(spark, _advanced(spark, sf_dir)).drop("metadata_filename", "value")
 
 
+@query("increment_checks")
+def run_increment_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite of those runs, from the states of runs and days."""
+    return increment.checks(spark, _advanced(spark, sf_dir), user_dim(spark, sf_dir))
+
+
 @query("refresh_quarantine")
 def run_refresh_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published quarantine after two scheduled runs."""

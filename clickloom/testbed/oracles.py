@@ -376,6 +376,7 @@ ORACLES: dict[str, str] = {
     "dq_positive_duration": f"""{_FULL} select session_id, -session_duration_seconds as session_duration_seconds
         from facts where session_index % 7 = 0 and session_duration_seconds > 0""",
     "dq_suite": f"{_FULL} {_SUITE}",
+    "increment_checks": f"{_FULL} {_SUITE}",
     "dq_suite_dirty": f"{_with(_SRC, _DIMS)} {_SUITE_DIRTY}",
     "ingest_json": f"""{_PARSED} select event_id, product_id, order_id, platform, ip_address, user_agent,
         utm_source, utm_medium, utm_campaign, event_type, user_id, event_timestamp from sent""",

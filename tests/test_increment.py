@@ -9,9 +9,11 @@ from datetime import datetime, timedelta
 import pytest
 from clickloom.operators.asof import price_asof
 from clickloom.operators.lookup import measure
+from clickloom.operators.sessions import session_minutes
 from clickloom.plans import increment
 from clickloom.plans.marts import fact_sessions
 from clickloom.plans.staging import parse_events, quarantined_events, valid_events, validate_events
+from clickloom.plans.refresh import table_checks
 from clickloom.sources.tables import fresh_path, materialize
 from pyspark.sql import functions as F
 
@@ -64,6 +66,9 @@ def assert_equal_to_whole(spark, folder, raw, dims):
     assert len(same(increment.session_facts(spark, folder, measure(dims[1], "user_id", ["country"])), facts)) == 11
     same(increment.latest_events(spark, folder), events)
     same(increment.quarantine(spark, folder), refused)
+    user_dim = measure(dims[1], "user_id", ["country"])
+    minutes = materialize(session_minutes(events), "test-minutes")
+    assert len(same(increment.checks(spark, folder, user_dim), table_checks(events, minutes, facts, user_dim))) == 4
 
 
 def made(seed, n=150):
@@ -176,3 +181,19 @@ def test_without_rows(spark, dims):
     advance(spark, folder, "1", raw, dims)
     advance(spark, folder, "2", none, dims)
     assert_equal_to_whole(spark, folder, raw, dims)
+
+
+def test_states_tell_what_is_wrong(spark, dims):
+    """Violations in the carried tables show in the checks as they would in a full pass."""
+    folder = fresh_path(spark, "test-increments")
+    raw = raw_of(spark, [(10, event("a", "u1", 5, "product_view", "p1")), (20, event("b", None, 15))])
+    advance(spark, folder, "1", raw, dims)
+    none = measure(dims[1].where("user_id = 'x'"), "user_id", ["country"])
+    assert {r["check"]: r["failures"] for r in increment.checks(spark, folder, none).collect() if not r["passed"]} == {}
+    bad = increment.event_states(
+        spark.createDataFrame([("a", "u", None, "odd", None), ("a", None, None, "page_view", None)], "event_id string, user_id string, event_at_ts timestamp_ntz, event_type string, product_id string"),
+        spark.createDataFrame([("c", "u", None, "odd", "p"), ("d", "u", None, "other", "p")], "event_id string, user_id string, event_at_ts timestamp_ntz, event_type string, product_id string"),
+    )
+    got = {(r["name"], r["value"]): r["n"] for r in bad.collect()}
+    assert got["events", None] == 0 and got["twice", None] == 1 and got["event_type", "odd"] == 0 and got["event_type", "other"] == -1
+    assert got["events.product_id.not_null", None] == 1 and got["events.user_id.not_null", None] == 1 and got["events.event_at_ts.not_null", None] == 0
