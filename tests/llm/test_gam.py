@@ -1,6 +1,10 @@
 """The additive model: interactions, lookup scoring, held-out accuracy, odd input."""
 
+import math
+import random
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -29,6 +33,64 @@ def test_lookup_tables_and_interactions():
     assert one == pytest.approx(1 / (1 + np.exp(-logit)))
 
 
+def kind(c):
+    if c in "\t\n\v\f\r":
+        return "space"
+    if c in "#*%&@\\_/":
+        return "symbol"
+    own = unicodedata.category(c)
+    if own in ("Lu", "Lt"):
+        return "upper"
+    if own in ("Ll", "Lo", "Lm", "Mn", "Mc"):
+        return "lower"
+    if own in ("Zs", "Zl", "Zp"):
+        return "space"
+    return {"N": "digit", "P": "mark", "S": "symbol"}.get(own[0], "other")
+
+
+def slow_features(text):
+    """The features character by character, as FEATURES names them."""
+    words = [w for w in "".join(" " if c in " \t\n\v\f\r" else c for c in text).split(" ") if w]
+    kinds = [kind(c) for c in text]
+    counts = Counter(kinds)
+    chars, n = max(len(text), 1), max(len(words), 1)
+    lines = [line for line in text.split("\n") if line.strip()]
+    ending = sum(1 for a, b in zip(kinds, kinds[1:]) if b == "space" and a in ("mark", "symbol"))
+    pieces, piece = [], []
+    for k in [*kinds, "space"]:
+        if k == "space":
+            if piece:
+                pieces.append(piece)
+            piece = []
+        else:
+            piece.append(k)
+    bare = sum(1 for p in pieces if "upper" not in p and "lower" not in p)
+    same = sum(1 for a, b in zip(words, words[1:]) if a == b)
+    top = Counter(words).most_common(1)
+    return [
+        math.log(1 + len(words)),
+        (chars - counts["space"]) / n,
+        counts["upper"] / max(counts["upper"] + counts["lower"], 1),
+        *[counts[k] / chars for k in ("digit", "mark", "symbol", "space", "other")],
+        len(set(words)) / n,
+        (top[0][1] if top else 0) / n,
+        same / n,
+        len(words) / max(len(lines), 1),
+        len(set(lines)) / max(len(lines), 1),
+        ending / n,
+        bare / n,
+    ]
+
+
+def test_features_against_slow_version(spark):
+    rnd = random.Random(4)
+    texts = ["", " ", "\n \n", "A", "a a a", "x, y! #z 12 3.4 _ é Ünï 漢字 🙂", "tab\tend.\r\nline\n\nline\n", "\u00a0nb \u2028 z", "ⅷ ² ½"]
+    texts += ["".join(rnd.choice("aB \n.,#9é漢🙂\t-\u00a0\x00") for _ in range(rnd.randrange(1, 120))) for _ in range(200)]
+    texts += [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).collect() if r["text"]]
+    for text in texts:
+        assert gam.features(text) == pytest.approx(slow_features(text)), text[:80]
+
+
 def test_features_of_odd_texts():
     for text in ("", " ", "\n", "a", "🙂\ud800", "x" * 100_000, "\x00"):
         found = gam.features(text)

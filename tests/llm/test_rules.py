@@ -1,9 +1,12 @@
 """Text statistics against a plain version, and the learned decision list."""
 
+import math
 import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from samples import PROSE
 
 from clickloom.llm import rules
@@ -57,6 +60,68 @@ def test_list_is_learned_in_order(spark, docs):
     assert rules.kept_rows(given, learned).columns == given.columns
 
 
+def plain_list(rows, max_rules=8, max_conditions=3, min_precision=0.9, min_cover=5):
+    """Sequential covering over (features, bad, held) rows in plain Python."""
+    def holds(rule, x):
+        return all(x[f] >= v if op == ">=" else x[f] <= v for f, op, v in rule)
+
+    def counts(some):
+        bad = sum(b for _, b, _ in some)
+        return bad, len(some) - bad
+
+    found = []
+    while len(found) < max_rules:
+        left = [r for r in rows if not any(holds(rule, r[0]) for rule in found)]
+        grown, pruned = [r for r in left if not r[2]], [r for r in left if r[2]]
+        rule = ()
+        while len(rule) < max_conditions:
+            some = [r for r in grown if holds(rule, r[0])]
+            bad, good = counts(some)
+            if not bad or not good:
+                break
+            best = (0.0, None)
+            for f in rules.FEATURES:
+                for v in sorted({x[f] for x, _, _ in some}):
+                    for op in (">=", "<="):
+                        p, n = counts([r for r in some if holds(((f, op, v),), r[0])])
+                        gain = p * (math.log2(p / (p + n)) - math.log2(bad / (bad + good))) if p else 0.0
+                        if gain > best[0] + 1e-9:
+                            best = gain, (f, op, v)
+            if best[1] is None:
+                break
+            rule += (best[1],)
+        if not rule:
+            break
+        worth = []
+        for k in range(1, len(rule) + 1):
+            bad, good = counts([r for r in pruned if holds(rule[:k], r[0])])
+            worth.append(((bad - good) / (good + bad) if good + bad else -1.0, -k, bad, good))
+        _, k, bad, good = max(worth)
+        if bad < min_cover or bad < min_precision * (good + bad):
+            break
+        found.append(rule[:-k])
+    return found
+
+
+def test_list_equals_plain_covering(spark, docs):
+    for seed in (1, 2):
+        rnd = random.Random(seed)
+        rows, marks = [], []
+        for i in range(300):
+            words = [rnd.choice(PROSE) + rnd.choice(["", "", "#", "!"]) * (i % 3) for _ in range(rnd.randrange(12, 40))]
+            if i % 5 == 0:
+                words = [w.upper() for w in words]
+            rows.append((i, " ".join(words)))
+            marks.append((i, int(i % 3 < 2 and i % 5 > 0) if rnd.random() > 0.05 else rnd.randrange(2)))
+        labels = spark.createDataFrame(marks, "doc_id long, quality int")
+        statistics = rules.materialize(rules.with_statistics(docs(*rows).select("doc_id", "text")), "test")
+        good = dict(marks)
+        held = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
+        given = [(r.asDict(), not good[r["doc_id"]], r["held"]) for r in statistics.where(~rules.base_failed()).withColumn("held", held).collect()]
+        want = plain_list(given)
+        assert rules.learn(statistics, labels) == want and want
+
+
 def test_without_labels(spark, docs):
     given = docs((1, "a b c d e f g h i j"), (2, "short"), (3, None), (None, "k l m n o p q r s t"), (1, "a b c d e f g h i j"))
     statistics = rules.materialize(rules.with_statistics(given.select("doc_id", "text")), "test")
