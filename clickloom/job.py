@@ -57,6 +57,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     command.add_argument("--min-event-ts", default=DEFAULT_MIN_EVENT_TS)
     command.add_argument("--gap-minutes", type=int, default=SESSION_GAP_MINUTES)
     command.add_argument("--closed-validity", action="store_true")
+    command.add_argument("--split-guests", action="store_true", help="sessions of guests by visitor")
     command.add_argument("--approx-products", type=int, help="estimate distinct products with 2^N buckets")
     command.add_argument("--raw-bytes", type=int)
     command.add_argument("--max-broadcast-bytes", type=int, default=MAX_BROADCAST_BYTES)
@@ -95,6 +96,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             args.min_event_ts,
             args.gap_minutes,
             args.closed_validity,
+            args.split_guests,
             args.approx_products,
             args.raw_bytes,
             args.max_broadcast_bytes,

@@ -33,6 +33,8 @@ from clickloom.schemas import (
 )
 
 
+#: Begins the id of a visitor; no registered user has a colon after it.
+VISITOR_PREFIX = f"{GUEST_USER}:"
 INSTANT_COLUMNS = ["event_id", "user_id", "event_at_ts"]
 
 
@@ -44,6 +46,26 @@ def _by_minute():
     return Window.partitionBy("user_id").orderBy("minute")
 
 
+def visitor_of(user: Column, ip_address: Column, user_agent: Column) -> Column:
+    """The user, or for guests the visitor: told by address and agent, the same in every run.
+
+    A guest of whom neither is known stays the shared guest.
+    """
+    place = F.concat(F.coalesce(ip_address, F.lit("")), F.lit("|"), F.coalesce(user_agent, F.lit("")))
+    visitor = F.concat(F.lit(VISITOR_PREFIX), F.left(F.md5(place), F.lit(16)))
+    return F.when((user == GUEST_USER) & (F.length(place) > 1), visitor).otherwise(user)
+
+
+def account_of(user: Column) -> Column:
+    """The user a visitor is registered as: the guest."""
+    return F.when(user.startswith(VISITOR_PREFIX), F.lit(GUEST_USER)).otherwise(user)
+
+
+def with_visitors(events: DataFrame) -> DataFrame:
+    """Events with visitors in place of the shared guest, whose traffic would run into a few endless sessions."""
+    return events.withColumn("user_id", visitor_of(F.col("user_id"), F.col("ip_address"), F.col("user_agent")))
+
+
 def number_sessions(minutes: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
     """Add ``session_index`` (1, 2, ... per user) to rows unique by (user, minute)."""
     idle = F.col("minute") - F.lag("minute").over(_by_minute())

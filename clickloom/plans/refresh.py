@@ -18,7 +18,7 @@ from clickloom.operators import quality
 from clickloom.operators.asof import price_asof
 from clickloom.operators.lookup import MAX_BROADCAST_BYTES, Dimension, measure
 from clickloom.operators.scd2 import apply_snapshot, first_snapshot
-from clickloom.operators.sessions import session_minutes, sessionize
+from clickloom.operators.sessions import account_of, session_minutes, sessionize, with_visitors
 from clickloom.plans.marts import fact_sessions
 from clickloom.plans.staging import parse_events, quarantined_events, valid_events, validate_events
 from clickloom.schemas import (
@@ -46,6 +46,8 @@ class RefreshConfig:
     min_event_ts: str | None = DEFAULT_MIN_EVENT_TS
     gap_minutes: int = SESSION_GAP_MINUTES
     closed_validity: bool = False
+    # Give guests sessions by visitor (address and agent) instead of together.
+    split_guests: bool = False
     # Estimate distinct products by sketches of two to this power of buckets; None counts them.
     approx_products: int | None = None
     # Size of the raw table, by which scans and shuffles are sized; measured where it is not given.
@@ -180,7 +182,7 @@ def table_checks(
     query_checks = [
         quality.accepted_values("events.event_type.accepted_values", events, "event_type", EVENT_TYPES),
         quality.unique("sessions.session_id.unique", facts, "session_id"),
-        quality.relationships("sessions.user_id.relationships", facts, "user_id", users),
+        quality.relationships("sessions.user_id.relationships", facts.withColumn("user_id", account_of(F.col("user_id"))), "user_id", users),
     ]
     return quality.run_checks(row_checks, query_checks, count_checks)
 
@@ -231,9 +233,8 @@ def _build(
         config.table("validated"),
         partition_by="is_valid_record",
     )
-    events = write_table(
-        price_asof(valid_events(validated), prices, config.closed_validity), config.table("events")
-    )
+    events = price_asof(valid_events(validated), prices, config.closed_validity)
+    events = write_table(with_visitors(events) if config.split_guests else events, config.table("events"))
     minutes = session_minutes(events, config.gap_minutes, not config.closed_validity)
     minutes = write_table(minutes, config.table("session_minutes"))
     facts = write_table(

@@ -21,6 +21,7 @@ from clickloom.operators.sessions import (
     session_metrics,
     session_minutes,
     sessionize,
+    with_visitors,
     with_session_index,
 )
 from clickloom.plans import increment, staging
@@ -305,6 +306,13 @@ def run_fact_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_sessions(events, user_dim(spark, sf_dir))
 
 
+@query("visitor_sessions")
+def run_visitor_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The session fact table with guests told apart by address and agent."""
+    events = materialize(with_visitors(priced(spark, sf_dir)).select(*METRIC_COLUMNS), "priced")
+    return fact_sessions(events, user_dim(spark, sf_dir))
+
+
 @query("session_bounds")
 def run_session_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics(spark, sf_dir).select("session_id", "session_started_at_ts", "session_ended_at_ts")

@@ -186,6 +186,12 @@ def _with(*parts: str) -> str:
 _PARSED = _with(_SRC)
 _VALID = _with(_SRC, _DIMS, _VALIDATED)
 _FULL = _with(_SRC, _DIMS, _VALIDATED, _sessions())
+_VISITED = """
+visited as (
+    select * replace (case when user_id = 'guest' then 'guest:' || md5(ip_address || '|' || user_agent)[:16] else user_id end as user_id)
+    from valid
+)"""
+_BY_VISITOR = _with(_SRC, _DIMS, _VALIDATED, _VISITED, _sessions().replace("from valid e", "from visited e"))
 _CLOSED = _with(_SRC, _DIMS, _VALIDATED, _sessions(closed=True))
 _WIDE_GAP = _with(_SRC, _DIMS, _VALIDATED, _sessions(gap=360))
 _VERSIONED = _with(_DIMS, _HISTORY)
@@ -337,6 +343,7 @@ ORACLES: dict[str, str] = {
         from sessionized""",
     "sessionize_wide_gap": f"{_WIDE_GAP} select event_id, session_id from sessionized",
     "fact_sessions": f"{_FULL} select * exclude (session_index) from facts",
+    "visitor_sessions": f"{_BY_VISITOR} select * exclude (session_index) from facts",
     "increment_sessions": f"{_FULL} select * exclude (session_index) from facts",
     "increment_events": f"{_VALID} select * from valid",
     "session_bounds": f"{_FULL} select session_id, session_started_at_ts, session_ended_at_ts from facts",

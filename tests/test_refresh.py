@@ -154,3 +154,11 @@ def test_partitions_follow_the_size_of_the_raw_table(spark, job, make_raw, tmp_p
     assert seen == [sum(f.stat().st_size for f in path.glob("*.parquet")), 7]
     many = sizing(10**12)
     assert int(many["spark.sql.shuffle.partitions"]) > 3000
+
+
+def test_guests_by_visitor(job, make_raw):
+    raw = make_raw(*[event(str(i), i, user_id=None, ip_address=f"10.0.0.{i % 2}", user_agent="a") for i in range(4)], event("9", 5))
+    assert job.run("1", raw=raw).count() == 2
+    facts = {r["session_id"]: r["total_events_in_session"] for r in job.run("2", raw=raw, split_guests=True).collect()}
+    assert sorted(facts.values()) == [1, 2, 2] and sum(k.startswith("guest:") for k in facts) == 2
+    assert job.read("checks").where("not passed").count() == 0

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from clickloom.functions import crossed_minutes, crossed_seconds
 from clickloom.operators.lookup import measure
 from clickloom.operators.sessions import (
+    account_of,
     event_gaps,
     products_viewed,
     session_metrics,
     session_minutes,
     sessionize,
     with_session_index,
+    with_visitors,
 )
 from clickloom.plans.marts import fact_sessions
+from moments import at
 
 
 def plain_sessions(events, gap=30):
@@ -171,3 +174,18 @@ def test_many_instants_of_one_user_in_one_minute(spark):
     columns = ["event_id", "previous_event_ts", "minutes_since_last_event", "is_new_session"]
     assert event_gaps(events).select(*columns).exceptAll(plain_sessions(events).select(*columns)).count() == 0
     assert event_gaps(events).count() == 20_040
+
+
+def test_guests_are_one_user_unless_told_apart(spark):
+    rows = [(f"{i}", "guest" if i % 3 else "u", f"10.0.0.{i % 2}", "a" if i % 2 else None, at(f"10:{i:02d}")) for i in range(12)]
+    rows += [("x", "guest", None, None, at("10:20")), ("y", "guest", "", "", at("10:21"))]
+    events = spark.createDataFrame(rows, "event_id string, user_id string, ip_address string, user_agent string, event_at_ts timestamp_ntz")
+    split = with_visitors(events)
+    got = {r["event_id"]: r["user_id"] for r in split.collect()}
+    again = {r["event_id"]: r["user_id"] for r in with_visitors(events.repartition(3)).collect()}
+    assert got == again and len(set(got.values())) == 4 and got["x"] == got["y"] == "guest" and got["0"] == "u"
+    assert got["1"].startswith("guest:") and got["1"] == got["5"] != got["2"] == got["4"]
+    accounts = {r[0] for r in split.select(account_of(F.col("user_id"))).distinct().collect()}
+    assert accounts == {"u", "guest"}
+    one, many = ({r["session_index"] for r in with_session_index(e).where("user_id like 'guest%'").collect()} for e in (events, split))
+    assert one == many == {1}
