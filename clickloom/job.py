@@ -20,7 +20,7 @@ from clickloom.session import build_session
 from clickloom.sources.dimensions import read_products, read_users
 from clickloom.sources.messages import MAX_FILES, MAX_OFFSETS, stream_kafka, stream_text
 from clickloom.sources.raw import MAX_BATCHES, read_raw
-from clickloom.streaming.landing import compact, keep_loading, land_messages, load_batches
+from clickloom.streaming.landing import compact, keep_landing, keep_loading, land_files, land_messages, load_batches
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -64,6 +64,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     if args.command == "land" and bool(args.kafka_servers) != bool(args.topic):
         parser.error("--kafka-servers and --topic go together")
+    if args.command == "land" and args.archive and not args.messages:
+        parser.error("--archive goes with --messages")
     if args.command == "compact" and args.lake and not args.raw:
         parser.error("--lake needs --raw, which shows what was loaded")
     return args
@@ -79,8 +81,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = _arguments(argv)
     spark = build_session(f"clickloom-{args.command}")
     if args.command == "land":
-        source = message_stream(spark, args)
-        land_messages(source, args.lake, args.checkpoint, continuous=not args.once).awaitTermination()
+        if args.archive and args.once:
+            land_files(spark, args.messages, args.lake, args.archive, args.max_files)
+        elif args.archive:
+            keep_landing(spark, args.messages, args.lake, args.archive, args.checkpoint, args.max_files).awaitTermination()
+        else:
+            source = message_stream(spark, args)
+            land_messages(source, args.lake, args.checkpoint, continuous=not args.once).awaitTermination()
     elif args.command == "autoload":
         if args.once:
             load_batches(spark, args.lake, args.raw, args.max_batches)

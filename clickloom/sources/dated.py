@@ -50,6 +50,26 @@ def write_batch(df: DataFrame, path: str, batch: str | None = None, partitions:
     writer.partitionBy(*partitions, BATCH).parquet(f"{path}/open")
 
 
+def waiting_files(spark: SparkSession, folder: str, most: int) -> list[str]:
+    """Files in a folder, the oldest first, at most so many; hidden ones are still being written."""
+    files, place = _file_system(spark, folder)
+    found = [s for s in files.listStatus(place) if s.isFile() and s.getPath().getName()[0] not in "._"] if files.exists(place) else []
+    found.sort(key=lambda s: (s.getModificationTime(), s.getPath().toString()))
+    return [s.getPath().toString() for s in found[:most]]
+
+
+def move_files(spark: SparkSession, paths: Sequence[str], folder: str) -> None:
+    """Move files into a folder, under names that begin with their times."""
+    files, place = _file_system(spark, folder)
+    files.mkdirs(place)
+    for path in paths:
+        files, source = _file_system(spark, path)
+        name = f"{files.getFileStatus(source).getModificationTime()}-{source.getName()}"
+        target = spark._jvm.org.apache.hadoop.fs.Path(place, name)
+        if not files.rename(source, target):
+            raise OSError(f"could not move {path} to {folder}")
+
+
 def open_batches(spark: SparkSession, path: str, partitions: Sequence[str] = (DATE,), only: dict[str, str] | None = None) -> set[tuple]:
     """Partition values and names of the batches that lie in ``open``, from the names of their folders alone."""
     names = [*partitions, BATCH]

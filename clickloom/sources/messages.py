@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,17 +63,17 @@ def message_values(records: DataFrame) -> DataFrame:
     return records.select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))
 
 
-def parse_messages(messages: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def parse_messages(messages: DataFrame, loaded_at: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Parse each message on its own; text that is not JSON is kept as a dead letter.
 
     Columns: ``raw_data`` (variant, null for dead letters), ``raw_text`` (dead letters only),
-    ``loaded_at``, ``kind`` and ``ingest_date``. A record keeps exactly the keys it came with.
+    ``loaded_at``, ``kind``, ``ingest_date`` and those to ``keep``. A record keeps exactly the keys it came with.
     """
     loaded_at = F.current_timestamp() if loaded_at is None else loaded_at
     readable = F.col("raw_data").isNotNull()
     return (
         messages.select(
-            F.try_parse_json(F.col("value")).alias("raw_data"), "value", loaded_at.alias("loaded_at")
+            F.try_parse_json(F.col("value")).alias("raw_data"), "value", loaded_at.alias("loaded_at"), *keep
         )
         .select(
             "raw_data",
@@ -79,5 +81,6 @@ def parse_messages(messages: DataFrame, loaded_at: Column | None = None) -> Data
             "loaded_at",
             F.when(readable, EVENT).otherwise(DEAD_LETTER).alias("kind"),
             ingest_date(F.col("loaded_at")).alias("ingest_date"),
+            *keep,
         )
     )

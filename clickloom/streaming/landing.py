@@ -7,9 +7,9 @@ nothing.
 
 A file source's own list of files seen lies in the checkpoint and grows by a line per file. It may be dropped
 by starting with a new checkpoint: batches are named after it, messages that were landed are moved out of
-the inbox, and loading a lake batch once more replaces it in the raw table. The raw table needs no such list:
-``load_batches`` compares the folders of the lake's open batches with those the table has, so nothing but the
-table itself is kept from run to run.
+the inbox, and loading a lake batch once more replaces it in the raw table. Folders of files need no such list:
+``land_files`` moves what it has landed, and ``load_batches`` compares the folders of the lake's open batches with
+those the raw table has, so nothing but the tables themselves is kept from run to run.
 """
 
 from __future__ import annotations
@@ -21,8 +21,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.sources.dated import BATCH, DATE, close_dates, closed_batches, in_batches, open_batches, read_dated, write_batch
-from clickloom.sources.messages import EVENT, parse_messages
+from clickloom.sources.dated import (
+    BATCH,
+    DATE,
+    close_dates,
+    closed_batches,
+    in_batches,
+    move_files,
+    open_batches,
+    read_dated,
+    waiting_files,
+    write_batch,
+)
+from clickloom.sources.messages import EVENT, MAX_FILES, parse_messages
 from clickloom.sources.raw import (
     LAKE_PARTITIONS,
     LAKE_SCHEMA,
@@ -69,6 +80,29 @@ def land_messages(
     return start_table(parse_messages(messages, loaded_at), lake, checkpoint, continuous, LAKE_PARTITIONS)
 
 
+def land_files(spark: SparkSession, inbox: str, lake: str, archive: str, max_files: int = MAX_FILES) -> int:
+    """Land the text files of a folder and move them to ``archive``; their number is returned.
+
+    A file is a batch: named after its path and time, and loaded at that time. So a file that was landed and not
+    yet moved when a run stopped is landed once more in place of itself, and nothing has to be remembered. Files
+    appear in the inbox whole, by renaming.
+    """
+    landed = 0
+    while paths := waiting_files(spark, inbox, max_files):
+        arrived = F.col("_metadata.file_modification_time")
+        name = F.md5(F.concat_ws("|", F.col("_metadata.file_path"), arrived.cast("string")))
+        lines = spark.read.text(paths).select("value", name.alias(BATCH), arrived.alias("arrived"))
+        write_batch(parse_messages(lines, F.col("arrived"), keep=[BATCH]), lake, partitions=LAKE_PARTITIONS)
+        move_files(spark, paths, archive)
+        landed += len(paths)
+    return landed
+
+
+def keep_landing(spark: SparkSession, inbox: str, lake: str, archive: str, checkpoint: str, max_files: int = MAX_FILES) -> StreamingQuery:
+    """Land new files every ten seconds, by the same clock as ``keep_loading``."""
+    return _on_clock(spark, lambda session: land_files(session, inbox, lake, archive, max_files), checkpoint)
+
+
 def batch_counts(lake: DataFrame) -> DataFrame:
     """Messages received, written as events and set aside, for every batch ever landed.
 
@@ -131,9 +165,18 @@ def load_batches(
 
 
 def keep_loading(spark: SparkSession, lake: str, raw: str, checkpoint: str, max_batches: int = MAX_BATCHES) -> StreamingQuery:
-    """Load new batches every ten seconds. The stream is a clock; its checkpoint holds the last hundred ticks."""
+    """Load new batches every ten seconds."""
+    return _on_clock(spark, lambda session: load_batches(session, lake, raw, max_batches), checkpoint)
+
+
+def _on_clock(spark: SparkSession, work: Callable[[SparkSession], int], checkpoint: str) -> StreamingQuery:
+    """Run ``work`` every ten seconds. The stream is a clock; its checkpoint holds the last hundred ticks."""
     clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    return start(clock, lambda tick, _: load_batches(tick.sparkSession, lake, raw, max_batches) and None, checkpoint, continuous=True)
+
+    def tick(batch: DataFrame, _: str) -> None:
+        work(batch.sparkSession)
+
+    return start(clock, tick, checkpoint, continuous=True)
 
 
 def unloaded_dates(lake: DataFrame, raw: str) -> list:

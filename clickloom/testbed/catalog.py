@@ -48,7 +48,7 @@ from clickloom.sources.messages import DEAD_LETTER, EVENT, parse_messages, read_
 from clickloom.sources.raw import read_lake, read_raw, stream_lake
 from clickloom.sources.tables import fresh_path, materialize, read_table, write_table
 from clickloom.streaming import events as live
-from clickloom.streaming.landing import autoload, batch_counts, compact, land_messages, load_batches, start_table
+from clickloom.streaming.landing import autoload, batch_counts, compact, land_files, land_messages, load_batches, start_table
 from clickloom.testbed import recipe
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -549,12 +549,23 @@ def _autoloaded(spark: SparkSession, sf_dir: str) -> str:
 @query("ingest_json")
 def run_ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text fields of the messages a stream landed in the lake."""
-    lake = _landed(spark, sf_dir)
+    return _message_fields(spark, _landed(spark, sf_dir))
+
+
+def _message_fields(spark: SparkSession, lake: str) -> DataFrame:
     fields = [*PLAIN_TEXT_FIELDS, "event_type", "user_id", "event_timestamp"]
     events = read_lake(spark, lake).where(F.col("kind") == EVENT)
     return events.select(*[text_field(F.col("raw_data"), name).alias(name) for name in fields])
 
 
+@query("ingest_files")
+def run_ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text fields of the messages of files that were landed, in steps, and moved away."""
+    lake = fresh_path(spark, "lake")
+    land_files(spark, _message_files(spark, sf_dir), lake, fresh_path(spark, "landed-files"), max_files=3)
+    return _message_fields(spark, lake)
+
+
 @query("ingest_malformed")
 def run_ingest_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters of the same stream."""

@@ -385,6 +385,8 @@ ORACLES: dict[str, str] = {
     "dq_suite": f"{_FULL} {_SUITE}",
     "increment_checks": f"{_FULL} {_SUITE}",
     "dq_suite_dirty": f"{_with(_SRC, _DIMS)} {_SUITE_DIRTY}",
+    "ingest_files": f"""{_PARSED} select event_id, product_id, order_id, platform, ip_address, user_agent,
+        utm_source, utm_medium, utm_campaign, event_type, user_id, event_timestamp from sent""",
     "ingest_json": f"""{_PARSED} select event_id, product_id, order_id, platform, ip_address, user_agent,
         utm_source, utm_medium, utm_campaign, event_type, user_id, event_timestamp from sent""",
     "ingest_malformed": """select '{"event_id":"' || event_id as raw_text from events

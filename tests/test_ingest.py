@@ -28,7 +28,9 @@ from clickloom.streaming.landing import (
     autoload,
     batch_counts,
     compact,
+    keep_landing,
     keep_loading,
+    land_files,
     land_messages,
     load_batches,
     start_table,
@@ -512,3 +514,42 @@ def test_stopped_judgement_is_repeated(spark, folder, tmp_path, monkeypatch):
     monkeypatch.undo()
     assert judge_again(spark, folder.out, "1", products, users) == 1
     assert sorted((r["event_id"], r["reject_reason"]) for r in read_routed(spark, folder.out).collect()) == [("1", None), ("2", "unknown_product")]
+
+
+def test_landed_files_are_moved_and_remembered_nowhere(spark, folder, tmp_path, monkeypatch):
+    done = str(tmp_path / "done")
+    for i in range(5):
+        folder.put(f"m{i}", message(str(i)), "{bad")
+    (tmp_path / "in" / ".m9").write_text("still being written")
+    # A run that stops between landing and moving: the next one lands the same files in place of themselves.
+    monkeypatch.setattr("clickloom.streaming.landing.move_files", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        land_files(spark, folder.source, folder.lake, done, max_files=3)
+    monkeypatch.undo()
+    assert len(folder.counts(spark)) == 3
+    load_batches(spark, folder.lake, folder.raw)
+    assert land_files(spark, folder.source, folder.lake, done, max_files=2) == 5
+    assert land_files(spark, folder.source, folder.lake, done) == 0
+    assert folder.counts(spark) == [(2, 1, 1)] * 5
+    load_batches(spark, folder.lake, folder.raw)
+    assert ids_in(read_raw(spark, folder.raw)) == [str(i) for i in range(5)]
+    assert [p.name for p in (tmp_path / "in").iterdir()] == [".m9"] and len(list((tmp_path / "done").glob("*-m*"))) == 5
+    # A file of the same name that comes later is another one.
+    folder.put("m0", message("new"))
+    assert land_files(spark, folder.source, folder.lake, done) == 1
+    load_batches(spark, folder.lake, folder.raw)
+    assert len(ids_in(read_raw(spark, folder.raw))) == 6
+    assert {f.split("/lake/")[1].split("/")[0] for f in folder.files("lake")} == {"open"}
+
+
+def test_landing_on_a_clock(spark, folder, tmp_path):
+    folder.put("a", message("1"))
+    query = keep_landing(spark, folder.source, folder.lake, str(tmp_path / "done"), folder.lake_offsets)
+    try:
+        for _ in range(120):
+            if not list((tmp_path / "in").iterdir()):
+                break
+            query.awaitTermination(0.5)
+    finally:
+        query.stop()
+    assert read_lake(spark, folder.lake).count() == 1
