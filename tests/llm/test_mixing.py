@@ -144,7 +144,7 @@ def test_hypergeometric(spark, whole, own, drawn):
     found = spark.range(steps).select(F.expr(mixing.hypergeometric(str(whole), str(own), str(drawn), uniform)).alias("x")).groupBy("x").count().collect()
     for r in found:
         x = r["x"]
-        chance = math.comb(own, x) * math.comb(whole - own, drawn - x) / math.comb(whole, drawn)
+        chance = math.comb(drawn, x) * math.comb(whole - drawn, own - x) / math.comb(whole, own)
         assert r["count"] / steps == pytest.approx(chance, abs=3 / steps)
 
 
