@@ -15,6 +15,7 @@ from clickloom.operators.asof import price_asof, price_asof_sweep
 from clickloom.operators.lookup import Dimension, measure, with_unknown_flag
 from clickloom.operators.sessions import (
     INSTANT_COLUMNS,
+    active_minutes,
     event_gaps,
     products_viewed,
     session_id,
@@ -346,7 +347,7 @@ def run_session_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_session_products_viewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct products viewed, for sessions with a view."""
     events = materialize(priced(spark, sf_dir).select(*METRIC_COLUMNS), "priced")
-    views = products_viewed(events, materialize(session_minutes(events), "session-minutes"))
+    views = products_viewed(events, materialize(active_minutes(events), "active-minutes"))
     return views.select(session_id().alias("session_id"), "distinct_products_viewed")
 
 

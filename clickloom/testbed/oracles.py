@@ -136,13 +136,15 @@ spans as (
     from sessionized group by session_id
 ),
 facts as (
-    select ids as total_events_in_session, source as session_utm_source, session_id, s.user_id,
-        coalesce(items, 0) as total_items_added_to_cart, coalesce(products, 0) as distinct_products_viewed,
+    select session_id, s.user_id,
+        (select any_value(country) from users u where u.user_id = s.user_id) as user_country,
+        began as session_started_at_ts, ended as session_ended_at_ts,
+        cast(floor(epoch(ended)) - floor(epoch(began)) as bigint) as session_duration_seconds,
+        ids as total_events_in_session,
         cast(case when valued > 0 then paid when checkouts = n then null else 0 end as decimal(38,2))
             as total_session_revenue,
-        began as session_started_at_ts, ended as session_ended_at_ts, session_index,
-        cast(floor(epoch(ended)) - floor(epoch(began)) as bigint) as session_duration_seconds,
-        (select any_value(country) from users u where u.user_id = s.user_id) as user_country
+        coalesce(items, 0) as total_items_added_to_cart, coalesce(products, 0) as distinct_products_viewed,
+        source as session_utm_source, session_index
     from spans s left join bought using (session_id) left join looked using (session_id)
         left join carted using (session_id)
 )"""
