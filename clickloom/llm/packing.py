@@ -34,7 +34,7 @@ from clickloom.sources.tables import materialize
 
 #: Bytes of the words whose ids a task remembers, and what a word takes besides its letters and ids. When the cache is full,
 #: and when a partition ends, only the words that came first stay, which are the frequent ones.
-CACHED_BYTES, _WORD_BYTES, KEPT_WORDS = 64 << 20, 180, 50_000
+CACHED_BYTES, _WORD_BYTES, KEPT_WORDS = 72 << 20, 180, 150_000
 #: Bytes of text whose words are looked up together.
 _GROUP_BYTES = 1 << 20
 
@@ -119,13 +119,13 @@ class WordEncoder:
         new = list(other.difference(cache))
         self._learn_all(new, [w.decode("utf-8") for w in new], self._tokenizer, "\x00")
         for word, stem, marks in parted:
-            ids = cache[word] = cache[stem] + cache[marks]
-            self._cached += len(word) + len(ids) + _WORD_BYTES
+            cache[word] = cache[stem] + cache[marks]
+        # Words and their stems with their ids, of which one stands for every other letter.
+        self._cached += 4 * sum(map(len, words)) + (len(words) + len(plain)) * _WORD_BYTES
 
     def _learn_all(self, words: list[bytes], texts: list[str], tokenizer, border: str) -> None:
         """Encode several words at once, with a border word between any two."""
         mark = tokenizer.encode(border, add_special_tokens=False).ids
-        self._cached += sum(map(len, words)) * 3 + len(words) * _WORD_BYTES  # an id for every other letter
         for at in range(0, len(words), 4096):
             some = words[at : at + 4096]
             ids = _packed(tokenizer.encode_batch_fast([f" {border} ".join(texts[at : at + 4096])], add_special_tokens=False)[0].ids)
