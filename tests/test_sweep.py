@@ -96,3 +96,13 @@ def test_overlaps_are_told(spark):
     _, versions = frames(spark, [], [("p", "1", 0, 10), ("p", "2", 9, 12), ("p", "3", 12, None), ("q", "1", 0, None), ("q", "2", 5, 5), ("r", "1", 0, None), ("r", "1", 3, 4)])
     found = asof.overlapping_versions(versions).collect()
     assert sorted((r["product_id"], str(r["price"])) for r in found) == [("p", "2.00"), ("r", "1.00")]
+
+
+def test_versions_meet_before_they_are_sorted(spark):
+    events, versions = frames(spark, *made(1))
+    tree = asof.price_asof_sweep(events, versions)._jdf.queryExecution().executedPlan().toString()
+    firsts = [line for line in tree.splitlines() if "partial_max_by" in line]
+    below = tree.split(firsts[0], 1)[1]
+    # Nothing sorts the rows of a scan's task: the first sort of the versions is beyond their shuffle.
+    assert "Sort [" not in below.split("REPARTITION_BY_COL", 1)[1].split("Scan", 1)[0]
+    assert below.index("REPARTITION_BY_COL") < below.index("Scan")
