@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,13 +68,28 @@ def read_batches(spark: SparkSession, path: str, batches: list[tuple[str, str]])
     return spark.read.schema(LAKE_SCHEMA).option("basePath", folder).parquet(*paths)
 
 
-def lake_batches(spark: SparkSession, path: str, arrived: DataFrame) -> DataFrame | None:
-    """The event files of all batches that ``arrived`` has rows of; None without any.
+def with_file(lake_files: DataFrame) -> DataFrame:
+    """Of the rows of lake files only where they lie: ``kind``, load date, batch and ``file``."""
+    return lake_files.select(*LAKE_PARTITIONS, "batch", F.col("_metadata.file_path").alias("file"))
+
 
-    ``arrived`` holds the files of one micro-batch, so its batches are no more than these.
+def arrived_files(arrived: DataFrame) -> dict[str, tuple[str, str]]:
+    """Load date and batch of the event files that ``arrived`` (``with_file``) has rows of.
+
+    ``arrived`` holds the files of one micro-batch, so there are no more than these.
     """
-    found = arrived.where(F.col("kind") == EVENT).select("ingest_date", "batch").distinct().collect()
-    return read_batches(spark, path, [(row["ingest_date"], row["batch"]) for row in found]) if found else None
+    found = arrived.where(F.col("kind") == EVENT).select("file", DATE, "batch").distinct().collect()
+    return {_place(row["file"]): (str(row[DATE]), row["batch"]) for row in found}
+
+
+def file_paths(rows: DataFrame) -> set[str]:
+    """The files that ``rows`` was found to lie in when it was made, written as by ``arrived_files``."""
+    return {_place(path) for path in rows.inputFiles()}
+
+
+def _place(path: str) -> str:
+    """A file's folders below the lake and its name. Spark writes what comes before in more than one way."""
+    return unquote("/".join(path.split("/")[-len(LAKE_PARTITIONS) - 2 :]))
 
 
 def read_raw(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:

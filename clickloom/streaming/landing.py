@@ -39,9 +39,11 @@ from clickloom.sources.raw import (
     LAKE_SCHEMA,
     MAX_BATCHES,
     RAW_TABLE_SCHEMA,
-    lake_batches,
+    arrived_files,
+    file_paths,
     open_lake,
     read_batches,
+    with_file,
     with_load_metadata,
 )
 
@@ -126,16 +128,24 @@ def autoload(
     """Load new lake batches into the raw table, each under its name in the lake.
 
     The stream says which batches have new files; these are loaded whole, in place of what the raw table
-    has of them.
+    has of them. A batch of many files comes in several micro-batches: files that were loaded with the first of
+    them are passed over in the others, so every batch is loaded once. A stream that is started again may load
+    the batch it was in once more.
     """
+    ahead: set[str] = set()  # files loaded with their batch that the stream has not come to yet
 
     def load(arrived: DataFrame, _: str) -> None:
         spark = arrived.sparkSession
-        batches = lake_batches(spark, lake, arrived)
-        if batches is not None:
-            write_batch(with_load_metadata(batches, loaded_at), raw)
-
-    return start(lake_files, load, checkpoint, continuous)
+        files = arrived_files(arrived)
+        batches = sorted({place for file, place in files.items() if file not in ahead})
+        if batches:
+            rows = read_batches(spark, lake, batches)
+            loaded = file_paths(rows)
+            write_batch(with_load_metadata(rows, loaded_at), raw)
+            ahead.update(loaded)
+        ahead.difference_update(files)
+
+    return start(with_file(lake_files), load, checkpoint, continuous)
 
 
 def unloaded_batches(spark: SparkSession, lake: str, raw: str) -> list[tuple[str, str]]:

@@ -553,3 +553,25 @@ def test_landing_on_a_clock(spark, folder, tmp_path):
     finally:
         query.stop()
     assert read_lake(spark, folder.lake).count() == 1
+
+
+def test_a_batch_of_many_files_is_loaded_once(spark, folder, monkeypatch):
+    from clickloom.streaming import landing
+
+    rows = spark.range(24).select(
+        F.try_parse_json(F.concat(F.lit('{"event_id":"'), "id", F.lit('"}'))).alias("raw_data"),
+        F.lit(None).cast("string").alias("raw_text"),
+        F.current_timestamp().alias("loaded_at"),
+        F.lit("event").alias("kind"),
+        F.lit("2024-05-01").cast("date").alias("ingest_date"),
+    )
+    for batch in ("a b", "q-2"):
+        write_batch(rows.repartition(4), folder.lake, batch, ("kind", "ingest_date"))
+    writes = []
+    monkeypatch.setattr(landing, "write_batch", lambda df, path, *rest: (writes.append(path), write_batch(df, path, *rest)))
+    assert folder.load(spark, max_files=1).count() == 48
+    assert len(writes) == 2
+    # Landed anew, it is loaded anew.
+    write_batch(rows.repartition(3), folder.lake, "q-2", ("kind", "ingest_date"))
+    assert folder.load(spark, max_files=1).count() == 48
+    assert len(writes) == 3
