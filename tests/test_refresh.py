@@ -162,3 +162,18 @@ def test_guests_by_visitor(job, make_raw):
     facts = {r["session_id"]: r["total_events_in_session"] for r in job.run("2", raw=raw, split_guests=True).collect()}
     assert sorted(facts.values()) == [1, 2, 2] and sum(k.startswith("guest:") for k in facts) == 2
     assert job.read("checks").where("not passed").count() == 0
+
+
+def test_a_run_has_no_fewer_partitions_than_the_session(spark, job, monkeypatch):
+    from clickloom.plans import refresh as module
+
+    seen, build = [], module._build
+    monkeypatch.setattr(module, "_build", lambda session, *rest: (seen.append(session.conf.get("spark.sql.shuffle.partitions")), build(session, *rest))[1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        job.run("1", raw_bytes=1)
+        job.run("2", raw_bytes=30 * 256 * 2**20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen == ["24", "30"]
