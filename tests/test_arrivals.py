@@ -1,0 +1,32 @@
+"""How the derived inputs of the streaming and increment queries are written."""
+
+from __future__ import annotations
+
+from clickloom.sources.tables import read_table
+from clickloom.testbed import catalog
+from pyspark.sql import functions as F
+
+
+def given(spark, folder, n):
+    kinds = F.array(*map(F.lit, ("signup", "view", "click", "error", "purchase")))
+    events = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.expr("timestampadd(HOUR, cast(id % 700 as int), timestamp_ntz'2024-01-01 00:00:00')").alias("ts"),
+        (F.col("id") % 9).alias("user_id"),
+        F.get(kinds, (F.col("id") % 5).cast("int")).alias("event_type"),
+        F.lit(1.5).alias("value"),
+        F.concat(F.lit('{"k": '), (F.col("id") % 100).cast("string"), F.lit("}")).alias("props"),
+    )
+    events.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def test_arrivals_come_in_more_files_as_they_grow(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "RAW_FILE_ROWS", 20)
+    sf_dir = given(spark, tmp_path, 700)
+    assert catalog.raw_table(spark, sf_dir).select(F.input_file_name()).distinct().count() > 20
+    arrivals = read_table(spark, catalog._arrivals(spark, sf_dir))
+    assert arrivals.count() == 700
+    files = arrivals.select(F.input_file_name()).distinct().count()
+    assert catalog._arrival_files(spark, sf_dir) == 5 and files > (catalog.ARRIVALS + 1) * catalog.ARRIVAL_FILES
+    assert catalog._raw_stream(spark, sf_dir)._jdf.queryExecution().analyzed().isStreaming()
