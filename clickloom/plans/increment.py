@@ -27,7 +27,8 @@ state is to be built anew from all raw rows in an empty folder.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -48,6 +49,9 @@ from clickloom.schemas import DEFAULT_MIN_EVENT_TS, EVENT_TYPES, SESSION_GAP_MIN
 from clickloom.sources.dated import exists
 from clickloom.sources.tables import materialize, read_table, write_table
 
+#: Largest table of a run's own that is broadcast, by this module and by Spark's choice: all of them go through the driver.
+HINTED_BYTES = 4 * 1024 * 1024
+SPARK_BROADCAST_BYTES = 1024 * 1024
 DAY, RUN = "day", "run"
 _TOTALS = "first_ts timestamp_ntz, last_ts timestamp_ntz, events long, revenue decimal(31,2), items_added long, utm_source string"
 #: A user's state after a minute: the session it lies in, with its totals so far.
@@ -168,8 +172,8 @@ def _between(days: set[str], first: str | None, last: str | None = None) -> set[
 
 
 def _hinted(rows: DataFrame, key: str = "user_id") -> DataFrame:
-    """Written rows, broadcast if they are small."""
-    return measure(rows, key).hinted()
+    """Written rows, broadcast if they are small: a run does so for several tables of its users."""
+    return measure(rows, key, max_broadcast_bytes=HINTED_BYTES).hinted()
 
 
 def _keys_added(state: State, name: str, key: str, now: Dimension) -> bool:
@@ -290,8 +294,35 @@ def advance(
     state = State.load(spark, folder)
     if run_id in state.runs:
         raise ValueError(f"run {run_id} is published already")
-    held = len(state.runs)
+    with _small_broadcasts(spark):
+        return _advance(state, run_id, raw, products, users, versions, min_event_ts, gap_minutes, max_broadcast_bytes)
 
+
+@contextmanager
+def _small_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Let Spark broadcast small tables only: it goes by a file's size, and packed rows are many times that."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    bound = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    spark.conf.set(name, str(min(bound, SPARK_BROADCAST_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _advance(
+    state: State,
+    run_id: str,
+    raw: DataFrame,
+    products: DataFrame,
+    users: DataFrame,
+    versions: DataFrame,
+    min_event_ts: str | None,
+    gap_minutes: int,
+    max_broadcast_bytes: int,
+) -> Report:
+    spark, folder, held = state.spark, state.folder, len(state.runs)
     fresh = _judge(state, run_id, raw, products, users, versions, min_event_ts, max_broadcast_bytes)
     gained, superseded, runs_read = merge_copies(state, fresh, run_id)
     superseded = materialize(superseded.withColumn(DAY, F.to_date("event_at_ts")), "increment-superseded")

@@ -197,3 +197,25 @@ def test_states_tell_what_is_wrong(spark, dims):
     got = {(r["name"], r["value"]): r["n"] for r in bad.collect()}
     assert got["events", None] == 0 and got["twice", None] == 1 and got["event_type", "odd"] == 0 and got["event_type", "other"] == -1
     assert got["events.product_id.not_null", None] == 1 and got["events.user_id.not_null", None] == 1 and got["events.event_at_ts.not_null", None] == 0
+
+
+def test_what_a_run_broadcasts_is_bounded(spark):
+    from clickloom.operators.lookup import measure
+    from clickloom.plans import increment
+
+    # A state within a row counts as its fields do.
+    rows = spark.range(10).selectExpr("id as user_id", "struct(id as a, struct('text' as b) as c) as state")
+    flat = spark.range(10).selectExpr("id as user_id", "id as a", "'text' as b")
+    assert measure(rows, "user_id").bytes == measure(flat, "user_id").bytes
+    some = spark.range(increment.HINTED_BYTES // 80 + 1).withColumnRenamed("id", "user_id")
+    assert "ResolvedHint" not in increment._hinted(some)._jdf.queryExecution().analyzed().toString()
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        for given, within in (("64MB", increment.SPARK_BROADCAST_BYTES), ("-1", -1)):
+            spark.conf.set(name, given)
+            with increment._small_broadcasts(spark):
+                assert int(spark.conf.get(name)) == within
+            assert spark.conf.get(name) == given
+    finally:
+        spark.conf.set(name, before)
